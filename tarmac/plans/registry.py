@@ -311,3 +311,153 @@ query("features_seasonality", compose(f"""
 select dep_hour_local, dow, round(avg({_POS}), 6) as mean_pos_delay, count(*) as n
 from features_left group by 1, 2""", "features_left"))(
     lambda c: eda.seasonality(c.features("left")))
+
+# ====================================================================== baselines
+# Fixture-scale parameters (published: 2022-01-01 .. 2023-04-01; train to 2023-01,
+# validation 2023-01, test 2023-02..03; 30-day model trained on whole months).
+from tarmac.operators import baselines as bl  # noqa: E402
+from tarmac.operators import evaluate as ev  # noqa: E402
+from tarmac.operators import filters as flt  # noqa: E402
+
+STUDY_START, STUDY_END = "2000-01-01", "2001-04-01"
+SPLITS = [("train", "2000-01-01", "2001-01-01"), ("validation", "2001-01-01", "2001-02-01"),
+          ("test", "2001-02-01", "2001-04-01")]
+CUTOFFS = {"validation": "2001-01-01", "test": "2001-02-01"}
+M1_TRAIN = ("2000-01-01", "2001-01-01")     # months 2000-01 .. 2000-12
+M1_TEST = ("2001-01-01", "2001-02-01")      # month 2001-01
+
+
+def _ts_range(df: DataFrame, lo: str, hi: str) -> DataFrame:
+    ts = F.col("sched_dep_tstz")
+    return df.where((ts >= F.lit(lo).cast("timestamp_ntz")) & (ts < F.lit(hi).cast("timestamp_ntz")))
+
+
+def _m1_parts(c: Ctx):
+    return _ts_range(c.history, *M1_TRAIN), _ts_range(c.history, *M1_TEST)
+
+
+def _study(c: Ctx) -> DataFrame:
+    return flt.study_window(c.history, STUDY_START, STUDY_END)
+
+
+def _split(c: Ctx) -> DataFrame:
+    return flt.chrono_split(_study(c), SPLITS)
+
+
+def _ravg90(c: Ctx) -> DataFrame:
+    sp = _split(c)
+    train = sp.where(F.col("split") == "train")
+    valid = sp.where(F.col("split") == "validation")
+    test = sp.where(F.col("split") == "test")
+    v = bl.rolling_avg_90d(train, valid, CUTOFFS["validation"])
+    t = bl.rolling_avg_90d(train.unionByName(valid), test, CUTOFFS["test"])
+    return v.unionByName(t)
+
+
+cte("m1_train", f"select * from fx_history where sched_dep_tstz >= timestamp '{M1_TRAIN[0]}' "
+                f"and sched_dep_tstz < timestamp '{M1_TRAIN[1]}'", ("fx_history",))
+cte("m1_test", f"select * from fx_history where sched_dep_tstz >= timestamp '{M1_TEST[0]}' "
+               f"and sched_dep_tstz < timestamp '{M1_TEST[1]}'", ("fx_history",))
+cte("m1_all", "select 'train' as split, * from m1_train union all "
+              "select 'test' as split, * from m1_test", ("m1_train", "m1_test"))
+cte("m1_roll", """
+select *, avg(dep_delay_min) over (partition by carrier, origin, dest order by sched_dep_tstz
+  range between interval 30 days preceding and interval 1 second preceding) as yhat30
+from m1_all""", ("m1_all",))
+cte("m1_route", "select carrier, origin, dest, avg(dep_delay_min) as mean_route from m1_train "
+                "group by 1, 2, 3", ("m1_train",))
+cte("m1_carr", "select carrier, avg(dep_delay_min) as mean_carr from m1_train group by 1",
+    ("m1_train",))
+cte("m1_glob", "select avg(dep_delay_min) as mean_glob from m1_train", ("m1_train",))
+cte("m1_pred", """
+select d.carrier, d.origin, d.dest, d.sched_dep_tstz, d.dep_delay_min,
+  coalesce(d.yhat30, r.mean_route, c.mean_carr, g.mean_glob) as yhat_baseline
+from m1_roll d
+left join m1_route r using (carrier, origin, dest)
+left join m1_carr c using (carrier)
+cross join m1_glob g
+where d.split = 'test'""", ("m1_roll", "m1_route", "m1_carr", "m1_glob"))
+
+_split_case = " ".join(f"when dep_date >= date '{a}' and dep_date < date '{b}' then '{n}'"
+                       for n, a, b in SPLITS)
+cte("sw", f"""
+select *, cast(sched_dep_tstz as date) as dep_date, cast(month(sched_dep_tstz) as integer) as month
+from fx_history
+where cast(sched_dep_tstz as date) >= date '{STUDY_START}'
+  and cast(sched_dep_tstz as date) < date '{STUDY_END}' and dep_delay_min is not null""",
+    ("fx_history",))
+cte("sp", f"select * from (select *, case {_split_case} end as split from sw) t "
+          f"where split is not null", ("sw",))
+
+
+def _ravg_sql(tag: str, hist_splits: str, new_split: str, cutoff: str) -> None:
+    cte(f"h_{tag}", f"select * from sp where split in ({hist_splits}) and dep_date >= "
+                    f"date '{cutoff}' - 90 and dep_date < date '{cutoff}'", ("sp",))
+    nd = lambda k: f"n.{k} is not distinct from x.{k}"
+    main = ["carrier", "origin", "dest", "dep_hour_local", "dow"]
+    fb = ["origin", "dest", "dep_hour_local"]
+    cte(f"p_{tag}", f"""
+select n.*, coalesce(
+  (select avg(dep_delay_min) from h_{tag} x where {' and '.join(nd(k) for k in main)}),
+  (select avg(dep_delay_min) from h_{tag} x where {' and '.join(nd(k) for k in fb)}),
+  (select avg(dep_delay_min) from h_{tag})) as pred_rolling_avg
+from sp n where n.split = '{new_split}'""", (f"h_{tag}",))
+
+
+_ravg_sql("v", "'train'", "validation", CUTOFFS["validation"])
+_ravg_sql("t", "'train', 'validation'", "test", CUTOFFS["test"])
+cte("ravg90", "select * from p_v union all select * from p_t", ("p_v", "p_t"))
+
+query("study_window", compose("select flight_id, dep_date, month, dep_hour_local, dow from sw", "sw"))(
+    lambda c: _study(c).select("flight_id", "dep_date", "month", "dep_hour_local", "dow"))
+query("chrono_split", compose("select flight_id, split from sp", "sp"))(
+    lambda c: _split(c).select("flight_id", "split"))
+query("split_counts", compose("select split, count(*) as n from sp group by 1", "sp"))(
+    lambda c: flt.split_counts(_split(c)))
+query("tagged_union", compose("select split, flight_id, sched_dep_tstz from m1_all", "m1_all"))(
+    lambda c: bl.tagged_union(*[p.select("flight_id", "sched_dep_tstz") for p in _m1_parts(c)]))
+
+
+@query("rolling_30d", compose("select flight_id, split, round(yhat30, 6) as yhat30 from m1_roll",
+                              "m1_roll"))
+def _roll30(c: Ctx) -> DataFrame:
+    tr, te = _m1_parts(c)
+    u = bl.tagged_union(tr, te)
+    return (bl.rolling_mean(u, bl.ROUTE, "sched_dep_tstz", "dep_delay_min", 30)
+            .select("flight_id", "split", r6(F.col("yhat30")).alias("yhat30")))
+
+
+query("route_mean", compose("select carrier, origin, dest, round(mean_route, 6) as mean_route "
+                            "from m1_route", "m1_route"))(
+    lambda c: bl.route_mean(_m1_parts(c)[0]).select(*bl.ROUTE, r6(F.col("mean_route")).alias("mean_route")))
+query("carrier_mean", compose("select carrier, round(mean_carr, 6) as mean_carr from m1_carr",
+                              "m1_carr"))(
+    lambda c: bl.carrier_mean(_m1_parts(c)[0]).select("carrier", r6(F.col("mean_carr")).alias("mean_carr")))
+query("global_mean", compose("select round(mean_glob, 6) as mean_glob from m1_glob", "m1_glob"))(
+    lambda c: bl.global_mean(_m1_parts(c)[0]).select(r6(F.col("mean_glob")).alias("mean_glob")))
+
+query("rolling_30d_backfilled", compose("""
+select carrier, origin, dest, sched_dep_tstz, dep_delay_min, round(yhat_baseline, 6) as yhat_baseline
+from m1_pred""", "m1_pred"))(
+    lambda c: bl.rolling_30d_backfilled(*_m1_parts(c)).withColumn(
+        "yhat_baseline", r6(F.col("yhat_baseline"))))
+query("rolling_30d_mae", compose(
+    "select round(avg(abs(dep_delay_min - yhat_baseline)), 6) as mae from m1_pred", "m1_pred"))(
+    lambda c: ev.mean_absolute_error(bl.rolling_30d_backfilled(*_m1_parts(c)),
+                                     "dep_delay_min", "yhat_baseline"))
+
+query("rolling_avg_90d", compose("""
+select split, flight_id, carrier, origin, dest, sched_dep_tstz, dep_delay_min,
+  round(pred_rolling_avg, 6) as pred_rolling_avg from ravg90""", "ravg90"))(
+    lambda c: _ravg90(c).select("split", "flight_id", "carrier", "origin", "dest",
+                                "sched_dep_tstz", "dep_delay_min",
+                                r6(F.col("pred_rolling_avg")).alias("pred_rolling_avg")))
+
+query("metrics", compose("""
+select 'rolling_avg_90d' as model, split, count(*) as n, round(avg(abs(e)), 6) as mae,
+  round(sqrt(avg(e * e)), 6) as rmse, round(quantile_cont(abs(e), 0.5), 6) as median_ae,
+  round(quantile_cont(abs(e), 0.9), 6) as p90_ae, round(avg(e), 6) as bias
+from (select split, pred_rolling_avg - dep_delay_min as e from ravg90) t group by split""",
+                         "ravg90"))(
+    lambda c: ev.error_metrics(_ravg90(c).withColumn("model", F.lit("rolling_avg_90d")),
+                               "dep_delay_min", "pred_rolling_avg"))
