@@ -4,9 +4,11 @@
 1. One aggregation per group: row count and a mergeable quantile sketch
    (``percentile_approx``) read a little below and above each target
    probability. The sketch's rank error is at most n/accuracy, so the two
-   values bracket the wanted order statistics.
-2. Rows below the bracket are only counted; rows inside it are reduced to
-   (value, multiplicity) pairs - a bracket holds about 6/accuracy of the group
+   values bracket the wanted order statistics (up to one rank at either
+   end, covered by the nearest value just outside the bracket).
+2. Rows outside the bracket are only counted (plus the largest value below
+   and the smallest above it); rows inside are reduced to (value,
+   multiplicity) pairs - a bracket holds about 10/accuracy of the group
    however large the group or hot a single value is.
 3. A running count over the bracket's distinct values gives each value its
    rank range; the two order statistics around ``h = (n - 1) p`` are picked and
@@ -32,7 +34,7 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     ``value_col`` per group, NULL values skipped. Groups with no value are absent."""
     group_cols = list(group_cols)
     names = list(names or [f"q_{i}" for i in range(len(probs))])
-    margin = 3.0 / accuracy
+    margin = 5.0 / accuracy
     lo_p = [max(0.0, p - margin) for p in probs]
     hi_p = [min(1.0, p + margin) for p in probs]
     base = (df.select(*group_cols, F.col(value_col).cast("double").alias("_v"))
@@ -54,17 +56,28 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         *group_cols, "_v", F.explode("_t").alias("t"))
     lo, hi = F.col("t.lo"), F.col("t.hi")
     below = (per_target.groupBy(*group_cols, F.col("t.i").alias("i"), F.col("t.h").alias("h"))
-             .agg(F.sum((F.col("_v") < lo).cast("long")).alias("_below")))
+             .agg(F.sum((F.col("_v") < lo).cast("long")).alias("_below"),
+                  F.sum((F.col("_v") <= hi).cast("long")).alias("_upto"),
+                  F.max(F.when(F.col("_v") < lo, F.col("_v"))).alias("_below_max"),
+                  F.min(F.when(F.col("_v") > hi, F.col("_v"))).alias("_above_min")))
     cand = (per_target.where((F.col("_v") >= lo) & (F.col("_v") <= hi))
             .groupBy(*group_cols, F.col("t.i").alias("i"), F.col("_v"))
             .agg(F.count(F.lit(1)).alias("_m")))
 
     w = Window.partitionBy(*group_cols, "i").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    ranked = (cand.withColumn("_cum", F.sum("_m").over(w))
-              .join(below, group_cols + ["i"])
-              .withColumn("_first", F.col("_below") + F.col("_cum") - F.col("_m"))
-              .withColumn("_last", F.col("_below") + F.col("_cum") - 1))
+    inside = (cand.withColumn("_cum", F.sum("_m").over(w))
+              .join(below.select(*group_cols, "i", "h", "_below"), group_cols + ["i"])
+              .select(*group_cols, "i", "h", "_v",
+                      (F.col("_below") + F.col("_cum") - F.col("_m")).alias("_first"),
+                      (F.col("_below") + F.col("_cum") - 1).alias("_last")))
+    edge_lo = below.where(F.col("_below_max").isNotNull()).select(
+        *group_cols, "i", "h", F.col("_below_max").alias("_v"),
+        (F.col("_below") - 1).alias("_first"), (F.col("_below") - 1).alias("_last"))
+    edge_hi = below.where(F.col("_above_min").isNotNull()).select(
+        *group_cols, "i", "h", F.col("_above_min").alias("_v"),
+        F.col("_upto").alias("_first"), F.col("_upto").alias("_last"))
+    ranked = inside.unionByName(edge_lo).unionByName(edge_hi)
     k_lo, k_hi = F.floor("h"), F.ceil("h")
     hit_lo = (F.col("_first") <= k_lo) & (k_lo <= F.col("_last"))
     hit_hi = (F.col("_first") <= k_hi) & (k_hi <= F.col("_last"))

@@ -566,3 +566,50 @@ query("median_impute", compose(" union all ".join(
     f"from rf where split = 'train'" for col in pp.RIDGE_NUMERICS), "rf"))(
     lambda c: pp.train_medians(_ridge(c).where(F.col("split") == "train"), pp.RIDGE_NUMERICS)
     .withColumn("median", r6(F.col("median"))))
+
+# ====================================================================== models (rows-only checks)
+from tarmac.operators import models as mdl  # noqa: E402
+
+# Rounds cap for the registered tree query: the library default is 1000 with
+# 40-round patience; the registered query stops at this many rounds.
+GBT_MAX_ROUNDS = 100
+
+
+@query("ridge_metrics")
+def _ridge_metrics(c: Ctx) -> DataFrame:
+    """Ridge path on train, penalty chosen by validation MAE, refit on
+    train+validation, metrics on validation and test."""
+    return mdl.ridge_path(_split(c)).metrics
+
+
+@query("predictions")
+def _predictions(c: Ctx) -> DataFrame:
+    """Per row: 90-day average and ridge predictions side by side."""
+    train = (_split(c).where(F.col("split") == "train")
+             .withColumn("pred_rolling_avg", F.lit(None).cast("double")))
+    res = mdl.ridge_path(train.unionByName(_ravg90(c)),
+                         keep=("flight_id", "split", "sched_dep_tstz", "pred_rolling_avg"))
+    both = res.valid_pred.unionByName(res.test_pred)
+    return both.select("split", "sched_dep_tstz", "carrier", "origin", "dest", "dep_delay_min",
+                       "pred_rolling_avg", "pred_glmnet")
+
+
+@query("elastic_net_metrics")
+def _en_metrics(c: Ctx) -> DataFrame:
+    """30-day baseline MAE plus elastic-net MAE / RMSE on the test month."""
+    return mdl.train_baseline(*_m1_parts(c))
+
+
+@query("gbt_metrics")
+def _gbt_metrics(c: Ctx) -> DataFrame:
+    return mdl.gbt_run(_split(c), max_rounds=GBT_MAX_ROUNDS).metrics
+
+
+@query("metrics_comparison")
+def _metrics_cmp(c: Ctx) -> DataFrame:
+    """Baseline metrics (90-day average, ridge) with the tree metrics appended."""
+    base = ev.error_metrics(_ravg90(c).withColumn("model", F.lit("rolling_avg_90d")),
+                            "dep_delay_min", "pred_rolling_avg")
+    sp = _split(c)
+    return (base.unionByName(mdl.ridge_path(sp).metrics)
+            .unionByName(mdl.gbt_run(sp, max_rounds=GBT_MAX_ROUNDS).metrics))
