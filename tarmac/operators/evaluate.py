@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.operators.quantiles import exact_quantiles
-from tarmac.operators.sizing import broadcast_if_bounded
 
 # Fixed value: metric columns in published order.
 METRIC_COLUMNS = ["model", "split", "n", "mae", "rmse", "median_ae", "p90_ae", "bias"]
@@ -22,15 +21,12 @@ def error_metrics(pred: DataFrame, truth_col: str, pred_col: str,
                   group_cols: Sequence[str] = ("model", "split"), digits: int | None = 6) -> DataFrame:
     group_cols = list(group_cols)
     err = F.col(pred_col).cast("double") - F.col(truth_col).cast("double")
-    base = pred.select(*group_cols, err.alias("_err"))
-    main = base.groupBy(*group_cols).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(F.abs("_err")).alias("mae"),
-        F.sqrt(F.avg(F.col("_err") * F.col("_err"))).alias("rmse"),
-        F.avg("_err").alias("bias"))
-    qs = exact_quantiles(base.withColumn("_ae", F.abs("_err")), group_cols, "_ae",
-                         [0.5, 0.9], ["median_ae", "p90_ae"])
-    out = main.join(broadcast_if_bounded(qs), group_cols, "left")
+    base = pred.select(*group_cols, err.alias("_err")).withColumn("_ae", F.abs("_err"))
+    out = exact_quantiles(
+        base, group_cols, "_ae", [0.5, 0.9], ["median_ae", "p90_ae"],
+        extra_aggs=[F.count(F.lit(1)).alias("n"), F.avg("_ae").alias("mae"),
+                    F.sqrt(F.avg(F.col("_err") * F.col("_err"))).alias("rmse"),
+                    F.avg("_err").alias("bias")])
     cols = [c for c in METRIC_COLUMNS if c in group_cols or c in out.columns]
     cols = group_cols + [c for c in cols if c not in group_cols]
     if digits is not None:

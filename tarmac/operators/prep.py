@@ -86,12 +86,31 @@ def category_levels(train: DataFrame, cols: Sequence[str], variant: str = "other
     return lv.select("feature", "level", (F.row_number().over(w) - 1).alias("idx"))
 
 
+MAX_INLINE_LEVELS = 50_000
+
+
 def align_levels(df: DataFrame, levels: DataFrame, cols: Sequence[str],
-                 variant: str = "other") -> DataFrame:
+                 variant: str = "other", max_inline: int = MAX_INLINE_LEVELS) -> DataFrame:
     """Replace each factor value by itself when it is a model level, else by
     ``other``; NULL -> ``other`` (variant ``other``) or NULL/empty ->
-    ``missing`` (variant ``missing``)."""
-    lv = broadcast_if_bounded(levels.select("feature", "level"))
+    ``missing`` (variant ``missing``).
+
+    Level lists within ``max_inline`` rows in total are read once and become
+    hash-set membership tests (no join); larger ones are joined."""
+    lv = levels.select("feature", "level")
+    small = lv.limit(max_inline + 1).collect()
+    if len(small) <= max_inline:
+        per: dict[str, list[str]] = {c: [] for c in cols}
+        for r in small:
+            per.setdefault(r["feature"], []).append(r["level"])
+        out = df
+        for c in cols:
+            val = F.col(c).cast("string")
+            if variant == "missing":
+                val = F.when(val.isNull() | (val == ""), F.lit(MISSING)).otherwise(val)
+            known = val.isin(per[c]) if per[c] else F.lit(False)
+            out = out.withColumn(c, F.when(known, val).otherwise(F.lit(OTHER)))
+        return out
     out = df
     for c in cols:
         known = lv.where(F.col("feature") == c).select(F.col("level").alias(f"_lv_{c}"))

@@ -1,90 +1,86 @@
 """Exact quantiles (linear interpolation between order statistics, the
 ``type 7`` rule) without gathering a group into one task.
 
-1. One aggregation per group: row count and a mergeable quantile sketch
-   (``percentile_approx``) read a little below and above each target
-   probability. The sketch's rank error is at most n/accuracy, so the two
-   values bracket the wanted order statistics (up to one rank at either
-   end, covered by the nearest value just outside the bracket).
-2. Rows outside the bracket are only counted (plus the largest value below
-   and the smallest above it); rows inside are reduced to (value,
-   multiplicity) pairs - a bracket holds about 10/accuracy of the group
-   however large the group or hot a single value is.
-3. A running count over the bracket's distinct values gives each value its
-   rank range; the two order statistics around ``h = (n - 1) p`` are picked and
-   interpolated.
+Pass 1, one aggregation per group: row count and a mergeable quantile sketch
+(``percentile_approx``) read a little below and above each target
+probability. The sketch's rank error is at most n/accuracy, so the two values
+bracket the wanted order statistics up to one rank at either end.
+
+Pass 2, one aggregation over (group, target, zone, value): rows below the
+bracket collapse to one row (count, largest value), rows above to one row
+(count, smallest value), rows inside to (value, multiplicity) pairs - about
+10/accuracy of the group however large the group or hot a single value is.
+A running count over these few rows gives every value its rank range; the two
+order statistics around ``h = (n - 1) p`` are picked and interpolated.
+
+The per-group statistics table is joined back without a hint: AQE broadcasts
+it when its measured size is small and shuffles otherwise.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.operators.sizing import broadcast_if_bounded
-
 DEFAULT_ACCURACY = 10_000
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     probs: Sequence[float], names: Sequence[str] | None = None,
-                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Columns ``group_cols + names``: the exact ``probs`` quantiles of
-    ``value_col`` per group, NULL values skipped. Groups with no value are absent."""
+                    accuracy: int = DEFAULT_ACCURACY,
+                    extra_aggs: Sequence[Column] = ()) -> DataFrame:
+    """Columns ``group_cols + extra + names``: the exact ``probs`` quantiles of
+    ``value_col`` per group (NULL values skipped; NULL when a group has no
+    value). ``extra_aggs`` are evaluated over all rows of the group in pass 1.
+    Group keys must not be NULL."""
     group_cols = list(group_cols)
     names = list(names or [f"q_{i}" for i in range(len(probs))])
     margin = 5.0 / accuracy
     lo_p = [max(0.0, p - margin) for p in probs]
     hi_p = [min(1.0, p + margin) for p in probs]
-    base = (df.select(*group_cols, F.col(value_col).cast("double").alias("_v"))
-            .where(F.col("_v").isNotNull()))
-
-    stats = base.groupBy(*group_cols).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", lo_p + hi_p, accuracy).alias("_br"))
     k = len(probs)
-    stats = stats.select(
-        *group_cols, "_n",
-        F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"),
-                           F.col("_br")[i].alias("lo"), F.col("_br")[k + i].alias("hi"),
-                           ((F.col("_n") - 1) * F.lit(float(p))).alias("h"))
-                  for i, p in enumerate(probs)]).alias("_t"))
-    stats = broadcast_if_bounded(stats)
+    v = F.col(value_col).cast("double")
 
-    per_target = base.join(stats, group_cols).select(
-        *group_cols, "_v", F.explode("_t").alias("t"))
+    stats = df.groupBy(*group_cols).agg(
+        *extra_aggs, F.count(v).alias("_n"),
+        F.percentile_approx(v, lo_p + hi_p, accuracy).alias("_br"))
+    extra_names = [c for c in stats.columns if c not in group_cols + ["_n", "_br"]]
+    targets = F.array(*[F.struct(F.lit(i).alias("i"), F.col("_br")[i].alias("lo"),
+                                 F.col("_br")[k + i].alias("hi"),
+                                 ((F.col("_n") - 1) * F.lit(float(p))).alias("h"))
+                        for i, p in enumerate(probs)])
+    bounds = stats.where(F.col("_n") > 0).select(*group_cols, F.explode(targets).alias("t"))
+
+    base = df.select(*group_cols, v.alias("_v")).where(F.col("_v").isNotNull())
     lo, hi = F.col("t.lo"), F.col("t.hi")
-    below = (per_target.groupBy(*group_cols, F.col("t.i").alias("i"), F.col("t.h").alias("h"))
-             .agg(F.sum((F.col("_v") < lo).cast("long")).alias("_below"),
-                  F.sum((F.col("_v") <= hi).cast("long")).alias("_upto"),
-                  F.max(F.when(F.col("_v") < lo, F.col("_v"))).alias("_below_max"),
-                  F.min(F.when(F.col("_v") > hi, F.col("_v"))).alias("_above_min")))
-    cand = (per_target.where((F.col("_v") >= lo) & (F.col("_v") <= hi))
-            .groupBy(*group_cols, F.col("t.i").alias("i"), F.col("_v"))
-            .agg(F.count(F.lit(1)).alias("_m")))
+    zone = F.when(F.col("_v") < lo, -1).when(F.col("_v") > hi, 1).otherwise(0)
+    z = (base.join(bounds, group_cols)
+         .select(*group_cols, F.col("t.i").alias("i"), F.col("t.h").alias("h"), "_v",
+                 zone.alias("_zone"))
+         .groupBy(*group_cols, "i", "h", "_zone", F.when(F.col("_zone") == 0, F.col("_v")).alias("_key"))
+         .agg(F.count(F.lit(1)).alias("_m"), F.max("_v").alias("_max"), F.min("_v").alias("_min")))
 
-    w = Window.partitionBy(*group_cols, "i").orderBy("_v").rowsBetween(
+    w = Window.partitionBy(*group_cols, "i").orderBy("_zone", "_key").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    inside = (cand.withColumn("_cum", F.sum("_m").over(w))
-              .join(below.select(*group_cols, "i", "h", "_below"), group_cols + ["i"])
-              .select(*group_cols, "i", "h", "_v",
-                      (F.col("_below") + F.col("_cum") - F.col("_m")).alias("_first"),
-                      (F.col("_below") + F.col("_cum") - 1).alias("_last")))
-    edge_lo = below.where(F.col("_below_max").isNotNull()).select(
-        *group_cols, "i", "h", F.col("_below_max").alias("_v"),
-        (F.col("_below") - 1).alias("_first"), (F.col("_below") - 1).alias("_last"))
-    edge_hi = below.where(F.col("_above_min").isNotNull()).select(
-        *group_cols, "i", "h", F.col("_above_min").alias("_v"),
-        F.col("_upto").alias("_first"), F.col("_upto").alias("_last"))
-    ranked = inside.unionByName(edge_lo).unionByName(edge_hi)
-    k_lo, k_hi = F.floor("h"), F.ceil("h")
-    hit_lo = (F.col("_first") <= k_lo) & (k_lo <= F.col("_last"))
-    hit_hi = (F.col("_first") <= k_hi) & (k_hi <= F.col("_last"))
+    ranked = (z.withColumn("_cum", F.sum("_m").over(w))
+              .withColumn("_first", F.col("_cum") - F.col("_m"))
+              .withColumn("_last", F.col("_cum") - 1))
+
+    def value_at(rank: Column) -> Column:
+        zone_ = F.col("_zone")
+        inside = (zone_ == 0) & (F.col("_first") <= rank) & (rank <= F.col("_last"))
+        return (F.when(inside, F.col("_key"))
+                .when((zone_ == -1) & (F.col("_last") == rank), F.col("_max"))
+                .when((zone_ == 1) & (F.col("_first") == rank), F.col("_min")))
+
+    h = F.col("h")
     picked = ranked.groupBy(*group_cols, "i", "h").agg(
-        F.max(F.when(hit_lo, F.col("_v"))).alias("_xlo"),
-        F.max(F.when(hit_hi, F.col("_v"))).alias("_xhi"))
-    q = F.col("_xlo") + (F.col("h") - F.floor("h")) * (F.col("_xhi") - F.col("_xlo"))
-    picked = picked.withColumn("_q", q)
-    return picked.groupBy(*group_cols).agg(
+        F.max(value_at(F.floor(h))).alias("_xlo"), F.max(value_at(F.ceil(h))).alias("_xhi"))
+    q = F.col("_xlo") + (h - F.floor(h)) * (F.col("_xhi") - F.col("_xlo"))
+    wide = picked.withColumn("_q", q).groupBy(*group_cols).agg(
         *[F.max(F.when(F.col("i") == i, F.col("_q"))).alias(nm) for i, nm in enumerate(names)])
+    return (stats.select(*group_cols, *extra_names)
+            .join(wide, group_cols, "left")
+            .select(*group_cols, *extra_names, *names))
