@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarmac.operators.rolling import rolling_mean_bucketed
 from tarmac.operators.sizing import broadcast_if_bounded
 
 ROUTE = ["carrier", "origin", "dest"]
@@ -34,9 +35,17 @@ def _micros(ts: Column) -> Column:
 
 
 def rolling_mean(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str,
-                 days: int = 30, gap_seconds: int = 1, out_col: str = "yhat30") -> DataFrame:
+                 days: int = 30, gap_seconds: int = 1, out_col: str = "yhat30",
+                 method: str = "bucketed") -> DataFrame:
     """Mean of ``value_col`` over rows of the same key with time in
-    ``[t - days, t - gap_seconds]`` (both ends inclusive)."""
+    ``[t - days, t - gap_seconds]`` (both ends inclusive).
+
+    ``method="bucketed"`` (default) never sorts a whole key in one task (see
+    ``operators.rolling``); ``"window"`` is the plain RANGE window."""
+    if method == "bucketed":
+        return rolling_mean_bucketed(df, keys, ts_col, value_col,
+                                     days * SECONDS_PER_DAY * MICROS_PER_SECOND,
+                                     gap_seconds * MICROS_PER_SECOND, out_col)
     w = (Window.partitionBy(*keys).orderBy(_micros(F.col(ts_col)))
          .rangeBetween(-days * SECONDS_PER_DAY * MICROS_PER_SECOND,
                        -gap_seconds * MICROS_PER_SECOND))
@@ -60,10 +69,11 @@ def global_mean_value(train: DataFrame) -> Column:
     return global_mean(train).scalar()
 
 
-def rolling_30d_backfilled(train: DataFrame, test: DataFrame, days: int = 30) -> DataFrame:
+def rolling_30d_backfilled(train: DataFrame, test: DataFrame, days: int = 30,
+                           method: str = "bucketed") -> DataFrame:
     cols = ROUTE + ["sched_dep_tstz", "dep_delay_min"]
     all_rows = tagged_union(train.select(*cols), test.select(*cols))
-    rolled = rolling_mean(all_rows, ROUTE, "sched_dep_tstz", "dep_delay_min", days)
+    rolled = rolling_mean(all_rows, ROUTE, "sched_dep_tstz", "dep_delay_min", days, method=method)
     # one row per route / carrier in the train months; AQE re-plans the join
     # as a broadcast when the aggregate turns out small
     out = (rolled.where(F.col("split") == "test")
