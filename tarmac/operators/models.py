@@ -228,7 +228,7 @@ def gbt_run(split_df: DataFrame, max_rounds: int = 1000, patience: int = 40, see
     gbt = GBTRegressor(featuresCol="features", labelCol=TARGET, lossType="squared", maxDepth=6,
                        stepSize=0.05, minInstancesPerNode=100, subsamplingRate=0.8,
                        featureSubsetStrategy="0.8", maxIter=max_rounds, seed=seed,
-                       maxBins=max(32, max_levels))
+                       maxBins=max(32, max_levels), checkpointInterval=10)
     model = gbt.fit(train)
     curve = model.evaluateEachIteration(valid, "absolute")
     k = best_round(curve, patience)

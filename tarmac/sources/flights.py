@@ -40,8 +40,10 @@ def flights_from_lines(lines: DataFrame) -> DataFrame:
 
 def write_flights(df: DataFrame, out_root: str) -> None:
     """``year=YYYY/month=M`` partitions from each row's own values; only the
-    partitions present in ``df`` are replaced (dynamic overwrite)."""
-    (df.repartition("year", "month").write.mode("overwrite")
+    partitions present in ``df`` are replaced (dynamic overwrite). The
+    ``rebalance`` hint clusters rows by month but lets AQE split a large month
+    into advisory-size tasks, so no month is written by a single task."""
+    (df.hint("rebalance", "year", "month").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("year", "month").parquet(out_root))
 

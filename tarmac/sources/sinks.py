@@ -12,10 +12,11 @@ from tarmac.sources.paths import path_exists
 
 
 def write_features(df: DataFrame, out_root: str) -> None:
-    """Month-partitioned features; re-running a month replaces only that month."""
+    """Month-partitioned features; re-running a month replaces only that month.
+    Rebalanced by month (AQE splits big months into advisory-size tasks)."""
     ts = F.col("sched_dep_tstz")
     (df.withColumn("year", F.year(ts)).withColumn("month", F.month(ts))
-     .repartition("year", "month").write.mode("overwrite")
+     .hint("rebalance", "year", "month").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(out_root))
 
 
