@@ -13,8 +13,12 @@ bracket collapse to one row (count, largest value), rows above to one row
 A running count over these few rows gives every value its rank range; the two
 order statistics around ``h = (n - 1) p`` are picked and interpolated.
 
-The per-group statistics table is joined back without a hint: AQE broadcasts
-it when its measured size is small and shuffles otherwise.
+The per-group statistics (one row per group) are checkpointed to the shared
+checkpoint folder, so pass 1 runs once, and broadcast when their row count is
+proven small - otherwise (very many groups) the join shuffles, spreading the
+groups. A sort-merge join on few groups would put each whole group in one
+task, and AQE declines to broadcast a side that is mostly empty partitions,
+so the broadcast is explicit.
 """
 
 from __future__ import annotations
@@ -24,6 +28,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarmac.operators.sizing import broadcast_if_bounded
+from tarmac.session import ensure_checkpoint_dir
+
 DEFAULT_ACCURACY = 10_000
 
 
@@ -46,12 +53,15 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     stats = df.groupBy(*group_cols).agg(
         *extra_aggs, F.count(v).alias("_n"),
         F.percentile_approx(v, lo_p + hi_p, accuracy).alias("_br"))
+    ensure_checkpoint_dir(df.sparkSession)
+    stats = stats.checkpoint(eager=True)
     extra_names = [c for c in stats.columns if c not in group_cols + ["_n", "_br"]]
     targets = F.array(*[F.struct(F.lit(i).alias("i"), F.col("_br")[i].alias("lo"),
                                  F.col("_br")[k + i].alias("hi"),
                                  ((F.col("_n") - 1) * F.lit(float(p))).alias("h"))
                         for i, p in enumerate(probs)])
-    bounds = stats.where(F.col("_n") > 0).select(*group_cols, F.explode(targets).alias("t"))
+    bounds = broadcast_if_bounded(
+        stats.where(F.col("_n") > 0).select(*group_cols, F.explode(targets).alias("t")))
 
     base = df.select(*group_cols, v.alias("_v")).where(F.col("_v").isNotNull())
     lo, hi = F.col("t.lo"), F.col("t.hi")
