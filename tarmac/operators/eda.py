@@ -139,12 +139,20 @@ def delay_by_rain(features: DataFrame) -> DataFrame:
 def delay_histogram(features: DataFrame, lo: float = -60, hi: float = 360,
                     width: float = 5) -> DataFrame:
     """Counts per 5-minute bin (centred on multiples of 5) over [lo, hi],
-    with ``log10_n`` for the log-scaled view."""
+    every bin from the first to the last occupied one (empty bins n = 0),
+    with ``log10_n`` for the log-scaled view (NULL for empty bins)."""
     d = F.col("dep_delay_min")
-    return (features.where((d >= lo) & (d <= hi))
-            .groupBy(hist_center(d, width).alias("bin_center"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("log10_n", _r(F.log10(F.col("n").cast("double")))))
+    counts = (features.where((d >= lo) & (d <= hi))
+              .groupBy(hist_center(d, width).alias("bin_center"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    # the bin grid spans the occupied range: at most (hi - lo) / width + 1 rows
+    grid = counts.agg(F.min("bin_center").alias("a"), F.max("bin_center").alias("b")).select(
+        F.explode(F.sequence(F.col("a").cast("bigint"), F.col("b").cast("bigint"),
+                             F.lit(int(width)).cast("bigint"))).alias("_c")).select(
+        F.col("_c").cast("double").alias("bin_center"))
+    out = grid.join(F.broadcast(counts), "bin_center", "left").select(
+        "bin_center", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    return out.withColumn("log10_n", _r(F.when(F.col("n") > 0, F.log10(F.col("n").cast("double")))))
 
 
 def origin_sanity(features: DataFrame, k: int = 10) -> DataFrame:

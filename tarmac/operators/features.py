@@ -49,7 +49,7 @@ def operated_flights(flights: DataFrame) -> DataFrame:
 def flights_to_station(flights: DataFrame, smap: DataFrame) -> DataFrame:
     """Operated flights joined to their origin's station; schedule as UTC instant."""
     m = broadcast_if_bounded(smap.where(is_present(F.col("tz")))
-                             .select("iata", "tz", "station_id"))
+                             .select("iata", "tz", "station_id"), materialize=True)
     f = operated_flights(flights)
     return (f.join(m, f.origin == m.iata, "inner")
             .select("flight_id", "carrier", "origin", "dest", "station_id", "tz",
@@ -135,7 +135,7 @@ def weather_coverage(flights: DataFrame, xwalk: DataFrame, weather: DataFrame,
     x = xwalk.select("iata", "meteostat_id")
     if dedupe:
         x = x.distinct()
-    x = broadcast_if_bounded(x)
+    x = broadcast_if_bounded(x, materialize=True)
     w = pad_measures(weather).select(F.col("station_id"), to_ntz(F.col("time")).alias("w_time"),
                                      F.col("temp"))
     j = (f.join(x, f.origin == x.iata, "left")

@@ -19,5 +19,14 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                         materialize: bool = False) -> DataFrame:
+    """``materialize`` first checkpoints the side (to the shared checkpoint
+    folder) so that a dimension derived from a large scan - e.g. the station
+    map, which reads the flights' origins - is computed once for both the
+    size check and the join."""
+    if materialize:
+        from tarmac.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df

@@ -219,8 +219,13 @@ def _ctx_eda(c: Ctx) -> DataFrame:
 cte("ds_eda", _EDA, ("fx_history",))
 
 
-def _eda_sql(body: str) -> str:
-    return compose(body, "ds_eda")
+cte("hist_counts", """
+select cast(ceil((dep_delay_min - 2.5) / 5) * 5 as double) as bin_center, count(*) as n
+from ds_eda where dep_delay_min >= -60 and dep_delay_min <= 360 group by 1""", ("ds_eda",))
+
+
+def _eda_sql(body: str, *more: str) -> str:
+    return compose(body, "ds_eda", "hist_counts") if "hist_counts" in body else compose(body, "ds_eda")
 
 
 query("monthly_counts", compose("""
@@ -290,9 +295,12 @@ select case when prcp > 0 then 'Rain' when prcp is not null then 'No rain' end a
 from ds_eda group by 1"""))(lambda c: eda.delay_by_rain(_ctx_eda(c)))
 
 query("delay_histogram", _eda_sql("""
-select cast(ceil((dep_delay_min - 2.5) / 5) * 5 as double) as bin_center, count(*) as n,
-  round(log10(count(*)), 6) as log10_n
-from ds_eda where dep_delay_min >= -60 and dep_delay_min <= 360 group by 1"""))(
+select g.bin_center, coalesce(c.n, 0) as n,
+  case when c.n > 0 then round(log10(c.n), 6) end as log10_n
+from (select cast(unnest(generate_series(cast(min(bin_center) as bigint),
+                                         cast(max(bin_center) as bigint), 5)) as double) as bin_center
+      from hist_counts) g
+left join hist_counts c on c.bin_center = g.bin_center""", ))(
     lambda c: eda.delay_histogram(_ctx_eda(c)))
 
 query("origin_sanity", compose("""
