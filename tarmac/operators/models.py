@@ -70,7 +70,28 @@ def prepare_ridge(split_df: DataFrame, keep: Sequence[str] = ("flight_id", "spli
     aligned = pp.impute_medians(pp.align_levels(rf, lv_df, pp.RIDGE_FACTORS, "other"), medians)
     design = ridge_design(levels, pp.RIDGE_FACTORS, pp.RIDGE_NUMERICS).fit(
         aligned.where(F.col("split") == "train").limit(1))
-    return aligned, design
+    return aligned, design, levels
+
+
+def ridge_terms(levels: dict[str, list[str]], factors: Sequence[str],
+                numerics: Sequence[str]) -> list[str]:
+    """Name of every design column, in vector order: ``col=level`` for each
+    kept level (reverse label order, first level dropped), then numerics."""
+    names = []
+    for c in factors:
+        names += [f"{c}={lv}" for lv in list(reversed(levels[c]))[:-1]]
+    return names + list(numerics)
+
+
+def design_entries(x: DataFrame, names: list[str], keep: Sequence[str]) -> DataFrame:
+    """Long form of the design: one row per nonzero entry (term, value)."""
+    from pyspark.ml.functions import vector_to_array
+    spark = x.sparkSession
+    terms = spark.createDataFrame(list(enumerate(names)), "pos int, term string")
+    long = x.select(*keep, F.posexplode(vector_to_array("features")).alias("pos", "value"))
+    return (long.where(F.col("value") != 0)
+            .join(F.broadcast(terms), "pos")       # one row per design column
+            .select(*keep, "term", "value"))
 
 
 def lambda_grid(train: DataFrame, n: int = 20, span: float = 1e4) -> list[float]:
@@ -90,7 +111,7 @@ class RidgeResult:
 
 def ridge_path(split_df: DataFrame, keep: Sequence[str] = ("flight_id", "split"),
                n_lambdas: int = 20, model_name: str = "glmnet_ridge") -> RidgeResult:
-    aligned, design = prepare_ridge(split_df, keep)
+    aligned, design, _ = prepare_ridge(split_df, keep)
     x = _cut_lineage(design.transform(aligned))
     train = x.where(F.col("split") == "train").select("features", TARGET)
     valid = x.where(F.col("split") == "validation")
@@ -206,8 +227,10 @@ class TreeResult:
     metrics: DataFrame
 
 
-def gbt_run(split_df: DataFrame, max_rounds: int = 1000, patience: int = 40, seed: int = 42,
-            model_name: str = "xgboost_v1") -> TreeResult:
+def prepare_tree(split_df: DataFrame):
+    """Tree frame with levels aligned (``missing`` / ``other``), numerics
+    imputed with train medians, factors indexed (``<col>__i``) over the
+    sorted level lists, and the assembled ``features``; plus the level lists."""
     tf = pp.tree_features(split_df)
     train0 = tf.where(F.col("split") == "train")
     levels = _levels_dict(pp.category_levels(train0, pp.TREE_FACTORS, "missing"))
@@ -220,7 +243,13 @@ def gbt_run(split_df: DataFrame, max_rounds: int = 1000, patience: int = 40, see
            for c in pp.TREE_FACTORS]
     asm = VectorAssembler(inputCols=[f"{c}__i" for c in pp.TREE_FACTORS] + pp.TREE_NUMERICS,
                           outputCol="features")
-    x = _cut_lineage(PipelineModel(stages=[*idx, asm]).transform(aligned))
+    return PipelineModel(stages=[*idx, asm]).transform(aligned), levels
+
+
+def gbt_run(split_df: DataFrame, max_rounds: int = 1000, patience: int = 40, seed: int = 42,
+            model_name: str = "xgboost_v1") -> TreeResult:
+    x, levels = prepare_tree(split_df)
+    x = _cut_lineage(x)
     train = x.where(F.col("split") == "train").select("features", TARGET)
     valid = x.where(F.col("split") == "validation")
     test = x.where(F.col("split") == "test")

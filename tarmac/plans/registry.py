@@ -656,3 +656,59 @@ def _pending(c: Ctx) -> DataFrame:
     existing = c.flights.select(F.year("flight_date").alias("year"),
                                 F.month("flight_date").alias("month"))
     return mo.pending_months(requested, existing)
+
+
+# ====================================================================== design matrices
+def _med_sql(name: str, src: str, cols) -> None:
+    cte(name, " union all ".join(
+        f"select '{c}' as feature, coalesce(quantile_cont({c}, 0.5), 0) as median "
+        f"from {src} where split = 'train'" for c in cols), (src,))
+
+
+def _aligned_sql(name, src, lv, med, factors, numerics, missing):
+    parts = []
+    for col in factors:
+        v = f"(case when {col} is null or {col} = '' then 'missing' else {col} end)" if missing else col
+        parts.append(f"case when {v} in (select level from {lv} where feature = '{col}') "
+                     f"then {v} else 'other' end as {col}")
+    parts += [f"coalesce({c}, (select median from {med} where feature = '{c}')) as {c}"
+              for c in numerics]
+    cte(name, f"select flight_id, split, {', '.join(parts)} from {src}", (src, lv, med))
+
+
+_med_sql("rmed", "rf", pp.RIDGE_NUMERICS)
+_aligned_sql("ra", "rf", "lv_other", "rmed", pp.RIDGE_FACTORS, pp.RIDGE_NUMERICS, False)
+_ridge_terms = " union all ".join(
+    [f"select flight_id, split, concat('{c}=', {c}) as term, cast(1 as double) as value from ra "
+     f"where {c} <> (select level from lv_other where feature = '{c}' and idx = 0)"
+     for c in pp.RIDGE_FACTORS]
+    + [f"select flight_id, split, '{c}' as term, round({c}, 6) as value from ra where {c} <> 0"
+       for c in pp.RIDGE_NUMERICS])
+
+
+@query("ridge_design", compose(_ridge_terms, "ra"))
+def _ridge_design(c: Ctx) -> DataFrame:
+    """Nonzero entries of the ridge design matrix (first level of each factor
+    dropped, numerics imputed with train medians) as (term, value) rows."""
+    aligned, design, levels = mdl.prepare_ridge(_split(c))
+    names = mdl.ridge_terms(levels, pp.RIDGE_FACTORS, pp.RIDGE_NUMERICS)
+    return (mdl.design_entries(design.transform(aligned), names, ["flight_id", "split"])
+            .withColumn("value", r6(F.col("value"))))
+
+
+_med_sql("tmed", "tf", pp.TREE_NUMERICS)
+_aligned_sql("ta", "tf", "lv_missing", "tmed", pp.TREE_FACTORS, pp.TREE_NUMERICS, True)
+_tree_cols = ", ".join(
+    [f"cast((select idx from lv_missing l where l.feature = '{c}' and l.level = ta.{c}) as double) "
+     f"as {c}_idx" for c in pp.TREE_FACTORS]
+    + [f"round({c}, 6) as {c}" for c in pp.TREE_NUMERICS])
+
+
+@query("tree_design", compose(f"select flight_id, split, {_tree_cols} from ta", "ta"))
+def _tree_design(c: Ctx) -> DataFrame:
+    """Tree inputs per row: level index of every factor (sorted levels with
+    ``missing`` and ``other``) and the train-median-imputed numerics."""
+    x, _ = mdl.prepare_tree(_split(c))
+    return x.select("flight_id", "split",
+                    *[F.col(f"{f}__i").alias(f"{f}_idx") for f in pp.TREE_FACTORS],
+                    *[r6(F.col(n)).alias(n) for n in pp.TREE_NUMERICS])
