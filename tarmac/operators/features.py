@@ -129,15 +129,20 @@ def weather_coverage(flights: DataFrame, xwalk: DataFrame, weather: DataFrame,
     """Flights (all, cancelled too) joined to every crosswalk station of the
     origin and to that station's observation at the exact scheduled hour (local
     schedule read as UTC). Counts joined rows, so an airport with several
-    stations counts its flights several times unless ``dedupe``."""
-    f = flights.select("origin", crs_dep_hour(F.col("flight_date"), F.col("crs_dep_time"))
-                       .alias("crs_dep_hour"))
-    x = xwalk.select("iata", "meteostat_id")
+    stations counts its flights several times; ``dedupe=True`` counts each
+    flight (by ``flight_id``) once, with weather when any station has it."""
+    cols = ["origin", crs_dep_hour(F.col("flight_date"), F.col("crs_dep_time")).alias("crs_dep_hour")]
     if dedupe:
-        x = x.distinct()
-    x = broadcast_if_bounded(x, materialize=True)
+        cols.insert(0, "flight_id")
+    f = flights.select(*cols)
+    x = broadcast_if_bounded(xwalk.select("iata", "meteostat_id").distinct() if dedupe
+                             else xwalk.select("iata", "meteostat_id"), materialize=True)
     w = pad_measures(weather).select(F.col("station_id"), to_ntz(F.col("time")).alias("w_time"),
                                      F.col("temp"))
     j = (f.join(x, f.origin == x.iata, "left")
          .join(w, (x.meteostat_id == w.station_id) & (f.crs_dep_hour == w.w_time), "left"))
+    if dedupe:
+        per_flight = j.groupBy("flight_id").agg(F.max(F.col("temp").isNotNull()).alias("_has"))
+        return per_flight.agg(F.count(F.lit(1)).alias("total_flights"),
+                              F.count(F.when(F.col("_has"), 1)).alias("with_weather"))
     return j.agg(F.count(F.lit(1)).alias("total_flights"), F.count("temp").alias("with_weather"))

@@ -168,3 +168,27 @@ def test_sentinel_airports(spark):
     a = spark.createDataFrame([("AAA", "\\N", "UTC"), ("BBB", "KBBB", "\\N"), ("CCC", "KCCC", ""),
                                ("DDD", "KDDD", "UTC")], "iata string, icao string, tz string")
     assert [r.iata for r in st.sentinel_filter(a).collect()] == ["DDD"]
+
+
+def test_coverage_fan_out_and_dedupe(spark):
+    fl = spark.createDataFrame([(1, dt.date(2022, 1, 1), "0700", "JFK"), (2, dt.date(2022, 1, 1), "0815", "JFK")],
+                               "flight_id long, flight_date date, crs_dep_time string, origin string")
+    xw = spark.createDataFrame([("JFK", "KJFK", "S1"), ("JFK", "KJFK", "S2")],
+                               "iata string, icao string, meteostat_id string")
+    wx = spark.createDataFrame([("S1", dt.datetime(2022, 1, 1, 7), 1.0)],
+                               "station_id string, time timestamp, temp double")
+    parity = feat.weather_coverage(fl, xw, wx).first()
+    assert (parity.total_flights, parity.with_weather) == (4, 1)      # two stations per flight
+    once = feat.weather_coverage(fl, xw, wx, dedupe=True).first()
+    assert (once.total_flights, once.with_weather) == (2, 1)
+
+
+def test_test_rows_feed_later_test_predictions(spark):
+    cols = "carrier string, origin string, dest string, sched_dep_tstz timestamp, dep_delay_min double"
+    train = spark.createDataFrame([("AA", "JFK", "LAX", dt.datetime(2022, 11, 1, 8), 100.0)], cols)
+    test = spark.createDataFrame([("AA", "JFK", "LAX", dt.datetime(2022, 12, 2, 8), 10.0),
+                                  ("AA", "JFK", "LAX", dt.datetime(2022, 12, 3, 8), 0.0)], cols)
+    out = {r.sched_dep_tstz.day: r.yhat_baseline
+           for r in bl.rolling_30d_backfilled(train, test).collect()}
+    assert out[2] == 100.0          # window empty -> train route mean
+    assert out[3] == 10.0           # the earlier test row feeds the window
