@@ -1,22 +1,23 @@
 """CSV files whose column sets differ from file to file.
 
-Each line is parsed with ``from_csv`` into positional text fields (quotes
-honoured); every file's header line is recognised by holding a known column
-name (in any position) and the
-data lines are turned into ``name -> text`` maps with that file's header. The
-header table has one row per file and is broadcast after a size check. A
-column absent from a file reads as NULL, so differing layouts union cleanly
-in a single scan.
+Every file's header is its first line, read alone through the Hadoop file
+system (a few bytes per file, decompressed when the name says so). The data
+lines are read in one scan, parsed with ``from_csv`` into positional text
+fields (quotes honoured) and turned into ``name -> text`` maps with their
+file's header, joined from a broadcast (file, header) table whose size is the
+known file count. A column absent from a file reads as NULL, so differing
+layouts union cleanly.
 """
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.operators.sizing import broadcast_if_bounded
+from tarmac.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS
 
 MAX_COLUMNS = 160
 
@@ -25,30 +26,94 @@ def _fields_schema(n: int) -> str:
     return ", ".join(f"c{i} string" for i in range(n))
 
 
+def list_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Data files under the given files/folders, as Spark names them
+    (hidden ``_`` / ``.`` entries skipped, like the file sources do)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        for status in fs.globStatus(path) or []:
+            if status.isDirectory():
+                it = fs.listFiles(status.getPath(), True)
+                while it.hasNext():
+                    f = it.next().getPath()
+                    rel = f.toString()[len(status.getPath().toString()):]
+                    if not any(part.startswith(("_", ".")) for part in rel.split("/") if part):
+                        out.append(f.toString())
+            else:
+                out.append(status.getPath().toString())
+    return sorted(set(out))
+
+
+def first_line(spark: SparkSession, file: str) -> str | None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(conf).open(path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
+def header_table(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    rows = []
+    for f in files:
+        line = first_line(spark, f)
+        if line is not None:
+            rows.append((f, [h.strip() for h in next(csv.reader([line.lstrip("﻿")]))]))
+    return spark.createDataFrame(rows, "file string, header array<string>")
+
+
 def read_csv_maps(spark: SparkSession, paths: str | Sequence[str], marker_column: str,
                   max_columns: int = MAX_COLUMNS) -> DataFrame:
     """Rows ``(file, fields)`` with ``fields: map<string,string>`` per data line."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
-    return csv_lines_to_maps(raw, marker_column, max_columns)
+    files = list_files(spark, paths)
+    headers = header_table(spark, files)
+    if len(files) <= DEFAULT_MAX_BROADCAST_ROWS:       # one row per file
+        headers = F.broadcast(headers)
+    raw = spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), "value")
+    return _maps(raw, headers, marker_column, max_columns)
 
 
-def csv_lines_to_maps(raw: DataFrame, marker_column: str,
-                      max_columns: int = MAX_COLUMNS) -> DataFrame:
+def _parse(raw: DataFrame, max_columns: int) -> DataFrame:
     parsed = raw.select("file", F.from_csv("value", _fields_schema(max_columns)).alias("r"))
-    arr = F.array(*[F.col(f"r.c{i}") for i in range(max_columns)])
-    parsed = parsed.select("file", arr.alias("fields"))
-    is_header = F.coalesce(F.array_contains(F.col("fields"), F.lit(marker_column)), F.lit(False))
-    headers = (parsed.where(is_header)
-               .select("file", F.col("fields").alias("header")).dropDuplicates(["file"]))
+    return parsed.select("file", F.array(*[F.col(f"r.c{i}") for i in range(max_columns)]).alias("fields"))
+
+
+def _is_header(marker_column: str):
+    return F.coalesce(F.array_contains(F.col("fields"), F.lit(marker_column)), F.lit(False))
+
+
+def _maps(raw: DataFrame, headers: DataFrame, marker_column: str, max_columns: int) -> DataFrame:
+    data = _parse(raw, max_columns).where(~_is_header(marker_column))
     headers = headers.withColumn(
         "_n", F.size(F.filter("header", lambda x: x.isNotNull() & (x != F.lit("")))))
-    data = parsed.where(~is_header)
-    j = data.join(broadcast_if_bounded(headers), "file")
+    j = data.join(headers, "file")
     return j.select("file", F.map_from_arrays(F.slice("header", 1, F.col("_n")),
                                               F.slice("fields", 1, F.col("_n"))).alias("fields"))
 
 
+def csv_lines_to_maps(raw: DataFrame, marker_column: str,
+                      max_columns: int = MAX_COLUMNS) -> DataFrame:
+    """Same maps for a bounded frame of (file, value) lines, e.g. one stream
+    micro-batch: headers are taken from the lines themselves (persist the
+    frame first - it is read twice)."""
+    parsed = _parse(raw, max_columns)
+    headers = (parsed.where(_is_header(marker_column))
+               .select("file", F.col("fields").alias("header")).dropDuplicates(["file"]))
+    # one row per file of the batch (at most maxFilesPerTrigger files)
+    return _maps(raw, F.broadcast(headers), marker_column, max_columns)
+
+
 def field(name: str, dtype: str = "string") -> F.Column:
     """A named field of the map, cast with ``try_cast`` semantics (bad text -> NULL)."""
     v = F.trim(F.col("fields")[name])

@@ -29,7 +29,11 @@ def ingest_monthly_drops(spark: SparkSession, landing_dir: str, out_root: str,
     batches = []
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        write_flights(flights_from_lines(batch), out_root)
+        batch.persist()            # read twice: headers, then data lines
+        try:
+            write_flights(flights_from_lines(batch), out_root)
+        finally:
+            batch.unpersist()
         batches.append(epoch_id)
 
     q = (lines.writeStream.foreachBatch(write_batch)
