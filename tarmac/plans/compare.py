@@ -20,10 +20,11 @@ def duckdb_conn(sf_dir: str):
 
 
 def _norm(v):
+    # exact: both sides round to 6 digits themselves; repr keeps the sign of zero
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return repr(v)
     if isinstance(v, _dt.datetime):
         return v.replace(tzinfo=None)
     return v

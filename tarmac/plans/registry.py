@@ -15,7 +15,7 @@ from tarmac.functions import timeparts as tp
 from tarmac.operators import features as feat
 from tarmac.operators import stations as st
 from tarmac.plans import fixtures as fx
-from tarmac.plans.oracle import compose, cte
+from tarmac.plans.oracle import canonical_rounding, compose, cte
 from tarmac.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,13 +31,14 @@ def query(name: str, sql: str | None = None):
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if sql is not None:
-            ORACLE[name] = sql
+            ORACLE[name] = canonical_rounding(sql)
         return run
     return deco
 
 
 def r6(c) -> F.Column:
-    return F.round(c, 6)
+    """Round to 6 digits; ``+ 0.0`` keeps zero unsigned on every path."""
+    return F.round(c, 6) + F.lit(0.0)
 
 
 class Ctx:
