@@ -95,7 +95,10 @@ def airport_summary_labeled(features: DataFrame, min_flights: int = 5000,
                             k: int = 15) -> DataFrame:
     """Whole summary plus ``top_label``: whether the origin is among the ``k``
     highest mean positive delays (the labelled points of the scatter)."""
-    summary = airport_summary(features, min_flights)
+    # one row per origin, used twice: computed once into the checkpoint folder
+    from tarmac.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(features.sparkSession)
+    summary = airport_summary(features, min_flights).checkpoint(eager=True)
     top = (summary.orderBy(F.col("mean_pos_delay").desc_nulls_last(), F.col("origin")).limit(k)
            .select("origin", F.lit(True).alias("top_label")))
     return (summary.join(broadcast_if_bounded(top, k), "origin", "left")
