@@ -77,7 +77,13 @@ def build_features_range(spark: SparkSession, flights_root: str, weather_files:
         return []
     flights = fs.read_flights(spark, flights_root, months=months)
     _, smap = station_tables(spark, flights, airports_csv, stations_json, stations_cache)
-    weather = ws.read_weather(spark, weather_files)
+    # observations that can reach a departure of the months: local schedules
+    # are within a day of UTC, the join radius is 30 minutes
+    (y0, m0), (y1, m1) = months[0], months[-1]
+    lo = F.date_sub(F.make_date(F.lit(y0), F.lit(m0), F.lit(1)), 2).cast("timestamp")
+    hi = F.date_add(F.last_day(F.make_date(F.lit(y1), F.lit(m1), F.lit(1))), 3).cast("timestamp")
+    weather = ws.read_weather(spark, weather_files).where(
+        (F.col("time") >= lo) & (F.col("time") < hi))
     out = feat.build_features(flights, smap, weather, how=how)
     sinks.write_features(out, out_root)
     return months

@@ -117,3 +117,18 @@ def test_sinks_and_guards(spark, tmp_path):
     assert sorted(r.model for r in both.collect()) == ["a", "b"]
     with pytest.raises(ValueError, match="Missing"):
         require_paths(spark, [str(tmp_path / "nope")], "train feature")
+
+
+def test_model_persistence_roundtrip(spark, tmp_path):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    df = spark.createDataFrame([(float(i), 2.0 * i + 1) for i in range(20)], "x double, y double")
+    model = Pipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="features"),
+                             LinearRegression(labelCol="y")]).fit(df)
+    path = str(tmp_path / "model")
+    sinks.save_model(spark, model, path, {"levels": {"carrier": ["AA", "other"]}, "best_lambda": 0.1})
+    back, meta = sinks.load_model(spark, path)
+    assert meta["best_lambda"] == 0.1 and meta["levels"]["carrier"] == ["AA", "other"]
+    pred = back.transform(df).select("prediction").first()[0]
+    assert abs(pred - 1.0) < 1e-6
