@@ -6,13 +6,12 @@ from them (the same derivations exist as SQL in ``plans.oracle``):
 * ``fx_airports``  from ``nation``: IATA ``Ann``, ICAO ``KAnn``, zone by region,
   with a ``\\N`` ICAO (24), a ``\\N`` zone (23) and an empty zone (22)
 * ``fx_stations``  from ``supplier``: id = zero-padded key, ICAO in mixed case
-* ``fx_flights``   from the even-numbered ``events`` (January 2024 departures)
-* ``fx_weather``   from the odd-numbered ``events``, hourly per station
+* ``fx_flights``   every row of ``events`` as a departure (January 2024)
+* ``fx_weather``   every row of ``events`` as a reading, aggregated hourly per station
 * ``fx_history``   from ``orders`` x ``customer``: a feature table over 1995-2001
 
-Events are split by id parity into two disjoint roles (departures and weather
-readings); both halves are used whole. NULLs and special values come from
-modulo rules on the ids.
+No table is filtered: each derived table uses all rows of its source. NULLs
+and special values come from modulo rules on the ids.
 """
 
 from __future__ import annotations
@@ -53,7 +52,7 @@ def fx_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").where(F.col("event_id") % 2 == 0)
+    e = table(spark, sf_dir, "events")
     eid = F.col("event_id")
     hhmm = (F.hour("ts") * 100 + F.minute("ts")).cast("string")
     crs = (F.when(eid % 1000 == 0, F.lit(None).cast("string"))
@@ -76,7 +75,7 @@ def fx_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fx_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly observations (time is a UTC instant). dwpt, snow, wpgt and tsun
     are absent, as in the real files, and get NULL-padded downstream."""
-    e = table(spark, sf_dir, "events").where(F.col("event_id") % 2 == 1)
+    e = table(spark, sf_dir, "events")
     m = (fx_stations(spark, sf_dir)
          .groupBy(F.substring("icao", 3, 2).alias("nk")).agg(F.min("id").alias("station_id")))
     j = e.join(m, m.nk == F.lpad((F.col("user_id") % 25).cast("string"), 2, "0"))
