@@ -41,6 +41,26 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def scale_conf(input_bytes: float, total_cores: int,
+               target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for a cluster run: scan splits and shuffle partitions of
+    about ``target_partition_bytes`` (so a task's share fits in executor memory
+    and spills rarely), at least three waves of tasks, AQE coalescing small
+    partitions and splitting skewed ones at the same target.
+
+    For 100 TB on 1000 executors x 8 cores: ~400k shuffle partitions."""
+    partitions = max(3 * total_cores, int(input_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings tarmac relies on to an existing session."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
