@@ -44,3 +44,51 @@ def test_nearest_matches_brute_force(spark, obs, deps):
                  if ss == s and abs((t - b).total_seconds()) <= 1800]
         want = min(cands)[2] if cands else None
         assert got[(s, b)] == want
+
+
+def _py_cut(x, lo, hi, w, include_lowest):
+    """Plain right-closed cut: bin k covers (lo + (k-1) w, lo + k w]."""
+    if x is None:
+        return None
+    n = round((hi - lo) / w)
+    for k in range(1, n + 1):
+        a, b = lo + (k - 1) * w, lo + k * w
+        if (a < x <= b) or (include_lowest and k == 1 and x == a):
+            return k
+    return None
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(-120, 520).map(lambda v: v / 2)), min_size=1,
+                max_size=40),
+       st.sampled_from([(-50, 50, 5, False), (0, 240, 10, True), (0, 105, 5, True)]))
+def test_cut_matches_python(spark, xs, spec):
+    from pyspark.sql import functions as F
+
+    from tarmac.functions.bins import cut_index
+    lo, hi, w, inc = spec
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = [r[0] for r in df.select(cut_index(F.col("x"), lo, hi, w, inc)).collect()]
+    assert got == [_py_cut(x, lo, hi, w, inc) for x in xs]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(-100, 300), st.one_of(st.none(), st.integers(-100, 300))),
+                min_size=1, max_size=50))
+def test_metrics_match_numpy(spark, pairs):
+    import numpy as np
+
+    from tarmac.operators.evaluate import error_metrics
+    df = spark.createDataFrame([("m", "s", float(t), None if p is None else float(p)) for t, p in pairs],
+                               "model string, split string, truth double, pred double")
+    r = error_metrics(df, "truth", "pred", digits=None).first()
+    err = np.array([p - t for t, p in pairs if p is not None], dtype=float)
+    assert r.n == len(pairs)
+    if len(err) == 0:
+        assert r.mae is None and r.median_ae is None
+        return
+    assert abs(r.mae - np.mean(np.abs(err))) < 1e-9
+    assert abs(r.rmse - np.sqrt(np.mean(err ** 2))) < 1e-9
+    assert abs(r.bias - np.mean(err)) < 1e-9
+    assert abs(r.median_ae - np.median(np.abs(err))) < 1e-9
+    assert abs(r.p90_ae - np.quantile(np.abs(err), 0.9)) < 1e-9
