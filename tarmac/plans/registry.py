@@ -579,9 +579,8 @@ query("median_impute", compose(" union all ".join(
 # ====================================================================== models (rows-only checks)
 from tarmac.operators import models as mdl  # noqa: E402
 
-# Rounds cap for the registered tree query: the library default is 1000 with
-# 40-round patience; the registered query stops at this many rounds.
-GBT_MAX_ROUNDS = 100
+# The published round limit; 40-round patience stops the fixture runs far earlier.
+GBT_MAX_ROUNDS = 1000
 
 
 @query("ridge_metrics")
