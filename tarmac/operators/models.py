@@ -95,7 +95,9 @@ def design_entries(x: DataFrame, names: list[str], keep: Sequence[str]) -> DataF
 
 
 def lambda_grid(train: DataFrame, n: int = 20, span: float = 1e4) -> list[float]:
-    """Log-spaced penalties from ``100 sd(y)`` down by ``span``."""
+    """Log-spaced penalties from ``100 sd(y)`` down by ``span`` (the usual
+    ratio of a ridge path's smallest to largest penalty when rows outnumber
+    columns; the largest is of the order of max |corr(x, y)| sd(y) / 0.001)."""
     sd = train.agg(F.stddev(TARGET)).first()[0] or 1.0
     hi = 100.0 * sd
     return [float(v) for v in np.logspace(np.log10(hi), np.log10(hi / span), n)]
