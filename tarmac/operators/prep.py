@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.flags import coco_text, precip_flag, precip_indicator, wind_cos, wind_sin
 from tarmac.operators.quantiles import exact_quantiles
-from tarmac.operators.sizing import broadcast_if_bounded
 
 # The predictor sets of the two model families.
 RIDGE_FACTORS = ["carrier", "origin", "dest", "dep_hour_local", "dow", "month", "coco"]

@@ -1,714 +1,16 @@
 """Registry of named queries: ``QUERIES[name](spark, sf_dir) -> DataFrame`` and
 the matching DuckDB text ``ORACLE[name]``. Both sides alias every computed
-column to the same name and round doubles to 6 digits."""
-
-from __future__ import annotations
-
-from collections.abc import Callable
-from functools import cached_property
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from tarmac.functions import flags as fl
-from tarmac.functions import timeparts as tp
-from tarmac.operators import features as feat
-from tarmac.operators import stations as st
-from tarmac.plans import fixtures as fx
-from tarmac.plans.oracle import canonical_rounding, compose, cte
-from tarmac.session import configure
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def deco(fn):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            configure(spark)
-            return fn(Ctx(spark, sf_dir))
-        run.__name__ = name
-        run.__doc__ = fn.__doc__
-        QUERIES[name] = run
-        if sql is not None:
-            ORACLE[name] = canonical_rounding(sql)
-        return run
-    return deco
-
-
-def r6(c) -> F.Column:
-    """Round to 6 digits; ``+ 0.0`` keeps zero unsigned on every path."""
-    return F.round(c, 6) + F.lit(0.0)
-
-
-class Ctx:
-    """Lazily built fixture frames and shared intermediate steps."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-
-    @cached_property
-    def flights(self) -> DataFrame:
-        return fx.fx_flights(self.spark, self.sf_dir)
-
-    @cached_property
-    def airports(self) -> DataFrame:
-        return fx.fx_airports(self.spark, self.sf_dir)
-
-    @cached_property
-    def stations(self) -> DataFrame:
-        return fx.fx_stations(self.spark, self.sf_dir)
-
-    @cached_property
-    def weather(self) -> DataFrame:
-        return fx.fx_weather(self.spark, self.sf_dir)
-
-    @cached_property
-    def history(self) -> DataFrame:
-        return fx.fx_history(self.spark, self.sf_dir)
-
-    @cached_property
-    def smap(self) -> DataFrame:
-        return st.station_map(st.airports_in_month(self.airports, self.flights), self.stations)
-
-    @cached_property
-    def xwalk(self) -> DataFrame:
-        return st.airport_xwalk(self.airports, self.flights, self.stations)
-
-    @cached_property
-    def f(self) -> DataFrame:
-        return feat.flights_to_station(self.flights, self.smap)
-
-    @cached_property
-    def fxc(self) -> DataFrame:
-        return feat.calendar_features(self.f)
-
-    def features(self, how: str = "left", keep_ids: bool = False) -> DataFrame:
-        return feat.build_features(self.flights, self.smap, self.weather, how=how,
-                                   keep_ids=keep_ids)
-
-
-# ====================================================================== stations
-query("distinct_origins", compose("select iata from origins", "origins"))(
-    lambda c: st.distinct_origins(c.flights))
-query("sentinel_filter", compose("select iata, icao, tz from airports_ok", "airports_ok"))(
-    lambda c: st.sentinel_filter(c.airports))
-query("airports_in_month", compose("select iata, icao, tz from airports_in_month",
-                                   "airports_in_month"))(
-    lambda c: st.airports_in_month(c.airports, c.flights))
-query("airport_xwalk", compose("select iata, icao, meteostat_id from xwalk", "xwalk"))(
-    lambda c: c.xwalk)
-query("station_map", compose("select iata, icao, tz, station_id from station_map",
-                             "station_map"))(lambda c: c.smap)
-
-# ====================================================================== flights
-query("operated_flights", compose("""
-select * from fx_flights
-where crs_dep_time is not null and (cancelled is null or cancelled = 0)""", "fx_flights"))(
-    lambda c: feat.operated_flights(c.flights))
-
-
-@query("hhmm_to_ts", compose("""
-select flight_id, crs_dep_time,
-  cast(floor(cast(trim(crs_dep_time) as bigint) / 100) as bigint) * 60
-    + cast(trim(crs_dep_time) as bigint) % 100 as dep_minutes,
-  flight_date + to_minutes(cast(floor(cast(trim(crs_dep_time) as bigint) / 100) as bigint) * 60
-    + cast(trim(crs_dep_time) as bigint) % 100) as sched_local
-from fx_flights""", "fx_flights"))
-def _hhmm(c: Ctx) -> DataFrame:
-    """HHMM text -> minutes and local wall-clock schedule (2400 -> next day)."""
-    return c.flights.select(
-        "flight_id", "crs_dep_time",
-        tp.hhmm_minutes(F.col("crs_dep_time")).cast("bigint").alias("dep_minutes"),
-        tp.local_schedule(F.col("flight_date"), F.col("crs_dep_time")).alias("sched_local"))
-
-
-query("sched_dep_utc", compose(
-    "select flight_id, origin, station_id, tz, sched_dep_tstz from f", "f"))(
-    lambda c: c.f.select("flight_id", "origin", "station_id", "tz",
-                         tp.to_ntz(F.col("sched_dep_tstz")).alias("sched_dep_tstz")))
-
-query("flights_to_station", compose(
-    "select flight_id, carrier, origin, dest, station_id, dep_delay_min from f", "f"))(
-    lambda c: c.f.select("flight_id", "carrier", "origin", "dest", "station_id", "dep_delay_min"))
-
-
-@query("crs_dep_hour", compose("""
-select flight_id,
-  date_trunc('hour', try_strptime(strftime(flight_date, '%Y-%m-%d') || ' '
-    || lpad(trim(crs_dep_time), 4, '0'), '%Y-%m-%d %H%M')) as crs_dep_hour
-from fx_flights""", "fx_flights"))
-def _crs_hour(c: Ctx) -> DataFrame:
-    return c.flights.select("flight_id", tp.crs_dep_hour(F.col("flight_date"),
-                                                         F.col("crs_dep_time")).alias("crs_dep_hour"))
-
-
-query("calendar_features", compose(
-    "select flight_id, sched_dep_tstz, dep_hr_bin, dep_hour_local, dow from fxc", "fxc"))(
-    lambda c: c.fxc.select("flight_id", tp.to_ntz(F.col("sched_dep_tstz")).alias("sched_dep_tstz"),
-                           tp.to_ntz(F.col("dep_hr_bin")).alias("dep_hr_bin"),
-                           "dep_hour_local", "dow"))
-
-
-@query("late_flag", compose("""
-select flight_id, dep_delay, (dep_delay >= 15) as late_15,
-  case when dep_delay < 0 then cast(0 as double) else dep_delay end as delay_pos
-from fx_flights""", "fx_flights"))
-def _late(c: Ctx) -> DataFrame:
-    d = F.col("dep_delay")
-    return c.flights.select("flight_id", "dep_delay", fl.late_flag(d).alias("late_15"),
-                            fl.positive_part(d).alias("delay_pos"))
-
-
-query("flight_dedup", compose("""
-select flight_id, carrier, origin, dest, sched_dep_tstz, dep_delay_min from f
-qualify row_number() over (partition by carrier, origin, dest, sched_dep_tstz
-  order by (dep_delay_min is null), dep_delay_min, flight_id) = 1""", "f"))(
-    lambda c: feat.flight_dedup(c.f).select(
-        "flight_id", "carrier", "origin", "dest",
-        tp.to_ntz(F.col("sched_dep_tstz")).alias("sched_dep_tstz"), "dep_delay_min"))
-
-# ====================================================================== features
-query("features_left", compose("select * from features_left", "features_left"))(
-    lambda c: c.features("left"))
-query("features_inner", compose("select * from features_inner", "features_inner"))(
-    lambda c: c.features("inner"))
-query("features_left_ids", compose("select * from features_left_ids", "features_left_ids"))(
-    lambda c: c.features("left", keep_ids=True))
-
-query("weather_coverage", compose("""
-select count(*) as total_flights, count(w.temp) as with_weather
-from (select origin, date_trunc('hour', try_strptime(strftime(flight_date, '%Y-%m-%d') || ' '
-        || lpad(trim(crs_dep_time), 4, '0'), '%Y-%m-%d %H%M')) as crs_dep_hour
-      from fx_flights) fe
-left join xwalk x on fe.origin = x.iata
-left join fx_weather w on x.meteostat_id = w.station_id and fe.crs_dep_hour = w.time""",
-                              "fx_flights", "xwalk", "fx_weather"))(
-    lambda c: feat.weather_coverage(c.flights, c.xwalk, c.weather))
-
-query("feature_count", compose("select count(*) as n from features_inner", "features_inner"))(
-    lambda c: c.features("inner").agg(F.count(F.lit(1)).alias("n")))
-
-# ====================================================================== EDA
-# Fixture-scale parameters (the published run used 2022-01..2023-03 and n >= 5000).
-EDA_START, EDA_END = "1995-01-01", "2001-08-01"
-MIN_ORIGIN_FLIGHTS = 100
-
-from tarmac.operators import eda  # noqa: E402
-
-_EDA = f"select * from fx_history where sched_dep_tstz >= timestamp '{EDA_START}' " \
-       f"and sched_dep_tstz < timestamp '{EDA_END}'"
-_POS = "case when dep_delay_min < 0 then cast(0 as double) else dep_delay_min end"
-
-
-def _cut_sql(col: str, lo: int, hi: int, w: int, include_lowest: bool) -> str:
-    n = (hi - lo) // w
-    k = f"ceil(({col} - ({lo})) / {w})"
-    if include_lowest:
-        k = f"(case when {col} = {lo} then 1 else {k} end)"
-    first = "'['" if include_lowest else "'('"
-    return (f"case when {k} between 1 and {n} then concat("
-            f"case when {k} = 1 then {first} else '(' end, "
-            f"cast(cast({lo} + ({k} - 1) * {w} as bigint) as varchar), ',', "
-            f"cast(cast({lo} + {k} * {w} as bigint) as varchar), ']') end")
-
-
-def _ctx_eda(c: Ctx) -> DataFrame:
-    return eda.eda_window(c.history, EDA_START, EDA_END)
-
-
-cte("ds_eda", _EDA, ("fx_history",))
-
-
-cte("hist_counts", """
-select cast(ceil((dep_delay_min - 2.5) / 5) * 5 as double) as bin_center, count(*) as n
-from ds_eda where dep_delay_min >= -60 and dep_delay_min <= 360 group by 1""", ("ds_eda",))
-
-
-def _eda_sql(body: str, *more: str) -> str:
-    return compose(body, "ds_eda", "hist_counts") if "hist_counts" in body else compose(body, "ds_eda")
-
-
-query("monthly_counts", compose("""
-select cast(year(sched_dep_tstz) as integer) as year, cast(month(sched_dep_tstz) as integer) as month,
-  count(*) as n from fx_history group by 1, 2 order by 1, 2""", "fx_history"))(
-    lambda c: eda.monthly_counts(c.history))
-
-query("missing_by_month", _eda_sql(
-    "select cast(year(sched_dep_tstz) as integer) as year, cast(month(sched_dep_tstz) as integer) as month, "
-    + ", ".join(f"round(avg(cast({col} is null as double)) * 100, 6) as {name}"
-                for col, name in eda.MISSING_PROFILE)
-    + " from ds_eda group by 1, 2 order by 1, 2"))(lambda c: eda.missing_by_month(_ctx_eda(c)))
-
-query("missing_overall", _eda_sql(
-    "select " + ", ".join(f"round(avg(cast({col} is null as double)) * 100, 6) as {col}"
-                          for col in eda.UNUSED_WEATHER) + " from ds_eda"))(
-    lambda c: eda.missing_overall(_ctx_eda(c)))
-
-query("tail_stats", _eda_sql("""
-select count(*) as n,
-  round(avg(cast(dep_delay_min > 60 as double)) * 100, 6) as pct_gt_60,
-  round(avg(cast(dep_delay_min > 120 as double)) * 100, 6) as pct_gt_120,
-  round(avg(cast(dep_delay_min > 240 as double)) * 100, 6) as pct_gt_240
-from ds_eda"""))(lambda c: eda.tail_stats(_ctx_eda(c)))
-
-query("seasonality", _eda_sql(f"""
-select dep_hour_local, dow, round(avg({_POS}), 6) as mean_pos_delay, count(*) as n
-from ds_eda group by 1, 2"""))(lambda c: eda.seasonality(_ctx_eda(c)))
-
-_SUMMARY = f"""
-select origin, count(*) as n, round(avg({_POS}), 6) as mean_pos_delay,
-  round(avg(cast(late_15 as double)) * 100, 6) as late_15_pct
-from ds_eda group by origin having count(*) >= {MIN_ORIGIN_FLIGHTS}"""
-
-query("top_origins", _eda_sql(f"""
-select * from ({_SUMMARY}) s order by mean_pos_delay desc nulls last, origin limit 20"""))(
-    lambda c: eda.top_origins(_ctx_eda(c), MIN_ORIGIN_FLIGHTS, 20))
-
-query("airport_summary", _eda_sql(f"""
-select s.*, coalesce(t.top_label, false) as top_label
-from ({_SUMMARY}) s
-left join (select origin, true as top_label from ({_SUMMARY}) s2
-           order by mean_pos_delay desc nulls last, origin limit 15) t using (origin)"""))(
-    lambda c: eda.airport_summary_labeled(_ctx_eda(c), MIN_ORIGIN_FLIGHTS, 15))
-
-
-def _bin_sql(col, lo, hi, w, inc, mean):
-    m = f"round(avg({_POS}), 6) as mean_pos_delay, " if mean else ""
-    return _eda_sql(f"select {_cut_sql(col, lo, hi, w, inc)} as {col}_bin, {m}count(*) as n "
-                    f"from ds_eda group by 1")
-
-
-query("delay_by_temp", _bin_sql("temp", -50, 50, 5, False, True))(
-    lambda c: eda.delay_by_temp(_ctx_eda(c)))
-query("delay_by_wind", _bin_sql("wspd", 0, 240, 10, True, True))(
-    lambda c: eda.delay_by_wind(_ctx_eda(c)))
-query("wind_bin_counts", _bin_sql("wspd", 0, 240, 10, True, False))(
-    lambda c: eda.wind_bin_counts(_ctx_eda(c)))
-query("delay_by_precip", _bin_sql("prcp", 0, 105, 5, True, True))(
-    lambda c: eda.delay_by_precip(_ctx_eda(c)))
-query("precip_bin_counts", _bin_sql("prcp", 0, 105, 5, True, False))(
-    lambda c: eda.precip_bin_counts(_ctx_eda(c)))
-
-query("delay_by_rain", _eda_sql(f"""
-select case when prcp > 0 then 'Rain' when prcp is not null then 'No rain' end as rain,
-  round(avg({_POS}), 6) as mean_pos_delay, count(*) as n
-from ds_eda group by 1"""))(lambda c: eda.delay_by_rain(_ctx_eda(c)))
-
-query("delay_histogram", _eda_sql("""
-select g.bin_center, coalesce(c.n, 0) as n,
-  case when c.n > 0 then round(log10(c.n), 6) end as log10_n
-from (select cast(unnest(generate_series(cast(min(bin_center) as bigint),
-                                         cast(max(bin_center) as bigint), 5)) as double) as bin_center
-      from hist_counts) g
-left join hist_counts c on c.bin_center = g.bin_center""", ))(
-    lambda c: eda.delay_histogram(_ctx_eda(c)))
-
-query("origin_sanity", compose("""
-select origin, count(*) as n_rows, round(avg(dep_delay_min), 6) as avg_delay,
-  round(avg(temp), 6) as avg_temp, round(avg(prcp), 6) as avg_prcp
-from features_inner group by 1 order by 2 desc, 1 limit 10""", "features_inner"))(
-    lambda c: eda.origin_sanity(c.features("inner")))
-
-query("earliest_rows", compose("""
-select sched_dep_tstz, origin, carrier, dep_delay_min, temp, prcp, wspd
-from features_inner order by sched_dep_tstz nulls first, carrier nulls first,
-  origin nulls first, dest nulls first limit 5""", "features_inner"))(
-    lambda c: eda.earliest_rows(c.features("inner")))
-
-query("features_seasonality", compose(f"""
-select dep_hour_local, dow, round(avg({_POS}), 6) as mean_pos_delay, count(*) as n
-from features_left group by 1, 2""", "features_left"))(
-    lambda c: eda.seasonality(c.features("left")))
-
-# ====================================================================== baselines
-# Fixture-scale parameters (published: 2022-01-01 .. 2023-04-01; train to 2023-01,
-# validation 2023-01, test 2023-02..03; 30-day model trained on whole months).
-from tarmac.operators import baselines as bl  # noqa: E402
-from tarmac.operators import evaluate as ev  # noqa: E402
-from tarmac.operators import filters as flt  # noqa: E402
-
-STUDY_START, STUDY_END = "2000-01-01", "2001-04-01"
-SPLITS = [("train", "2000-01-01", "2001-01-01"), ("validation", "2001-01-01", "2001-02-01"),
-          ("test", "2001-02-01", "2001-04-01")]
-CUTOFFS = {"validation": "2001-01-01", "test": "2001-02-01"}
-M1_TRAIN = ("2000-01-01", "2001-01-01")     # months 2000-01 .. 2000-12
-M1_TEST = ("2001-01-01", "2001-02-01")      # month 2001-01
-
-
-def _ts_range(df: DataFrame, lo: str, hi: str) -> DataFrame:
-    ts = F.col("sched_dep_tstz")
-    return df.where((ts >= F.lit(lo).cast("timestamp_ntz")) & (ts < F.lit(hi).cast("timestamp_ntz")))
-
-
-def _m1_parts(c: Ctx):
-    return _ts_range(c.history, *M1_TRAIN), _ts_range(c.history, *M1_TEST)
-
-
-def _study(c: Ctx) -> DataFrame:
-    return flt.study_window(c.history, STUDY_START, STUDY_END)
-
-
-def _split(c: Ctx) -> DataFrame:
-    return flt.chrono_split(_study(c), SPLITS)
-
-
-def _ravg90(c: Ctx) -> DataFrame:
-    sp = _split(c)
-    train = sp.where(F.col("split") == "train")
-    valid = sp.where(F.col("split") == "validation")
-    test = sp.where(F.col("split") == "test")
-    v = bl.rolling_avg_90d(train, valid, CUTOFFS["validation"])
-    t = bl.rolling_avg_90d(train.unionByName(valid), test, CUTOFFS["test"])
-    return v.unionByName(t)
-
-
-cte("m1_train", f"select * from fx_history where sched_dep_tstz >= timestamp '{M1_TRAIN[0]}' "
-                f"and sched_dep_tstz < timestamp '{M1_TRAIN[1]}'", ("fx_history",))
-cte("m1_test", f"select * from fx_history where sched_dep_tstz >= timestamp '{M1_TEST[0]}' "
-               f"and sched_dep_tstz < timestamp '{M1_TEST[1]}'", ("fx_history",))
-cte("m1_all", "select 'train' as split, * from m1_train union all "
-              "select 'test' as split, * from m1_test", ("m1_train", "m1_test"))
-cte("m1_roll", """
-select *, avg(dep_delay_min) over (partition by carrier, origin, dest order by sched_dep_tstz
-  range between interval 30 days preceding and interval 1 second preceding) as yhat30
-from m1_all""", ("m1_all",))
-cte("m1_route", "select carrier, origin, dest, avg(dep_delay_min) as mean_route from m1_train "
-                "group by 1, 2, 3", ("m1_train",))
-cte("m1_carr", "select carrier, avg(dep_delay_min) as mean_carr from m1_train group by 1",
-    ("m1_train",))
-cte("m1_glob", "select avg(dep_delay_min) as mean_glob from m1_train", ("m1_train",))
-cte("m1_pred", """
-select d.carrier, d.origin, d.dest, d.sched_dep_tstz, d.dep_delay_min,
-  coalesce(d.yhat30, r.mean_route, c.mean_carr, g.mean_glob) as yhat_baseline
-from m1_roll d
-left join m1_route r using (carrier, origin, dest)
-left join m1_carr c using (carrier)
-cross join m1_glob g
-where d.split = 'test'""", ("m1_roll", "m1_route", "m1_carr", "m1_glob"))
-
-_split_case = " ".join(f"when dep_date >= date '{a}' and dep_date < date '{b}' then '{n}'"
-                       for n, a, b in SPLITS)
-cte("sw", f"""
-select *, cast(sched_dep_tstz as date) as dep_date, cast(month(sched_dep_tstz) as integer) as month
-from fx_history
-where cast(sched_dep_tstz as date) >= date '{STUDY_START}'
-  and cast(sched_dep_tstz as date) < date '{STUDY_END}' and dep_delay_min is not null""",
-    ("fx_history",))
-cte("sp", f"select * from (select *, case {_split_case} end as split from sw) t "
-          f"where split is not null", ("sw",))
-
-
-def _ravg_sql(tag: str, hist_splits: str, new_split: str, cutoff: str) -> None:
-    cte(f"h_{tag}", f"select * from sp where split in ({hist_splits}) and dep_date >= "
-                    f"date '{cutoff}' - 90 and dep_date < date '{cutoff}'", ("sp",))
-    nd = lambda k: f"n.{k} is not distinct from x.{k}"
-    main = ["carrier", "origin", "dest", "dep_hour_local", "dow"]
-    fb = ["origin", "dest", "dep_hour_local"]
-    cte(f"p_{tag}", f"""
-select n.*, coalesce(
-  (select avg(dep_delay_min) from h_{tag} x where {' and '.join(nd(k) for k in main)}),
-  (select avg(dep_delay_min) from h_{tag} x where {' and '.join(nd(k) for k in fb)}),
-  (select avg(dep_delay_min) from h_{tag})) as pred_rolling_avg
-from sp n where n.split = '{new_split}'""", (f"h_{tag}",))
-
-
-_ravg_sql("v", "'train'", "validation", CUTOFFS["validation"])
-_ravg_sql("t", "'train', 'validation'", "test", CUTOFFS["test"])
-cte("ravg90", "select * from p_v union all select * from p_t", ("p_v", "p_t"))
-
-query("study_window", compose("select flight_id, dep_date, month, dep_hour_local, dow from sw", "sw"))(
-    lambda c: _study(c).select("flight_id", "dep_date", "month", "dep_hour_local", "dow"))
-query("chrono_split", compose("select flight_id, split from sp", "sp"))(
-    lambda c: _split(c).select("flight_id", "split"))
-query("split_counts", compose("select split, count(*) as n from sp group by 1", "sp"))(
-    lambda c: flt.split_counts(_split(c)))
-query("tagged_union", compose("select split, flight_id, sched_dep_tstz from m1_all", "m1_all"))(
-    lambda c: bl.tagged_union(*[p.select("flight_id", "sched_dep_tstz") for p in _m1_parts(c)]))
-
-
-@query("rolling_30d", compose("select flight_id, split, round(yhat30, 6) as yhat30 from m1_roll",
-                              "m1_roll"))
-def _roll30(c: Ctx) -> DataFrame:
-    tr, te = _m1_parts(c)
-    u = bl.tagged_union(tr, te)
-    return (bl.rolling_mean(u, bl.ROUTE, "sched_dep_tstz", "dep_delay_min", 30)
-            .select("flight_id", "split", r6(F.col("yhat30")).alias("yhat30")))
-
-
-query("route_mean", compose("select carrier, origin, dest, round(mean_route, 6) as mean_route "
-                            "from m1_route", "m1_route"))(
-    lambda c: bl.route_mean(_m1_parts(c)[0]).select(*bl.ROUTE, r6(F.col("mean_route")).alias("mean_route")))
-query("carrier_mean", compose("select carrier, round(mean_carr, 6) as mean_carr from m1_carr",
-                              "m1_carr"))(
-    lambda c: bl.carrier_mean(_m1_parts(c)[0]).select("carrier", r6(F.col("mean_carr")).alias("mean_carr")))
-query("global_mean", compose("select round(mean_glob, 6) as mean_glob from m1_glob", "m1_glob"))(
-    lambda c: bl.global_mean(_m1_parts(c)[0]).select(r6(F.col("mean_glob")).alias("mean_glob")))
-
-query("rolling_30d_backfilled", compose("""
-select carrier, origin, dest, sched_dep_tstz, dep_delay_min, round(yhat_baseline, 6) as yhat_baseline
-from m1_pred""", "m1_pred"))(
-    lambda c: bl.rolling_30d_backfilled(*_m1_parts(c)).withColumn(
-        "yhat_baseline", r6(F.col("yhat_baseline"))))
-query("rolling_30d_mae", compose(
-    "select round(avg(abs(dep_delay_min - yhat_baseline)), 6) as mae from m1_pred", "m1_pred"))(
-    lambda c: ev.mean_absolute_error(bl.rolling_30d_backfilled(*_m1_parts(c)),
-                                     "dep_delay_min", "yhat_baseline"))
-
-query("rolling_avg_90d", compose("""
-select split, flight_id, carrier, origin, dest, sched_dep_tstz, dep_delay_min,
-  round(pred_rolling_avg, 6) as pred_rolling_avg from ravg90""", "ravg90"))(
-    lambda c: _ravg90(c).select("split", "flight_id", "carrier", "origin", "dest",
-                                "sched_dep_tstz", "dep_delay_min",
-                                r6(F.col("pred_rolling_avg")).alias("pred_rolling_avg")))
-
-query("metrics", compose("""
-select 'rolling_avg_90d' as model, split, count(*) as n, round(avg(abs(e)), 6) as mae,
-  round(sqrt(avg(e * e)), 6) as rmse, round(quantile_cont(abs(e), 0.5), 6) as median_ae,
-  round(quantile_cont(abs(e), 0.9), 6) as p90_ae, round(avg(e), 6) as bias
-from (select split, pred_rolling_avg - dep_delay_min as e from ravg90) t group by split""",
-                         "ravg90"))(
-    lambda c: ev.error_metrics(_ravg90(c).withColumn("model", F.lit("rolling_avg_90d")),
-                               "dep_delay_min", "pred_rolling_avg"))
-
-# ====================================================================== prep
-from tarmac.operators import prep as pp  # noqa: E402
-
-_SIN = "sin(wdir * pi() / 180)"
-_COS = "cos(wdir * pi() / 180)"
-
-query("precip_flag", compose("""
-select flight_id,
-  case when prcp is null then 'missing' when prcp > 0 then 'yes' else 'no' end as has_prcp,
-  case when prcp is null then null else cast(prcp > 0 as double) end as has_prcp_num
-from fx_history""", "fx_history"))(
-    lambda c: c.history.select("flight_id", fl.precip_flag(F.col("prcp")).alias("has_prcp"),
-                               fl.precip_indicator(F.col("prcp")).alias("has_prcp_num")))
-
-query("wind_components", compose(f"""
-select flight_id, round({_SIN}, 6) as wdir_sin, round({_COS}, 6) as wdir_cos from fx_history""",
-                                 "fx_history"))(
-    lambda c: c.history.select("flight_id", r6(fl.wind_sin(F.col("wdir"))).alias("wdir_sin"),
-                               r6(fl.wind_cos(F.col("wdir"))).alias("wdir_cos")))
-
-cte("rf", f"""
-select flight_id, split, dep_delay_min, carrier, origin, dest,
-  cast(dep_hour_local as varchar) as dep_hour_local, cast(dow as varchar) as dow,
-  cast(month as varchar) as month, coalesce(cast(coco as varchar), 'missing') as coco,
-  temp, wspd, rhum, pres, prcp,
-  case when prcp is null then null else cast(prcp > 0 as double) end as has_prcp,
-  {_SIN} as wdir_sin, {_COS} as wdir_cos
-from sp""", ("sp",))
-
-
-def _ridge(c: Ctx) -> DataFrame:
-    return pp.ridge_features(_split(c))
-
-
-query("ridge_features", compose("""
-select flight_id, split, dep_delay_min, carrier, origin, dest, dep_hour_local, dow, month, coco,
-  temp, wspd, rhum, pres, prcp, has_prcp, round(wdir_sin, 6) as wdir_sin,
-  round(wdir_cos, 6) as wdir_cos from rf""", "rf"))(
-    lambda c: _ridge(c).withColumn("wdir_sin", r6(F.col("wdir_sin")))
-    .withColumn("wdir_cos", r6(F.col("wdir_cos"))))
-
-_lv_other = " union all ".join(
-    f"select '{col}' as feature, {col} as level from rf where split = 'train' and {col} is not null"
-    for col in pp.RIDGE_FACTORS)
-cte("lv_other", f"""
-select feature, level, cast(row_number() over (partition by feature order by level) - 1 as bigint) as idx
-from (select distinct feature, level from ({_lv_other}) u) d
-union all
-select feature, count(distinct level) as idx, 'other' as level
-from ({_lv_other}) u2 group by feature""".replace(
-    "select feature, count(distinct level) as idx, 'other' as level",
-    "select feature, 'other' as level, count(distinct level) as idx"), ("rf",))
-
-query("category_levels", compose("select feature, level, idx from lv_other", "lv_other"))(
-    lambda c: pp.category_levels(_ridge(c).where(F.col("split") == "train"), pp.RIDGE_FACTORS))
-
-
-def _align_sql(src: str, lv: str, cols, missing: bool) -> str:
-    parts = []
-    for col in cols:
-        v = f"(case when {col} is null or {col} = '' then 'missing' else {col} end)" if missing else col
-        parts.append(f"case when {v} in (select level from {lv} where feature = '{col}') "
-                     f"then {v} else 'other' end as {col}")
-    return f"select flight_id, split, {', '.join(parts)} from {src}"
-
-
-query("align_levels_other", compose(_align_sql("rf", "lv_other", pp.RIDGE_FACTORS, False),
-                                    "rf", "lv_other"))(
-    lambda c: pp.align_levels(
-        _ridge(c), pp.category_levels(_ridge(c).where(F.col("split") == "train"), pp.RIDGE_FACTORS),
-        pp.RIDGE_FACTORS).select("flight_id", "split", *pp.RIDGE_FACTORS))
-
-cte("tf", f"""
-select flight_id, split, dep_delay_min, carrier, origin, dest,
-  cast(dep_hour_local as varchar) as dep_hour_local, cast(dow as varchar) as dow,
-  cast(month as varchar) as month, cast(coco as varchar) as coco,
-  case when prcp is null then 'missing' when prcp > 0 then 'yes' else 'no' end as has_prcp,
-  temp, wspd, rhum, pres, prcp, {_SIN} as wdir_sin, {_COS} as wdir_cos
-from sp""", ("sp",))
-_lv_missing = " union all ".join(
-    f"select '{col}' as feature, case when {col} is null or {col} = '' then 'missing' else {col} end "
-    f"as level from tf where split = 'train' union all select '{col}', 'missing' union all "
-    f"select '{col}', 'other'" for col in pp.TREE_FACTORS)
-cte("lv_missing", f"""
-select feature, level, cast(row_number() over (partition by feature order by level) - 1 as bigint) as idx
-from (select distinct feature, level from ({_lv_missing}) u) d""", ("tf",))
-
-
-def _tree(c: Ctx) -> DataFrame:
-    return pp.tree_features(_split(c))
-
-
-query("align_levels_missing", compose(_align_sql("tf", "lv_missing", pp.TREE_FACTORS, True),
-                                      "tf", "lv_missing"))(
-    lambda c: pp.align_levels(
-        _tree(c), pp.category_levels(_tree(c).where(F.col("split") == "train"), pp.TREE_FACTORS,
-                                     "missing"),
-        pp.TREE_FACTORS, "missing").select("flight_id", "split", *pp.TREE_FACTORS))
-
-query("median_impute", compose(" union all ".join(
-    f"select '{col}' as feature, coalesce(round(quantile_cont({col}, 0.5), 6), 0) as median "
-    f"from rf where split = 'train'" for col in pp.RIDGE_NUMERICS), "rf"))(
-    lambda c: pp.train_medians(_ridge(c).where(F.col("split") == "train"), pp.RIDGE_NUMERICS)
-    .withColumn("median", r6(F.col("median"))))
-
-# ====================================================================== models (rows-only checks)
-from tarmac.operators import models as mdl  # noqa: E402
-
-# The published round limit; 40-round patience stops the fixture runs far earlier.
-GBT_MAX_ROUNDS = 1000
-
-
-@query("ridge_metrics")
-def _ridge_metrics(c: Ctx) -> DataFrame:
-    """Ridge path on train, penalty chosen by validation MAE, refit on
-    train+validation, metrics on validation and test."""
-    return mdl.ridge_path(_split(c)).metrics
-
-
-@query("predictions")
-def _predictions(c: Ctx) -> DataFrame:
-    """Per row: 90-day average and ridge predictions side by side."""
-    train = (_split(c).where(F.col("split") == "train")
-             .withColumn("pred_rolling_avg", F.lit(None).cast("double")))
-    res = mdl.ridge_path(train.unionByName(_ravg90(c)),
-                         keep=("flight_id", "split", "sched_dep_tstz", "pred_rolling_avg"))
-    both = res.valid_pred.unionByName(res.test_pred)
-    return both.select("split", "sched_dep_tstz", "carrier", "origin", "dest", "dep_delay_min",
-                       "pred_rolling_avg", "pred_glmnet")
-
-
-@query("elastic_net_metrics")
-def _en_metrics(c: Ctx) -> DataFrame:
-    """30-day baseline MAE plus elastic-net MAE / RMSE on the test month."""
-    return mdl.train_baseline(*_m1_parts(c))
-
-
-@query("gbt_metrics")
-def _gbt_metrics(c: Ctx) -> DataFrame:
-    return mdl.gbt_run(_split(c), max_rounds=GBT_MAX_ROUNDS).metrics
-
-
-@query("metrics_comparison")
-def _metrics_cmp(c: Ctx) -> DataFrame:
-    """Baseline metrics (90-day average, ridge) with the tree metrics appended."""
-    base = ev.error_metrics(_ravg90(c).withColumn("model", F.lit("rolling_avg_90d")),
-                            "dep_delay_min", "pred_rolling_avg")
-    sp = _split(c)
-    return (base.unionByName(mdl.ridge_path(sp).metrics)
-            .unionByName(mdl.gbt_run(sp, max_rounds=GBT_MAX_ROUNDS).metrics))
-
-# ====================================================================== months
-from tarmac.sources import months as mo  # noqa: E402
-
-
-@query("month_range", compose("""
-select cast(year(m) as integer) as year, cast(month(m) as integer) as month
-from (select unnest(generate_series(date_trunc('month', min(o_orderdate)),
-                                    date_trunc('month', max(o_orderdate)), interval 1 month)) as m
-      from orders) t"""))
-def _month_range(c: Ctx) -> DataFrame:
-    """Every month spanned by the order dates, first to last, inclusive."""
-    o = fx.table(c.spark, c.sf_dir, "orders").agg(F.min("o_orderdate").alias("a"),
-                                                  F.max("o_orderdate").alias("b"))
-    return mo.months_frame(o, F.col("a").cast("date"), F.col("b").cast("date"))
-
-
-@query("pending_months", compose("""
-select r.year, r.month from (
-  select cast(year(m) as integer) as year, cast(month(m) as integer) as month
-  from (select unnest(generate_series(date_trunc('month', min(ts) - interval 2 month),
-                                      date_trunc('month', max(ts) + interval 1 month),
-                                      interval 1 month)) as m from events) t) r
-where not exists (select 1 from fx_flights f where year(f.flight_date) = r.year
-                  and month(f.flight_date) = r.month)""", "fx_flights"))
-def _pending(c: Ctx) -> DataFrame:
-    """Months from two before the first event to one after the last that no
-    departure partition covers yet."""
-    e = fx.table(c.spark, c.sf_dir, "events").agg(
-        F.add_months(F.min("ts").cast("date"), -2).alias("a"),
-        F.add_months(F.max("ts").cast("date"), 1).alias("b"))
-    requested = mo.months_frame(e, F.col("a"), F.col("b"))
-    existing = c.flights.select(F.year("flight_date").alias("year"),
-                                F.month("flight_date").alias("month"))
-    return mo.pending_months(requested, existing)
-
-
-# ====================================================================== design matrices
-def _med_sql(name: str, src: str, cols) -> None:
-    cte(name, " union all ".join(
-        f"select '{c}' as feature, coalesce(quantile_cont({c}, 0.5), 0) as median "
-        f"from {src} where split = 'train'" for c in cols), (src,))
-
-
-def _aligned_sql(name, src, lv, med, factors, numerics, missing):
-    parts = []
-    for col in factors:
-        v = f"(case when {col} is null or {col} = '' then 'missing' else {col} end)" if missing else col
-        parts.append(f"case when {v} in (select level from {lv} where feature = '{col}') "
-                     f"then {v} else 'other' end as {col}")
-    parts += [f"coalesce({c}, (select median from {med} where feature = '{c}')) as {c}"
-              for c in numerics]
-    cte(name, f"select flight_id, split, {', '.join(parts)} from {src}", (src, lv, med))
-
-
-_med_sql("rmed", "rf", pp.RIDGE_NUMERICS)
-_aligned_sql("ra", "rf", "lv_other", "rmed", pp.RIDGE_FACTORS, pp.RIDGE_NUMERICS, False)
-_ridge_terms = " union all ".join(
-    [f"select flight_id, split, concat('{c}=', {c}) as term, cast(1 as double) as value from ra "
-     f"where {c} <> (select level from lv_other where feature = '{c}' and idx = 0)"
-     for c in pp.RIDGE_FACTORS]
-    + [f"select flight_id, split, '{c}' as term, round({c}, 6) as value from ra where {c} <> 0"
-       for c in pp.RIDGE_NUMERICS])
-
-
-@query("ridge_design", compose(_ridge_terms, "ra"))
-def _ridge_design(c: Ctx) -> DataFrame:
-    """Nonzero entries of the ridge design matrix (first level of each factor
-    dropped, numerics imputed with train medians) as (term, value) rows."""
-    aligned, design, levels = mdl.prepare_ridge(_split(c))
-    names = mdl.ridge_terms(levels, pp.RIDGE_FACTORS, pp.RIDGE_NUMERICS)
-    return (mdl.design_entries(design.transform(aligned), names, ["flight_id", "split"])
-            .withColumn("value", r6(F.col("value"))))
-
-
-_med_sql("tmed", "tf", pp.TREE_NUMERICS)
-_aligned_sql("ta", "tf", "lv_missing", "tmed", pp.TREE_FACTORS, pp.TREE_NUMERICS, True)
-_tree_cols = ", ".join(
-    [f"cast((select idx from lv_missing l where l.feature = '{c}' and l.level = ta.{c}) as double) "
-     f"as {c}_idx" for c in pp.TREE_FACTORS]
-    + [f"round({c}, 6) as {c}" for c in pp.TREE_NUMERICS])
-
-
-@query("tree_design", compose(f"select flight_id, split, {_tree_cols} from ta", "ta"))
-def _tree_design(c: Ctx) -> DataFrame:
-    """Tree inputs per row: level index of every factor (sorted levels with
-    ``missing`` and ``other``) and the train-median-imputed numerics."""
-    x, _ = mdl.prepare_tree(_split(c))
-    return x.select("flight_id", "split",
-                    *[F.col(f"{f}__i").alias(f"{f}_idx") for f in pp.TREE_FACTORS],
-                    *[r6(F.col(n)).alias(n) for n in pp.TREE_NUMERICS])
+column to the same name and round doubles to 6 digits.
+
+Queries live in one module per stage; importing them registers them (in
+dependency order: later stages reuse the SQL steps of earlier ones).
+"""
+
+from tarmac.plans import queries_features  # noqa: F401  (first: others reuse its steps)
+from tarmac.plans import queries_eda  # noqa: F401
+from tarmac.plans import queries_baselines  # noqa: F401
+from tarmac.plans import queries_prep  # noqa: F401
+from tarmac.plans import queries_models  # noqa: F401
+from tarmac.plans import queries_months  # noqa: F401
+from tarmac.plans.core import ORACLE, QUERIES, Ctx  # noqa: F401
+from tarmac.plans.queries_baselines import _m1_parts, _ravg90, _split, _study  # noqa: F401
