@@ -69,18 +69,34 @@ def global_mean_value(train: DataFrame) -> Column:
     return global_mean(train).scalar()
 
 
+def backfill_means(train: DataFrame):
+    """Route, carrier and global train means from one scan (grouping sets).
+    The result (one row per route) is checkpointed since three lookups read it.
+    Returns (route table, carrier table, global mean as a scalar subquery)."""
+    from tarmac.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(train.sparkSession)
+    g = (train.groupingSets([ROUTE, ["carrier"], []], *ROUTE)
+         .agg(F.avg("dep_delay_min").alias("_m"), F.grouping_id().alias("_gid"))
+         .checkpoint(eager=True))
+    # grouping_id bits (carrier, origin, dest): 0 = route, 0b011 = carrier, 0b111 = all
+    route = g.where(F.col("_gid") == 0).select(*ROUTE, F.col("_m").alias("mean_route"))
+    carr = g.where(F.col("_gid") == 3).select("carrier", F.col("_m").alias("mean_carr"))
+    glob = g.where(F.col("_gid") == 7).select(F.col("_m").alias("mean_glob")).scalar()
+    return route, carr, glob
+
+
 def rolling_30d_backfilled(train: DataFrame, test: DataFrame, days: int = 30,
                            method: str = "bucketed") -> DataFrame:
     cols = ROUTE + ["sched_dep_tstz", "dep_delay_min"]
     all_rows = tagged_union(train.select(*cols), test.select(*cols))
     rolled = rolling_mean(all_rows, ROUTE, "sched_dep_tstz", "dep_delay_min", days, method=method)
-    # one row per route / carrier in the train months; AQE re-plans the join
-    # as a broadcast when the aggregate turns out small
+    route, carr, glob = backfill_means(train)
+    # equality joins: a NULL key never finds a backfill row
     out = (rolled.where(F.col("split") == "test")
-           .join(route_mean(train), ROUTE, "left")
-           .join(broadcast_if_bounded(carrier_mean(train)), "carrier", "left"))
-    return out.select(*cols, F.coalesce("yhat30", "mean_route", "mean_carr",
-                                        global_mean_value(train)).alias("yhat_baseline"))
+           .join(route, ROUTE, "left")
+           .join(broadcast_if_bounded(carr), "carrier", "left"))
+    return out.select(*cols, F.coalesce("yhat30", "mean_route", "mean_carr", glob)
+                      .alias("yhat_baseline"))
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -101,9 +117,16 @@ def rolling_avg_90d(history: DataFrame, new_data: DataFrame, cutoff: str,
     hist = history.where((F.col("dep_date") >= F.date_sub(c, window_days)) & (F.col("dep_date") < c))
     main_keys = ["carrier", "origin", "dest", "dep_hour_local", "dow"]
     fb_keys = ["origin", "dest", "dep_hour_local"]
-    avg_main = hist.groupBy(*main_keys).agg(F.avg("dep_delay_min").alias("pred_main"))
-    avg_fb = hist.groupBy(*fb_keys).agg(F.avg("dep_delay_min").alias("pred_fallback"))
+    # the three averages from one scan of the history (grouping sets);
+    # grouping_id bits follow main_keys: 0 = main, 0b10001 = fallback, 0b11111 = all
+    from tarmac.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(hist.sparkSession)
+    g = (hist.groupingSets([main_keys, fb_keys, []], *main_keys)
+         .agg(F.avg("dep_delay_min").alias("_m"), F.grouping_id().alias("_gid"))
+         .checkpoint(eager=True))
+    avg_main = g.where(F.col("_gid") == 0).select(*main_keys, F.col("_m").alias("pred_main"))
+    avg_fb = g.where(F.col("_gid") == 17).select(*fb_keys, F.col("_m").alias("pred_fallback"))
+    glob = g.where(F.col("_gid") == 31).select("_m").scalar()
     out = _null_safe_join(_null_safe_join(new_data, avg_main, main_keys), avg_fb, fb_keys)
-    return (out.withColumn("pred_rolling_avg",
-                           F.coalesce("pred_main", "pred_fallback", global_mean_value(hist)))
+    return (out.withColumn("pred_rolling_avg", F.coalesce("pred_main", "pred_fallback", glob))
             .drop("pred_main", "pred_fallback"))

@@ -6,15 +6,17 @@ sum is a difference of running sums, ``C(t - gap) - C<(t - span)``, and the
 running sums are built from day buckets:
 
 1. rows are aggregated to one record per (key, instant): sum and count of the
-   non-NULL values (map-side partial aggregation);
-2. every record also emits its two query points (upper end, inclusive; lower
-   end, exclusive);
+   non-NULL values (map-side partial aggregation), checkpointed once;
+2. every record is exploded into itself plus its two query points (upper end,
+   inclusive; lower end, exclusive) - one branch, no union;
 3. a window per (key, day) gives running sums inside the day - a partition
    holds at most one day of distinct instants of one key;
 4. per-(key, day) totals get a running sum over the key's days (a few hundred
    rows per key), which is added to the in-day sums;
-5. the upper and lower results are paired on (key, instant) and the original
-   rows join back on (key, instant), NULL keys matching NULL keys.
+5. the upper and lower results are paired by one aggregation on (key,
+   instant) and the original rows join back on (key, instant), NULL keys
+   matching NULL keys. The source is read twice: for the points and for the
+   final attach.
 
 Results equal ``avg(value) over (partition by keys order by ts range between
 span preceding and gap preceding)``; sums are exact for integer-valued inputs.
@@ -27,6 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarmac.session import ensure_checkpoint_dir
+
 MICROS_PER_SECOND = 1_000_000
 MICROS_PER_DAY = 86_400 * MICROS_PER_SECOND
 
@@ -43,27 +47,32 @@ def rolling_mean_bucketed(df: DataFrame, keys: Sequence[str], ts_col: str, value
                           span_micros: int, gap_micros: int, out_col: str,
                           bucket_micros: int = MICROS_PER_DAY) -> DataFrame:
     keys = list(keys)
+    spark = df.sparkSession
     t = F.unix_micros(F.col(ts_col).cast("timestamp"))
     y = F.col(value_col).cast("double")
+    # (key, instant) points: one aggregation, checkpointed because three
+    # consumers read it (the record stream, the day totals, nothing else
+    # re-reads the source until the final attach)
+    ensure_checkpoint_dir(spark)
     pts = (df.select(*keys, t.alias("_t"), y.alias("_y"))
            .groupBy(*keys, "_t")
-           .agg(F.sum(F.coalesce("_y", F.lit(0.0))).alias("_s"), F.count("_y").alias("_c")))
+           .agg(F.sum(F.coalesce("_y", F.lit(0.0))).alias("_s"), F.count("_y").alias("_c"))
+           .checkpoint(eager=True))
 
     def bucket(col: Column) -> Column:
         return F.floor(col / F.lit(bucket_micros))
 
+    def rec(kind: int, p: Column, s: Column, c: Column) -> Column:
+        return F.struct(bucket(p).alias("_b"), p.alias("_p"), F.lit(kind).alias("_kind"),
+                        s.alias("_s"), c.alias("_c"))
+
+    zero_s, zero_c = F.lit(0.0), F.lit(0).cast("long")
+    tt = F.col("_t")
     # kind: 0 = lower query (before data at equal time), 1 = data, 2 = upper query
-    data = pts.select(*keys, bucket(F.col("_t")).alias("_b"), F.col("_t").alias("_p"),
-                      F.lit(1).alias("_kind"), "_s", "_c", F.lit(None).cast("long").alias("_at"))
-    upper = pts.select(*keys, bucket(F.col("_t") - gap_micros).alias("_b"),
-                       (F.col("_t") - gap_micros).alias("_p"), F.lit(2).alias("_kind"),
-                       F.lit(0.0).alias("_s"), F.lit(0).cast("long").alias("_c"),
-                       F.col("_t").alias("_at"))
-    lower = pts.select(*keys, bucket(F.col("_t") - span_micros).alias("_b"),
-                       (F.col("_t") - span_micros).alias("_p"), F.lit(0).alias("_kind"),
-                       F.lit(0.0).alias("_s"), F.lit(0).cast("long").alias("_c"),
-                       F.col("_t").alias("_at"))
-    stream = data.unionByName(upper).unionByName(lower)
+    stream = pts.select(*keys, tt.alias("_at"), F.explode(F.array(
+        rec(1, tt, F.col("_s"), F.col("_c")),
+        rec(2, tt - F.lit(gap_micros), zero_s, zero_c),
+        rec(0, tt - F.lit(span_micros), zero_s, zero_c))).alias("r")).select(*keys, "_at", "r.*")
 
     in_day = Window.partitionBy(*keys, "_b").orderBy("_p", "_kind").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -71,21 +80,27 @@ def rolling_mean_bucketed(df: DataFrame, keys: Sequence[str], ts_col: str, value
                .withColumn("_cc", F.sum("_c").over(in_day))
                .where(F.col("_kind") != 1))
 
-    days = stream.groupBy(*keys, "_b").agg(F.sum("_s").alias("_ds"), F.sum("_c").alias("_dc"))
+    # per-(key, day) totals over every day that holds a point or a query,
+    # then a running total over the key's days (a few hundred rows per key)
+    days = (pts.select(*keys, F.explode(F.array(
+                F.struct(bucket(tt).alias("_b"), F.col("_s"), F.col("_c")),
+                F.struct(bucket(tt - F.lit(gap_micros)).alias("_b"), zero_s.alias("_s"), zero_c.alias("_c")),
+                F.struct(bucket(tt - F.lit(span_micros)).alias("_b"), zero_s.alias("_s"), zero_c.alias("_c"))))
+                        .alias("d")).select(*keys, "d.*")
+            .groupBy(*keys, "_b").agg(F.sum("_s").alias("_ds"), F.sum("_c").alias("_dc")))
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     days = days.select(*keys, "_b", F.coalesce(F.sum("_ds").over(before), F.lit(0.0)).alias("_ps"),
                        F.coalesce(F.sum("_dc").over(before), F.lit(0)).alias("_pc"))
-    q = queries.join(days, _null_safe(keys + ["_b"], queries, days))
-    q = q.select(*[queries[k] for k in keys], "_kind", "_at",
-                 (F.col("_ps") + F.col("_cs")).alias("_S"), (F.col("_pc") + F.col("_cc")).alias("_C"))
-    up = q.where(F.col("_kind") == 2).select(*keys, "_at", F.col("_S").alias("_us"),
-                                             F.col("_C").alias("_uc"))
-    lo = q.where(F.col("_kind") == 0).select(*keys, "_at", F.col("_S").alias("_ls"),
-                                             F.col("_C").alias("_lc"))
-    win = up.join(lo, _null_safe(keys + ["_at"], up, lo)).select(
-        *[up[k] for k in keys], up["_at"],
-        F.when(F.col("_uc") - F.col("_lc") > 0,
-               (F.col("_us") - F.col("_ls")) / (F.col("_uc") - F.col("_lc"))).alias(out_col))
+
+    q = queries.join(days, _null_safe(keys + ["_b"], queries, days)).select(
+        *[queries[k] for k in keys], "_kind", "_at",
+        (F.col("_ps") + F.col("_cs")).alias("_S"), (F.col("_pc") + F.col("_cc")).alias("_C"))
+    upper = F.col("_kind") == 2
+    win = q.groupBy(*keys, "_at").agg(
+        (F.sum(F.when(upper, F.col("_S"))) - F.sum(F.when(~upper, F.col("_S")))).alias("_ws"),
+        (F.sum(F.when(upper, F.col("_C"))) - F.sum(F.when(~upper, F.col("_C")))).alias("_wc"))
+    win = win.select(*keys, "_at", F.when(F.col("_wc") > 0, F.col("_ws") / F.col("_wc")).alias(out_col))
+
     src = df.withColumn("_at", t)
     out = src.join(win, _null_safe(keys + ["_at"], src, win), "left")
     return out.select(*[src[c] for c in src.columns if c != "_at"], win[out_col])
