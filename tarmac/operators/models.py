@@ -60,7 +60,8 @@ def ridge_design(levels: dict[str, list[str]], factors: Sequence[str],
 
 def prepare_ridge(split_df: DataFrame, keep: Sequence[str] = ("flight_id", "split")):
     """Aligned, imputed ridge frame plus the fitted design pipeline."""
-    rf = pp.ridge_features(split_df, keep=keep)
+    # levels, medians and the aligned frame all read this: materialize it once
+    rf = _cut_lineage(pp.ridge_features(split_df, keep=keep))
     train = rf.where(F.col("split") == "train")
     levels = _levels_dict(pp.category_levels(train, pp.RIDGE_FACTORS, "other"))
     medians = pp.train_medians(train, pp.RIDGE_NUMERICS)
@@ -166,7 +167,7 @@ def elastic_net_run(train: DataFrame, test: DataFrame, penalty: float = 0.01,
     keep = EN_NOMINAL + EN_NUMERIC + ["dep_hour_local", TARGET]
     tr = train.select(*keep).withColumn("split", F.lit("train"))
     te = test.select(*keep).withColumn("split", F.lit("test"))
-    both = tr.unionByName(te)
+    both = _cut_lineage(tr.unionByName(te))
     for c in EN_NOMINAL:
         both = both.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit("unknown")))
     tr_rows = both.where(F.col("split") == "train")
@@ -233,7 +234,7 @@ def prepare_tree(split_df: DataFrame):
     """Tree frame with levels aligned (``missing`` / ``other``), numerics
     imputed with train medians, factors indexed (``<col>__i``) over the
     sorted level lists, and the assembled ``features``; plus the level lists."""
-    tf = pp.tree_features(split_df)
+    tf = _cut_lineage(pp.tree_features(split_df))
     train0 = tf.where(F.col("split") == "train")
     levels = _levels_dict(pp.category_levels(train0, pp.TREE_FACTORS, "missing"))
     lv_df = split_df.sparkSession.createDataFrame(

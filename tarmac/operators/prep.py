@@ -66,15 +66,20 @@ def category_levels(train: DataFrame, cols: Sequence[str], variant: str = "other
     if variant == "other":
         lv = pairs.where(F.col("value").isNotNull()).distinct()
         w = Window.partitionBy("feature").orderBy("value")
-        ranked = lv.select("feature", F.col("value").alias("level"),
-                           (F.row_number().over(w) - 1).alias("idx"))
-        tail = ranked.groupBy("feature").agg(F.count(F.lit(1)).alias("idx")).select(
-            "feature", F.lit(OTHER).alias("level"), "idx")
-        missing_feats = (F.array(*[F.lit(c) for c in cols]))
-        empty = (train.sparkSession.range(1).select(F.explode(missing_feats).alias("feature"))
-                 .join(tail, "feature", "left_anti")
+        n_levels = F.count(F.lit(1)).over(Window.partitionBy("feature"))
+        ranked = lv.select("feature", "value", (F.row_number().over(w) - 1).alias("idx"),
+                           n_levels.alias("_n"))
+        # each level row, plus (once per feature) the trailing "other"
+        rows = F.array(F.struct(F.col("value").alias("level"), F.col("idx").cast("long").alias("idx")),
+                       F.when(F.col("idx") == 0, F.struct(F.lit(OTHER).alias("level"),
+                                                          F.col("_n").cast("long").alias("idx"))))
+        out = (ranked.select("feature", F.explode(rows).alias("r"))
+               .where(F.col("r").isNotNull()).select("feature", "r.level", "r.idx"))
+        # factors without any train value still get the "other" level
+        names = train.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
+        empty = (names.join(lv.select("feature").distinct(), "feature", "left_anti")
                  .select("feature", F.lit(OTHER).alias("level"), F.lit(0).cast("long").alias("idx")))
-        return ranked.unionByName(tail).unionByName(empty)
+        return out.unionByName(empty)
     filled = pairs.select("feature", F.when(F.col("value").isNull() | (F.col("value") == ""),
                                             F.lit(MISSING)).otherwise(F.col("value")).alias("level"))
     extra = (train.sparkSession.range(1)
