@@ -250,7 +250,7 @@ def prepare_tree(split_df: DataFrame):
 
 
 def gbt_run(split_df: DataFrame, max_rounds: int = 1000, patience: int = 40, seed: int = 42,
-            model_name: str = "xgboost_v1", first_rounds: int = 64) -> TreeResult:
+            model_name: str = "xgboost_v1", first_rounds: int = 100) -> TreeResult:
     x, levels = prepare_tree(split_df)
     x = _cut_lineage(x)
     train = x.where(F.col("split") == "train").select("features", TARGET)
@@ -261,10 +261,12 @@ def gbt_run(split_df: DataFrame, max_rounds: int = 1000, patience: int = 40, see
                        stepSize=0.05, minInstancesPerNode=100, subsamplingRate=0.8,
                        featureSubsetStrategy="0.8", maxIter=first_rounds, seed=seed,
                        maxBins=max(32, max_levels), checkpointInterval=10)
-    # Rounds are fitted in doubling chunks until the patience rule triggers
+    # Rounds are fitted in growing chunks until the patience rule triggers
     # inside the fitted curve (or the round limit is reached): with a fixed
     # seed the first k trees do not depend on maxIter, so this equals one
-    # long fit stopped early, without fitting hundreds of unused rounds.
+    # long fit stopped early, without fitting hundreds of unused rounds. A
+    # curve still improving at its end doubles; otherwise best + patience
+    # rounds settle it.
     rounds = min(first_rounds, max_rounds)
     while True:
         model = gbt.copy({gbt.maxIter: rounds}).fit(train)
@@ -272,7 +274,7 @@ def gbt_run(split_df: DataFrame, max_rounds: int = 1000, patience: int = 40, see
         k = best_round(curve, patience)
         if k + patience <= len(curve) or rounds >= max_rounds:
             break
-        rounds = min(2 * rounds, max_rounds)
+        rounds = min(max_rounds, k + patience if k < rounds else 2 * rounds)
     if k < rounds:
         model = gbt.copy({gbt.maxIter: k}).fit(train)
     vp = model.transform(valid).withColumnRenamed("prediction", "pred")
