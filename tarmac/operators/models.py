@@ -28,6 +28,14 @@ from tarmac.session import ensure_checkpoint_dir
 
 TARGET = "dep_delay_min"
 
+# Model labels and report columns as they appear in the
+# published metrics and prediction files.
+MODEL_ROLLING_90D = "rolling_avg_90d"
+MODEL_RIDGE = "glmnet_ridge"
+MODEL_TREE = "xgboost_v1"
+PRED_RIDGE = "pred_glmnet"
+EN_MAE, EN_RMSE, BASELINE_30D_MAE = "glmnet_mae", "glmnet_rmse", "baseline30d_mae"
+
 
 def _levels_dict(levels: DataFrame) -> dict[str, list[str]]:
     """Level lists per factor (bounded by the factors' cardinality)."""
@@ -113,7 +121,7 @@ class RidgeResult:
 
 
 def ridge_path(split_df: DataFrame, keep: Sequence[str] = ("flight_id", "split"),
-               n_lambdas: int = 20, model_name: str = "glmnet_ridge") -> RidgeResult:
+               n_lambdas: int = 20, model_name: str = MODEL_RIDGE) -> RidgeResult:
     aligned, design, _ = prepare_ridge(split_df, keep)
     x = _cut_lineage(design.transform(aligned))
     train = x.where(F.col("split") == "train").select("features", TARGET)
@@ -129,13 +137,13 @@ def ridge_path(split_df: DataFrame, keep: Sequence[str] = ("flight_id", "split")
         scored = s if scored is None else scored.unionByName(s)
     best = best_by_mae(scored, "lambda", TARGET, "prediction").first()["lambda"]
     best_i = lambdas.index(best)
-    valid_pred = models[best_i].transform(valid).withColumnRenamed("prediction", "pred_glmnet")
+    valid_pred = models[best_i].transform(valid).withColumnRenamed("prediction", PRED_RIDGE)
     refit_rows = x.where(F.col("split").isin("train", "validation")).select("features", TARGET)
     final = lr.copy({lr.regParam: best}).fit(refit_rows)
     test_pred = (final.transform(x.where(F.col("split") == "test"))
-                 .withColumnRenamed("prediction", "pred_glmnet"))
+                 .withColumnRenamed("prediction", PRED_RIDGE))
     metrics = error_metrics(valid_pred.unionByName(test_pred).withColumn("model", F.lit(model_name)),
-                            TARGET, "pred_glmnet")
+                            TARGET, PRED_RIDGE)
     return RidgeResult(best, valid_pred.drop("features"), test_pred.drop("features"), metrics)
 
 
@@ -162,7 +170,7 @@ def elastic_net_run(train: DataFrame, test: DataFrame, penalty: float = 0.01,
                     mixture: float = 0.5) -> DataFrame:
     """Recipe: unseen level -> ``new``, NULL -> ``unknown``, one indicator per
     level, natural spline (df 5) on hour, train-median imputation, constant
-    columns dropped; elastic net fit. Returns (glmnet_mae, glmnet_rmse)."""
+    columns dropped; elastic net fit. Returns the test MAE and RMSE."""
     spark = train.sparkSession
     keep = EN_NOMINAL + EN_NUMERIC + ["dep_hour_local", TARGET]
     tr = train.select(*keep).withColumn("split", F.lit("train"))
@@ -196,8 +204,8 @@ def elastic_net_run(train: DataFrame, test: DataFrame, penalty: float = 0.01,
         both.where((F.col("split") == "train") & F.col(TARGET).isNotNull()))
     pred = model.transform(both.where(F.col("split") == "test"))
     err = F.col("prediction") - F.col(TARGET)
-    return pred.agg(F.round(F.avg(F.abs(err)), 6).alias("glmnet_mae"),
-                    F.round(F.sqrt(F.avg(err * err)), 6).alias("glmnet_rmse"))
+    return pred.agg(F.round(F.avg(F.abs(err)), 6).alias(EN_MAE),
+                    F.round(F.sqrt(F.avg(err * err)), 6).alias(EN_RMSE))
 
 
 def train_baseline(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -206,10 +214,10 @@ def train_baseline(train: DataFrame, test: DataFrame) -> DataFrame:
     base = mean_absolute_error(rolling_30d_backfilled(train, test), TARGET, "yhat_baseline")
     en = elastic_net_run(train, test)
     b = base.first()["mae"]
-    return en.select(F.lit(b).cast("double").alias("baseline30d_mae"), "glmnet_mae", "glmnet_rmse")
+    return en.select(F.lit(b).cast("double").alias(BASELINE_30D_MAE), EN_MAE, EN_RMSE)
 
 
-# ---------------------------------------------------------------- boosted trees (xgboost_v1)
+# ---------------------------------------------------------------- boosted trees
 def best_round(curve: Sequence[float], patience: int = 40) -> int:
     """Trees to keep: the best validation score, stopping once ``patience``
     rounds pass without a strict improvement."""
@@ -250,7 +258,7 @@ def prepare_tree(split_df: DataFrame):
 
 
 def gbt_run(split_df: DataFrame, max_rounds: int = 1000, patience: int = 40, seed: int = 42,
-            model_name: str = "xgboost_v1", first_rounds: int = 100) -> TreeResult:
+            model_name: str = MODEL_TREE, first_rounds: int = 100) -> TreeResult:
     x, levels = prepare_tree(split_df)
     x = _cut_lineage(x)
     train = x.where(F.col("split") == "train").select("features", TARGET)

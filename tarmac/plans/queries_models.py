@@ -36,7 +36,7 @@ def _predictions(c: Ctx) -> DataFrame:
                          keep=("flight_id", "split", "sched_dep_tstz", "pred_rolling_avg"))
     both = res.valid_pred.unionByName(res.test_pred)
     return both.select("split", "sched_dep_tstz", "carrier", "origin", "dest", "dep_delay_min",
-                       "pred_rolling_avg", "pred_glmnet")
+                       "pred_rolling_avg", mdl.PRED_RIDGE)
 
 
 @query("elastic_net_metrics")
@@ -53,7 +53,7 @@ def _gbt_metrics(c: Ctx) -> DataFrame:
 @query("metrics_comparison")
 def _metrics_cmp(c: Ctx) -> DataFrame:
     """Baseline metrics (90-day average, ridge) with the tree metrics appended."""
-    base = ev.error_metrics(_ravg90(c).withColumn("model", F.lit("rolling_avg_90d")),
+    base = ev.error_metrics(_ravg90(c).withColumn("model", F.lit(mdl.MODEL_ROLLING_90D)),
                             "dep_delay_min", "pred_rolling_avg")
     sp = _split(c)
     return (base.unionByName(mdl.ridge_path(sp).metrics)

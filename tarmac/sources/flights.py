@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tarmac.sources.csvmap import csv_lines_to_maps, field, read_csv_maps
 
-# Source column names of the on-time performance files.
-BTS_COLUMNS = {
+# Source column names of the monthly on-time performance files.
+ONTIME_COLUMNS = {
     "year": ("Year", "int"), "month": ("Month", "int"), "day": ("DayofMonth", "int"),
     "flight_date": ("FlightDate", "date"), "crs_dep_time": ("CRSDepTime", "string"),
     "carrier": ("IATA_CODE_Reporting_Airline", "string"), "flight_number":
@@ -21,7 +21,7 @@ BTS_COLUMNS = {
 
 
 def _typed(maps: DataFrame) -> DataFrame:
-    cols = [field(src, dtype).alias(name) for name, (src, dtype) in BTS_COLUMNS.items()]
+    cols = [field(src, dtype).alias(name) for name, (src, dtype) in ONTIME_COLUMNS.items()]
     df = maps.select(*cols)
     # a stable id for tie-breaking: the flight's identifying fields
     return df.withColumn("flight_id", F.xxhash64("flight_date", "carrier", "flight_number",
@@ -30,12 +30,12 @@ def _typed(maps: DataFrame) -> DataFrame:
 
 def read_flights_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """All monthly files in one scan; HHMM stays text."""
-    return _typed(read_csv_maps(spark, paths, BTS_COLUMNS["year"][0]))
+    return _typed(read_csv_maps(spark, paths, ONTIME_COLUMNS["year"][0]))
 
 
 def flights_from_lines(lines: DataFrame) -> DataFrame:
     """Same as ``read_flights_csv`` for a frame of (file, value) text lines."""
-    return _typed(csv_lines_to_maps(lines, BTS_COLUMNS["year"][0]))
+    return _typed(csv_lines_to_maps(lines, ONTIME_COLUMNS["year"][0]))
 
 
 def write_flights(df: DataFrame, out_root: str) -> None:

@@ -10,7 +10,7 @@ HDR = ('"Year","Month","DayofMonth","FlightDate","IATA_CODE_Reporting_Airline",'
 
 
 def test_ingest_and_features(spark, tmp_path):
-    land = tmp_path / "bts"
+    land = tmp_path / "ontime"
     land.mkdir()
     (land / "2022_01.csv").write_text(
         HDR + '\n2022,1,3,"2022-01-03","AA","1","JFK","LAX","0700",12.00,0.00\n'
