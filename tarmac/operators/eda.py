@@ -42,6 +42,8 @@ def _mean_pos():
 
 def eda_window(features: DataFrame, start: str, end: str) -> DataFrame:
     """Half-open window on the schedule instant (drops zone spill-over months)."""
+    from tarmac.operators.filters import partition_window
+    features = partition_window(features, start, end)
     ts = F.col("sched_dep_tstz")
     return features.where((ts >= F.lit(start).cast("timestamp_ntz"))
                           & (ts < F.lit(end).cast("timestamp_ntz")))

@@ -38,3 +38,26 @@ def test_ingest_and_features(spark, tmp_path):
     assert set(rows) == {"LAX", "ATL"}                    # cancelled flight dropped
     assert rows["LAX"].temp == 1.0 and rows["LAX"].late_15 is False
     assert rows["ATL"].temp == 3.0 and rows["ATL"].dep_hour_local == 5
+
+
+def test_study_window_prunes_month_partitions(spark, tmp_path):
+    import contextlib
+    import datetime as dt
+    import io
+
+    from tarmac.operators.features import FEATURE_COLUMNS
+    from tarmac.operators.filters import study_window
+    from tarmac.sources.sinks import write_features
+    rows = [("AA", "JFK", "LAX", dt.datetime(2022, m, 10, 8), 5, 1) + (None,) * 10 + (None, 10.0, False)
+            for m in (1, 2, 3)]
+    df = spark.createDataFrame(rows, ", ".join(
+        f"{c} {t}" for c, t in zip(FEATURE_COLUMNS, ["string"] * 3 + ["timestamp_ntz", "long", "long"]
+                                   + ["double"] * 10 + ["int", "double", "boolean"])))
+    root = str(tmp_path / "features")
+    write_features(df, root)
+    w = study_window(spark.read.parquet(root), "2022-02-01", "2022-03-01")
+    assert [r.month for r in w.collect()] == [2]
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        w.explain()
+    assert "PartitionFilters: [" in buf.getvalue() and "month" in buf.getvalue().split("PartitionFilters: [")[1][:400]
