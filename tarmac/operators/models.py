@@ -128,7 +128,7 @@ def ridge_path(split_df: DataFrame, keep: Sequence[str] = ("flight_id", "split")
     valid = x.where(F.col("split") == "validation")
     lambdas = lambda_grid(train, n_lambdas)
     lr = LinearRegression(featuresCol="features", labelCol=TARGET, elasticNetParam=0.0,
-                          standardization=True, solver="normal")
+                          standardization=True, solver="auto")
     maps = [{lr.regParam: lam} for lam in lambdas]
     models = dict(lr.fitMultiple(train, maps))
     scored = None
