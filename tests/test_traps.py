@@ -192,3 +192,15 @@ def test_test_rows_feed_later_test_predictions(spark):
            for r in bl.rolling_30d_backfilled(train, test).collect()}
     assert out[2] == 100.0          # window empty -> train route mean
     assert out[3] == 10.0           # the earlier test row feeds the window
+
+
+def test_level_alignment_join_path_equals_inline(spark):
+    train = spark.createDataFrame([("a", "x"), ("b", None)], "c string, d string")
+    rows = spark.createDataFrame([(1, "z", ""), (2, None, "x"), (3, "", None), (4, "a", "q")],
+                                 "id long, c string, d string")
+    for variant in ("other", "missing"):
+        lv = pp.category_levels(train, ["c", "d"], variant)
+        inline = sorted(tuple(r) for r in pp.align_levels(rows, lv, ["c", "d"], variant).collect())
+        joined = sorted(tuple(r) for r in pp.align_levels(rows, lv, ["c", "d"], variant,
+                                                           max_inline=0).collect())
+        assert inline == joined, variant
