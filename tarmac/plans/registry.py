@@ -12,5 +12,6 @@ from tarmac.plans import queries_baselines  # noqa: F401
 from tarmac.plans import queries_prep  # noqa: F401
 from tarmac.plans import queries_models  # noqa: F401
 from tarmac.plans import queries_months  # noqa: F401
+from tarmac.plans import queries_sources  # noqa: F401
 from tarmac.plans.core import ORACLE, QUERIES, Ctx  # noqa: F401
 from tarmac.plans.queries_baselines import _m1_parts, _ravg90, _split, _study  # noqa: F401
