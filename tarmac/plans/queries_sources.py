@@ -50,3 +50,26 @@ def _features_parquet(c: Ctx) -> DataFrame:
     path = _folder(c, "features")
     sinks.write_features(c.features("left"), path)
     return c.spark.read.parquet(path)
+
+
+@query("weather_csv_roundtrip", compose("""
+select station_id, time, cast(null as double) as dwpt, rhum, prcp, cast(null as double) as snow,
+  wdir, wspd, cast(null as double) as wpgt, pres, cast(null as double) as tsun, temp, coco
+from fx_weather""", "fx_weather"))
+def _weather_csv(c: Ctx) -> DataFrame:
+    """Hourly weather as gzip CSV files per station (year, month, day, hour and
+    the measures present - dwpt, snow, wpgt, tsun absent), read back in one
+    scan: absent measures NULL, time built in UTC."""
+    from tarmac.functions.timeparts import to_ntz
+    from tarmac.operators.features import MEASURES
+    from tarmac.sources import weather as ws
+    w = c.weather
+    t = F.col("time").cast("timestamp")
+    out = w.select("station_id", F.year(t).alias("year"), F.month(t).alias("month"),
+                   F.dayofmonth(t).alias("day"), F.hour(t).alias("hour"),
+                   *[m for m in MEASURES if m in w.columns], "coco")
+    path = _folder(c, "weather-csv")
+    (out.repartition("station_id").write.partitionBy("station_id").option("header", True)
+     .option("compression", "gzip").csv(path))
+    back = ws.read_weather(c.spark, path)
+    return back.select("station_id", to_ntz(F.col("time")).alias("time"), *MEASURES, "coco")

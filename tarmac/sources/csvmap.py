@@ -12,6 +12,7 @@ layouts union cleanly.
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -89,12 +90,16 @@ def _parse(raw: DataFrame, max_columns: int) -> DataFrame:
     return parsed.select("file", F.array(*[F.col(f"r.c{i}") for i in range(max_columns)]).alias("fields"))
 
 
-def _is_header(marker_column: str):
-    return F.coalesce(F.array_contains(F.col("fields"), F.lit(marker_column)), F.lit(False))
+def _is_header_line(marker_column: str):
+    """A header line holds the marker column name as one of its fields. Tested
+    on the raw text: a predicate on the parsed fields would be pushed below
+    the parse and re-parse the line once per field."""
+    pattern = r'(^|,)\s*"?' + re.escape(marker_column) + r'"?\s*(,|$)'
+    return F.coalesce(F.col("value").rlike(pattern), F.lit(False))
 
 
 def _maps(raw: DataFrame, headers: DataFrame, marker_column: str, max_columns: int) -> DataFrame:
-    data = _parse(raw, max_columns).where(~_is_header(marker_column))
+    data = _parse(raw.where(~_is_header_line(marker_column)), max_columns)
     headers = headers.withColumn(
         "_n", F.size(F.filter("header", lambda x: x.isNotNull() & (x != F.lit("")))))
     j = data.join(headers, "file")
@@ -107,8 +112,7 @@ def csv_lines_to_maps(raw: DataFrame, marker_column: str,
     """Same maps for a bounded frame of (file, value) lines, e.g. one stream
     micro-batch: headers are taken from the lines themselves (persist the
     frame first - it is read twice)."""
-    parsed = _parse(raw, max_columns)
-    headers = (parsed.where(_is_header(marker_column))
+    headers = (_parse(raw.where(_is_header_line(marker_column)), max_columns)
                .select("file", F.col("fields").alias("header")).dropDuplicates(["file"]))
     # one row per file of the batch (at most maxFilesPerTrigger files)
     return _maps(raw, F.broadcast(headers), marker_column, max_columns)

@@ -23,7 +23,10 @@ def station_file(root: str, year: int, station_id: str) -> str:
 def read_weather(spark: SparkSession, paths: str | Sequence[str], year: int | None = None,
                  month: int | None = None) -> DataFrame:
     maps = read_csv_maps(spark, paths, "year")
-    station = F.regexp_extract(F.col("file"), r"([^/]+?)(\.csv)?(\.gz)?$", 1)
+    # station id: a ``station_id=<id>`` folder when present, else the file name
+    folder = F.regexp_extract(F.col("file"), r"station_id=([^/]+)/", 1)
+    station = F.when(folder != "", folder).otherwise(
+        F.regexp_extract(F.col("file"), r"([^/]+?)(\.csv)?(\.gz)?$", 1))
     y, m, d, h = (field(c, "int") for c in ("year", "month", "day", "hour"))
     time = F.make_timestamp(y, m, d, h, F.lit(0), F.lit(0), F.lit("UTC"))
     df = maps.select(time.alias("time"), station.alias("station_id"),

@@ -12,7 +12,7 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from tarmac.session import get_session
-    s = get_session("local[4]", 4, extra={"spark.default.parallelism": "4", "spark.driver.memory": "6g"})
+    s = get_session("local[4]", 4, extra={"spark.default.parallelism": "4", "spark.driver.memory": "2g"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
