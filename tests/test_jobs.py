@@ -61,3 +61,22 @@ def test_study_window_prunes_month_partitions(spark, tmp_path):
     with contextlib.redirect_stdout(buf):
         w.explain()
     assert "PartitionFilters: [" in buf.getvalue() and "month" in buf.getvalue().split("PartitionFilters: [")[1][:400]
+
+
+def test_train_baseline_on_partitioned_features(spark, tmp_path):
+    import math
+
+    import pytest
+
+    from conftest import SF001
+    from tarmac.operators.features import FEATURE_COLUMNS
+    from tarmac.plans.fixtures import fx_history
+    from tarmac.sources.sinks import write_features
+    root = str(tmp_path / "features")
+    write_features(fx_history(spark, SF001).select(*FEATURE_COLUMNS), root)
+    train_months = [(2000, m) for m in range(1, 13)]
+    row = jobs.train_baseline(spark, root, train_months, (2001, 1)).first()
+    assert all(math.isfinite(row[c]) for c in ("baseline30d_mae", "glmnet_mae", "glmnet_rmse"))
+    assert row.glmnet_rmse >= row.glmnet_mae
+    with pytest.raises(ValueError, match="Missing test"):
+        jobs.train_baseline(spark, root, train_months, (2030, 1))
