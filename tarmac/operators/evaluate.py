@@ -21,7 +21,12 @@ def error_metrics(pred: DataFrame, truth_col: str, pred_col: str,
                   group_cols: Sequence[str] = ("model", "split"), digits: int | None = 6) -> DataFrame:
     group_cols = list(group_cols)
     err = F.col(pred_col).cast("double") - F.col(truth_col).cast("double")
-    base = pred.select(*group_cols, err.alias("_err")).withColumn("_ae", F.abs("_err"))
+    # the two quantile passes read this narrow projection; materialize it once
+    # instead of recomputing the predictions upstream twice
+    from tarmac.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(pred.sparkSession)
+    base = (pred.select(*group_cols, err.alias("_err")).withColumn("_ae", F.abs("_err"))
+            .checkpoint(eager=True))
     out = exact_quantiles(
         base, group_cols, "_ae", [0.5, 0.9], ["median_ae", "p90_ae"],
         extra_aggs=[F.count(F.lit(1)).alias("n"), F.avg("_ae").alias("mae"),

@@ -258,7 +258,7 @@ def prepare_tree(split_df: DataFrame):
 
 
 def gbt_run(split_df: DataFrame, max_rounds: int = 1000, patience: int = 40, seed: int = 42,
-            model_name: str = MODEL_TREE, first_rounds: int = 100) -> TreeResult:
+            model_name: str = MODEL_TREE, first_rounds: int | None = None) -> TreeResult:
     x, levels = prepare_tree(split_df)
     x = _cut_lineage(x)
     train = x.where(F.col("split") == "train").select("features", TARGET)
@@ -267,7 +267,7 @@ def gbt_run(split_df: DataFrame, max_rounds: int = 1000, patience: int = 40, see
     max_levels = max(len(v) for v in levels.values())
     gbt = GBTRegressor(featuresCol="features", labelCol=TARGET, lossType="squared", maxDepth=6,
                        stepSize=0.05, minInstancesPerNode=100, subsamplingRate=0.8,
-                       featureSubsetStrategy="0.8", maxIter=first_rounds, seed=seed,
+                       featureSubsetStrategy="0.8", maxIter=max_rounds, seed=seed,
                        maxBins=max(32, max_levels), checkpointInterval=10)
     # Rounds are fitted in growing chunks until the patience rule triggers
     # inside the fitted curve (or the round limit is reached): with a fixed
@@ -275,7 +275,9 @@ def gbt_run(split_df: DataFrame, max_rounds: int = 1000, patience: int = 40, see
     # long fit stopped early, without fitting hundreds of unused rounds. A
     # curve still improving at its end doubles; otherwise best + patience
     # rounds settle it.
-    rounds = min(first_rounds, max_rounds)
+    # a first chunk of twice the patience settles any curve whose best round
+    # comes within the first `patience` rounds in a single fit
+    rounds = min(first_rounds or 2 * patience, max_rounds)
     while True:
         model = gbt.copy({gbt.maxIter: rounds}).fit(train)
         curve = model.evaluateEachIteration(valid, "absolute")
