@@ -103,6 +103,17 @@ def design_entries(x: DataFrame, names: list[str], keep: Sequence[str]) -> DataF
             .select(*keep, "term", "value"))
 
 
+def fit_all(estimator, dataset: DataFrame, param_maps: list, parallelism: int = 4) -> dict:
+    """``fitMultiple`` drained by a few threads (its iterator is thread-safe),
+    as ``CrossValidator(parallelism=...)`` does: small fits overlap instead of
+    queueing one Spark job after another."""
+    from concurrent.futures import ThreadPoolExecutor
+    it = estimator.fitMultiple(dataset, param_maps)
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(param_maps)))) as pool:
+        pairs = list(pool.map(lambda _: next(it), range(len(param_maps))))
+    return dict(pairs)
+
+
 def lambda_grid(train: DataFrame, n: int = 20, span: float = 1e4) -> list[float]:
     """Log-spaced penalties from ``100 sd(y)`` down by ``span`` (the usual
     ratio of a ridge path's smallest to largest penalty when rows outnumber
@@ -130,7 +141,7 @@ def ridge_path(split_df: DataFrame, keep: Sequence[str] = ("flight_id", "split")
     lr = LinearRegression(featuresCol="features", labelCol=TARGET, elasticNetParam=0.0,
                           standardization=True, solver="auto")
     maps = [{lr.regParam: lam} for lam in lambdas]
-    models = dict(lr.fitMultiple(train, maps))
+    models = fit_all(lr, train, maps)
     scored = None
     for i, lam in enumerate(lambdas):
         s = models[i].transform(valid).select(F.lit(lam).alias("lambda"), TARGET, "prediction")
