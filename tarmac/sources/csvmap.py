@@ -64,13 +64,18 @@ def first_line(spark: SparkSession, file: str) -> str | None:
         reader.close()
 
 
-def header_table(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+def header_rows(spark: SparkSession, files: Sequence[str]) -> list:
+    """(file, column names) of every file, from its first line."""
     rows = []
     for f in files:
         line = first_line(spark, f)
         if line is not None:
             rows.append((f, [h.strip() for h in next(csv.reader([line.lstrip("﻿")]))]))
-    return spark.createDataFrame(rows, "file string, header array<string>")
+    return rows
+
+
+def header_table(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    return spark.createDataFrame(header_rows(spark, files), "file string, header array<string>")
 
 
 def read_csv_maps(spark: SparkSession, paths: str | Sequence[str], marker_column: str,
@@ -78,11 +83,14 @@ def read_csv_maps(spark: SparkSession, paths: str | Sequence[str], marker_column
     """Rows ``(file, fields)`` with ``fields: map<string,string>`` per data line."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     files = list_files(spark, paths)
-    headers = header_table(spark, files)
+    rows = header_rows(spark, files)
+    headers = spark.createDataFrame(rows, "file string, header array<string>")
     if len(files) <= DEFAULT_MAX_BROADCAST_ROWS:       # one row per file
         headers = F.broadcast(headers)
+    # parse only as many fields as the widest header names
+    width = min(max_columns, max((len(h) for _, h in rows), default=1))
     raw = spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), "value")
-    return _maps(raw, headers, marker_column, max_columns)
+    return _maps(raw, headers, marker_column, width)
 
 
 def _parse(raw: DataFrame, max_columns: int) -> DataFrame:
@@ -112,10 +120,13 @@ def csv_lines_to_maps(raw: DataFrame, marker_column: str,
     """Same maps for a bounded frame of (file, value) lines, e.g. one stream
     micro-batch: headers are taken from the lines themselves (persist the
     frame first - it is read twice)."""
-    headers = (_parse(raw.where(_is_header_line(marker_column)), max_columns)
-               .select("file", F.col("fields").alias("header")).dropDuplicates(["file"]))
-    # one row per file of the batch (at most maxFilesPerTrigger files)
-    return _maps(raw, F.broadcast(headers), marker_column, max_columns)
+    # one header row per file of the batch (at most maxFilesPerTrigger files)
+    rows = [(r["file"], [h.strip() for h in r["fields"] if h is not None and h.strip()])
+            for r in _parse(raw.where(_is_header_line(marker_column)), max_columns)
+            .dropDuplicates(["file"]).collect()]
+    headers = raw.sparkSession.createDataFrame(rows, "file string, header array<string>")
+    width = min(max_columns, max((len(h) for _, h in rows), default=1))
+    return _maps(raw, F.broadcast(headers), marker_column, width)
 
 
 def field(name: str, dtype: str = "string") -> F.Column:
