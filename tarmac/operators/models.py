@@ -241,6 +241,27 @@ def best_round(curve: Sequence[float], patience: int = 40) -> int:
     return best_i + 1
 
 
+# Up to this many kept trees, predictions come from the fitted model's first
+# trees; beyond it (a very long plan of tree columns) the k-round model is refit.
+MAX_PREFIX_TREES = 200
+
+
+def predict_first_trees(model, df: DataFrame, k: int, out_col: str = "pred") -> DataFrame:
+    """Prediction of the first ``k`` trees of a fitted boosted model: the
+    weighted sum of their outputs. With a fixed seed a k-round fit grows the
+    same k trees, so this equals its prediction without refitting."""
+    trees, weights = model.trees[:k], model.treeWeights[:k]
+    cur, names = df, []
+    for i, tree in enumerate(trees):
+        name = f"_tree{i}"
+        cur = tree.copy({tree.predictionCol: name}).transform(cur)
+        names.append(name)
+    total = F.lit(0.0)
+    for name, w in zip(names, weights):
+        total = total + F.col(name) * F.lit(float(w))
+    return cur.withColumn(out_col, total).drop(*names)
+
+
 @dataclass
 class TreeResult:
     best_iteration: int
@@ -296,10 +317,16 @@ def gbt_run(split_df: DataFrame, max_rounds: int = 1000, patience: int = 40, see
         if k + patience <= len(curve) or rounds >= max_rounds:
             break
         rounds = min(max_rounds, k + patience if k < rounds else 2 * rounds)
-    if k < rounds:
+    if k == rounds:
+        vp = model.transform(valid).withColumnRenamed("prediction", "pred")
+        tp = model.transform(test).withColumnRenamed("prediction", "pred")
+    elif k <= MAX_PREFIX_TREES:
+        vp = predict_first_trees(model, valid, k, "pred")
+        tp = predict_first_trees(model, test, k, "pred")
+    else:
         model = gbt.copy({gbt.maxIter: k}).fit(train)
-    vp = model.transform(valid).withColumnRenamed("prediction", "pred")
-    tp = model.transform(test).withColumnRenamed("prediction", "pred")
+        vp = model.transform(valid).withColumnRenamed("prediction", "pred")
+        tp = model.transform(test).withColumnRenamed("prediction", "pred")
     metrics = error_metrics(vp.unionByName(tp).withColumn("model", F.lit(model_name)), TARGET, "pred")
     return TreeResult(k, vp.drop("features"), tp.drop("features"), metrics)
 

@@ -37,3 +37,16 @@ def test_unseen_levels_still_score(spark):
     sp = R._split(R.Ctx(spark, SF001))
     res = mdl.ridge_path(sp, n_lambdas=3)
     assert res.valid_pred.count() == sp.where(F.col("split") == "validation").count()
+
+
+def test_first_trees_prediction_equals_refit(spark):
+    from pyspark.ml.regression import GBTRegressor
+    x, _ = mdl.prepare_tree(R._split(R.Ctx(spark, SF001)))
+    train = x.where(F.col("split") == "train")
+    g = GBTRegressor(featuresCol="features", labelCol="dep_delay_min", maxDepth=3, stepSize=0.1,
+                     minInstancesPerNode=5, subsamplingRate=0.8, seed=42, maxBins=32)
+    full = g.copy({g.maxIter: 12}).fit(train)
+    short = g.copy({g.maxIter: 5}).fit(train)
+    a = {r.flight_id: r.pred for r in mdl.predict_first_trees(full, x, 5, "pred").collect()}
+    b = {r.flight_id: r.prediction for r in short.transform(x).collect()}
+    assert a.keys() == b.keys() and all(abs(a[i] - b[i]) < 1e-9 for i in a)
