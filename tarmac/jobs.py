@@ -67,7 +67,8 @@ def build_features_range(spark: SparkSession, flights_root: str, weather_files:
                          airports_csv: str, stations_json: str, out_root: str, start: str,
                          end: str, overwrite: bool = False, how: str = "left",
                          stations_cache: str | None = None,
-                         hour_basis: str = "session") -> list[tuple[int, int]]:
+                         hour_basis: str = "session",
+                         strategy: str = "skew_safe") -> list[tuple[int, int]]:
     """Features for every pending month of ``start..end`` in one job.
     ``hour_basis="airport"`` takes hour and weekday on the airport's clock."""
     configure(spark)
@@ -86,7 +87,8 @@ def build_features_range(spark: SparkSession, flights_root: str, weather_files:
     hi = F.date_add(F.last_day(F.make_date(F.lit(y1), F.lit(m1), F.lit(1))), 3).cast("timestamp")
     weather = ws.read_weather(spark, weather_files).where(
         (F.col("time") >= lo) & (F.col("time") < hi))
-    out = feat.build_features(flights, smap, weather, how=how, hour_basis=hour_basis)
+    out = feat.build_features(flights, smap, weather, how=how, hour_basis=hour_basis,
+                              strategy=strategy)
     sinks.write_features(out, out_root)
     return months
 
