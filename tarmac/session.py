@@ -27,12 +27,16 @@ DEFAULT_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "tarmac", extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with UTC, AQE and skew-join handling on."""
+                app_name: str = "tarmac", extra: dict | None = None,
+                input_bytes: float | None = None, total_cores: int | None = None) -> SparkSession:
+    """Build (or reuse) a session with UTC, AQE and skew-join handling on.
+    With ``input_bytes`` and ``total_cores`` the sizing of ``scale_conf`` applies."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if input_bytes and total_cores:
+        conf.update(scale_conf(input_bytes, total_cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

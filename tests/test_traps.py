@@ -222,3 +222,12 @@ def test_model_input_guards(spark):
     sp = flt.chrono_split(flt.study_window(df, "2022-01-01", "2023-01-01"),
                           [("train", "2022-01-01", "2022-03-01"), ("test", "2022-03-01", "2022-04-01")])
     assert [r.split for r in sp.collect()] == ["test"]
+
+
+def test_scale_conf_sizing():
+    from tarmac.session import scale_conf
+    big = scale_conf(100e12, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) >= 100e12 / (256 << 20)
+    small = scale_conf(1e6, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24          # three waves of 8 cores
+    assert big["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 << 20)
