@@ -24,10 +24,21 @@ def local_schedule(flight_date: Column, hhmm: Column) -> Column:
                           flight_date.cast("date").cast("timestamp_ntz"))
 
 
-def sched_dep_utc(flight_date: Column, hhmm: Column, tz: Column) -> Column:
-    """Scheduled departure as a UTC instant (TIMESTAMP). In a DST overlap the
-    earlier instant is taken (Spark's rule)."""
-    return F.to_utc_timestamp(local_schedule(flight_date, hhmm), tz)
+def sched_dep_utc(flight_date: Column, hhmm: Column, tz: Column,
+                  dst_overlap: str = "later") -> Column:
+    """Scheduled departure as a UTC instant (TIMESTAMP).
+
+    A wall-clock time that occurs twice (DST fall-back hour) resolves to the
+    later instant by default, as the published pipeline's engine does;
+    ``dst_overlap="earlier"`` keeps Spark's own choice. Non-existent times
+    (spring-forward gap) shift forward in both."""
+    local = local_schedule(flight_date, hhmm)
+    early = F.to_utc_timestamp(local, tz)
+    if dst_overlap == "earlier":
+        return early
+    late = early + F.make_dt_interval(F.lit(0), F.lit(1))
+    ambiguous = F.from_utc_timestamp(late, tz) == local.cast("timestamp")
+    return F.when(ambiguous, late).otherwise(early)
 
 
 def crs_dep_hour(flight_date: Column, hhmm: Column) -> Column:

@@ -28,10 +28,22 @@ def test_hhmm_parsing_and_2400(spark):
 
 
 def test_dst_gap_and_overlap(spark):
-    df = spark.createDataFrame([("2022-03-13", "0230"), ("2022-11-06", "0130")], "d string, h string")
-    got = [r[0] for r in df.select(tp.to_ntz(tp.sched_dep_utc(
-        F.col("d").cast("date"), F.col("h"), F.lit("America/New_York")))).collect()]
-    assert got == [dt.datetime(2022, 3, 13, 7, 30), dt.datetime(2022, 11, 6, 5, 30)]
+    import duckdb
+    rows = [("2022-03-13", "0230"), ("2022-11-06", "0130"), ("2022-11-06", "0030"),
+            ("2022-11-06", "0200"), ("2022-11-06", "0059"), ("2022-07-01", "1200")]
+    df = spark.createDataFrame(rows, "d string, h string")
+    col = lambda how: tp.to_ntz(tp.sched_dep_utc(
+        F.col("d").cast("date"), F.col("h"), F.lit("America/New_York"), how))
+    later = [r[0] for r in df.select(col("later")).collect()]
+    earlier = [r[0] for r in df.select(col("earlier")).collect()]
+    assert later[:2] == [dt.datetime(2022, 3, 13, 7, 30), dt.datetime(2022, 11, 6, 6, 30)]
+    assert earlier[:2] == [dt.datetime(2022, 3, 13, 7, 30), dt.datetime(2022, 11, 6, 5, 30)]
+    con = duckdb.connect()
+    for (d, h), got in zip(rows, later):
+        y, m, dd = map(int, d.split("-"))
+        want = con.execute(f"select make_timestamptz({y}, {m}, {dd}, {int(h[:2])}, {int(h[2:])}, 0.0, "
+                           f"'America/New_York') at time zone 'UTC'").fetchone()[0]
+        assert got == want, (d, h)
 
 
 def test_session_vs_airport_hour_and_dow(spark):
