@@ -11,4 +11,7 @@ def test_entry_runs(spark):
 def test_every_oracle_key_is_a_query():
     q, o = entry_mod.queries(), entry_mod.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 30
+    assert len(q) >= 66 and len(o) >= 61
+    rows_only = set(q) - set(o)
+    assert rows_only == {"ridge_metrics", "predictions", "elastic_net_metrics", "gbt_metrics",
+                         "metrics_comparison"}
