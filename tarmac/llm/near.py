@@ -8,12 +8,12 @@ independent minima. Then:
 
 * documents with equal shingle sets form a class; only class representatives go on;
 * ``BANDS`` bands of ``ROWS`` coordinates deal representatives into buckets;
-* round one compares every member with the smallest representative of its
-  buckets, round two all members of a bucket that are still in different
-  components. Both first compare the low bits of all coordinates (threshold 5.5
-  standard deviations below what similarity 0.75 gives), then confirm on the full
-  shingle sets. Pairs inside one component need no further look: they can't
-  change the components.
+* ``STARS`` rounds compare every member with one leader of each of its buckets (the
+  smallest id, then others by hash), the last step all members of a bucket that
+  are still in different components, each pair once. All first compare one bit of
+  every coordinate (threshold 5.5 standard deviations below what similarity 0.75
+  gives), then confirm on the full shingle sets. Pairs inside one component need
+  no further look: they can't change the components.
 
 A pair at similarity 0.75 shares no band with probability (1 - 0.75**3)**24 =
 2e-6 and fails the bit test with about 2e-7.
@@ -34,36 +34,41 @@ from pyspark.sql import functions as F
 from tarmac.llm import textops
 from tarmac.llm.base import Scratch, components
 
-T, BANDS, ROWS = 128, 24, 3
+T, BANDS, ROWS = 512, 24, 3
 THRESHOLD = 75  # percent
-#: bits of 128 that may differ: 0.875 of them agree at similarity 0.75
-MAX_BITS = 128 - int(0.875 * 128 - 5.5 * (128 * 0.875 * 0.125) ** 0.5)
+#: bits of T that may differ: 0.875 of them agree at similarity 0.75
+MAX_BITS = T - int(0.875 * T - 5.5 * (T * 0.875 * 0.125) ** 0.5)
+_BITS = [f"s{k}" for k in range(T // 64)]
+STARS = 3  # rounds against one leader per bucket
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
 def sketch(s: np.ndarray, t: int = T) -> np.ndarray:
-    """Coordinates of a non-empty set of 64-bit hashes: ``round << 32 | value``."""
-    out = np.full(t, np.iinfo(np.uint64).max, np.uint64)
-    empty = t
-    for i in range(2 * t):
-        with np.errstate(over="ignore"):
-            h = textops.mix64(s + _M * np.uint64(i + 1))
-        val = (np.uint64(i) << np.uint64(32)) | (h >> np.uint64(32))
-        if i < t:
-            np.minimum.at(out, (h & np.uint64(0xFFFFFFFF)) % np.uint64(t), val)
-        else:
-            out[i - t] = min(out[i - t], val.min())
-        if i < t and len(s) * (i + 1) < t:
-            continue
-        empty = int((out == np.iinfo(np.uint64).max).sum())
-        if not empty:
-            break
+    """Coordinates of a non-empty set of 64-bit hashes: ``round << 32 | value``.
+    Rounds run in batches; a round after the last one needed can't lower a minimum."""
+    free = np.iinfo(np.uint64).max
+    out = np.full(t, free, np.uint64)
+    i, at_once = 0, max(1, 4096 // len(s))
+    while i < t:
+        k = np.arange(i, min(i + at_once, t), dtype=np.uint64)[:, None]
+        h, val = _throw(s, k)
+        np.minimum.at(out, ((h & np.uint64(0xFFFFFFFF)) % np.uint64(t)).ravel(), val.ravel())
+        i = int(k[-1, 0]) + 1
+        if len(s) * i >= t and not (out == free).any():
+            return out
+    empty = np.flatnonzero(out == free)
+    out[empty] = _throw(s, (empty + t).astype(np.uint64)[:, None])[1].min(1)
     return out
 
 
+def _throw(s: np.ndarray, rounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    with np.errstate(over="ignore"):
+        h = textops.mix64(s[None] + _M * (rounds + np.uint64(1)))
+    return h, rounds << np.uint64(32) | h >> np.uint64(32)
+
+
 _SIG = pa.schema([("_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()),
-                  ("s1", pa.int64()), ("s2", pa.int64()), ("bands", pa.list_(pa.int64()))])
-_BIT = np.uint64(1) << np.arange(64, dtype=np.uint64)
+                  *[(b, pa.int64()) for b in _BITS], ("bands", pa.list_(pa.int64()))])
 
 
 def _signatures(batches):
@@ -73,18 +78,17 @@ def _signatures(batches):
             rows = []
             for i, s in zip(ids, textops.shingle_sets(b.column(1))):
                 if not len(s):
-                    rows.append((i, 0, 0, 0, 0, 0, []))
+                    rows.append((i, 0, 0, 0, *[0] * len(_BITS), []))
                     continue
                 c = sketch(s)
                 m = textops.mix64(c)
                 band = m[:BANDS * ROWS].reshape(BANDS, ROWS)
                 key = textops.mix64(band[:, 0] * np.uint64(3) + band[:, 1] * np.uint64(5) + band[:, 2] * np.uint64(7)
                                     + np.arange(1, BANDS + 1, dtype=np.uint64) * _M)
-                odd = (m >> np.uint64(17)) & np.uint64(1)
-                bits = [int((odd[k:k + 64] * _BIT).sum(dtype=np.uint64)) for k in (0, 64)]
+                bits = np.packbits(((m >> np.uint64(17)) & np.uint64(1)).astype(bool)).view(np.int64).tolist()
                 h1 = int(s.sum(dtype=np.uint64))
                 h2 = int(textops.mix64(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64))
-                rows.append((i, len(s), *(np.array([h1, h2, *bits], np.uint64).view(np.int64).tolist()),
+                rows.append((i, len(s), *(np.array([h1, h2], np.uint64).view(np.int64).tolist()), *bits,
                              key.view(np.int64).tolist()))
                 if len(rows) >= 2000:
                     yield pa.RecordBatch.from_pylist([dict(zip(_SIG.names, r)) for r in rows], schema=_SIG)
@@ -118,31 +122,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: ``id_col, n_shingles, component_id, kept``."""
     scratch = Scratch(docs.sparkSession, "near")
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    sig = scratch.put(texts.mapInArrow(
-        _signatures, "_id long, n long, h1 long, h2 long, s1 long, s2 long, bands array<long>"), "sig")
+    bits = ", ".join(f"{b} long" for b in _BITS)
+    sig = scratch.put(texts.mapInArrow(_signatures, f"_id long, n long, h1 long, h2 long, {bits}, bands array<long>"), "sig")
     live = sig.where("n > 0 and _id is not null")
-    classes = scratch.put(live.groupBy("h1", "h2", "n").agg(
-        F.min(F.struct("_id", "s1", "s2", "bands")).alias("r"), F.count("*").alias("copies"))
-        .select("h1", "h2", "n", "copies", "r.*"), "classes")
-    member = classes.select("_id", "s1", "s2", F.explode("bands").alias("bucket"))
-    lead = (member.groupBy("bucket").agg(F.min(F.struct("_id", "s1", "s2")).alias("l"), F.count("*").alias("m"))
-            .where("m > 1").select("bucket", "l"))
-    shared = scratch.put(member.join(lead, "bucket"), "shared")
-    bits = "bit_count(s1 ^ {0}s1) + bit_count(s2 ^ {0}s2) <= " + str(MAX_BITS)
-    star = scratch.put(shared.where("l._id <> _id").where(bits.format("l."))
-                       .select(F.col("l._id").alias("a"), F.col("_id").alias("b")).distinct(), "star")
-    edges = scratch.put(_verified(star, texts), "links")
-    comp = components(edges, scratch)
-    # members of buckets that still hold several components, against each other
-    open_ = _label(shared.select("bucket", "_id", "s1", "s2"), comp)
-    mixed = open_.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
-    rest = scratch.put(open_.join(mixed.select("bucket"), "bucket"), "mixed")
-    x = rest.select("bucket", *(F.col(c).alias("x" + c) for c in ("_id", "s1", "s2", "comp")))
-    y = rest.select("bucket", "_id", "s1", "s2", "comp")
-    cross = (x.join(y, "bucket").where("x_id < _id and xcomp <> comp").where(bits.format("x"))
-             .select(F.col("x_id").alias("a"), F.col("_id").alias("b")).distinct()
-             .join(star, ["a", "b"], "left_anti"))
-    more = scratch.put(_verified(scratch.put(cross, "cross"), texts), "links2")
+    classes = scratch.put(live.groupBy("h1", "h2", "n").agg(F.min(F.struct("_id", *_BITS, "bands")).alias("r"))
+                          .select("h1", "h2", "n", "r.*"), "classes")
+    member = classes.select("_id", *_BITS, F.posexplode("bands").alias("band", "bucket"))
+    many = member.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket")
+    shared = scratch.put(member.join(many, "bucket"), "shared")
+    comp, edges, tried = None, None, None
+    for turn in range(STARS):  # every member against its buckets' leader, another leader each time
+        rows = shared if comp is None else _open(shared, comp, scratch)
+        by = F.struct(*([F.xxhash64("_id", F.lit(turn)).alias("o")] if turn else []), "_id", *_BITS)
+        lead = rows.groupBy("bucket").agg(F.min(by).alias("l")).select("bucket", F.col("l._id").alias("l_id"), *[F.col(f"l.{b}").alias(f"l{b}") for b in _BITS])
+        pairs = (rows.select("bucket", "_id", *_BITS).join(lead, "bucket").where("l_id <> _id").where(_alike("l"))
+                 .select(F.least("l_id", "_id").alias("a"), F.greatest("l_id", "_id").alias("b")).distinct())
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = scratch.put(pairs, "star")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = scratch.put(_verified(pairs, texts), "links")
+        edges = links if edges is None else edges.unionByName(links)
+        comp = components(edges, scratch)
+    # what still stands in several components of one bucket: each pair once, in the first bucket it shares
+    rest = _open(shared, comp, scratch).join(classes.select("_id", "bands"), "_id")
+    x = rest.select("bucket", "band", *(F.col(c).alias("x" + c) for c in ("_id", "comp", "bands", *_BITS)))
+    first = "array_position(zip_with(xbands, bands, (p, q) -> p = q), true) = band + 1"
+    cross = (x.join(rest.drop("band"), "bucket").where("x_id < _id and xcomp <> comp").where(_alike("x")).where(first)
+             .select(F.col("x_id").alias("a"), F.col("_id").alias("b")).join(tried, ["a", "b"], "left_anti"))
+    more = scratch.put(_verified(scratch.put(cross, "cross"), texts), "links")
     if not more.isEmpty():
         comp = components(edges.unionByName(more), scratch)
     final = _label(classes.select("h1", "h2", "n", "_id"), comp).select("h1", "h2", "n", "comp")
@@ -152,6 +160,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       (F.col("_id").eqNullSafe(F.col("comp"))).alias("kept"))
 
 
+def _alike(prefix: str) -> str:
+    return " + ".join(f"bit_count({b} ^ {prefix}{b})" for b in _BITS) + f" <= {MAX_BITS}"
+
+
+def _open(shared: DataFrame, comp: DataFrame, scratch: Scratch) -> DataFrame:
+    """Members of buckets that still hold several components."""
+    rows = _label(shared, comp)
+    mixed = rows.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
+    return scratch.put(rows.join(mixed, "bucket"), "open")
+
+
 def _label(df: DataFrame, comp: DataFrame) -> DataFrame:
     return (df.join(comp.select(F.col("id").alias("_k"), "comp"), F.col("_id") == F.col("_k"), "left")
             .withColumn("comp", F.coalesce("comp", "_id")).drop("_k"))

@@ -67,6 +67,21 @@ def slices(arr: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         i = j
 
 
+def word_endings(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """A hash of the last two bytes (lower-cased) of each word."""
+    word = ~_SPACE[data]
+    first = np.zeros(len(data) + 1, bool)
+    first[offs[:-1]] = True
+    first = first[:len(data)]
+    end = word.copy()
+    end[:-1] &= ~word[1:] | first[1:]
+    e = np.flatnonzero(end)
+    alone = first[e] | (e == 0)
+    before = data[np.maximum(e - 1, 0)]
+    with np.errstate(over="ignore"):
+        return mix64(_BYTE[data[e]] * _U(3) + np.where(alone, _U(0), _BYTE[before]))
+
+
 def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, first word of each row with the total at the end)."""
     word = ~_SPACE[data]
