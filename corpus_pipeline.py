@@ -5,13 +5,60 @@ returns the next stage's documents. ``run`` writes every stage's result as
 Parquet into the cluster's shared folder and rereads it as the next one's input,
 so a lost executor re-reads files instead of repeating earlier stages. All but
 the last stage return the columns of ``documents``; the last returns pieces of
-packed sequences."""
+packed sequences.
+
+A row without an id can't be judged by the keyed stages' joins and is kept by the
+first two stages; texts may be null or empty in every stage (see the operators)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: pipeline mixing: no source is drawn more than this many times as often as the least drawn one
+MAX_REPEAT = 1.25
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier doesn't reject."""
+    from tarmac.llm.queries import importable
+    from tarmac.llm.toxicity import toxicity
+
+    importable(spark)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    bad = toxicity(docs, labels).where("predicted = 1").select("doc_id").distinct()
+    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every near-duplicate group: the one with the smallest id."""
+    from tarmac.llm.near import near_duplicates
+    from tarmac.llm.queries import importable
+
+    importable(spark)
+    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
-STAGES: list = []
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document at least once, small sources up to MAX_REPEAT times as often."""
+    from tarmac.llm.mixing import draw
+    from tarmac.llm.queries import importable
+
+    importable(spark)
+    return draw(docs, max_repeat=MAX_REPEAT)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of windows of 2048 tokens in the sources' proportions."""
+    from tarmac.llm.packing import pack
+    from tarmac.llm.queries import importable, pieces_digest
+
+    importable(spark)
+    return pieces_digest(pack(docs))
+
+
+STAGES = [("toxicity", toxicity_filter), ("near_dedup", near_dedup), ("mixing", mixing), ("packing", packing)]
 
 #: the classifier and the tokenizer of the stages have no SQL form
 ORACLE_SQL = None
@@ -20,9 +67,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     from tarmac.llm.base import Scratch
-    from tarmac.llm.queries import importable
 
-    importable(spark)
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:

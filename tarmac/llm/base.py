@@ -4,7 +4,10 @@ sources, and distributed connected components."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,3 +85,24 @@ def _follow(df: DataFrame, col: str, to: DataFrame) -> DataFrame:
     """``df`` with ``q``: where the map ``to`` sends ``df[col]``, itself if nowhere."""
     m = to.select(F.col("id").alias("_k"), F.col("p").alias("_p"))
     return df.join(m, F.col(col) == F.col("_k"), "left").withColumn("q", F.coalesce("_p", col)).drop("_k", "_p")
+
+
+def runs(batches, keys: list[str]) -> Iterator[pa.Table]:
+    """Runs of equal ``keys`` (integers) of sorted Arrow batches, one table each."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in keys])
+        cuts = np.append(np.flatnonzero((cols[:, 1:] != cols[:, :-1]).any(0)) + 1, b.num_rows).tolist()
+        at = 0
+        for end in cuts:
+            key = tuple(cols[:, at].tolist())
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(b.slice(at, end - at))
+            last, at = key, end
+    if held:
+        yield pa.Table.from_batches(held)

@@ -107,6 +107,6 @@ def draw(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
     that repeat an id are drawn alike)."""
     scratch = Scratch(docs.sparkSession, "draw")
     copies = mix(docs, id_col, scratch=scratch, **kw).groupBy(F.col(id_col).alias("_id")).agg(F.max("copies").alias("_c"))
-    drawn = docs.join(copies, docs[id_col].eqNullSafe(F.col("_id"))).where("_c > 0")
-    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_c"))).alias("_time")
-    return drawn.select(*[docs[c] for c in docs.columns], times).drop("_time")
+    drawn = docs.join(copies, docs[id_col].eqNullSafe(copies["_id"])).where(copies["_c"] > 0)
+    times = F.explode(F.sequence(F.lit(1).cast("long"), copies["_c"])).alias("_drawn_time")
+    return drawn.select(*[docs[c] for c in docs.columns], times).drop("_drawn_time")

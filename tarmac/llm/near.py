@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm import textops
-from tarmac.llm.base import Scratch, components
+from tarmac.llm.base import Scratch, components, runs
 
 T, BANDS, ROWS = 512, 24, 3
 THRESHOLD = 75  # percent
@@ -40,6 +40,7 @@ THRESHOLD = 75  # percent
 MAX_BITS = T - int(0.875 * T - 5.5 * (T * 0.875 * 0.125) ** 0.5)
 _BITS = [f"s{k}" for k in range(T // 64)]
 STARS = 3  # rounds against one leader per bucket
+BLOCK = 1024  # members of a bucket that meet in one task
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -144,15 +145,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         links = scratch.put(_verified(pairs, texts), "links")
         edges = links if edges is None else edges.unionByName(links)
         comp = components(edges, scratch)
-    # what still stands in several components of one bucket: each pair once, in the first bucket it shares
-    rest = _open(shared, comp, scratch).join(classes.select("_id", "bands"), "_id")
-    x = rest.select("bucket", "band", *(F.col(c).alias("x" + c) for c in ("_id", "comp", "bands", *_BITS)))
-    first = "array_position(zip_with(xbands, bands, (p, q) -> p = q), true) = band + 1"
-    cross = (x.join(rest.drop("band"), "bucket").where("x_id < _id and xcomp <> comp").where(_alike("x")).where(first)
-             .select(F.col("x_id").alias("a"), F.col("_id").alias("b")).join(tried, ["a", "b"], "left_anti"))
-    more = scratch.put(_verified(scratch.put(cross, "cross"), texts), "links")
-    if not more.isEmpty():
-        comp = components(edges.unionByName(more), scratch)
+    edges = edges.unionByName(_remaining(_open(shared, comp, scratch), classes, texts, scratch))
+    comp = components(edges, scratch)
     final = _label(classes.select("h1", "h2", "n", "_id"), comp).select("h1", "h2", "n", "comp")
     out = (sig.where("n = 0 or _id is null").select("_id", "n", F.col("_id").alias("comp")).unionByName(
         live.join(final, ["h1", "h2", "n"]).select("_id", "n", "comp")))
@@ -165,10 +159,87 @@ def _alike(prefix: str) -> str:
 
 
 def _open(shared: DataFrame, comp: DataFrame, scratch: Scratch) -> DataFrame:
-    """Members of buckets that still hold several components."""
+    """Members of buckets that still hold several components, with the bucket's size."""
     rows = _label(shared, comp)
-    mixed = rows.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
-    return scratch.put(rows.join(mixed, "bucket"), "open")
+    mixed = rows.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m")).where("x <> y")
+    return scratch.put(rows.join(mixed.select("bucket", "m"), "bucket"), "open")
+
+
+def _remaining(rows: DataFrame, classes: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links between members of one open bucket that stand in different components.
+
+    A bucket's members are dealt into blocks; every two blocks meet in one task.
+    The first pass names, per member, the partners that pass the bit test (each pair
+    in the first bucket it shares only); the second fetches the texts of named
+    members and confirms on full sets. Pairs are arrays inside rows; both passes
+    return at most one row per member and two blocks, and one per link that joins
+    components."""
+    key = ["bucket", "bi", "bj"]
+    rows = rows.join(classes.select("_id", "bands"), "_id")
+    nb = F.ceil(F.col("m") / BLOCK).cast("long")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("_id"), nb)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), nb - 1)))
+    rows = rows.select(F.col("bucket"), F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block",
+                       "band", "_id", "comp", "bands", *_BITS)
+    named = scratch.put(rows.repartition("bucket", "bi", "bj").sortWithinPartitions(*key).mapInArrow(
+        _name_partners, "bucket long, bi long, bj long, _id long, comp long, partners array<long>"), "named")
+    return scratch.put(named.join(texts, "_id").select(*key, "_id", "comp", "partners", "_text").repartition("bucket", "bi", "bj")
+                       .sortWithinPartitions(*key).mapInArrow(_confirm_partners, "a long, b long"), "links")
+
+
+def _name_partners(batches):
+    for t in runs(batches, ["bucket", "bi", "bj"]):
+        ids, comp, block = (t.column(c).to_numpy() for c in ("_id", "comp", "block"))
+        bits = np.stack([t.column(b).to_numpy() for b in _BITS], 1).view(np.uint64)
+        bands = t.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), BANDS)
+        band, two = int(t.column("band")[0].as_py()), t.column("bi")[0] != t.column("bj")[0]
+        partners: list = [None] * len(ids)
+        seen = np.zeros(len(ids), bool)
+        for i in range(len(ids)):
+            ok = (ids > ids[i]) & (comp != comp[i])
+            if two:
+                ok &= block != block[i]
+            j = np.flatnonzero(ok)
+            j = j[np.bitwise_count(bits[j] ^ bits[i]).sum(1, dtype=np.int64) <= MAX_BITS]
+            if len(j) and band:  # an earlier bucket of both has seen the pair
+                j = j[~(bands[j, :band] == bands[i, :band]).any(1)]
+            if len(j):
+                partners[i] = ids[j].tolist()
+                seen[i] = True
+                seen[j] = True
+        keep = np.flatnonzero(seen)
+        if len(keep):
+            t = t.take(pa.array(keep))
+            cols = [t.column(c).combine_chunks() for c in ("bucket", "bi", "bj", "_id", "comp")]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array([partners[k] or [] for k in keep], pa.list_(pa.int64()))],
+                                             ["bucket", "bi", "bj", "_id", "comp", "partners"])
+
+
+def _confirm_partners(batches):
+    for t in runs(batches, ["bucket", "bi", "bj"]):
+        ids, comp = t.column("_id").to_pylist(), t.column("comp").to_pylist()
+        at = {i: k for k, i in enumerate(ids)}
+        sets = list(textops.shingle_sets(t.column("_text")))
+        root = {c: c for c in comp}
+
+        def find(c):
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        links = []
+        for i, others in zip(ids, t.column("partners").to_pylist()):
+            for o in others:
+                p, q = find(comp[at[i]]), find(comp[at[o]])
+                if p == q:  # joined meanwhile: this pair can't change the components
+                    continue
+                x, y = sets[at[i]], sets[at[o]]
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * both >= THRESHOLD * (len(x) + len(y) - both):
+                    links.append((i, o))
+                    root[p] = q
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["a", "b"])
 
 
 def _label(df: DataFrame, comp: DataFrame) -> DataFrame:

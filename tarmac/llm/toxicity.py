@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
 1. Voters. From a bounded sample of labelled training rows (``MAX_LABELLED``,
-   smallest hashes first; copies of a text count once) take the words and word
+   smallest hashes first; copies and near copies of a text mostly count once) take the words and word
    beginnings that favour toxic texts, at most ``MAX_FEATURES``; they are dealt
    out to lexicon voters and pattern voters, beside voters for shouting,
    repeated marks, stretched letters and masked words. A voter votes toxic where
@@ -25,6 +25,7 @@ labels); repeated rows are scored each; an empty table gives an empty result."""
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -71,12 +72,14 @@ def learn_features(rows: DataFrame) -> list[bytes]:
     """The toxic features of labelled ``rows (text, toxic)``."""
     def work(batches):
         for b in batches:
-            fs = [list(features(x.as_py() or b"")) for x in b.column(0)]
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(fs, pa.list_(pa.binary()))],
+            raw = [x.as_py() or b"" for x in b.column(0)]
+            fs = [features(x) for x in raw]
+            # near copies mostly share the long word of the smallest hash: one text per such anchor
+            anchor = [min((zlib.crc32(w) for w in f if len(w) > 8 and w[:1] == b"w"), default=zlib.crc32(x)) for f, x in zip(fs, raw)]
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(anchor, pa.int64()), pa.array([sorted(f) for f in fs], pa.list_(pa.binary()))],
                                              ["toxic", "h", "fs"])
 
-    seen = (rows.select("text", "toxic", F.xxhash64("text").alias("h"))
-            .mapInArrow(work, "toxic int, h long, fs array<binary>").dropDuplicates(["h", "toxic"]))
+    seen = rows.select("text", "toxic").mapInArrow(work, "toxic int, h long, fs array<binary>").dropDuplicates(["h", "toxic"])
     n = seen.agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).first()
     if not n.t or not n.c:
         return []
