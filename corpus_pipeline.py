@@ -21,7 +21,7 @@ MAX_REPEAT = 1.25
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier doesn't reject."""
-    from tarmac.llm.queries import importable
+    from tarmac.session import importable
     from tarmac.llm.toxicity import toxicity
 
     importable(spark)
@@ -33,7 +33,7 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every near-duplicate group: the one with the smallest id."""
     from tarmac.llm.near import near_duplicates
-    from tarmac.llm.queries import importable
+    from tarmac.session import importable
 
     importable(spark)
     gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
@@ -43,7 +43,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once, small sources up to MAX_REPEAT times as often."""
     from tarmac.llm.mixing import draw
-    from tarmac.llm.queries import importable
+    from tarmac.session import importable
 
     importable(spark)
     return draw(docs, max_repeat=MAX_REPEAT)
@@ -52,7 +52,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of windows of 2048 tokens in the sources' proportions."""
     from tarmac.llm.packing import pack
-    from tarmac.llm.queries import importable, pieces_digest
+    from tarmac.llm.queries import pieces_digest
+    from tarmac.session import importable
 
     importable(spark)
     return pieces_digest(pack(docs))

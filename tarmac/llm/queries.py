@@ -2,30 +2,17 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.session import ensure_checkpoint_dir
+from tarmac.session import ensure_checkpoint_dir, importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-
-def importable(spark: SparkSession) -> None:
-    """Python workers find this package where the driver has it (the same path
-    on every node, as for any installed package), whatever their cwd."""
-    env = spark.sparkContext.environment
-    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if _ROOT not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
-
-
 def query(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:

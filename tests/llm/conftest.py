@@ -12,7 +12,7 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 @pytest.fixture(scope="session", autouse=True)
 def _workers(spark):
-    from tarmac.llm.queries import importable
+    from tarmac.session import importable
     importable(spark)
 
 
