@@ -30,38 +30,27 @@ def tagged_union(train: DataFrame, test: DataFrame) -> DataFrame:
             .unionByName(test.withColumn("split", F.lit("test")), allowMissingColumns=True))
 
 
-def _micros(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))
-
-
 def rolling_mean(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str,
-                 days: int = 30, gap_seconds: int = 1, out_col: str = "yhat30",
-                 method: str = "bucketed") -> DataFrame:
+                 days: int = 30, gap_seconds: int = 1, out_col: str = "trailing_avg",
+                 wanted: Column | None = None) -> DataFrame:
     """Mean of ``value_col`` over rows of the same key with time in
-    ``[t - days, t - gap_seconds]`` (both ends inclusive).
-
-    ``method="bucketed"`` (default) never sorts a whole key in one task (see
-    ``operators.rolling``); ``"window"`` is the plain RANGE window."""
-    if method == "bucketed":
-        return rolling_mean_bucketed(df, keys, ts_col, value_col,
-                                     days * SECONDS_PER_DAY * MICROS_PER_SECOND,
-                                     gap_seconds * MICROS_PER_SECOND, out_col)
-    w = (Window.partitionBy(*keys).orderBy(_micros(F.col(ts_col)))
-         .rangeBetween(-days * SECONDS_PER_DAY * MICROS_PER_SECOND,
-                       -gap_seconds * MICROS_PER_SECOND))
-    return df.withColumn(out_col, F.avg(value_col).over(w))
+    ``[t - days, t - gap_seconds]`` (both ends inclusive), for the rows where
+    ``wanted`` holds (all rows by default; only those are returned). No key is
+    sorted as a whole in one task, see ``operators.rolling``."""
+    return rolling_mean_bucketed(df, keys, ts_col, value_col, days * SECONDS_PER_DAY * MICROS_PER_SECOND,
+                                 gap_seconds * MICROS_PER_SECOND, out_col, wanted=wanted)
 
 
 def route_mean(train: DataFrame) -> DataFrame:
-    return train.groupBy(*ROUTE).agg(F.avg("dep_delay_min").alias("mean_route"))
+    return train.groupBy(*ROUTE).agg(F.avg("dep_delay_min").alias("route_avg"))
 
 
 def carrier_mean(train: DataFrame) -> DataFrame:
-    return train.groupBy("carrier").agg(F.avg("dep_delay_min").alias("mean_carr"))
+    return train.groupBy("carrier").agg(F.avg("dep_delay_min").alias("carrier_avg"))
 
 
 def global_mean(train: DataFrame) -> DataFrame:
-    return train.agg(F.avg("dep_delay_min").alias("mean_glob"))
+    return train.agg(F.avg("dep_delay_min").alias("overall_avg"))
 
 
 def global_mean_value(train: DataFrame) -> Column:
@@ -71,31 +60,28 @@ def global_mean_value(train: DataFrame) -> Column:
 
 def backfill_means(train: DataFrame):
     """Route, carrier and global train means from one scan (grouping sets).
-    The result (one row per route) is checkpointed since three lookups read it.
+    The result (one row per route) is written since three lookups read it.
     Returns (route table, carrier table, global mean as a scalar subquery)."""
-    from tarmac.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(train.sparkSession)
-    g = (train.groupingSets([ROUTE, ["carrier"], []], *ROUTE)
-         .agg(F.avg("dep_delay_min").alias("_m"), F.grouping_id().alias("_gid"))
-         .checkpoint(eager=True))
+    from tarmac.session import written
+    g = written(train.groupingSets([ROUTE, ["carrier"], []], *ROUTE)
+                .agg(F.avg("dep_delay_min").alias("_m"), F.grouping_id().alias("_gid")), "train-levels")
     # grouping_id bits (carrier, origin, dest): 0 = route, 0b011 = carrier, 0b111 = all
-    route = g.where(F.col("_gid") == 0).select(*ROUTE, F.col("_m").alias("mean_route"))
-    carr = g.where(F.col("_gid") == 3).select("carrier", F.col("_m").alias("mean_carr"))
-    glob = g.where(F.col("_gid") == 7).select(F.col("_m").alias("mean_glob")).scalar()
+    route = g.where(F.col("_gid") == 0).select(*ROUTE, F.col("_m").alias("route_avg"))
+    carr = g.where(F.col("_gid") == 3).select("carrier", F.col("_m").alias("carrier_avg"))
+    glob = g.where(F.col("_gid") == 7).select(F.col("_m").alias("overall_avg")).scalar()
     return route, carr, glob
 
 
-def rolling_30d_backfilled(train: DataFrame, test: DataFrame, days: int = 30,
-                           method: str = "bucketed") -> DataFrame:
+def rolling_30d_backfilled(train: DataFrame, test: DataFrame, days: int = 30) -> DataFrame:
     cols = ROUTE + ["sched_dep_tstz", "dep_delay_min"]
     all_rows = tagged_union(train.select(*cols), test.select(*cols))
-    rolled = rolling_mean(all_rows, ROUTE, "sched_dep_tstz", "dep_delay_min", days, method=method)
+    rolled = rolling_mean(all_rows, ROUTE, "sched_dep_tstz", "dep_delay_min", days,
+                          wanted=F.col("split") == "test")
     route, carr, glob = backfill_means(train)
     # equality joins: a NULL key never finds a backfill row
-    out = (rolled.where(F.col("split") == "test")
-           .join(route, ROUTE, "left")
+    out = (rolled.join(route, ROUTE, "left")
            .join(broadcast_if_bounded(carr), "carrier", "left"))
-    return out.select(*cols, F.coalesce("yhat30", "mean_route", "mean_carr", glob)
+    return out.select(*cols, F.coalesce("trailing_avg", "route_avg", "carrier_avg", glob)
                       .alias("yhat_baseline"))
 
 

@@ -78,33 +78,41 @@ def seasonality(features: DataFrame) -> DataFrame:
             .agg(_r(_mean_pos()).alias("mean_pos_delay"), F.count(F.lit(1)).alias("n")))
 
 
+def _airport_means(features: DataFrame, min_flights: int) -> DataFrame:
+    return (features.groupBy("origin")
+            .agg(F.count(F.lit(1)).alias("n"), _mean_pos().alias("mean_pos_delay"),
+                 (F.avg(F.col("late_15").cast("double")) * 100).alias("late_15_pct"))
+            .where(F.col("n") >= min_flights))
+
+
+def _rounded(summary: DataFrame) -> DataFrame:
+    return summary.withColumns({c: _r(F.col(c)) for c in ("mean_pos_delay", "late_15_pct")})
+
+
 def airport_summary(features: DataFrame, min_flights: int = 5000) -> DataFrame:
     """Per origin: n, mean positive delay, % late (>= 15 min); origins with
     at least ``min_flights`` rows."""
-    return (features.groupBy("origin")
-            .agg(F.count(F.lit(1)).alias("n"), _r(_mean_pos()).alias("mean_pos_delay"),
-                 _r(F.avg(F.col("late_15").cast("double")) * 100).alias("late_15_pct"))
-            .where(F.col("n") >= min_flights))
+    return _rounded(_airport_means(features, min_flights))
 
 
 def top_origins(features: DataFrame, min_flights: int = 5000, k: int = 20) -> DataFrame:
-    """The ``k`` origins with the highest mean positive delay (origin breaks ties)."""
-    return (airport_summary(features, min_flights)
-            .orderBy(F.col("mean_pos_delay").desc_nulls_last(), F.col("origin")).limit(k))
+    """The ``k`` origins with the highest mean positive delay (origin breaks ties);
+    ranked by the exact mean, rounded afterwards."""
+    top = _airport_means(features, min_flights).orderBy(F.col("mean_pos_delay").desc_nulls_last(), F.col("origin"))
+    return _rounded(top.limit(k))
 
 
 def airport_summary_labeled(features: DataFrame, min_flights: int = 5000,
                             k: int = 15) -> DataFrame:
     """Whole summary plus ``top_label``: whether the origin is among the ``k``
     highest mean positive delays (the labelled points of the scatter)."""
-    # one row per origin, used twice: computed once into the checkpoint folder
-    from tarmac.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(features.sparkSession)
-    summary = airport_summary(features, min_flights).checkpoint(eager=True)
+    # one row per origin, used twice: computed once into the scratch folder
+    from tarmac.session import written
+    summary = written(_airport_means(features, min_flights), "airports")
     top = (summary.orderBy(F.col("mean_pos_delay").desc_nulls_last(), F.col("origin")).limit(k)
            .select("origin", F.lit(True).alias("top_label")))
-    return (summary.join(broadcast_if_bounded(top, k), "origin", "left")
-            .withColumn("top_label", F.coalesce("top_label", F.lit(False))))
+    return _rounded(summary.join(broadcast_if_bounded(top, k), "origin", "left")
+                    .withColumn("top_label", F.coalesce("top_label", F.lit(False))))
 
 
 def _binned(features: DataFrame, col: str, lo: float, hi: float, width: float,
@@ -150,13 +158,12 @@ def delay_histogram(features: DataFrame, lo: float = -60, hi: float = 360,
     counts = (features.where((d >= lo) & (d <= hi))
               .groupBy(hist_center(d, width).alias("bin_center"))
               .agg(F.count(F.lit(1)).alias("n")))
-    # the bin grid spans the occupied range: at most (hi - lo) / width + 1 rows
-    grid = counts.agg(F.min("bin_center").alias("a"), F.max("bin_center").alias("b")).select(
-        F.explode(F.sequence(F.col("a").cast("bigint"), F.col("b").cast("bigint"),
-                             F.lit(int(width)).cast("bigint"))).alias("_c")).select(
-        F.col("_c").cast("double").alias("bin_center"))
-    out = grid.join(F.broadcast(counts), "bin_center", "left").select(
-        "bin_center", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    # one row with all bins (at most (hi - lo) / width + 1 of them), spread over the occupied range
+    bins = counts.agg(F.map_from_entries(F.collect_list(F.struct(F.col("bin_center").cast("bigint"), "n"))).alias("m"))
+    keys = F.map_keys("m")
+    grid = F.when(F.size(keys) > 0, F.sequence(F.array_min(keys), F.array_max(keys), F.lit(int(width)).cast("bigint")))
+    out = bins.select("m", F.explode(grid).alias("c")).select(
+        F.col("c").cast("double").alias("bin_center"), F.coalesce(F.col("m")[F.col("c")], F.lit(0)).cast("bigint").alias("n"))
     return out.withColumn("log10_n", _r(F.when(F.col("n") > 0, F.log10(F.col("n").cast("double")))))
 
 

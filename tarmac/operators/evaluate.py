@@ -23,10 +23,8 @@ def error_metrics(pred: DataFrame, truth_col: str, pred_col: str,
     err = F.col(pred_col).cast("double") - F.col(truth_col).cast("double")
     # the two quantile passes read this narrow projection; materialize it once
     # instead of recomputing the predictions upstream twice
-    from tarmac.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(pred.sparkSession)
-    base = (pred.select(*group_cols, err.alias("_err")).withColumn("_ae", F.abs("_err"))
-            .checkpoint(eager=True))
+    from tarmac.session import written
+    base = written(pred.select(*group_cols, err.alias("_err")), "errors").withColumn("_ae", F.abs("_err"))
     out = exact_quantiles(
         base, group_cols, "_ae", [0.5, 0.9], ["median_ae", "p90_ae"],
         extra_aggs=[F.count(F.lit(1)).alias("n"), F.avg("_ae").alias("mae"),
@@ -47,9 +45,9 @@ def mean_absolute_error(pred: DataFrame, truth_col: str, pred_col: str) -> DataF
     return pred.agg(F.round(F.avg(F.abs(err)), 6).alias("mae"))
 
 
-def best_by_mae(scored: DataFrame, candidate_col: str, truth_col: str, pred_col: str) -> DataFrame:
-    """MAE per candidate (e.g. lambda) and the argmin (smallest candidate on ties)."""
-    per = scored.groupBy(candidate_col).agg(
-        F.avg(F.abs(F.col(pred_col) - F.col(truth_col))).alias("mae"))
-    return per.agg(F.min_by(F.col(candidate_col), F.struct("mae", candidate_col)).alias(candidate_col),
-                   F.min("mae").alias("mae"))
+def mae_by_candidate(stored: DataFrame, candidates: dict, truth_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """(group, candidate, mae) of prediction columns over stored rows, one pass and
+    one partial aggregation whatever the number of candidates."""
+    errs = F.array(*[F.struct(F.lit(k).alias("candidate"), F.abs(p - F.col(truth_col)).alias("_e")) for k, p in candidates.items()])
+    return (stored.select(*group_cols, F.explode(errs).alias("c")).groupBy(*group_cols, F.col("c.candidate").alias("candidate"))
+            .agg((F.round(F.avg("c._e"), 6) + F.lit(0.0)).alias("mae")))

@@ -52,7 +52,7 @@ def flights_to_station(flights: DataFrame, smap: DataFrame) -> DataFrame:
                              .select("iata", "tz", "station_id"), materialize=True)
     f = operated_flights(flights)
     return (f.join(m, f.origin == m.iata, "inner")
-            .select("flight_id", "carrier", "origin", "dest", "station_id", "tz",
+            .select(F.year("flight_date").alias("year"), F.month("flight_date").alias("month"), "flight_id", "carrier", "origin", "dest", "station_id", "tz",
                     sched_dep_utc(F.col("flight_date"), F.col("crs_dep_time"), F.col("tz"))
                     .alias("sched_dep_tstz"),
                     F.col("dep_delay").cast("double").alias("dep_delay_min")))
@@ -110,29 +110,18 @@ def attach_weather(fx: DataFrame, weather: DataFrame, how: str = "left",
 
 def build_features(flights: DataFrame, smap: DataFrame, weather: DataFrame,
                    how: str = "left", hour_basis: str = "session",
-                   radius_minutes: int = 30, keep_ids: bool = False,
-                   strategy: str = "skew_safe") -> DataFrame:
+                   radius_minutes: int = 30, keep_ids: bool = False, keep_month: bool = False) -> DataFrame:
     """Feature rows in the published column order. ``how="left"`` keeps flights
     without weather (NULL measures), ``how="inner"`` drops them.
 
-    ``strategy="skew_safe"`` (default): dedup flights (map-side top-1), then
-    join - two shuffles of the flight side when weather is not broadcast, and
-    AQE may split a hot (station, hour). ``"copartition"``: join first, then
-    dedup inside the join's (station, hour) partitioning - one shuffle, but a
-    hot (station, hour) stays in one task. Both give the same rows."""
+    Flights are deduplicated first (map-side top-1), then joined; AQE may split a
+    hot (station, hour). ``keep_month`` adds year and month of the flight's date."""
     fx = calendar_features(flights_to_station(flights, smap), hour_basis)
-    if strategy == "copartition":
-        j = attach_weather(fx, weather, how, radius_minutes)
-        # station and hour bin follow from origin and schedule, so adding them
-        # to the partition keys changes no group but reuses the join's layout
-        w = Window.partitionBy("station_id", "dep_hr_bin", *FLIGHT_KEY).orderBy(
-            F.col("dep_delay_min").isNull(), F.col("dep_delay_min"), F.col("flight_id"))
-        j = j.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    else:
-        j = attach_weather(flight_dedup(fx), weather, how, radius_minutes)
+    j = attach_weather(flight_dedup(fx), weather, how, radius_minutes)
     out = (j.withColumn("late_15", late_flag(F.col("dep_delay_min")))
            .withColumn("sched_dep_tstz", to_ntz(F.col("sched_dep_tstz"))))
-    cols = FEATURE_COLUMNS + (["flight_id", "station_id", "wx_ts"] if keep_ids else [])
+    cols = FEATURE_COLUMNS + (["flight_id", "station_id", "wx_ts"] if keep_ids else []) + (
+        ["year", "month"] if keep_month else [])
     if keep_ids:
         out = out.withColumn("wx_ts", to_ntz(F.col("wx_ts")))
     return out.select(*cols)

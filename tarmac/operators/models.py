@@ -1,30 +1,32 @@
-"""Model jobs on Spark ML: ridge path with validation-chosen penalty, the
-elastic-net recipe, and boosted trees with early stopping.
-
-Design matrices are built with ``StringIndexerModel.from_labels`` (levels
-learned on train rows) + ``OneHotEncoder`` + ``VectorAssembler``; the train
-design is checkpointed to the shared checkpoint directory before repeated
-fits so a lost executor does not replay the whole lineage.
+"""Model jobs: ridge path with validation-chosen penalty, the elastic-net recipe,
+and boosted trees with early stopping.
+
+The ridge path needs only second moments of the design: one pass over the train
+and validation rows adds up X'X, X'y and the means, and every penalty of the path
+is solved from them (their size is checked, see ``prep.MAX_LEVELS``). Frames that
+several passes read are written once as pruned Parquet to the shared scratch
+folder, so a lost executor does not replay the lineage.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VarianceThresholdSelector, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.splines import natural_spline_basis
 from tarmac.operators import prep as pp
-from tarmac.operators.evaluate import best_by_mae, error_metrics, mean_absolute_error
+from tarmac.operators.evaluate import error_metrics, mean_absolute_error
 from tarmac.operators.quantiles import exact_quantiles
 from tarmac.operators.sizing import broadcast_if_bounded
-from tarmac.session import ensure_checkpoint_dir
+from tarmac.session import written
 
 TARGET = "dep_delay_min"
 
@@ -37,90 +39,181 @@ PRED_RIDGE = "pred_glmnet"
 EN_MAE, EN_RMSE, BASELINE_30D_MAE = "glmnet_mae", "glmnet_rmse", "baseline30d_mae"
 
 
-def _levels_dict(levels: DataFrame) -> dict[str, list[str]]:
-    """Level lists per factor (bounded by the factors' cardinality)."""
-    out: dict[str, list[tuple[int, str]]] = {}
-    for r in levels.collect():
-        out.setdefault(r["feature"], []).append((r["idx"], r["level"]))
-    return {k: [lv for _, lv in sorted(v)] for k, v in out.items()}
-
-
-def _cut_lineage(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 # ---------------------------------------------------------------- ridge (baseline_v2)
-def ridge_design(levels: dict[str, list[str]], factors: Sequence[str],
-                 numerics: Sequence[str]) -> Pipeline:
-    """Treatment coding with the first level of every factor dropped: labels
-    are indexed in reverse so the first level takes the last index, which
-    ``dropLast`` removes."""
-    idx = [StringIndexerModel.from_labels(list(reversed(levels[c])), inputCol=c,
-                                          outputCol=f"{c}__i", handleInvalid="error")
-           for c in factors]
-    ohe = OneHotEncoder(inputCols=[f"{c}__i" for c in factors],
-                        outputCols=[f"{c}__v" for c in factors], dropLast=True)
-    asm = VectorAssembler(inputCols=[f"{c}__v" for c in factors] + list(numerics),
-                          outputCol="features", handleInvalid="error")
-    return Pipeline(stages=[*idx, ohe, asm])
-
-
 def prepare_ridge(split_df: DataFrame, keep: Sequence[str] = ("flight_id", "split")):
-    """Aligned, imputed ridge frame plus the fitted design pipeline."""
-    # levels, medians and the aligned frame all read this: materialize it once
-    rf = _cut_lineage(pp.ridge_features(split_df, keep=keep))
+    """(aligned and imputed ridge frame, level lists, train medians). Columns named
+    in ``keep`` that are predictors too stay beside the aligned ones as ``key_*``."""
+    keys = [c for c in keep if c in pp.RIDGE_FACTORS + pp.RIDGE_NUMERICS]
+    rows = split_df.withColumns({f"key_{c}": F.col(c) for c in keys}) if keys else split_df
+    kept = [f"key_{c}" if c in keys else c for c in keep]
+    # levels, medians and the aligned frame all read this: write it once
+    rf = written(pp.ridge_features(rows, keep=kept), "ridge-frame")
     train = rf.where(F.col("split") == "train")
-    levels = _levels_dict(pp.category_levels(train, pp.RIDGE_FACTORS, "other"))
-    medians = pp.train_medians(train, pp.RIDGE_NUMERICS)
-    lv_df = split_df.sparkSession.createDataFrame(
-        [(c, lv, i) for c, lvs in levels.items() for i, lv in enumerate(lvs)],
-        "feature string, level string, idx long")
-    aligned = pp.impute_medians(pp.align_levels(rf, lv_df, pp.RIDGE_FACTORS, "other"), medians)
-    design = ridge_design(levels, pp.RIDGE_FACTORS, pp.RIDGE_NUMERICS).fit(
-        aligned.where(F.col("split") == "train").limit(1))
-    return aligned, design, levels
-
-
-def ridge_terms(levels: dict[str, list[str]], factors: Sequence[str],
-                numerics: Sequence[str]) -> list[str]:
-    """Name of every design column, in vector order: ``col=level`` for each
-    kept level (reverse label order, first level dropped), then numerics."""
-    names = []
-    for c in factors:
-        names += [f"{c}={lv}" for lv in list(reversed(levels[c]))[:-1]]
-    return names + list(numerics)
-
-
-def design_entries(x: DataFrame, names: list[str], keep: Sequence[str]) -> DataFrame:
-    """Long form of the design: one row per nonzero entry (term, value)."""
-    from pyspark.ml.functions import vector_to_array
-    spark = x.sparkSession
-    terms = spark.createDataFrame(list(enumerate(names)), "pos int, term string")
-    long = x.select(*keep, F.posexplode(vector_to_array("features")).alias("pos", "value"))
-    return (long.where(F.col("value") != 0)
-            .join(F.broadcast(terms), "pos")       # one row per design column
-            .select(*keep, "term", "value"))
-
-
-def fit_all(estimator, dataset: DataFrame, param_maps: list, parallelism: int = 4) -> dict:
-    """``fitMultiple`` drained by a few threads (its iterator is thread-safe),
-    as ``CrossValidator(parallelism=...)`` does: small fits overlap instead of
-    queueing one Spark job after another."""
-    from concurrent.futures import ThreadPoolExecutor
-    it = estimator.fitMultiple(dataset, param_maps)
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(param_maps)))) as pool:
-        pairs = list(pool.map(lambda _: next(it), range(len(param_maps))))
-    return dict(pairs)
-
-
-def lambda_grid(train: DataFrame, n: int = 20, span: float = 1e4) -> list[float]:
-    """Log-spaced penalties from ``100 sd(y)`` down by ``span`` (the usual
-    ratio of a ridge path's smallest to largest penalty when rows outnumber
-    columns; the largest is of the order of max |corr(x, y)| sd(y) / 0.001)."""
-    sd = train.agg(F.stddev(TARGET)).first()[0] or 1.0
-    hi = 100.0 * sd
-    return [float(v) for v in np.logspace(np.log10(hi), np.log10(hi / span), n)]
+    levels = pp.level_lists(pp.category_levels(train, pp.RIDGE_FACTORS, "other"))
+    medians = pp.median_values(pp.train_medians(train, pp.RIDGE_NUMERICS))
+    return pp.impute_medians(pp.align_levels(rf, levels, pp.RIDGE_FACTORS, "other"), medians), levels, medians
+
+
+def ridge_terms(levels: dict[str, list[str]], factors: Sequence[str] = pp.RIDGE_FACTORS,
+                numerics: Sequence[str] = pp.RIDGE_NUMERICS) -> list[str]:
+    """Name of every design column: ``col=level`` for each level but the factor's
+    first (treatment coding), then the numerics."""
+    return [f"{c}={lv}" for c in factors for lv in levels[c][1:]] + list(numerics)
+
+
+def design_entries(aligned: DataFrame, levels: dict[str, list[str]], keep: Sequence[str],
+                   factors: Sequence[str] = pp.RIDGE_FACTORS,
+                   numerics: Sequence[str] = pp.RIDGE_NUMERICS) -> DataFrame:
+    """Long form of the design: one row per nonzero entry (term, value), taken from
+    the aligned columns, so work follows the columns and not the design's width."""
+    def entry(cond, term, value):
+        return F.when(cond, F.struct(term.alias("term"), value.cast("double").alias("value")))
+
+    parts = [entry(F.col(c) != levels[c][0], F.concat(F.lit(f"{c}="), F.col(c)), F.lit(1.0)) for c in factors]
+    parts += [entry(F.col(c) != 0, F.lit(c), F.col(c)) for c in numerics]
+    entries = F.filter(F.array(*parts), lambda x: x.isNotNull())
+    return aligned.select(*keep, F.explode(entries).alias("e")).select(*keep, "e.term", "e.value")
+
+
+class Encoder:
+    """Design rows of Arrow batches: a column index per factor (the design's width
+    for a factor's first level) and the numerics."""
+
+    def __init__(self, levels: dict[str, list[str]], factors=tuple(pp.RIDGE_FACTORS), numerics=tuple(pp.RIDGE_NUMERICS)):
+        self.factors, self.numerics, at = factors, numerics, 0
+        self.width = sum(len(levels[c]) - 1 for c in factors)
+        self.index: dict[str, dict[str, int]] = {}
+        for c in factors:
+            self.index[c] = {lv: (self.width if k == 0 else at + k - 1) for k, lv in enumerate(levels[c])}
+            at += len(levels[c]) - 1
+
+    def rows(self, b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        idx = np.empty((len(self.factors), b.num_rows), np.int64)
+        for k, c in enumerate(self.factors):
+            d = b.column(c).dictionary_encode()
+            lookup = np.array([self.index[c][v] for v in d.dictionary.to_pylist()] or [0], np.int64)
+            idx[k] = lookup[d.indices.to_numpy(zero_copy_only=False)]
+        return idx, np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in self.numerics], 1)
+
+
+#: the moments of so many groups of rows are added up; a task reads its rows in batches
+MOMENT_TASKS = 2048
+
+
+def design_moments(aligned: DataFrame, levels: dict[str, list[str]]) -> dict[str, np.ndarray]:
+    """Per split the matrix Z'Z of Z = (design, 1, target), in one pass."""
+    enc = Encoder(levels)
+    size = enc.width + len(enc.numerics) + 2
+
+    def work(batches):
+        total: dict[str, np.ndarray] = {}
+        for b in batches:
+            splits = np.array(b.column("split").to_pylist())
+            idx_all, num_all = enc.rows(b)
+            y_all = b.column(TARGET).to_numpy(zero_copy_only=False).astype(float)
+            for s in np.unique(splits):
+                m = total.setdefault(str(s), np.zeros((size + 1, size + 1)))  # the last place takes first levels
+                at = splits == s
+                idx, dense = idx_all[:, at], np.column_stack([num_all[at], np.ones(at.sum()), y_all[at]])
+                place = np.where(idx == enc.width, size, idx)
+                span = np.arange(enc.width, size)
+                m[np.ix_(span, span)] += dense.T @ dense
+                for i in range(len(place)):
+                    for k, col in enumerate(span):
+                        m[:, col] += np.bincount(place[i], dense[:, k], size + 1)
+                    for j in range(len(place)):
+                        m += np.bincount(place[i] * (size + 1) + place[j], minlength=(size + 1) ** 2).reshape(m.shape)
+        for s, m in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([s] * size), pa.array(np.arange(size)), pa.array([r[:size].tobytes() for r in m[:size]])],
+                                             ["split", "i", "row"])
+
+    def added(key, table):
+        rows = np.sum([np.frombuffer(x.as_py(), float) for x in table.column("row")], axis=0)
+        return pa.table({"split": [key[0].as_py()], "i": [key[1].as_py()], "row": [rows.tobytes()]})
+
+    cols = ["split", TARGET, *enc.factors, *enc.numerics]
+    parts = (aligned.where(F.col("split").isin("train", "validation") & F.col(TARGET).isNotNull()).select(*cols)
+             .coalesce(MOMENT_TASKS).mapInArrow(work, "split string, i long, row binary"))
+    out: dict[str, np.ndarray] = {}
+    for r in parts.groupBy("split", "i").applyInArrow(added, "split string, i long, row binary").collect():
+        out.setdefault(r["split"], np.zeros((size, size)))[r["i"]] = np.frombuffer(r["row"], float)
+    for m in out.values():  # factor x numeric was added to one triangle only
+        w = enc.width
+        m[w:, :w] = m[:w, w:].T
+    return out
+
+
+class RidgePath:
+    """Ridge fits of one design for any penalty, from its second moments.
+    Columns are scaled to unit variance and the target likewise, a penalty is in
+    the target's units, as in the published path."""
+
+    def __init__(self, moments: np.ndarray):
+        n = moments[-2, -2]
+        mean = moments[-2] / n
+        cov = moments / n - np.outer(mean, mean)
+        sd = np.sqrt(np.clip(np.diag(cov), 0, None))
+        self.n, self.mean, self.y_sd = n, mean, float(sd[-1]) or 1.0
+        x = np.arange(len(mean) - 2)
+        self.live = x[sd[:-2] > 1e-9 * np.maximum(1, np.abs(mean[:-2]))]
+        self.sd, self.p = sd[self.live], len(x)
+        corr = cov[np.ix_(self.live, self.live)] / np.outer(self.sd, self.sd)
+        self.r = cov[self.live, -1] / self.sd / self.y_sd
+        self.values, self.vectors = np.linalg.eigh(corr) if len(self.live) else (np.zeros(0), np.zeros((0, 0)))
+
+    def lambdas(self, n: int = 100, floor: float = 1e-3) -> list[float]:
+        """Log-spaced penalties from the computed largest one (at which a mixture
+        with ``floor`` of the absolute penalty would keep no column) down to
+        1e-4 of it (1e-2 with more columns than rows)."""
+        top = (float(np.abs(self.r).max()) if len(self.r) else 1.0) / floor * self.y_sd or 1.0
+        return np.geomspace(top, top * (1e-4 if self.n > self.p else 1e-2), n).tolist()
+
+    def fit(self, lam: float) -> tuple[float, np.ndarray]:
+        """(intercept, coefficient of every design column)."""
+        scaled = self.vectors @ ((self.vectors.T @ self.r) / (np.clip(self.values, 0, None) + lam / self.y_sd))
+        coef = np.zeros(self.p)
+        coef[self.live] = scaled * self.y_sd / self.sd
+        return float(self.mean[-1] - coef @ self.mean[:-2]), coef
+
+
+def _predicted(enc: Encoder, b: pa.RecordBatch, intercepts: np.ndarray, coefs: np.ndarray) -> np.ndarray:
+    """(rows, fits) predictions of a batch."""
+    idx, num = enc.rows(b)
+    factor = np.vstack([coefs[:enc.width], np.zeros((1, coefs.shape[1]))])
+    out = intercepts[None] + num @ coefs[enc.width:]
+    for i in idx:
+        out += factor[i]
+    return out
+
+
+def mae_by_penalty(rows: DataFrame, levels, fits: list[tuple[float, np.ndarray]]) -> list[float]:
+    """Mean absolute error of every fit over ``rows``, in one pass."""
+    enc, b0, coefs = Encoder(levels), np.array([f[0] for f in fits]), np.stack([f[1] for f in fits], 1)
+
+    def work(batches):
+        total, n = np.zeros(len(b0)), 0
+        for b in batches:
+            y = b.column(TARGET).to_numpy(zero_copy_only=False).astype(float)
+            total += np.abs(_predicted(enc, b, b0, coefs) - y[:, None]).sum(0)
+            n += len(y)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(b0))), pa.array(total), pa.array(np.full(len(b0), n))], ["k", "s", "n"])
+
+    cols = [TARGET, *enc.factors, *enc.numerics]
+    got = (rows.where(F.col(TARGET).isNotNull()).select(*cols).mapInArrow(work, "k long, s double, n long")
+           .groupBy("k").agg((F.sum("s") / F.sum("n")).alias("mae")).collect())
+    out = {r.k: r.mae for r in got}
+    return [out[k] if out.get(k) is not None else float("inf") for k in range(len(fits))]
+
+
+def ridge_predict(aligned: DataFrame, levels, fit: tuple[float, np.ndarray], out_col: str = PRED_RIDGE) -> DataFrame:
+    enc, b0, coef = Encoder(levels), np.array([fit[0]]), fit[1][:, None]
+
+    def work(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_predicted(enc, b, b0, coef)[:, 0])], [*b.schema.names, out_col])
+
+    from pyspark.sql import types as T
+    return aligned.mapInArrow(work, T.StructType([*aligned.schema.fields, T.StructField(out_col, T.DoubleType())]))
 
 
 @dataclass
@@ -129,33 +222,47 @@ class RidgeResult:
     valid_pred: DataFrame
     test_pred: DataFrame
     metrics: DataFrame
+    lambdas: list[float] = field(default_factory=list)
+    valid_mae: list[float] = field(default_factory=list)
+    model: dict = field(default_factory=dict)
 
 
 def ridge_path(split_df: DataFrame, keep: Sequence[str] = ("flight_id", "split"),
-               n_lambdas: int = 20, model_name: str = MODEL_RIDGE) -> RidgeResult:
-    aligned, design, _ = prepare_ridge(split_df, keep)
-    x = _cut_lineage(design.transform(aligned))
-    train = x.where(F.col("split") == "train").select("features", TARGET)
-    valid = x.where(F.col("split") == "validation")
-    lambdas = lambda_grid(train, n_lambdas)
-    lr = LinearRegression(featuresCol="features", labelCol=TARGET, elasticNetParam=0.0,
-                          standardization=True, solver="auto")
-    maps = [{lr.regParam: lam} for lam in lambdas]
-    models = fit_all(lr, train, maps)
-    scored = None
-    for i, lam in enumerate(lambdas):
-        s = models[i].transform(valid).select(F.lit(lam).alias("lambda"), TARGET, "prediction")
-        scored = s if scored is None else scored.unionByName(s)
-    best = best_by_mae(scored, "lambda", TARGET, "prediction").first()["lambda"]
-    best_i = lambdas.index(best)
-    valid_pred = models[best_i].transform(valid).withColumnRenamed("prediction", PRED_RIDGE)
-    refit_rows = x.where(F.col("split").isin("train", "validation")).select("features", TARGET)
-    final = lr.copy({lr.regParam: best}).fit(refit_rows)
-    test_pred = (final.transform(x.where(F.col("split") == "test"))
-                 .withColumnRenamed("prediction", PRED_RIDGE))
+               n_lambdas: int = 100, model_name: str = MODEL_RIDGE) -> RidgeResult:
+    """Penalty with the smallest validation MAE of a path fitted on train (the larger
+    one on a tie), refit on train + validation for the test rows."""
+    aligned, levels, medians = prepare_ridge(split_df, keep)
+    moments = design_moments(aligned, levels)
+    path = RidgePath(moments["train"])
+    lambdas = path.lambdas(n_lambdas)
+    fits = [path.fit(lam) for lam in lambdas]
+    valid = aligned.where(F.col("split") == "validation")
+    maes = mae_by_penalty(valid, levels, fits)
+    best = int(np.argmin(maes))
+    final = RidgePath(moments["train"] + moments.get("validation", 0)).fit(lambdas[best])
+    valid_pred = ridge_predict(valid, levels, fits[best])
+    test_pred = ridge_predict(aligned.where(F.col("split") == "test"), levels, final)
     metrics = error_metrics(valid_pred.unionByName(test_pred).withColumn("model", F.lit(model_name)),
                             TARGET, PRED_RIDGE)
-    return RidgeResult(best, valid_pred.drop("features"), test_pred.drop("features"), metrics)
+    model = {"best_lambda": lambdas[best], "intercept": final[0], "terms": dict(zip(ridge_terms(levels), final[1].tolist())),
+             "levels": levels, "medians": medians}
+    return RidgeResult(lambdas[best], valid_pred, test_pred, metrics, lambdas, maes, model)
+
+
+#: what a stored prediction carries beside the two predictions
+PREDICTION_KEYS = ("split", "sched_dep_tstz", "carrier", "origin", "dest", "pred_rolling_avg")
+
+
+def stored_predictions(res: RidgeResult) -> DataFrame:
+    """Validation and test rows: keys, truth, 90-day average, ridge prediction."""
+    both = with_keys(res.valid_pred.unionByName(res.test_pred))
+    return both.select("split", "sched_dep_tstz", "carrier", "origin", "dest", TARGET, "pred_rolling_avg", PRED_RIDGE)
+
+
+def with_keys(pred: DataFrame) -> DataFrame:
+    """Predictions with the flight's own keys in place of the aligned factors."""
+    names = [c[4:] for c in pred.columns if c.startswith("key_")]
+    return pred.withColumns({c: F.col(f"key_{c}") for c in names}).drop(*[f"key_{c}" for c in names])
 
 
 # ---------------------------------------------------------------- elastic net recipe
@@ -177,27 +284,26 @@ EN_NOMINAL = ["carrier", "origin", "dest"]
 EN_NUMERIC = ["dow", "temp", "prcp", "wspd", "rhum", "coco"]
 
 
-def elastic_net_run(train: DataFrame, test: DataFrame, penalty: float = 0.01,
-                    mixture: float = 0.5) -> DataFrame:
-    """Recipe: unseen level -> ``new``, NULL -> ``unknown``, one indicator per
+def elastic_net_fit(train: DataFrame, test: DataFrame, penalty: float = 0.01,
+                    mixture: float = 0.5) -> tuple[DataFrame, PipelineModel, dict]:
+    """(one row with the test MAE and RMSE, the model, its metadata). Recipe: unseen level -> ``new``, NULL -> ``unknown``, one indicator per
     level, natural spline (df 5) on hour, train-median imputation, constant
-    columns dropped; elastic net fit. Returns the test MAE and RMSE."""
+    columns dropped; elastic net fit."""
     spark = train.sparkSession
     keep = EN_NOMINAL + EN_NUMERIC + ["dep_hour_local", TARGET]
     tr = train.select(*keep).withColumn("split", F.lit("train"))
     te = test.select(*keep).withColumn("split", F.lit("test"))
-    both = _cut_lineage(tr.unionByName(te))
-    for c in EN_NOMINAL:
-        both = both.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit("unknown")))
+    both = tr.unionByName(te).withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("unknown")) for c in EN_NOMINAL})
+    both = written(both, "recipe-rows")
     tr_rows = both.where(F.col("split") == "train")
-    levels = _levels_dict(pp.category_levels(tr_rows, EN_NOMINAL, "other"))
+    levels = pp.level_lists(pp.category_levels(tr_rows, EN_NOMINAL, "other"))
     table = hour_spline_table(spark, tr_rows)
     spline_cols = [c for c in table.columns if c != "dep_hour_local"]
     both = both.join(broadcast_if_bounded(table, 10_000), "dep_hour_local", "left")
     numerics = EN_NUMERIC + spline_cols
     both = both.select(*[F.col(c).cast("double").alias(c) if c in numerics else F.col(c)
                          for c in both.columns])
-    medians = pp.train_medians(both.where(F.col("split") == "train"), numerics)
+    medians = pp.median_values(pp.train_medians(both.where(F.col("split") == "train"), numerics))
     both = pp.impute_medians(both, medians)
     idx = [StringIndexerModel.from_labels([lv for lv in levels[c] if lv != pp.OTHER], inputCol=c,
                                           outputCol=f"{c}__i", handleInvalid="keep")
@@ -209,23 +315,27 @@ def elastic_net_run(train: DataFrame, test: DataFrame, penalty: float = 0.01,
     zv = VarianceThresholdSelector(featuresCol="raw", outputCol="features", varianceThreshold=0.0)
     lr = LinearRegression(featuresCol="features", labelCol=TARGET, regParam=penalty,
                           elasticNetParam=mixture, standardization=True)
-    both = _cut_lineage(both)
+    both = written(both, "recipe-design")
     # rows without a target cannot be fit; they still shape levels and medians
     model: PipelineModel = Pipeline(stages=[*idx, ohe, asm, zv, lr]).fit(
         both.where((F.col("split") == "train") & F.col(TARGET).isNotNull()))
     pred = model.transform(both.where(F.col("split") == "test"))
     err = F.col("prediction") - F.col(TARGET)
-    return pred.agg(F.round(F.avg(F.abs(err)), 6).alias(EN_MAE),
-                    F.round(F.sqrt(F.avg(err * err)), 6).alias(EN_RMSE))
+    scores = pred.agg(F.round(F.avg(F.abs(err)), 6).alias(EN_MAE),
+                      F.round(F.sqrt(F.avg(err * err)), 6).alias(EN_RMSE))
+    meta = {"levels": levels, "medians": medians, "penalty": penalty, "mixture": mixture,
+            "hour_basis": [r.asDict() for r in table.collect()]}
+    return scores, model, meta
 
 
-def train_baseline(train: DataFrame, test: DataFrame) -> DataFrame:
-    """One row: 30-day rolling baseline MAE, elastic-net MAE and RMSE."""
+def train_baseline(train: DataFrame, test: DataFrame) -> tuple[DataFrame, PipelineModel, dict]:
+    """(one row: 30-day rolling baseline MAE, elastic-net MAE and RMSE; the model;
+    its metadata)."""
     from tarmac.operators.baselines import rolling_30d_backfilled
     base = mean_absolute_error(rolling_30d_backfilled(train, test), TARGET, "yhat_baseline")
-    en = elastic_net_run(train, test)
+    scores, model, meta = elastic_net_fit(train, test)
     b = base.first()["mae"]
-    return en.select(F.lit(b).cast("double").alias(BASELINE_30D_MAE), EN_MAE, EN_RMSE)
+    return scores.select(F.lit(b).cast("double").alias(BASELINE_30D_MAE), EN_MAE, EN_RMSE), model, meta
 
 
 # ---------------------------------------------------------------- boosted trees
@@ -241,25 +351,20 @@ def best_round(curve: Sequence[float], patience: int = 40) -> int:
     return best_i + 1
 
 
-# Up to this many kept trees, predictions come from the fitted model's first
-# trees; beyond it (a very long plan of tree columns) the k-round model is refit.
-MAX_PREFIX_TREES = 200
-
-
-def predict_first_trees(model, df: DataFrame, k: int, out_col: str = "pred") -> DataFrame:
-    """Prediction of the first ``k`` trees of a fitted boosted model: the
-    weighted sum of their outputs. With a fixed seed a k-round fit grows the
-    same k trees, so this equals its prediction without refitting."""
-    trees, weights = model.trees[:k], model.treeWeights[:k]
-    cur, names = df, []
-    for i, tree in enumerate(trees):
-        name = f"_tree{i}"
-        cur = tree.copy({tree.predictionCol: name}).transform(cur)
-        names.append(name)
-    total = F.lit(0.0)
-    for name, w in zip(names, weights):
-        total = total + F.col(name) * F.lit(float(w))
-    return cur.withColumn(out_col, total).drop(*names)
+def first_trees(model: GBTRegressionModel, k: int) -> GBTRegressionModel:
+    """The fitted model cut to its first ``k`` trees. With a fixed seed a k-round
+    fit grows the same k trees, so this equals its model without refitting."""
+    from pyspark.sql import SparkSession
+    sc = SparkSession.active().sparkContext
+    java, gateway = model._java_obj, sc._gateway
+    trees = gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, k)
+    weights = gateway.new_array(sc._jvm.double, k)
+    grown, w = java.trees(), java.treeWeights()
+    for i in range(k):
+        trees[i], weights[i] = grown[i], w[i]
+    cut = GBTRegressionModel(sc._jvm.org.apache.spark.ml.regression.GBTRegressionModel(
+        f"{model.uid}_{k}", trees, weights, java.numFeatures()))
+    return cut.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
 
 
 @dataclass
@@ -268,31 +373,33 @@ class TreeResult:
     valid_pred: DataFrame
     test_pred: DataFrame
     metrics: DataFrame
+    model: PipelineModel | None = None
+    metadata: dict = field(default_factory=dict)
 
 
 def prepare_tree(split_df: DataFrame):
     """Tree frame with levels aligned (``missing`` / ``other``), numerics
     imputed with train medians, factors indexed (``<col>__i``) over the
-    sorted level lists, and the assembled ``features``; plus the level lists."""
-    tf = _cut_lineage(pp.tree_features(split_df))
+    sorted level lists, and the assembled ``features``; plus the level lists, the
+    medians and the design stages."""
+    tf = written(pp.tree_features(split_df), "tree-frame")
     train0 = tf.where(F.col("split") == "train")
-    levels = _levels_dict(pp.category_levels(train0, pp.TREE_FACTORS, "missing"))
-    lv_df = split_df.sparkSession.createDataFrame(
-        [(c, lv, i) for c, lvs in levels.items() for i, lv in enumerate(lvs)],
-        "feature string, level string, idx long")
-    medians = pp.train_medians(train0, pp.TREE_NUMERICS)
-    aligned = pp.impute_medians(pp.align_levels(tf, lv_df, pp.TREE_FACTORS, "missing"), medians)
+    levels = pp.level_lists(pp.category_levels(train0, pp.TREE_FACTORS, "missing"))
+    medians = pp.median_values(pp.train_medians(train0, pp.TREE_NUMERICS))
+    aligned = pp.impute_medians(pp.align_levels(tf, levels, pp.TREE_FACTORS, "missing"), medians)
     idx = [StringIndexerModel.from_labels(levels[c], inputCol=c, outputCol=f"{c}__i")
            for c in pp.TREE_FACTORS]
     asm = VectorAssembler(inputCols=[f"{c}__i" for c in pp.TREE_FACTORS] + pp.TREE_NUMERICS,
                           outputCol="features")
-    return PipelineModel(stages=[*idx, asm]).transform(aligned), levels
+    design = PipelineModel(stages=[*idx, asm])
+    return design.transform(aligned), levels, medians, design
 
 
 def gbt_run(split_df: DataFrame, max_rounds: int = 1000, patience: int = 40, seed: int = 42,
             model_name: str = MODEL_TREE, first_rounds: int | None = None) -> TreeResult:
-    x, levels = prepare_tree(split_df)
-    x = _cut_lineage(x)
+    x, levels, medians, design = prepare_tree(split_df)
+    keep = [c for c in ("flight_id",) if c in x.columns]
+    x = written(x.select(*keep, "split", TARGET, "features"), "tree-design")
     train = x.where(F.col("split") == "train").select("features", TARGET)
     valid = x.where(F.col("split") == "validation")
     test = x.where(F.col("split") == "test")
@@ -317,18 +424,13 @@ def gbt_run(split_df: DataFrame, max_rounds: int = 1000, patience: int = 40, see
         if k + patience <= len(curve) or rounds >= max_rounds:
             break
         rounds = min(max_rounds, k + patience if k < rounds else 2 * rounds)
-    if k == rounds:
-        vp = model.transform(valid).withColumnRenamed("prediction", "pred")
-        tp = model.transform(test).withColumnRenamed("prediction", "pred")
-    elif k <= MAX_PREFIX_TREES:
-        vp = predict_first_trees(model, valid, k, "pred")
-        tp = predict_first_trees(model, test, k, "pred")
-    else:
-        model = gbt.copy({gbt.maxIter: k}).fit(train)
-        vp = model.transform(valid).withColumnRenamed("prediction", "pred")
-        tp = model.transform(test).withColumnRenamed("prediction", "pred")
+    model = first_trees(model, k)
+    vp, tp = (model.transform(d).withColumnRenamed("prediction", "pred") for d in (valid, test))
     metrics = error_metrics(vp.unionByName(tp).withColumn("model", F.lit(model_name)), TARGET, "pred")
-    return TreeResult(k, vp.drop("features"), tp.drop("features"), metrics)
+    meta = {"target": TARGET, "levels": levels, "medians": medians, "categorical": pp.TREE_FACTORS, "numeric": pp.TREE_NUMERICS,
+            "best_iteration": k, "best_score": curve[k - 1], "seed": seed,
+            "params": {"max_depth": 6, "step": 0.05, "min_rows": 100, "row_share": 0.8, "column_share": 0.8}}
+    return TreeResult(k, vp.drop("features"), tp.drop("features"), metrics, PipelineModel(stages=[*design.stages, model]), meta)
 
 
 def tree_predictions(res: TreeResult) -> DataFrame:

@@ -1,16 +1,15 @@
 """Leakage-aware feature preparation.
 
 Levels and medians are learned on the train rows only and applied to every
-split. Level tables are one row per (column, level) and bounded by the
-columns' cardinality; they are joined (broadcast after a size check), never
-expanded into per-row Python.
+split. Level lists are checked against ``MAX_LEVELS``: they become columns of a
+design and sets in a plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.flags import coco_text, precip_flag, precip_indicator, wind_cos, wind_sin
@@ -55,77 +54,58 @@ def _long(df: DataFrame, cols: Sequence[str], value_type: str = "string") -> Dat
         for c in cols])).alias("kv")).select("kv.feature", "kv.value")
 
 
+#: levels of all factors together; they become columns of a design and literals of a plan
+MAX_LEVELS = 5_000
+
+
 def category_levels(train: DataFrame, cols: Sequence[str], variant: str = "other") -> DataFrame:
-    """(feature, level, idx): the model's level list per factor.
+    """(feature, level, idx): the model's level list per factor, from one
+    aggregation of the train rows.
 
     ``variant="other"``: sorted distinct non-NULL train values, then ``other`` last.
     ``variant="missing"``: sorted distinct of train values (NULL/empty ->
     ``missing``) plus ``missing`` and ``other``.
     """
-    pairs = _long(train, cols)
-    if variant == "other":
-        lv = pairs.where(F.col("value").isNotNull()).distinct()
-        w = Window.partitionBy("feature").orderBy("value")
-        n_levels = F.count(F.lit(1)).over(Window.partitionBy("feature"))
-        ranked = lv.select("feature", "value", (F.row_number().over(w) - 1).alias("idx"),
-                           n_levels.alias("_n"))
-        # each level row, plus (once per feature) the trailing "other"
-        rows = F.array(F.struct(F.col("value").alias("level"), F.col("idx").cast("long").alias("idx")),
-                       F.when(F.col("idx") == 0, F.struct(F.lit(OTHER).alias("level"),
-                                                          F.col("_n").cast("long").alias("idx"))))
-        out = (ranked.select("feature", F.explode(rows).alias("r"))
-               .where(F.col("r").isNotNull()).select("feature", "r.level", "r.idx"))
-        # factors without any train value still get the "other" level
-        names = train.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
-        empty = (names.join(lv.select("feature").distinct(), "feature", "left_anti")
-                 .select("feature", F.lit(OTHER).alias("level"), F.lit(0).cast("long").alias("idx")))
-        return out.unionByName(empty)
-    filled = pairs.select("feature", F.when(F.col("value").isNull() | (F.col("value") == ""),
-                                            F.lit(MISSING)).otherwise(F.col("value")).alias("level"))
-    extra = (train.sparkSession.range(1)
-             .select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("feature"))
-             .select("feature", F.explode(F.array(F.lit(MISSING), F.lit(OTHER))).alias("level")))
-    lv = filled.unionByName(extra).distinct()
-    w = Window.partitionBy("feature").orderBy("level")
-    return lv.select("feature", "level", (F.row_number().over(w) - 1).alias("idx"))
-
-
-MAX_INLINE_LEVELS = 50_000
-
-
-def align_levels(df: DataFrame, levels: DataFrame, cols: Sequence[str],
-                 variant: str = "other", max_inline: int = MAX_INLINE_LEVELS) -> DataFrame:
+    value = F.col("value")
+    if variant == "missing":
+        value = F.when(value.isNull() | (value == ""), F.lit(MISSING)).otherwise(value)
+    seen = _long(train, cols).groupBy("feature").agg(F.sort_array(F.collect_set(value)).alias("lv"))
+    names = train.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
+    lv = F.coalesce("lv", F.array().cast("array<string>"))
+    levels = (F.concat(lv, F.array(F.lit(OTHER))) if variant == "other" else
+              F.array_sort(F.array_distinct(F.concat(lv, F.array(F.lit(MISSING), F.lit(OTHER))))))
+    out = names.join(seen, "feature", "left").select("feature", F.posexplode(levels).alias("idx", "level"))
+    return out.select("feature", "level", F.col("idx").cast("long").alias("idx"))
+
+
+def level_lists(levels: DataFrame, max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
+    """Level lists per factor; more than ``max_levels`` in all is an error (group
+    rare values first), never a silent cut."""
+    rows = levels.limit(max_levels + 1).collect()
+    if len(rows) > max_levels:
+        raise ValueError(f"more than {max_levels} factor levels")
+    out: dict[str, list[tuple[int, str]]] = {}
+    for r in rows:
+        out.setdefault(r["feature"], []).append((r["idx"], r["level"]))
+    return {k: [lv for _, lv in sorted(v)] for k, v in out.items()}
+
+
+def align_levels(df: DataFrame, levels: DataFrame | dict[str, list[str]], cols: Sequence[str],
+                 variant: str = "other") -> DataFrame:
     """Replace each factor value by itself when it is a model level, else by
     ``other``; NULL -> ``other`` (variant ``other``) or NULL/empty ->
-    ``missing`` (variant ``missing``).
-
-    Level lists within ``max_inline`` rows in total are read once and become
-    hash-set membership tests (no join); larger ones are joined."""
-    lv = levels.select("feature", "level")
-    small = lv.limit(max_inline + 1).collect()
-    if len(small) <= max_inline:
-        per: dict[str, list[str]] = {c: [] for c in cols}
-        for r in small:
-            per.setdefault(r["feature"], []).append(r["level"])
-        out = df
-        for c in cols:
-            val = F.col(c).cast("string")
-            if variant == "missing":
-                val = F.when(val.isNull() | (val == ""), F.lit(MISSING)).otherwise(val)
-            known = val.isin(per[c]) if per[c] else F.lit(False)
-            out = out.withColumn(c, F.when(known, val).otherwise(F.lit(OTHER)))
-        return out
-    out = df
-    for c in cols:
-        known = lv.where(F.col("feature") == c).select(F.col("level").alias(f"_lv_{c}"))
+    ``missing`` (variant ``missing``). The checked level lists are hash-set
+    membership tests; no join."""
+    lists = levels if isinstance(levels, dict) else level_lists(levels)
+
+    def aligned(c: str) -> F.Column:
         val = F.col(c).cast("string")
         if variant == "missing":
             val = F.when(val.isNull() | (val == ""), F.lit(MISSING)).otherwise(val)
-        out = out.withColumn(c, val)
-        out = out.join(known, out[c] == known[f"_lv_{c}"], "left")
-        out = out.withColumn(c, F.when(F.col(f"_lv_{c}").isNotNull(), F.col(c))
-                             .otherwise(F.lit(OTHER))).drop(f"_lv_{c}")
-    return out
+        known = val.isin(lists[c]) if lists.get(c) else F.lit(False)
+        return F.when(known, val).otherwise(F.lit(OTHER))
+
+    return df.withColumns({c: aligned(c) for c in cols})
 
 
 def train_medians(train: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -139,8 +119,13 @@ def train_medians(train: DataFrame, cols: Sequence[str]) -> DataFrame:
                     .otherwise(F.col("median")).alias("median")))
 
 
-def impute_medians(df: DataFrame, medians: DataFrame) -> DataFrame:
+def median_values(medians: DataFrame) -> dict[str, float]:
+    """The train medians as a dict: one number per numeric predictor."""
+    return {r["feature"]: r["median"] for r in medians.collect()}
+
+
+def impute_medians(df: DataFrame, medians: DataFrame | dict[str, float]) -> DataFrame:
     """Fill NULLs with the train medians (a handful of numbers, read once)."""
-    values = {r["feature"]: r["median"] for r in medians.collect()}
+    values = medians if isinstance(medians, dict) else median_values(medians)
     return df.select(*[F.coalesce(F.col(c), F.lit(values[c])).alias(c) if c in values else F.col(c)
                        for c in df.columns])

@@ -2,24 +2,26 @@
 
 A ``RANGE`` window partitioned by key sorts every row of a key in one task;
 one hot route would make that task hold a third of the data. Here the frame
-sum is a difference of running sums, ``C(t - gap) - C<(t - span)``, and the
-running sums are built from day buckets:
-
-1. rows are aggregated to one record per (key, instant): sum and count of the
-   non-NULL values (map-side partial aggregation), checkpointed once;
-2. every record is exploded into itself plus its two query points (upper end,
-   inclusive; lower end, exclusive) - one branch, no union;
-3. a window per (key, day) gives running sums inside the day - a partition
+total is a difference of running totals, ``C(t - gap) - C<(t - span)``, and the
+running totals are built from day buckets:
+
+1. rows are aggregated to one record per (key, instant) (map-side partial
+   aggregation), written once as pruned Parquet;
+2. every record becomes a data point, and a record that has a wanted row also
+   its two query points (upper end, inclusive; lower end, exclusive);
+3. a window per (key, day) gives running totals inside the day - a partition
    holds at most one day of distinct instants of one key;
-4. per-(key, day) totals get a running sum over the key's days (a few hundred
-   rows per key), which is added to the in-day sums;
-5. the upper and lower results are paired by one aggregation on (key,
-   instant) and the original rows join back on (key, instant), NULL keys
-   matching NULL keys. The source is read twice: for the points and for the
-   final attach.
-
-Results equal ``avg(value) over (partition by keys order by ts range between
-span preceding and gap preceding)``; sums are exact for integer-valued inputs.
+4. per-(key, day) totals get a running total over the key's days (a few hundred
+   rows per key); it joins in the window's own partitioning;
+5. the upper and lower results are paired by one aggregation on (key, instant),
+   in whose partitioning the wanted rows join back.
+
+Totals are kept of finite values, non-NULL values, NaN, +Inf and -Inf apart, so a
+special value counts while it is inside a frame and leaves no trace after it.
+Keys are one struct, in which a NULL equals a NULL. Results equal ``avg(value)
+over (partition by keys order by ts range between span preceding and gap
+preceding)``; a NULL time has no frame and gets NULL. Sums are exact for
+integer-valued inputs and else differ by rounding only.
 """
 
 from __future__ import annotations
@@ -29,78 +31,55 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.session import ensure_checkpoint_dir
+from tarmac.session import written
 
 MICROS_PER_SECOND = 1_000_000
 MICROS_PER_DAY = 86_400 * MICROS_PER_SECOND
-
-
-def _null_safe(keys: Sequence[str], left: DataFrame, right: DataFrame) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
+_INF = float("inf")
+_TOTALS = ["_s", "_c", "_nan", "_pos", "_neg"]
 
 
 def rolling_mean_bucketed(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str,
                           span_micros: int, gap_micros: int, out_col: str,
-                          bucket_micros: int = MICROS_PER_DAY) -> DataFrame:
-    keys = list(keys)
-    spark = df.sparkSession
+                          bucket_micros: int = MICROS_PER_DAY, wanted: Column | None = None) -> DataFrame:
+    key = F.struct(*keys)
     t = F.unix_micros(F.col(ts_col).cast("timestamp"))
-    y = F.col(value_col).cast("double")
-    # (key, instant) points: one aggregation, checkpointed because three
-    # consumers read it (the record stream, the day totals, nothing else
-    # re-reads the source until the final attach)
-    ensure_checkpoint_dir(spark)
-    pts = (df.select(*keys, t.alias("_t"), y.alias("_y"))
-           .groupBy(*keys, "_t")
-           .agg(F.sum(F.coalesce("_y", F.lit(0.0))).alias("_s"), F.count("_y").alias("_c"))
-           .checkpoint(eager=True))
-
-    def bucket(col: Column) -> Column:
-        return F.floor(col / F.lit(bucket_micros))
+    y = F.col("_y")
+    special = F.isnan(y) | (F.abs(y) == _INF)
+    want = F.lit(True) if wanted is None else F.coalesce(wanted, F.lit(False))
+    points = (df.select(key.alias("_key"), t.alias("_t"), F.col(value_col).cast("double").alias("_y"), want.alias("_w"))
+              .where("_t is not null").groupBy("_key", "_t")
+              .agg(F.sum(F.when(y.isNotNull() & ~special, y).otherwise(0.0)).alias("_s"), F.count("_y").alias("_c"),
+                   *[F.count_if(F.coalesce(cond, F.lit(False))).alias(n) for n, cond in (
+                       ("_nan", F.isnan(y)), ("_pos", y == _INF), ("_neg", y == -_INF))],
+                   F.max("_w").alias("_w")))
+    points = written(points, "rolling-points")
+    at = F.col("_t")
+    none = [F.lit(0.0), *[F.lit(0).cast("long")] * 4]
+
+    def rec(kind: int, p: Column, values) -> Column:
+        return F.struct(F.floor(p / F.lit(bucket_micros)).alias("_b"), p.alias("_p"), F.lit(kind).alias("_kind"),
+                        *[v.alias(n) for v, n in zip(values, _TOTALS)])
 
-    def rec(kind: int, p: Column, s: Column, c: Column) -> Column:
-        return F.struct(bucket(p).alias("_b"), p.alias("_p"), F.lit(kind).alias("_kind"),
-                        s.alias("_s"), c.alias("_c"))
-
-    zero_s, zero_c = F.lit(0.0), F.lit(0).cast("long")
-    tt = F.col("_t")
     # kind: 0 = lower query (before data at equal time), 1 = data, 2 = upper query
-    stream = pts.select(*keys, tt.alias("_at"), F.explode(F.array(
-        rec(1, tt, F.col("_s"), F.col("_c")),
-        rec(2, tt - F.lit(gap_micros), zero_s, zero_c),
-        rec(0, tt - F.lit(span_micros), zero_s, zero_c))).alias("r")).select(*keys, "_at", "r.*")
-
-    in_day = Window.partitionBy(*keys, "_b").orderBy("_p", "_kind").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    queries = (stream.withColumn("_cs", F.sum("_s").over(in_day))
-               .withColumn("_cc", F.sum("_c").over(in_day))
-               .where(F.col("_kind") != 1))
-
-    # per-(key, day) totals over every day that holds a point or a query,
-    # then a running total over the key's days (a few hundred rows per key)
-    days = (pts.select(*keys, F.explode(F.array(
-                F.struct(bucket(tt).alias("_b"), F.col("_s"), F.col("_c")),
-                F.struct(bucket(tt - F.lit(gap_micros)).alias("_b"), zero_s.alias("_s"), zero_c.alias("_c")),
-                F.struct(bucket(tt - F.lit(span_micros)).alias("_b"), zero_s.alias("_s"), zero_c.alias("_c"))))
-                        .alias("d")).select(*keys, "d.*")
-            .groupBy(*keys, "_b").agg(F.sum("_s").alias("_ds"), F.sum("_c").alias("_dc")))
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select(*keys, "_b", F.coalesce(F.sum("_ds").over(before), F.lit(0.0)).alias("_ps"),
-                       F.coalesce(F.sum("_dc").over(before), F.lit(0)).alias("_pc"))
-
-    q = queries.join(days, _null_safe(keys + ["_b"], queries, days)).select(
-        *[queries[k] for k in keys], "_kind", "_at",
-        (F.col("_ps") + F.col("_cs")).alias("_S"), (F.col("_pc") + F.col("_cc")).alias("_C"))
-    upper = F.col("_kind") == 2
-    win = q.groupBy(*keys, "_at").agg(
-        (F.sum(F.when(upper, F.col("_S"))) - F.sum(F.when(~upper, F.col("_S")))).alias("_ws"),
-        (F.sum(F.when(upper, F.col("_C"))) - F.sum(F.when(~upper, F.col("_C")))).alias("_wc"))
-    win = win.select(*keys, "_at", F.when(F.col("_wc") > 0, F.col("_ws") / F.col("_wc")).alias(out_col))
-
-    src = df.withColumn("_at", t)
-    out = src.join(win, _null_safe(keys + ["_at"], src, win), "left")
-    return out.select(*[src[c] for c in src.columns if c != "_at"], win[out_col])
+    recs = F.array(rec(1, at, [F.col(n) for n in _TOTALS]),
+                   F.when(F.col("_w"), rec(2, at - F.lit(gap_micros), none)),
+                   F.when(F.col("_w"), rec(0, at - F.lit(span_micros), none)))
+    stream = points.select("_key", at.alias("_at"), F.explode(F.filter(recs, lambda r: r.isNotNull())).alias("r")).select(
+        "_key", "_at", "r.*")
+    in_day = Window.partitionBy("_key", "_b").orderBy("_p", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    queries = stream.select("_key", "_b", "_at", "_kind", *[F.sum(n).over(in_day).alias(n) for n in _TOTALS]).where("_kind <> 1")
+
+    days = stream.groupBy("_key", "_b").agg(*[F.sum(n).alias(n) for n in _TOTALS])
+    before = Window.partitionBy("_key").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("_key", "_b", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_d{n}") for n in _TOTALS])
+
+    sign = F.when(F.col("_kind") == 2, 1).otherwise(-1)
+    frame = queries.join(days, ["_key", "_b"]).groupBy("_key", "_at").agg(
+        *[F.sum(sign * (F.col(n) + F.col(f"_d{n}"))).alias(n) for n in _TOTALS])
+    c = {n: F.col(n) for n in _TOTALS}
+    mean = (F.when((c["_nan"] > 0) | ((c["_pos"] > 0) & (c["_neg"] > 0)), F.lit(float("nan")))
+            .when(c["_pos"] > 0, F.lit(_INF)).when(c["_neg"] > 0, F.lit(-_INF)).otherwise(c["_s"] / c["_c"]))
+    frame = frame.select("_key", "_at", F.when(c["_c"] > 0, mean).alias(out_col))
+    rows = (df if wanted is None else df.where(wanted)).withColumn("_key", key).withColumn("_at", t)
+    return rows.join(frame, ["_key", "_at"], "left").drop("_key", "_at")

@@ -81,6 +81,6 @@ class Ctx:
     def fxc(self) -> DataFrame:
         return feat.calendar_features(self.f)
 
-    def features(self, how: str = "left", keep_ids: bool = False) -> DataFrame:
+    def features(self, how: str = "left", keep_ids: bool = False, keep_month: bool = False) -> DataFrame:
         return feat.build_features(self.flights, self.smap, self.weather, how=how,
-                                   keep_ids=keep_ids)
+                                   keep_ids=keep_ids, keep_month=keep_month)

@@ -49,12 +49,12 @@ def _hhmm(c: Ctx) -> DataFrame:
 
 
 query("sched_dep_utc", compose(
-    "select flight_id, origin, station_id, tz, sched_dep_tstz from f", "f"))(
+    "select flight_id, origin, station_id, tz, sched_dep_tstz from departures", "departures"))(
     lambda c: c.f.select("flight_id", "origin", "station_id", "tz",
                          tp.to_ntz(F.col("sched_dep_tstz")).alias("sched_dep_tstz")))
 
 query("flights_to_station", compose(
-    "select flight_id, carrier, origin, dest, station_id, dep_delay_min from f", "f"))(
+    "select flight_id, carrier, origin, dest, station_id, dep_delay_min from departures", "departures"))(
     lambda c: c.f.select("flight_id", "carrier", "origin", "dest", "station_id", "dep_delay_min"))
 
 
@@ -69,7 +69,7 @@ def _crs_hour(c: Ctx) -> DataFrame:
 
 
 query("calendar_features", compose(
-    "select flight_id, sched_dep_tstz, dep_hr_bin, dep_hour_local, dow from fxc", "fxc"))(
+    "select flight_id, sched_dep_tstz, dep_hr_bin, dep_hour_local, dow from clocked", "clocked"))(
     lambda c: c.fxc.select("flight_id", tp.to_ntz(F.col("sched_dep_tstz")).alias("sched_dep_tstz"),
                            tp.to_ntz(F.col("dep_hr_bin")).alias("dep_hr_bin"),
                            "dep_hour_local", "dow"))
@@ -86,9 +86,8 @@ def _late(c: Ctx) -> DataFrame:
 
 
 query("flight_dedup", compose("""
-select flight_id, carrier, origin, dest, sched_dep_tstz, dep_delay_min from f
-qualify row_number() over (partition by carrier, origin, dest, sched_dep_tstz
-  order by (dep_delay_min is null), dep_delay_min, flight_id) = 1""", "f"))(
+select pick.id as flight_id, carrier, origin, dest, sched_dep_tstz, pick.delay as dep_delay_min
+from single""", "single"))(
     lambda c: feat.flight_dedup(c.f).select(
         "flight_id", "carrier", "origin", "dest",
         tp.to_ntz(F.col("sched_dep_tstz")).alias("sched_dep_tstz"), "dep_delay_min"))
@@ -98,7 +97,7 @@ query("features_left", compose("select * from features_left", "features_left"))(
     lambda c: c.features("left"))
 query("features_inner", compose("select * from features_inner", "features_inner"))(
     lambda c: c.features("inner"))
-query("features_left_ids", compose("select * from features_left_ids", "features_left_ids"))(
+query("features_left_ids", compose("select * exclude (year, month) from features_left_ids", "features_left_ids"))(
     lambda c: c.features("left", keep_ids=True))
 
 query("weather_coverage", compose("""

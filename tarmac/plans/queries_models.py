@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from tarmac.operators import evaluate as ev
 from tarmac.operators import models as mdl
 from tarmac.operators import prep as pp
 from tarmac.plans.queries_baselines import _m1_parts, _ravg90, _split
+from tarmac.session import scratch_path, written
+from tarmac.sources import sinks
 
 
 # ====================================================================== models (rows-only checks)
@@ -27,22 +31,41 @@ def _ridge_metrics(c: Ctx) -> DataFrame:
     return mdl.ridge_path(_split(c)).metrics
 
 
-@query("predictions")
-def _predictions(c: Ctx) -> DataFrame:
-    """Per row: 90-day average and ridge predictions side by side."""
+def _stored(c: Ctx) -> DataFrame:
+    """Per row: the flight's keys, 90-day average and ridge predictions side by side."""
     train = (_split(c).where(F.col("split") == "train")
              .withColumn("pred_rolling_avg", F.lit(None).cast("double")))
-    res = mdl.ridge_path(train.unionByName(_ravg90(c)),
-                         keep=("flight_id", "split", "sched_dep_tstz", "pred_rolling_avg"))
-    both = res.valid_pred.unionByName(res.test_pred)
-    return both.select("split", "sched_dep_tstz", "carrier", "origin", "dest", "dep_delay_min",
-                       "pred_rolling_avg", mdl.PRED_RIDGE)
+    res = mdl.ridge_path(train.unionByName(_ravg90(c)), keep=mdl.PREDICTION_KEYS)
+    return mdl.stored_predictions(res)
+
+
+@query("predictions")
+def _predictions(c: Ctx) -> DataFrame:
+    return _stored(c)
+
+
+# every column of the predictions but the ridge value
+query("predictions_keys", compose("""
+select split, sched_dep_tstz, carrier, origin, dest, dep_delay_min, round(pred_rolling_avg, 6) as pred_rolling_avg
+from ravg90""", "ravg90"))(
+    lambda c: _stored(c).drop(mdl.PRED_RIDGE).withColumn("pred_rolling_avg", r6(F.col("pred_rolling_avg"))))
+
+
+@query("mae_by_candidate", compose("""
+select split, s / 10.0::double as candidate, round(avg(abs(s / 10.0::double * pred_rolling_avg - dep_delay_min)), 6) as mae
+from ravg90, range(11) r(s) group by all""", "ravg90"))
+def _mae_by_candidate(c: Ctx) -> DataFrame:
+    """MAE of every candidate over stored predictions in one pass: the 90-day
+    average shrunk by 0, 0.1, ... 1."""
+    return ev.mae_by_candidate(written(_ravg90(c).select("split", "dep_delay_min", "pred_rolling_avg"), "stored"),
+                               {k / 10.0: F.lit(k / 10.0) * F.col("pred_rolling_avg") for k in range(11)},
+                               "dep_delay_min", ["split"])
 
 
 @query("elastic_net_metrics")
 def _en_metrics(c: Ctx) -> DataFrame:
     """30-day baseline MAE plus elastic-net MAE / RMSE on the test month."""
-    return mdl.train_baseline(*_m1_parts(c))
+    return mdl.train_baseline(*_m1_parts(c))[0]
 
 
 @query("gbt_metrics")
@@ -52,12 +75,12 @@ def _gbt_metrics(c: Ctx) -> DataFrame:
 
 @query("metrics_comparison")
 def _metrics_cmp(c: Ctx) -> DataFrame:
-    """Baseline metrics (90-day average, ridge) with the tree metrics appended."""
-    base = ev.error_metrics(_ravg90(c).withColumn("model", F.lit(mdl.MODEL_ROLLING_90D)),
-                            "dep_delay_min", "pred_rolling_avg")
+    """Stored baseline metrics (90-day average, ridge) with the tree metrics appended."""
     sp = _split(c)
-    return (base.unionByName(mdl.ridge_path(sp).metrics)
-            .unionByName(mdl.gbt_run(sp, max_rounds=GBT_MAX_ROUNDS).metrics))
+    path = scratch_path(c.spark, f"metrics/{uuid.uuid4().hex}")
+    base = ev.error_metrics(_ravg90(c).withColumn("model", F.lit(mdl.MODEL_ROLLING_90D)), "dep_delay_min", "pred_rolling_avg")
+    sinks.write_small_csv(base.unionByName(mdl.ridge_path(sp).metrics), path)
+    return sinks.append_metrics(c.spark, mdl.gbt_run(sp, max_rounds=GBT_MAX_ROUNDS).metrics, path)
 
 
 # ====================================================================== design matrices
@@ -92,10 +115,8 @@ _ridge_terms = " union all ".join(
 def _ridge_design(c: Ctx) -> DataFrame:
     """Nonzero entries of the ridge design matrix (first level of each factor
     dropped, numerics imputed with train medians) as (term, value) rows."""
-    aligned, design, levels = mdl.prepare_ridge(_split(c))
-    names = mdl.ridge_terms(levels, pp.RIDGE_FACTORS, pp.RIDGE_NUMERICS)
-    return (mdl.design_entries(design.transform(aligned), names, ["flight_id", "split"])
-            .withColumn("value", r6(F.col("value"))))
+    aligned, levels, _ = mdl.prepare_ridge(_split(c))
+    return mdl.design_entries(aligned, levels, ["flight_id", "split"]).withColumn("value", r6(F.col("value")))
 
 
 _med_sql("tmed", "tf", pp.TREE_NUMERICS)
@@ -110,7 +131,7 @@ _tree_cols = ", ".join(
 def _tree_design(c: Ctx) -> DataFrame:
     """Tree inputs per row: level index of every factor (sorted levels with
     ``missing`` and ``other``) and the train-median-imputed numerics."""
-    x, _ = mdl.prepare_tree(_split(c))
+    x = mdl.prepare_tree(_split(c))[0]
     return x.select("flight_id", "split",
                     *[F.col(f"{f}__i").alias(f"{f}_idx") for f in pp.TREE_FACTORS],
                     *[r6(F.col(n)).alias(n) for n in pp.TREE_NUMERICS])

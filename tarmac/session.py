@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -67,8 +68,21 @@ def scale_conf(input_bytes: float, total_cores: int,
     }
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def importable(spark: SparkSession) -> None:
+    """Python workers find this package where the driver has it (the same path
+    on every node, as for any installed package), whatever their cwd."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([_ROOT, *paths])
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings tarmac relies on to an existing session."""
+    importable(spark)
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
               "spark.sql.adaptive.skewJoin.enabled"):
         spark.conf.set(k, DEFAULT_CONF[k])
@@ -88,7 +102,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
-    if not sc.master.startswith("local"):
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="tarmac-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
@@ -99,3 +113,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint directory for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove every table that ``written`` has left in the scratch folder. For the
+    end of a job: frames that still read those tables fail afterwards."""
+    drop_path(spark, scratch_path(spark, ""))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared scratch folder: cuts the lineage and
+    is read column by column. Lazy results may read it until the session ends;
+    ``drop_scratch`` removes what a finished job left."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -19,13 +19,13 @@ def read_airports(spark: SparkSession, path: str) -> DataFrame:
 
 def read_stations(spark: SparkSession, json_path: str, cache_path: str | None = None) -> DataFrame:
     """(id, icao) from the nested station dictionary (``identifiers.icao``).
-    With ``cache_path`` the flattened table is written once and read back after."""
+    With ``cache_path`` the whole dictionary is written once and read back after."""
     if cache_path and path_exists(spark, cache_path):
-        return spark.read.parquet(cache_path)
-    raw = spark.read.option("multiLine", True).json(json_path)
-    flat = raw.select(F.col("id").cast("string").alias("id"),
+        raw = spark.read.parquet(cache_path)
+    else:
+        raw = spark.read.option("multiLine", True).json(json_path)
+        if cache_path:
+            raw.write.mode("overwrite").parquet(cache_path)
+            raw = spark.read.parquet(cache_path)
+    return raw.select(F.col("id").cast("string").alias("id"),
                       F.col("identifiers.icao").cast("string").alias("icao"))
-    if cache_path:
-        flat.write.mode("overwrite").parquet(cache_path)
-        return spark.read.parquet(cache_path)
-    return flat

@@ -1,42 +1,39 @@
 """CSV files whose column sets differ from file to file.
 
-Every file's header is its first line, read alone through the Hadoop file
-system (a few bytes per file, decompressed when the name says so). The data
-lines are read in one scan, parsed with ``from_csv`` into positional text
-fields (quotes honoured) and turned into ``name -> text`` maps with their
-file's header, joined from a broadcast (file, header) table whose size is the
-known file count. A column absent from a file reads as NULL, so differing
-layouts union cleanly.
+The first line of every file (a few bytes, decompressed when the name says so)
+tells its columns. Files with equal headers form a group that Spark's CSV reader
+scans with a schema by position, so only the fields a query uses are parsed;
+the groups are united by name and a column that a file lacks reads as NULL.
+Header lines are skipped by the reader, never matched as text; a column without
+a name is dropped together with its values, wherever it stands; any number of
+columns is read.
 """
 
 from __future__ import annotations
 
 import csv
-import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tarmac.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS
-
-MAX_COLUMNS = 160
-
-
-def _fields_schema(n: int) -> str:
-    return ", ".join(f"c{i} string" for i in range(n))
+FILE = "_file"
+HEADER_READERS = 16
 
 
 def list_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """Data files under the given files/folders, as Spark names them
-    (hidden ``_`` / ``.`` entries skipped, like the file sources do)."""
+    """Data files under the given files/folders, as the Hadoop file system names
+    them (hidden ``_`` / ``.`` entries skipped, like the file sources do)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     out = []
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
         fs = path.getFileSystem(conf)
-        for status in fs.globStatus(path) or []:
+        exact = fs.exists(path)
+        for status in ([fs.getFileStatus(path)] if exact else fs.globStatus(path) or []):
             if status.isDirectory():
                 it = fs.listFiles(status.getPath(), True)
                 while it.hasNext():
@@ -64,73 +61,54 @@ def first_line(spark: SparkSession, file: str) -> str | None:
         reader.close()
 
 
-def header_rows(spark: SparkSession, files: Sequence[str]) -> list:
-    """(file, column names) of every file, from its first line."""
-    rows = []
-    for f in files:
-        line = first_line(spark, f)
+def column_names(line: str) -> list[str | None]:
+    """Names by position; None for a blank one. A repeated name gets a number."""
+    seen: dict[str, int] = {}
+    out: list[str | None] = []
+    for h in next(csv.reader([line.lstrip("﻿")])):
+        h = h.strip()
+        seen[h.lower()] = seen.get(h.lower(), 0) + 1
+        out.append((h if seen[h.lower()] == 1 else f"{h}_{seen[h.lower()]}") if h else None)
+    return out
+
+
+def header_groups(spark: SparkSession, files: Sequence[str]) -> dict[tuple, list[str]]:
+    """Files by their column names; an empty file holds no rows and no group."""
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        lines = list(pool.map(lambda f: first_line(spark, f), files))
+    groups: dict[tuple, list[str]] = {}
+    for f, line in zip(files, lines):
         if line is not None:
-            rows.append((f, [h.strip() for h in next(csv.reader([line.lstrip("﻿")]))]))
-    return rows
+            groups.setdefault(tuple(column_names(line)), []).append(f)
+    return groups
 
 
-def header_table(spark: SparkSession, files: Sequence[str]) -> DataFrame:
-    return spark.createDataFrame(header_rows(spark, files), "file string, header array<string>")
+def _escape_glob(path: str) -> str:
+    """Spark reads paths as patterns; a listed file is meant literally."""
+    return "".join("\\" + c if c in "{}[]*?\\" else c for c in path)
 
 
-def read_csv_maps(spark: SparkSession, paths: str | Sequence[str], marker_column: str,
-                  max_columns: int = MAX_COLUMNS) -> DataFrame:
-    """Rows ``(file, fields)`` with ``fields: map<string,string>`` per data line."""
+def read_csv_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """All rows as text columns under their own names, plus the file's path."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     files = list_files(spark, paths)
-    rows = header_rows(spark, files)
-    headers = spark.createDataFrame(rows, "file string, header array<string>")
-    if len(files) <= DEFAULT_MAX_BROADCAST_ROWS:       # one row per file
-        headers = F.broadcast(headers)
-    # parse only as many fields as the widest header names
-    width = min(max_columns, max((len(h) for _, h in rows), default=1))
-    raw = spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), "value")
-    return _maps(raw, headers, marker_column, width)
-
-
-def _parse(raw: DataFrame, max_columns: int) -> DataFrame:
-    parsed = raw.select("file", F.from_csv("value", _fields_schema(max_columns)).alias("r"))
-    return parsed.select("file", F.array(*[F.col(f"r.c{i}") for i in range(max_columns)]).alias("fields"))
-
-
-def _is_header_line(marker_column: str):
-    """A header line holds the marker column name as one of its fields. Tested
-    on the raw text: a predicate on the parsed fields would be pushed below
-    the parse and re-parse the line once per field."""
-    pattern = r'(^|,)\s*"?' + re.escape(marker_column) + r'"?\s*(,|$)'
-    return F.coalesce(F.col("value").rlike(pattern), F.lit(False))
-
-
-def _maps(raw: DataFrame, headers: DataFrame, marker_column: str, max_columns: int) -> DataFrame:
-    data = _parse(raw.where(~_is_header_line(marker_column)), max_columns)
-    headers = headers.withColumn(
-        "_n", F.size(F.filter("header", lambda x: x.isNotNull() & (x != F.lit("")))))
-    j = data.join(headers, "file")
-    return j.select("file", F.map_from_arrays(F.slice("header", 1, F.col("_n")),
-                                              F.slice("fields", 1, F.col("_n"))).alias("fields"))
-
-
-def csv_lines_to_maps(raw: DataFrame, marker_column: str,
-                      max_columns: int = MAX_COLUMNS) -> DataFrame:
-    """Same maps for a bounded frame of (file, value) lines, e.g. one stream
-    micro-batch: headers are taken from the lines themselves (persist the
-    frame first - it is read twice)."""
-    # one header row per file of the batch (at most maxFilesPerTrigger files)
-    rows = [(r["file"], [h.strip() for h in r["fields"] if h is not None and h.strip()])
-            for r in _parse(raw.where(_is_header_line(marker_column)), max_columns)
-            .dropDuplicates(["file"]).collect()]
-    headers = raw.sparkSession.createDataFrame(rows, "file string, header array<string>")
-    width = min(max_columns, max((len(h) for _, h in rows), default=1))
-    return _maps(raw, F.broadcast(headers), marker_column, width)
-
-
-def field(name: str, dtype: str = "string") -> F.Column:
-    """A named field of the map, cast with ``try_cast`` semantics (bad text -> NULL)."""
-    v = F.trim(F.col("fields")[name])
+    out = None
+    for names, group in header_groups(spark, files).items():
+        schema = T.StructType([T.StructField(n or f"_blank{i}", T.StringType()) for i, n in enumerate(names)])
+        df = (spark.read.schema(schema).option("header", True).option("escape", '"').option("enforceSchema", True)
+              .csv([_escape_glob(f) for f in group]))
+        # the metadata path is URL-encoded; a plus sign is not a space there
+        path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        df = df.select(path.alias(FILE), *[F.col(f"`{n}`") for n in names if n])
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out if out is not None else spark.createDataFrame([], f"{FILE} string")
+
+
+def field(df: DataFrame, name: str, dtype: str = "string") -> F.Column:
+    """A named column, trimmed, blank as NULL, cast so that bad text is NULL; a
+    column that no file has is NULL."""
+    if name.lower() not in {c.lower() for c in df.columns}:
+        return F.lit(None).cast(dtype)
+    v = F.trim(F.col(f"`{name}`"))
     v = F.when(v != F.lit(""), v)
     return v if dtype == "string" else v.try_cast(dtype)

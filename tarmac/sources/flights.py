@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.sources.csvmap import csv_lines_to_maps, field, read_csv_maps
+from tarmac.sources.csvmap import FILE, field, read_csv_files
 
 # Source column names of the monthly on-time performance files.
 ONTIME_COLUMNS = {
@@ -20,22 +20,26 @@ ONTIME_COLUMNS = {
 }
 
 
-def _typed(maps: DataFrame) -> DataFrame:
-    cols = [field(src, dtype).alias(name) for name, (src, dtype) in ONTIME_COLUMNS.items()]
-    df = maps.select(*cols)
+def _typed(raw: DataFrame, all_columns: bool) -> DataFrame:
+    cols = [field(raw, src, dtype).alias(name) for name, (src, dtype) in ONTIME_COLUMNS.items()]
+    if all_columns:  # the file's other columns as they are, unless the name is taken
+        taken = {n.lower() for n in (*ONTIME_COLUMNS, "flight_id", "source_file", *(c for c, _ in ONTIME_COLUMNS.values()))}
+        cols += [F.col(f"`{c}`") for c in raw.columns if c != FILE and c.lower() not in taken]
+    df = raw.select(*cols, F.regexp_extract(FILE, "([^/]+)$", 1).alias("source_file"))
     # a stable id for tie-breaking: the flight's identifying fields
     return df.withColumn("flight_id", F.xxhash64("flight_date", "carrier", "flight_number",
                                                  "origin", "dest", "crs_dep_time"))
 
 
-def read_flights_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """All monthly files in one scan; HHMM stays text."""
-    return _typed(read_csv_maps(spark, paths, ONTIME_COLUMNS["year"][0]))
+def read_flights_csv(spark: SparkSession, paths: str | Sequence[str], all_columns: bool = True) -> DataFrame:
+    """All monthly files in one scan per header; HHMM stays text. With
+    ``all_columns`` the source's other columns follow as text."""
+    return _typed(read_csv_files(spark, paths), all_columns).drop("source_file")
 
 
-def flights_from_lines(lines: DataFrame) -> DataFrame:
-    """Same as ``read_flights_csv`` for a frame of (file, value) text lines."""
-    return _typed(csv_lines_to_maps(lines, ONTIME_COLUMNS["year"][0]))
+def read_flight_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Same, with each row's ``source_file`` name."""
+    return _typed(read_csv_files(spark, paths), True)
 
 
 def write_flights(df: DataFrame, out_root: str) -> None:
@@ -48,6 +52,14 @@ def write_flights(df: DataFrame, out_root: str) -> None:
      .partitionBy("year", "month").parquet(out_root))
 
 
+def write_flights_by_file(df: DataFrame, out_root: str) -> None:
+    """``year/month/source_file`` partitions: writing a file again replaces that
+    file's rows and no other's, so files of one month may come in any order."""
+    (df.hint("rebalance", "year", "month", "source_file").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy("year", "month", "source_file").parquet(out_root))
+
+
 def read_flights(spark: SparkSession, root: str, months: Sequence[tuple[int, int]] | None = None,
                  columns: Sequence[str] | None = None) -> DataFrame:
     """Partitioned flights; a month list becomes a partition filter."""

@@ -35,8 +35,14 @@ def pending_months(requested: DataFrame, existing: DataFrame, overwrite: bool =
 
 
 def existing_months(spark: SparkSession, root: str) -> DataFrame:
-    """(year, month) partitions present under a partitioned Parquet root."""
-    from tarmac.sources.paths import path_exists
-    if not path_exists(spark, root):
-        return spark.createDataFrame([], "year int, month int")
-    return spark.read.parquet(root).select("year", "month").distinct()
+    """(year, month) partitions under a partitioned Parquet root, from the folder
+    names; a folder without data files does not count."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(conf)
+    found = []
+    for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(top, "year=*/month=*")) or []:
+        if fs.getContentSummary(status.getPath()).getFileCount() > 0:
+            month, year = status.getPath().getName(), status.getPath().getParent().getName()
+            found.append((int(year.partition("=")[2]), int(month.partition("=")[2])))
+    return spark.createDataFrame(found, "year int, month int")

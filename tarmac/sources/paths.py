@@ -5,15 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def flights_path(root: str, year: int, month: int) -> str:
-    return f"{root.rstrip('/')}/year={int(year)}/month={int(month)}"
-
-
-def weather_path(root: str, year: int, month: int) -> str:
-    return f"{root.rstrip('/')}/weather_{int(year)}_{int(month):02d}.parquet"
-
-
-def features_path(root: str, year: int, month: int) -> str:
+def month_path(root: str, year: int, month: int) -> str:
+    """Folder of one month under a root partitioned by year and month."""
     return f"{root.rstrip('/')}/year={int(year)}/month={int(month)}"
 
 
@@ -28,4 +21,4 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def require_paths(spark: SparkSession, paths, what: str = "input") -> None:
     missing = [p for p in paths if not path_exists(spark, p)]
     if missing:
-        raise ValueError(f"Missing {what} files:\n" + "\n".join(missing))
+        raise ValueError(f"no {what} at: " + ", ".join(missing))

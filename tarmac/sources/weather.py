@@ -13,25 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.operators.features import MEASURES
-from tarmac.sources.csvmap import field, read_csv_maps
-
-
-def station_file(root: str, year: int, station_id: str) -> str:
-    return f"{root.rstrip('/')}/{year}/{station_id}.csv.gz"
+from tarmac.sources.csvmap import FILE, field, read_csv_files
 
 
 def read_weather(spark: SparkSession, paths: str | Sequence[str], year: int | None = None,
                  month: int | None = None) -> DataFrame:
-    maps = read_csv_maps(spark, paths, "year")
+    raw = read_csv_files(spark, paths)
     # station id: a ``station_id=<id>`` folder when present, else the file name
-    folder = F.regexp_extract(F.col("file"), r"station_id=([^/]+)/", 1)
-    station = F.when(folder != "", folder).otherwise(
-        F.regexp_extract(F.col("file"), r"([^/]+?)(\.csv)?(\.gz)?$", 1))
-    y, m, d, h = (field(c, "int") for c in ("year", "month", "day", "hour"))
+    folder = F.regexp_extract(FILE, r"station_id=([^/]+)/", 1)
+    station = F.when(folder != "", folder).otherwise(F.regexp_extract(FILE, r"([^/]+?)(\.csv)?(\.gz)?$", 1))
+    y, m, d, h = (field(raw, c, "int") for c in ("year", "month", "day", "hour"))
     time = F.make_timestamp(y, m, d, h, F.lit(0), F.lit(0), F.lit("UTC"))
-    df = maps.select(time.alias("time"), station.alias("station_id"),
-                     *[field(c, "double").alias(c) for c in MEASURES],
-                     field("coco", "int").alias("coco"), y.alias("_y"), m.alias("_m"))
+    df = raw.select(time.alias("time"), station.alias("station_id"),
+                    *[field(raw, c, "double").alias(c) for c in MEASURES],
+                    field(raw, "coco", "int").alias("coco"), y.alias("_y"), m.alias("_m"))
     if year is not None:
         df = df.where(F.col("_y") == year)
     if month is not None:
@@ -39,8 +34,16 @@ def read_weather(spark: SparkSession, paths: str | Sequence[str], year: int | No
     return df.drop("_y", "_m")
 
 
-def write_weather_month(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def write_weather(df: DataFrame, root: str) -> None:
+    """``year/month`` partitions of the observation time (UTC); only the months
+    present are replaced."""
+    t = F.col("time")
+    (df.withColumn("year", F.year(t)).withColumn("month", F.month(t)).hint("rebalance", "year", "month")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(root))
+
+
+def read_weather_months(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(root).drop("year", "month")
 
 
 def write_crosswalk(df: DataFrame, path: str) -> None:

@@ -1,42 +1,45 @@
-"""Monthly flight files landed in a folder -> month-partitioned Parquet.
+"""Monthly flight files landed in a folder -> partitioned Parquet.
 
 A file-source stream remembers in its checkpoint which files it has already
 processed, so each run picks up only new drops (the skip-if-exists rule of
 the month loop) and a failed run resumes where it stopped. ``availableNow``
-processes everything present and stops, which suits a monthly schedule. A
-file's lines all arrive in one micro-batch, so its header travels with its
-data; each batch replaces only the month partitions it holds.
+processes everything present and stops, which suits a monthly schedule.
+
+The stream carries file names only; a batch reads its files with the batch CSV
+reader and writes them as ``year/month/source_file`` partitions. A batch hence
+replaces rows of its own files and no others: a month may be spread over files
+and batches, a correction file adds to its month, and a repeated batch writes
+the same rows again.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tarmac.session import scratch_path
-from tarmac.sources.flights import flights_from_lines, write_flights
+from tarmac.sources.flights import read_flight_files, write_flights_by_file
+
+# schema of Spark's binary file source, of which only the path is read
+_FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
-def ingest_monthly_drops(spark: SparkSession, landing_dir: str, out_root: str,
-                         checkpoint: str | None = None, files_per_batch: int = 4) -> int:
-    """Run until every landed file is ingested; returns the number of batches."""
-    checkpoint = checkpoint or scratch_path(spark, "stream-monthly-drops")
-    lines = (spark.readStream.format("text")
+def ingest_monthly_drops(spark: SparkSession, landing_dir: str, out_root: str, checkpoint: str,
+                         files_per_batch: int = 64) -> int:
+    """Run until every landed file is ingested; returns the number of batches.
+    ``checkpoint`` belongs to one landing folder and must outlive the run;
+    ``files_per_batch`` sets the size of a batch and no result."""
+    names = (spark.readStream.format("binaryFile").schema(_FILES)
              .option("maxFilesPerTrigger", files_per_batch)
              .option("pathGlobFilter", "*.csv*")
-             .load(landing_dir)
-             .select(F.col("_metadata.file_path").alias("file"), "value"))
+             .load(landing_dir).select("path"))
     batches = []
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch.persist()            # read twice: headers, then data lines
-        try:
-            write_flights(flights_from_lines(batch), out_root)
-        finally:
-            batch.unpersist()
-        batches.append(epoch_id)
-
-    q = (lines.writeStream.foreachBatch(write_batch)
+        files = [r.path for r in batch.collect()]  # at most files_per_batch names
+        if files:
+            write_flights_by_file(read_flight_files(batch.sparkSession, files), out_root)
+            batches.append(epoch_id)
+
+    q = (names.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()

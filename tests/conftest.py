@@ -3,7 +3,7 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
 
 SF001 = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
@@ -20,5 +20,5 @@ def spark():
 
 @pytest.fixture(scope="session")
 def duck():
-    from tarmac.plans.compare import duckdb_conn
+    from compare import duckdb_conn
     return duckdb_conn(SF01)

@@ -3,6 +3,8 @@
 import gzip
 import json
 
+from pyspark.sql import functions as F
+
 from tarmac import jobs
 
 HDR = ('"Year","Month","DayofMonth","FlightDate","IATA_CODE_Reporting_Airline",'
@@ -31,6 +33,14 @@ def test_ingest_and_features(spark, tmp_path):
                 "2022,1,3,12,1.0,50,0,10,5,1000,2\n"       # 07:00 New York = 12:00 UTC
                 "2022,2,2,5,3.0,50,0,10,5,1000,2\n")       # 2400 on Feb 1 = 05:00 UTC Feb 2
     out = str(tmp_path / "features")
+    weather = str(tmp_path / "weather")
+    kw = dict(weather_files=[str(wdir / "72503.csv.gz")], weather_root=weather, airports_csv=str(air), stations_json=str(st))
+    assert jobs.ingest_range(spark, [str(land)], flights_root, "2022-01", "2022-02", do_coverage=True, **kw) == []
+    seen = spark.read.parquet(f"{weather}/hourly")
+    assert sorted((r.year, r.month, r.temp) for r in seen.collect()) == [(2022, 1, 1.0), (2022, 2, 3.0)]
+    assert spark.read.parquet(f"{weather}/crosswalk").first().meteostat_id == "72503"
+    cover = spark.read.option("header", True).csv(f"{weather}/coverage").first()
+    assert (cover.total_flights, cover.with_weather) == ("3", "0")
     months = jobs.build_features_range(spark, flights_root, [str(wdir / "72503.csv.gz")], str(air),
                                        str(st), out, "2022-01", "2022-02")
     assert months == [(2022, 1), (2022, 2)]
@@ -38,6 +48,36 @@ def test_ingest_and_features(spark, tmp_path):
     assert set(rows) == {"LAX", "ATL"}                    # cancelled flight dropped
     assert rows["LAX"].temp == 1.0 and rows["LAX"].late_15 is False
     assert rows["ATL"].temp == 3.0 and rows["ATL"].dep_hour_local == 5
+    landed = str(tmp_path / "features2")
+    jobs.build_features_range(spark, flights_root, None, str(air), str(st), landed, "2022-01", "2022-02", weather_root=weather)
+    cols = ["dest", "temp", "late_15", "year", "month"]
+    assert sorted(map(tuple, spark.read.parquet(landed).select(*cols).collect())) == sorted(
+        map(tuple, spark.read.parquet(out).select(*cols).collect()))
+
+
+def test_feature_months_never_erase_each_other(spark, tmp_path):
+    land = tmp_path / "ontime"
+    land.mkdir()
+    line = '2022,{m},{d},"2022-{m:02d}-{d:02d}","AA","{n}","JFK","LAX","{t}",1.00,0.00\n'
+    (land / "jan.csv").write_text(HDR + "\n" + line.format(m=1, d=5, n=1, t="0700") + line.format(m=1, d=31, n=2, t="2200"))
+    (land / "feb.csv").write_text(HDR + "\n" + "".join(line.format(m=2, d=d, n=d, t="0800") for d in range(1, 11)))
+    air = tmp_path / "airports.dat"
+    air.write_text('1,"Kennedy","NY","US","JFK","KJFK",0,0,0,0,"A","America/New_York","airport","x"\n')
+    st = tmp_path / "stations.json"
+    st.write_text(json.dumps([{"id": "72503", "identifiers": {"icao": "KJFK"}}]))
+    wx = tmp_path / "72503.csv"
+    wx.write_text("year,month,day,hour,temp\n2022,1,5,12,1.0\n2022,2,1,3,2.0\n")
+    flights, out = str(tmp_path / "parquet"), str(tmp_path / "features")
+    jobs.ingest_range(spark, [str(land)], flights, "2022-01", "2022-02")
+    build = lambda m, **kw: jobs.build_features_range(spark, flights, [str(wx)], str(air), str(st), out, m, m, **kw)
+    count = lambda: spark.read.parquet(out).count()
+    assert build("2022-01") == [(2022, 1)] and count() == 2
+    assert build("2022-02") == [(2022, 2)] and count() == 12
+    for m in ("2022-02", "2022-01"):
+        build(m, overwrite=True)
+        assert count() == 12
+    late = [r for r in spark.read.parquet(out).collect() if r.sched_dep_tstz.day == 1 and r.sched_dep_tstz.hour == 3]
+    assert [(r.month, r.temp) for r in late] == [(1, 2.0)]  # 22:00 in New York, weather of the next UTC month
 
 
 def test_study_window_prunes_month_partitions(spark, tmp_path):
@@ -53,6 +93,7 @@ def test_study_window_prunes_month_partitions(spark, tmp_path):
     df = spark.createDataFrame(rows, ", ".join(
         f"{c} {t}" for c, t in zip(FEATURE_COLUMNS, ["string"] * 3 + ["timestamp_ntz", "long", "long"]
                                    + ["double"] * 10 + ["int", "double", "boolean"])))
+    df = df.withColumns({"year": F.year("sched_dep_tstz"), "month": F.month("sched_dep_tstz")})
     root = str(tmp_path / "features")
     write_features(df, root)
     w = study_window(spark.read.parquet(root), "2022-02-01", "2022-03-01")
@@ -63,20 +104,53 @@ def test_study_window_prunes_month_partitions(spark, tmp_path):
     assert "PartitionFilters: [" in buf.getvalue() and "month" in buf.getvalue().split("PartitionFilters: [")[1][:400]
 
 
+def _history(spark, root):
+    from conftest import SF001
+    from tarmac.operators.features import FEATURE_COLUMNS
+    from tarmac.plans.fixtures import fx_history
+    from tarmac.sources.sinks import write_features
+    t = F.col("sched_dep_tstz")
+    write_features(fx_history(spark, SF001).select(*FEATURE_COLUMNS, F.year(t).alias("year"), F.month(t).alias("month")), root)
+
+
 def test_train_baseline_on_partitioned_features(spark, tmp_path):
     import math
 
     import pytest
 
-    from conftest import SF001
-    from tarmac.operators.features import FEATURE_COLUMNS
-    from tarmac.plans.fixtures import fx_history
-    from tarmac.sources.sinks import write_features
-    root = str(tmp_path / "features")
-    write_features(fx_history(spark, SF001).select(*FEATURE_COLUMNS), root)
+    from tarmac.sources import sinks
+    root, out = str(tmp_path / "features"), str(tmp_path / "models")
+    _history(spark, root)
     train_months = [(2000, m) for m in range(1, 13)]
-    row = jobs.train_baseline(spark, root, train_months, (2001, 1)).first()
-    assert all(math.isfinite(row[c]) for c in ("baseline30d_mae", "glmnet_mae", "glmnet_rmse"))
-    assert row.glmnet_rmse >= row.glmnet_mae
-    with pytest.raises(ValueError, match="Missing test"):
-        jobs.train_baseline(spark, root, train_months, (2030, 1))
+    got = jobs.train_baseline(spark, root, train_months, (2001, 1), out)
+    m = got["metrics"]
+    assert all(math.isfinite(m[c]) for c in ("baseline30d_mae", "glmnet_mae", "glmnet_rmse")) and m["glmnet_rmse"] >= m["glmnet_mae"]
+    model, meta = sinks.load_model(spark, got["files"]["model"])
+    assert len(model.stages) > 3 and meta["penalty"] == 0.01 and "unknown" not in meta["medians"]
+    for months, test, what in (([*train_months, (2035, 1)], (2001, 1), "2035/month=1|year=2035"), (train_months, (2030, 1), "test features")):
+        with pytest.raises(ValueError, match=what):
+            jobs.train_baseline(spark, root, months, test)
+
+
+def test_model_jobs_write_all_outputs(spark, tmp_path):
+    from tarmac.plans.queries_baselines import SPLITS, STUDY_END, STUDY_START
+    from tarmac.sources import sinks
+    root, out = str(tmp_path / "features"), str(tmp_path / "models")
+    _history(spark, root)
+    study = (STUDY_START, STUDY_END)
+    metrics = {(r.model, r.split): r for r in jobs.train_ridge(spark, root, out, study, SPLITS, n_lambdas=10).collect()}
+    assert len(metrics) == 4
+    stored = {(r.model, r.split): r.mae for r in sinks.read_small_csv(spark, f"{out}/metrics_baseline_v2", sinks.METRICS_SCHEMA).collect()}
+    assert stored == {k: r.mae for k, r in metrics.items()}
+    counts = {r.split: r.n for r in sinks.read_small_csv(spark, f"{out}/split_counts", "split string, n long").collect()}
+    pred = spark.read.parquet(f"{out}/predictions")
+    assert {r.split: r["count"] for r in pred.groupBy("split").count().collect()} == {k: counts[k] for k in ("validation", "test")}
+    assert pred.where("carrier = 'other'").count() == 0 and pred.where("carrier is null").count() > 0
+    ridge = sinks.load_metadata(spark, f"{out}/ridge_model")
+    assert ridge["best_lambda"] in ridge["lambdas"] and len(ridge["terms"]) > 30
+    both = jobs.train_trees(spark, root, out, study, SPLITS, max_rounds=3).collect()
+    assert sorted({r.model for r in both}) == ["glmnet_ridge", "rolling_avg_90d", "xgboost_v1"] and len(both) == 6
+    model, meta = sinks.load_model(spark, f"{out}/tree_model")
+    assert meta["best_iteration"] == model.stages[-1].getNumTrees
+    trees = spark.read.parquet(f"{out}/tree_predictions")
+    assert trees.count() == pred.count() and set(trees.columns) == {"split", "truth", "pred", "err"}

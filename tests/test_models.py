@@ -21,32 +21,72 @@ def test_gbt_chunked_rounds_equal_one_long_fit(spark):
 
 
 def test_ridge_path_invariants(spark):
+    import numpy as np
     sp = R._split(R.Ctx(spark, SF001))
-    res = mdl.ridge_path(sp, n_lambdas=6)
+    res = mdl.ridge_path(sp, n_lambdas=12)
     rows = {r.split: r for r in res.metrics.collect()}
     assert set(rows) == {"validation", "test"}
     for r in rows.values():
         assert r.n > 0 and not math.isnan(r.mae) and r.median_ae <= r.p90_ae
-    # the chosen penalty is the validation-MAE argmin of the grid
-    assert res.best_lambda in mdl.lambda_grid(
-        mdl.prepare_ridge(sp)[0].where(F.col("split") == "train"), 6)
+    # the chosen penalty is the argmin of all validation errors, and its error is the reported one
+    assert len(res.lambdas) == len(res.valid_mae) == 12 and res.lambdas == sorted(res.lambdas, reverse=True)
+    assert res.best_lambda == res.lambdas[int(np.argmin(res.valid_mae))]
+    assert math.isclose(min(res.valid_mae), rows["validation"].mae, abs_tol=1e-6)
     assert res.test_pred.where(F.col("pred_glmnet").isNull()).count() == 0
 
 
+def test_moments_and_path_match_numpy(spark):
+    """One-pass moments equal those of the dense design; fits solve the ridge equations."""
+    import numpy as np
+    sp = R._split(R.Ctx(spark, SF001))
+    aligned, levels, _ = mdl.prepare_ridge(sp)
+    aligned = aligned.persist()
+    names = mdl.ridge_terms(levels)
+    moments = mdl.design_moments(aligned, levels)["train"]
+    train = aligned.where(F.col("split") == "train").select("flight_id", "split", "dep_delay_min", *mdl.pp.RIDGE_FACTORS, *mdl.pp.RIDGE_NUMERICS)
+    at = {r.flight_id: i for i, r in enumerate(train.select("flight_id").collect())}
+    y = np.array([r[0] for r in train.select("dep_delay_min").collect()])
+    x = np.zeros((len(at), len(names)))
+    for r in mdl.design_entries(train, levels, ["flight_id"]).collect():
+        x[at[r.flight_id], names.index(r.term)] = r.value
+    z = np.column_stack([x, np.ones(len(y)), y])
+    assert np.allclose(moments, z.T @ z)
+    path = mdl.RidgePath(moments)
+    for lam in path.lambdas(3):
+        b0, b = path.fit(lam)
+        sd = x.std(0)
+        live = sd > 1e-9
+        xs, ys = (x[:, live] - x[:, live].mean(0)) / sd[live], (y - y.mean()) / y.std()
+        want = np.linalg.solve(xs.T @ xs / len(y) + np.eye(live.sum()) * lam / y.std(), xs.T @ ys / len(y)) * y.std() / sd[live]
+        assert np.allclose(b[live], want, atol=1e-8) and (b[~live] == 0).all()
+        assert math.isclose(b0, y.mean() - x.mean(0) @ b, abs_tol=1e-6)
+    pred = {r.flight_id: r.pred_glmnet for r in mdl.ridge_predict(train, levels, (b0, b)).collect()}
+    assert all(math.isclose(pred[k], b0 + x[i] @ b, abs_tol=1e-6) for k, i in at.items())
+
+
 def test_unseen_levels_still_score(spark):
     sp = R._split(R.Ctx(spark, SF001))
     res = mdl.ridge_path(sp, n_lambdas=3)
     assert res.valid_pred.count() == sp.where(F.col("split") == "validation").count()
 
 
-def test_first_trees_prediction_equals_refit(spark):
+def test_first_trees_equal_refit(spark):
     from pyspark.ml.regression import GBTRegressor
-    x, _ = mdl.prepare_tree(R._split(R.Ctx(spark, SF001)))
+    x = mdl.prepare_tree(R._split(R.Ctx(spark, SF001)))[0]
     train = x.where(F.col("split") == "train")
-    g = GBTRegressor(featuresCol="features", labelCol="dep_delay_min", maxDepth=3, stepSize=0.1,
+    g = GBTRegressor(featuresCol="features", labelCol="dep_delay_min", maxDepth=2, stepSize=0.1,
                      minInstancesPerNode=5, subsamplingRate=0.8, seed=42, maxBins=32)
-    full = g.copy({g.maxIter: 12}).fit(train)
-    short = g.copy({g.maxIter: 5}).fit(train)
-    a = {r.flight_id: r.pred for r in mdl.predict_first_trees(full, x, 5, "pred").collect()}
-    b = {r.flight_id: r.prediction for r in short.transform(x).collect()}
-    assert a.keys() == b.keys() and all(abs(a[i] - b[i]) < 1e-9 for i in a)
+    for long, few in ((12, 5), (215, 205)):
+        full = g.copy({g.maxIter: long}).fit(train)
+        short = g.copy({g.maxIter: few}).fit(train)
+        a = {r.flight_id: r.prediction for r in mdl.first_trees(full, few).transform(x).collect()}
+        b = {r.flight_id: r.prediction for r in short.transform(x).collect()}
+        assert a.keys() == b.keys() and all(abs(a[i] - b[i]) < 1e-9 for i in a)
+
+
+def test_too_many_levels_raise(spark):
+    import pytest
+    lv = mdl.pp.category_levels(spark.createDataFrame([(str(i),) for i in range(30)], "c string"), ["c"])
+    assert len(mdl.pp.level_lists(lv)["c"]) == 31
+    with pytest.raises(ValueError, match="levels"):
+        mdl.pp.level_lists(lv, 20)

@@ -9,7 +9,7 @@ from conftest import SF01
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_duckdb(spark, duck, name):
-    from tarmac.plans.compare import compare
+    from compare import compare
     r = compare(spark, name, SF01, duck)
     assert r["cols_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r

@@ -41,26 +41,3 @@ def test_scans_are_pruned(spark):
     p = _plan(spark, "seasonality")
     read = [ln for ln in p.splitlines() if "ReadSchema" in ln]
     assert all("o_orderstatus" not in ln and "c_acctbal" not in ln for ln in read)
-
-
-def test_copartition_strategy_same_rows_fewer_exchanges(spark):
-    import contextlib
-    import io
-
-    from tarmac.operators import features as feat
-    from tarmac.plans.core import Ctx
-    c = Ctx(spark, SF01)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        a = feat.build_features(c.flights, c.smap, c.weather, keep_ids=True)
-        b = feat.build_features(c.flights, c.smap, c.weather, keep_ids=True, strategy="copartition")
-        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
-
-        def exchanges(df):
-            buf = io.StringIO()
-            with contextlib.redirect_stdout(buf):
-                df.explain()
-            return buf.getvalue().count("Exchange hashpartitioning")
-        assert exchanges(b) < exchanges(a)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

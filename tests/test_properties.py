@@ -12,20 +12,40 @@ from tarmac.operators import features as feat
 T0 = dt.datetime(2022, 1, 1)
 
 
-@settings(max_examples=8, deadline=None)
-@given(st.lists(st.tuples(st.sampled_from(["AA", "BB", None]), st.integers(0, 90 * 24),
-                          st.one_of(st.none(), st.integers(-30, 300))), min_size=1, max_size=40))
+def _window_mean(df):
+    """The plain RANGE window over whole keys."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    w = (Window.partitionBy(*bl.ROUTE).orderBy(F.unix_micros(F.col("sched_dep_tstz")))
+         .rangeBetween(-30 * 86_400 * 10**6, -(10**6)))
+    return df.withColumn("trailing_avg", F.avg("dep_delay_min").over(w))
+
+
+_delay = st.one_of(st.none(), st.integers(-30, 300).map(float), st.floats(-1e6, 1e6, allow_nan=False),
+                   st.sampled_from([float("nan"), float("inf"), float("-inf")]))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["AA", "BB", None]), st.integers(0, 90 * 24), _delay, st.booleans()),
+                min_size=1, max_size=40))
 def test_bucketed_equals_window(spark, rows):
-    data = [(c, "JFK", "LAX", T0 + dt.timedelta(hours=h), None if v is None else float(v))
-            for c, h, v in rows]
-    df = spark.createDataFrame(data, "carrier string, origin string, dest string, "
-                                     "sched_dep_tstz timestamp, dep_delay_min double")
-    a = bl.rolling_mean(df, bl.ROUTE, "sched_dep_tstz", "dep_delay_min", 30, method="bucketed")
-    b = bl.rolling_mean(df, bl.ROUTE, "sched_dep_tstz", "dep_delay_min", 30, method="window")
-    key = lambda r: (r.carrier or "", r.sched_dep_tstz, r.dep_delay_min if r.dep_delay_min is not None else -1e9)
-    ra = sorted(((key(r), None if r.yhat30 is None else round(r.yhat30, 9)) for r in a.collect()))
-    rb = sorted(((key(r), None if r.yhat30 is None else round(r.yhat30, 9)) for r in b.collect()))
-    assert ra == rb
+    import math
+
+    from pyspark.sql import functions as F
+    data = [(i, c, "JFK", "LAX", T0 + dt.timedelta(hours=h), v, w) for i, (c, h, v, w) in enumerate(rows)]
+    df = spark.createDataFrame(data, "i int, carrier string, origin string, dest string, "
+                                     "sched_dep_tstz timestamp, dep_delay_min double, w boolean")
+    a = {r.i: r.trailing_avg for r in bl.rolling_mean(df, bl.ROUTE, "sched_dep_tstz", "dep_delay_min", 30).collect()}
+    b = {r.i: r.trailing_avg for r in _window_mean(df).collect()}
+    some = bl.rolling_mean(df, bl.ROUTE, "sched_dep_tstz", "dep_delay_min", 30, wanted=F.col("w")).collect()
+    assert {r.i for r in some} == {r[0] for r in data if r[6]} and set(a) == set(b)
+
+    def same(x, y):
+        if x is None or y is None or math.isnan(x) or math.isinf(x):
+            return (x is None) == (y is None) and (x is None or repr(x) == repr(y))
+        return math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-6)
+
+    assert all(same(a[i], b[i]) for i in a) and all(same(r.trailing_avg, b[r.i]) for r in some)
 
 
 @settings(max_examples=8, deadline=None)

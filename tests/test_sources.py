@@ -66,6 +66,39 @@ def test_stream_ingest_only_new_files(spark, tmp_path):
     assert ingest_monthly_drops(spark, str(land), out, ck) == 0       # nothing new
 
 
+def test_csv_folder_with_space_wide_files_and_blank_names(spark, tmp_path):
+    from tarmac.sources.csvmap import read_csv_files
+    land = tmp_path / "on time [x]+1"
+    land.mkdir()
+    wide = [f"c{i}" for i in range(200)]
+    (land / "wide file.csv").write_text(",".join(wide) + "\n" + ",".join(str(i) for i in range(200)) + "\n")
+    (land / "blank.csv").write_text('c0,,c2,c2,\n1,2,3,4,5\nYear,x,y,z,\n')
+    (land / "empty.csv").write_text("")
+    rows = {(r.c0, r.c2): r for r in read_csv_files(spark, str(land)).collect()}
+    assert set(rows) == {("0", "2"), ("1", "3"), ("Year", "y")}
+    assert rows["0", "2"].c199 == "199" and rows["1", "3"].c199 is None and rows["1", "3"].c2_2 == "4"
+    assert rows["0", "2"]["_file"].endswith("/on time [x]+1/wide file.csv")
+    _month_csv(land / "m 1.csv", 2022, 1, [(1, 10, "0005", -3.0, 0.0)])
+    got = fs.read_flights_csv(spark, str(land / "m 1.csv")).collect()
+    assert len(got) == 1 and got[0].OriginCityName == "New York, NY" and got[0].flight_number == "10"
+
+
+def test_stream_keeps_every_file_of_a_month(spark, tmp_path):
+    land = tmp_path / "land"
+    land.mkdir()
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    for k in range(6):
+        _month_csv(land / f"part {k}.csv", 2022, 1, [(k + 1, k, "0700", 1.0, 0.0)])
+    ingest_monthly_drops(spark, str(land), out, ck, files_per_batch=2)
+    assert spark.read.parquet(out).count() == 6
+    _month_csv(land / "late.csv", 2022, 1, [(9, 99, "0700", 1.0, 0.0)])
+    ingest_monthly_drops(spark, str(land), out, ck)
+    assert spark.read.parquet(out).count() == 7
+    # the same files through a new checkpoint write the same rows again
+    ingest_monthly_drops(spark, str(land), out, str(tmp_path / "ck2"), files_per_batch=1)
+    assert spark.read.parquet(out).count() == 7
+
+
 def test_airports_and_stations(spark, tmp_path):
     a = tmp_path / "airports.dat"
     a.write_text('1,"Kennedy","New York","United States","JFK","KJFK",40.6,-73.7,13,-5,"A",'
@@ -84,6 +117,7 @@ def test_airports_and_stations(spark, tmp_path):
     s = ap.read_stations(spark, str(js), cache)
     assert sorted(r.id for r in s.collect()) == ["00001", "72503"]
     assert ap.read_stations(spark, str(js), cache).count() == 2       # cache hit
+    assert "wmo" in str(spark.read.parquet(cache).schema)             # the whole dictionary
     smap = st.station_map(st.sentinel_filter(air), s).collect()
     assert [(r.iata, r.station_id) for r in smap] == [("JFK", "72503")]
     flights = spark.createDataFrame([("JFK",)], "origin string")
@@ -115,7 +149,7 @@ def test_sinks_and_guards(spark, tmp_path):
     both = sinks.append_metrics(spark, m.withColumn("model", F.lit("b")), p,
                                 "model string, split string, n long, mae double")
     assert sorted(r.model for r in both.collect()) == ["a", "b"]
-    with pytest.raises(ValueError, match="Missing"):
+    with pytest.raises(ValueError, match="no train feature at"):
         require_paths(spark, [str(tmp_path / "nope")], "train feature")
 
 

@@ -115,16 +115,13 @@ def _roll_rows(spark):
                                        "sched_dep_tstz timestamp, dep_delay_min double")
 
 
-def test_rolling_window_bounds_both_methods(spark):
-    df = _roll_rows(spark)
-    for method in ("bucketed", "window"):
-        out = bl.rolling_mean(df, bl.ROUTE, "sched_dep_tstz", "dep_delay_min", 30, method=method)
-        got = sorted((r.carrier or "", r.sched_dep_tstz, r.dep_delay_min, r.yhat30)
-                     for r in out.collect())
-        base = dt.datetime(2022, 3, 1, 12, 0)
-        at_base = [g for g in got if g[1] == base and g[0] == "AA"]
-        assert {g[3] for g in at_base} == {30.0}, method
-        assert [g[3] for g in got if g[0] == "" and g[1] == base] == [9.0], method
+def test_rolling_window_bounds(spark):
+    out = bl.rolling_mean(_roll_rows(spark), bl.ROUTE, "sched_dep_tstz", "dep_delay_min", 30)
+    got = [(r.carrier or "", r.sched_dep_tstz, r.dep_delay_min, r.trailing_avg) for r in out.collect()]
+    base = dt.datetime(2022, 3, 1, 12, 0)
+    at_base = [g for g in got if g[1] == base and g[0] == "AA"]
+    assert {g[3] for g in at_base} == {30.0}
+    assert [g[3] for g in got if g[0] == "" and g[1] == base] == [9.0]
 
 
 def test_null_keys_match_in_90d_only(spark):
