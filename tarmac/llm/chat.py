@@ -32,7 +32,6 @@ from tarmac.llm.base import Scratch
 START, END = "<|im_start|>", "<|im_end|>\n"
 #: control strings of common chat templates (fixed values); the first character opens them
 CONTROL = [START, END[:-1], "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
-MAX_ROUNDS = 40
 
 
 def _quote(s: str) -> str:
@@ -83,13 +82,14 @@ def formatted(messages: DataFrame, branches: int = 1) -> DataFrame:
                                       F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")), "messages")
     nodes = msg.select("t", F.col("node").alias("parent"), F.lit(1).alias("there"))
     links = (msg.select("t", "node", "parent", "score").join(nodes, ["t", "parent"], "left")
-             .select("t", "node", F.when(F.col("there") == 1, F.col("parent")).alias("up"), F.lit(1).alias("depth"), "score"))
+             .select("t", "node", F.when(F.col("there") == 1, F.col("parent")).alias("up"), F.lit(1).cast("long").alias("depth"), "score"))
     jumps = [scratch.put(links, "jump")]
-    while not jumps[-1].where("up is not null").isEmpty() and len(jumps) < MAX_ROUNDS:
+    rounds = msg.count().bit_length()  # no path is longer than all messages; what still has an ancestor is a cycle
+    while len(jumps) <= rounds and not jumps[-1].where("up is not null").isEmpty():
         a, b = jumps[-1].alias("a"), jumps[-1].alias("b")
         step = a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.up") == F.col("b.node")), "left").select(
             "a.t", "a.node", F.col("b.up").alias("up"),
-            (F.col("a.depth") + F.coalesce("b.depth", F.lit(0))).alias("depth"),
+            (F.col("a.depth") + F.coalesce("b.depth", F.lit(0).cast("long"))).alias("depth"),
             (F.col("a.score") + F.coalesce("b.score", F.lit(0.0))).alias("score"))
         jumps.append(scratch.put(step, "jump"))
     done = jumps[-1].where("up is null")
@@ -99,7 +99,7 @@ def formatted(messages: DataFrame, branches: int = 1) -> DataFrame:
     for keys in (["t", "salt"], ["t"]):  # a tree with very many leaves is first ranked in parts
         leaves = leaves.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*best))).where(
             F.col("rank") <= branches)
-    path = scratch.put(leaves.select("t", F.col("node").alias("leaf"), "rank", "node", F.lit(0).alias("d")), "leaves")
+    path = scratch.put(leaves.select("t", F.col("node").alias("leaf"), "rank", "node", F.lit(0).cast("long").alias("d")), "leaves")
     for i in range(len(jumps) - 2, -1, -1):
         up = path.join(jumps[i].where("up is not null").select("t", "node", "up"), ["t", "node"]).select(
             "t", "leaf", "rank", F.col("up").alias("node"), (F.col("d") + (1 << i)).alias("d"))
