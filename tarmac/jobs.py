@@ -88,6 +88,12 @@ def ingest_range(spark: SparkSession, flight_csvs: Sequence[str], out_root: str,
     return months
 
 
+def open_views(spark: SparkSession, flights_root: str, weather_root: str, features_root: str) -> None:
+    """``flights``, ``weather``, ``xwalk`` and ``features`` as SQL views over what the jobs landed."""
+    sinks.register_views(spark, {"flights": flights_root, "weather": f"{weather_root.rstrip('/')}/hourly",
+                                 "xwalk": f"{weather_root.rstrip('/')}/crosswalk", "features": features_root})
+
+
 def require_rows(df: DataFrame, message: str) -> DataFrame:
     if row_count_at_most(df, 0):
         raise ValueError(message)

@@ -19,6 +19,14 @@ def write_features(df: DataFrame, out_root: str) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(out_root))
 
 
+def register_views(spark: SparkSession, roots: dict[str, str]) -> None:
+    """Temporary SQL views over landed Parquet, by name; a root that is not there
+    is left out."""
+    for name, root in roots.items():
+        if path_exists(spark, root):
+            spark.read.parquet(root).createOrReplaceTempView(name)
+
+
 def write_small_csv(df: DataFrame, path: str) -> None:
     """Metrics / split counts: a handful of rows, one file with a header."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)

@@ -50,6 +50,8 @@ def test_ingest_and_features(spark, tmp_path):
     assert rows["ATL"].temp == 3.0 and rows["ATL"].dep_hour_local == 5
     landed = str(tmp_path / "features2")
     jobs.build_features_range(spark, flights_root, None, str(air), str(st), landed, "2022-01", "2022-02", weather_root=weather)
+    jobs.open_views(spark, flights_root, weather, out)
+    assert spark.sql("select count(*) n from features f join flights l on f.dest = l.dest, xwalk, weather").first().n == 4
     cols = ["dest", "temp", "late_15", "year", "month"]
     assert sorted(map(tuple, spark.read.parquet(landed).select(*cols).collect())) == sorted(
         map(tuple, spark.read.parquet(out).select(*cols).collect()))
