@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tarmac.llm.base import Scratch
-from tarmac.llm.tokens import tokenise, unpack
+from tarmac.llm.textops import slices
+from tarmac.llm.tokens import tokenise
 
 WINDOW = 2048
 PACKET = 128
@@ -80,26 +81,36 @@ def schedule(meta: DataFrame, window: int, packet: int, weights: dict[str, float
 
 
 def _cut(window: int):
+    """Cuts every document's packets at window ends and joins neighbours that stay
+    side by side. A document's pieces follow each other without gaps, so the pieces
+    of a batch are consecutive ranges of its ids and no id is touched one by one."""
     def work(batches):
         for b in batches:
-            out: list[tuple] = []
-            for r in b.to_pylist():
-                ids = unpack(r["ids"], r["n"])
-                merged: list[list[int]] = []
-                for x in sorted(r["packets"], key=lambda x: x["start"]):
-                    s, left, g = x["start"], x["length"], x["g"]
-                    while left:
-                        k = min(left, window - g % window)
-                        m = merged[-1] if merged else None
-                        if m and m[2] + m[1] == g and g % window:
-                            m[1] += k
-                        else:
-                            merged.append([s, k, g])
-                        s, left, g = s + k, left - k, g + k
-                out += [(r["doc"], s, k, ids[s:s + k].tobytes(), r["n"], g // window, g % window) for s, k, g in merged]
+            if not b.num_rows:
+                continue
+            n = b.column("n").to_numpy()
+            _, _, raw, offs = next(slices(b.column("ids"), None))
+            ids = np.frombuffer(raw, "<u2" if offs[-1] == 2 * n.sum() else "<u4").astype("<u4")
+            packets = b.column("packets")
+            row = np.repeat(np.arange(len(n)), packets.value_lengths().to_numpy())
+            start, length, g = (x.to_numpy() for x in packets.flatten().flatten())
+            by = np.lexsort((start, row))
+            row, start, length, g = row[by], start[by], length[by], g[by]
+            k = (g % window + length - 1) // window + 1  # windows that a packet touches
+            at = np.repeat(np.arange(len(g)), k)
+            w = g[at] // window + np.arange(len(at)) - np.repeat(np.cumsum(k) - k, k)
+            lo, hi = np.maximum(g[at], w * window), np.minimum((g + length)[at], (w + 1) * window)
+            row, start, size = row[at], start[at] + lo - g[at], hi - lo
+            new = np.ones(len(at), bool)
+            new[1:] = (row[1:] != row[:-1]) | (lo[1:] != hi[:-1]) | (lo[1:] % window == 0)
+            head = np.flatnonzero(new)
+            size = np.add.reduceat(size, head)
+            ends = np.append(0, np.cumsum(size)) * 4
+            data = pa.Array.from_buffers(pa.binary(), len(head), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids)])
+            lo, row = lo[head], row[head]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 7, (
-                    pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()))],
+                [b.column("doc").take(pa.array(row)), pa.array(start[head]), pa.array(size), data, pa.array(n[row]),
+                 pa.array(lo // window), pa.array(lo % window)],
                 ["doc", "start", "length", "ids", "n", "sequence_id", "offset"])
     return work
 

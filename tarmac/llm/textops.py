@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 SHINGLE = 5
 _U = np.uint64
 
@@ -49,20 +49,20 @@ def _powers(n: int) -> np.ndarray:
     return _pow
 
 
-def slices(arr: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Yields (first row, end row, bytes, row offsets into them); a null is empty."""
+def slices(arr: pa.Array, limit: int | None = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Yields (first row, end row, bytes, row offsets into them) in slices of about
+    ``limit`` bytes (None: all at once); a null is empty."""
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks()
     if arr.null_count:
-        arr = arr.fill_null("")
+        arr = arr.fill_null(b"" if pa.types.is_binary(arr.type) else "")
     big = pa.types.is_large_string(arr.type) or pa.types.is_large_binary(arr.type)
     bufs = arr.buffers()
     offs = np.frombuffer(bufs[1], np.int64 if big else np.int32)[arr.offset:arr.offset + len(arr) + 1].astype(np.int64)
     data = np.frombuffer(bufs[2], np.uint8) if bufs[2] is not None else np.empty(0, np.uint8)
     i, n = 0, len(arr)
     while i < n:
-        j = max(i + 1, int(np.searchsorted(offs, offs[i] + SLICE_BYTES, "right")) - 1)
-        j = min(j, n)
+        j = n if limit is None else min(n, max(i + 1, int(np.searchsorted(offs, offs[i] + limit, "right")) - 1))
         yield i, j, data[offs[i]:offs[j]], offs[i:j + 1] - offs[i]
         i = j
 
