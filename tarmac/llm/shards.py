@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from tarmac.llm.base import Scratch
 from tarmac.llm.packing import prefix
-from tarmac.llm.textops import mix64
-from tarmac.llm.tokens import tokenise, unpack
+from tarmac.llm.textops import mix64, slices
+from tarmac.llm.tokens import tokenise
 
 SEQ_LEN = 1024
 ROWS_PER_SHARD = 1 << 14
@@ -49,33 +49,36 @@ def feistel(index: np.ndarray, n: int, key: int, rounds: int = ROUNDS) -> np.nda
     return out.astype(np.int64)
 
 
+#: rows cut into sequences at a time
+CUT_ROWS = 1000
+
+
 def _sequences(n_total: int, key: int, seq_len: int, rows: int):
+    """A document's sequences are consecutive rows of a matrix, so its ids are copied
+    in one piece and the rest of its last row stays zero."""
     def work(batches):
-        for b in batches:
-            out: list[tuple] = []
-            for r in b.to_pylist():
-                ids = unpack(r["ids"], r["n"])
-                k = -(-len(ids) // seq_len)
-                slots = feistel(np.arange(r["first"], r["first"] + k), n_total, key).tolist()
-                wide = len(r["ids"]) // r["n"]
-                for j, slot in enumerate(slots):
-                    raw = r["ids"][j * seq_len * wide:(j + 1) * seq_len * wide]
-                    out.append((slot, slot // rows, r["doc"], j, min(seq_len, len(ids) - j * seq_len),
-                                raw.ljust(seq_len * wide, b"\0")))
-                if len(out) >= 2000:
-                    yield _rows(out)
-                    out = []
-            yield _rows(out)
+        for whole in batches:
+            for lo in range(0, whole.num_rows, CUT_ROWS):
+                b = whole.slice(lo, CUT_ROWS)
+                n = b.column("n").to_numpy()
+                _, _, raw, offs = next(slices(b.column("ids"), None))
+                kind = "<u2" if offs[-1] == 2 * n.sum() else "<u4"
+                k = -(-n // seq_len)
+                head = np.cumsum(k) - k
+                out = np.zeros(int(k.sum()) * seq_len, kind)
+                out[np.arange(n.sum()) + np.repeat(head * seq_len - (np.cumsum(n) - n), n)] = np.frombuffer(raw, kind)
+                doc = np.repeat(np.arange(len(n)), k)
+                seq = np.arange(len(doc)) - head[doc]
+                slot = feistel(b.column("first").to_numpy()[doc] + seq, n_total, key)
+                ends = np.arange(len(doc) + 1, dtype=np.int32) * (seq_len * out.itemsize)
+                ids = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(ends), pa.py_buffer(out)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(slot), pa.array(slot // rows), b.column("doc").take(pa.array(doc)), pa.array(seq),
+                     pa.array(np.minimum(seq_len, n[doc] - seq * seq_len)), ids],
+                    ["slot", "shard", "doc", "seq_no", "n_tokens", "ids"])
     return work
 
 
-def _rows(out):
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, (
-            pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-        ["slot", "shard", "doc", "seq_no", "n_tokens", "ids"])
-
-
 def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", key: int = 17,
                  seq_len: int = SEQ_LEN, rows: int = ROWS_PER_SHARD, vocabulary: str | None = None) -> DataFrame:
     """Write ``path/shard=K/*.parquet`` (slot, id, seq_no, n_tokens, ids) and return
@@ -90,7 +93,7 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             .mapInArrow(_sequences(n_total, key, seq_len, rows),
                         "slot long, shard long, doc long, seq_no long, n_tokens long, ids binary"))
     shards = max(1, -(-n_total // rows))
-    (seqs.withColumnRenamed("doc", id_col).repartitionByRange(shards, "shard").sortWithinPartitions("shard", "slot")
+    (seqs.withColumnRenamed("doc", id_col).repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("slot")
      .write.partitionBy("shard").option("compression", "zstd").parquet(path))
     return read_shards(spark, path, id_col=id_col)
 

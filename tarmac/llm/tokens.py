@@ -36,8 +36,11 @@ def encoder(path: str | None = None):
 
 def token_ids(text: str | None, enc) -> np.ndarray:
     """Ids of one text (null: none) as uint32, then the end id."""
-    ids = enc.encode_to_numpy(text) if text else np.empty(0, np.uint32)
-    return np.append(ids.astype(np.uint32, copy=False), np.uint32(EOS))
+    ids = enc.encode_to_numpy(text) if text else ()
+    out = np.empty(len(ids) + 1, np.uint32)
+    out[:-1] = ids
+    out[-1] = EOS
+    return out
 
 
 #: rows leave a task in batches of about so many ids
@@ -56,8 +59,8 @@ def tokenise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
     def work(batches):
         enc = encoder(vocabulary)
+        kind = "<u4" if enc.max_token_value >= 1 << 16 else "<u2"
         part = TaskContext.get().partitionId()
-        wide = enc.max_token_value >= 1 << 16
         seq, before = 0, {}
         cols: list[list] = [[] for _ in range(7)]
         held = 0
@@ -69,17 +72,15 @@ def tokenise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
                 ["uid", "part", "doc", "src", "n", "pos", "ids"])
 
         for b in batches:
-            for doc, text, src in zip(*(b.column(k) for k in range(3))):
+            for doc, text, src in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
                 ids = token_ids(text.as_py(), enc)
-                src = src.as_py()
+                n = len(ids)
                 pos = before.get(src, 0)
-                before[src] = pos - (-len(ids) // unit)
-                row = ((part << 33) | seq, part, doc.as_py(), src, len(ids), pos,
-                       ids.astype("<u4" if wide else "<u2").tobytes())
-                seq += 1
-                held += len(ids)
-                for c, v in zip(cols, row):
+                before[src] = pos - (-n // unit)
+                for c, v in zip(cols, ((part << 33) | seq, part, doc, src, n, pos, ids.astype(kind).tobytes())):
                     c.append(v)
+                seq += 1
+                held += n
                 if held >= BATCH_IDS:
                     yield flush()
                     cols, held = [[] for _ in range(7)], 0
@@ -89,8 +90,3 @@ def tokenise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"),
                        (source_key(source_col) if source_col else F.lit("")).alias("src"))
     return rows.mapInArrow(work, "uid long, part long, doc long, src string, n long, pos long, ids binary")
-
-
-def unpack(raw: bytes, n: int) -> np.ndarray:
-    """The ids of a row of ``tokenise`` as little-endian uint32."""
-    return np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype("<u4")

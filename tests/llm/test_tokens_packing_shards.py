@@ -1,8 +1,11 @@
 """Tokens, packing, shards and counts: exact round trips, brute force, odd rows."""
+import functools
 import zlib
 
 import numpy as np
 import public_tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tarmac.llm import counts, packing, shards, tokens
@@ -10,20 +13,36 @@ from tarmac.llm import counts, packing, shards, tokens
 SMALL = "/root/testdata/sf0.001"
 
 
-def library_ids(texts):
+@functools.cache
+def _library():
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
+    t.encode_special_tokens = True  # their strings in a text are ordinary text
+    return t
+
+
+def library_ids(texts):
+    t = _library()
     return [np.array(t.encode(x or "", add_special_tokens=False).ids + [tokens.EOS], "<u4") for x in texts]
 
 
 def test_ids_equal_the_library(spark, odd_docs):
     texts = [r.text for r in odd_docs.select("text").collect()] + ["  a\n\n b's 12345 !!", "　é́ ☃☃", "\r\n\t x"]
+    texts += [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("text").collect()]
     enc = tokens.encoder()
     for x, want in zip(texts, library_ids(texts)):
         assert (tokens.token_ids(x, enc) == want).all()
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["a", "the", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x0c", "\x1c", "\x1f", "\x85", "\u00a0", "\u2003",
+                                 "\u3000", "\u200b", ".", "!!", "'s", "'", "12", "é", "漢", "☃", "<|endoftext|>", "word", "_"]), max_size=14))
+def test_random_strings_have_the_library_s_ids(bits):
+    enc, x = tokens.encoder(), "".join(bits)
+    assert (tokens.token_ids(x, enc) == library_ids([x])[0]).all()
+    assert (tokens.token_ids(x + " " + x, enc) == library_ids([x + " " + x])[0]).all()
+
+
 def check_pieces(docs, out, window):
     ids = {}
     for r, x in zip(docs, library_ids([r.text for r in docs])):
