@@ -21,8 +21,11 @@ between two replays of the same seeded chain), so a restaurant's probabilities a
 up to one. Scores take the mean of the samples' predictives.
 
 Steps: scan tasks cut texts into chunks and send every partition one block of a
-chunk's words, contexts and text numbers (a skewed word is spread by chunks and is
-counted before it is seated); partitions answer with one sum per chunk and text.
+chunk's words, contexts and text numbers; partitions answer with one sum per chunk
+and text. A frequent word's occurrences are dealt out by chunk over partitions of
+their own (which words, tells a sample of texts; it steers the dealing only). Their
+counts per context, at most 2**16 of them, are added up and joined back to each of
+these partitions, which then run the same seeded chain; one of them reports totals.
 Discounts are n1 / (n1 + 2 n2) of each level's first customers.
 
 Edge cases: a null or empty text is its end token alone; repeated rows are texts
@@ -41,9 +44,11 @@ from pyspark.sql import functions as F
 from tarmac.llm import textops
 from tarmac.llm.base import Scratch
 
-CHUNK_WORDS = 1_500_000
+CHUNK_WORDS = 700_000
 CHUNK_DOCS = 30_000  # text numbers have 15 bits, the 16th marks held-out texts
-PART_BYTES = 18 << 20
+PART_BYTES = 8 << 20
+#: words of at least this share of a sample of about so many texts get partitions of their own
+HOT_SHARE, SAMPLE_TEXTS, HOT_TOKENS = 0.001, 2_000, 1_000_000
 FINE, COARSE = 1 << 16, 1 << 8
 STRENGTH = (10.0, 5.0, 2.0)  # root, endings, contexts
 BURN_IN, SAMPLES = 2, 3
@@ -63,7 +68,26 @@ def _get(b: bytes, kind) -> np.ndarray:
     return np.frombuffer(_zip.decompress(b[8:], n, asbytes=True) if n else b"", kind)
 
 
-def _chunk_rows(chunk: int, parts: int, ids: list, sizes: list, held: list, hashes: list, contexts: list):
+def hot_words(texts: DataFrame, n_texts: int, tokens: float) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of frequent words, sorted, and the number of partitions of each."""
+    def work(batches):
+        for b in batches:
+            for _, _, data, offs in textops.slices(b.column(0)):
+                words, rows = textops.word_hashes(data, offs)
+                w, n = np.unique(np.append(words, np.full(len(rows) - 1, _END)), return_counts=True)
+                some = n >= HOT_SHARE * n.sum() / 8  # a frequent word is not far below its share in any slice
+                yield pa.RecordBatch.from_arrays([pa.array(np.append(w[some], np.uint64(0)).view(np.int64)), pa.array(np.append(n[some], n.sum()))], ["w", "n"])
+
+    share = max(1, n_texts // SAMPLE_TEXTS)
+    seen = texts.where(F.pmod(F.xxhash64("id"), F.lit(share)) == 0).select("text").mapInArrow(work, "w long, n long")
+    count = {r.w: r.n for r in seen.groupBy("w").agg(F.sum("n").alias("n")).collect()}  # at most 8 / HOT_SHARE words a slice
+    total = count.pop(0, 0)
+    hot = sorted(w & (2**64 - 1) for w, n in count.items() if n >= HOT_SHARE * total)
+    shares = [count[w - 2**64 if w >= 2**63 else w] / total for w in hot]
+    return np.array(hot, np.uint64), np.array([max(1, -(-s * tokens // HOT_TOKENS)) for s in shares], np.int64)
+
+
+def _chunk_rows(chunk: int, parts: int, hot: tuple, ids: list, sizes: list, held: list, hashes: list, contexts: list):
     """Blocks of one chunk, and its texts as a part of their own."""
     h, ctx = np.concatenate(hashes), np.concatenate(contexts)
     n = np.array(sizes, np.int64)
@@ -74,11 +98,20 @@ def _chunk_rows(chunk: int, parts: int, ids: list, sizes: list, held: list, hash
     cut = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
     yield (-1 - chunk, chunk, _put(np.array([-1 if i is None else i for i in ids], np.int64)), _put(n),
            _put(np.array(held, bool)), _put(np.array([i is None for i in ids], bool)))
-    for p in range(parts):
-        a, b = cut[p], cut[p + 1]
+    words, spread = hot
+    cold = np.ones(len(h), bool)
+    place = int(textops.mix64(np.array([chunk], np.uint64))[0])
+    for k, (a, b) in enumerate(zip(np.searchsorted(h, words), np.searchsorted(h, words, "right"))):
         if b > a:
-            words, count = np.unique(h[a:b], return_counts=True)
-            yield p, chunk, _put(words), _put(count.astype(np.uint32)), _put(ctx[a:b]), _put(doc[a:b])
+            cold[a:b] = False
+            p = parts + int(spread[:k].sum()) + place % int(spread[k])
+            yield p, chunk, _put(words[k:k + 1]), _put(np.array([b - a], np.uint32)), _put(ctx[a:b]), _put(doc[a:b])
+    for p in range(parts):
+        at = slice(cut[p], cut[p + 1])
+        mine = cold[at]
+        if mine.any():
+            some, count = np.unique(h[at][mine], return_counts=True)
+            yield p, chunk, _put(some), _put(count.astype(np.uint32)), _put(ctx[at][mine]), _put(doc[at][mine])
 
 
 _BLOCK = ["part", "chunk", "a", "b", "c", "d"]
@@ -89,7 +122,7 @@ def _batch(rows: list, names, kinds) -> pa.RecordBatch:
                                       list(names))
 
 
-def _blocks(parts: int):
+def _blocks(parts: int, hot: tuple):
     kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 4)
 
     def work(batches):
@@ -111,10 +144,10 @@ def _blocks(parts: int):
                     held[4] += [np.zeros(1, np.uint16), fine[x:y]]
                     size += y - x + 1
                 if size >= CHUNK_WORDS or len(held[0]) >= CHUNK_DOCS - 4000:
-                    yield _batch(list(_chunk_rows(task << 24 | seq, parts, *held)), _BLOCK, kinds)
+                    yield _batch(list(_chunk_rows(task << 24 | seq, parts, hot, *held)), _BLOCK, kinds)
                     held, size, seq = [[], [], [], [], []], 0, seq + 1
         if held[0]:
-            yield _batch(list(_chunk_rows(task << 24 | seq, parts, *held)), _BLOCK, kinds)
+            yield _batch(list(_chunk_rows(task << 24 | seq, parts, hot, *held)), _BLOCK, kinds)
 
     return work
 
@@ -141,14 +174,22 @@ def _merge(key, table):
 
 
 class Dishes:
-    """The three levels of one partition: words, (word, ending), (word, context)."""
+    """The three levels of one partition: words, (word, ending), (word, context).
+    A partition of a frequent word takes the word's counts from all its partitions."""
 
     def __init__(self, row: dict):
-        self.part = row["part"]
+        self.seed, self.counted = [7, row["part"]], True
+        self.at = None  # where the partition's own entries stand
         self.n_words = len(_get(row["words"], np.uint64))
         self.word = _get(row["entry_word"], np.uint32).astype(np.int64)
         self.ctx = _get(row["entry_ctx"], np.uint16).astype(np.int64)
         self.c2 = _get(row["counts"], np.uint32).astype(np.int64)
+        if row.get("owner") is not None:
+            every = sorted(row["everywhere"], key=lambda x: x["ctx"])
+            own, self.ctx = self.ctx, np.array([x["ctx"] for x in every], np.int64)
+            self.c2, self.word = np.array([x["c"] for x in every], np.int64), np.zeros(len(every), np.int64)
+            self.at = np.searchsorted(self.ctx, own)
+            self.seed, self.counted = [7, 1, int(_get(row["words"], np.uint64)[0])], row["owner"] == row["part"]
         pair, self.up = np.unique(self.word << 8 | self.ctx >> 8, return_inverse=True)
         self.pair_word, self.end = pair >> 8, pair & 255
         self.t2 = np.minimum(self.c2, 1)
@@ -186,7 +227,7 @@ class Dishes:
 
     def samples(self, tot: dict, disc, base: float):
         """The kept states of the seeded chain (this object, again and again)."""
-        rng = np.random.default_rng([7, self.part])
+        rng = np.random.default_rng(self.seed)
         for i in range(BURN_IN + SAMPLES):
             self.sweep(tot, disc, base, rng)
             if i >= BURN_IN:
@@ -211,14 +252,14 @@ def _first_totals(batches):
     for b in batches:
         for row in b.to_pylist():
             d = Dishes(row)
-            out = []
+            if not d.counted:
+                continue
             for level, c, at in ((2, d.c2, d.ctx), (1, d.c1, d.end), (0, d.c0, np.zeros(d.n_words, np.int64))):
                 n = FINE if level == 2 else COARSE if level else 1
                 cols = [np.bincount(at, x, n).astype(np.int64) for x in (c, c > 0, c == 1, c == 2)]
                 some = np.flatnonzero(cols[0])
-                out.append(pa.RecordBatch.from_arrays([pa.array(np.full(len(some), level)), pa.array(some), *[pa.array(x[some]) for x in cols]],
-                                                      ["level", "at", "c", "t", "n1", "n2"]))
-            yield from out
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), level)), pa.array(some), *[pa.array(x[some]) for x in cols]],
+                                                 ["level", "at", "c", "t", "n1", "n2"])
 
 
 def _sample_totals(tot, disc, base):
@@ -226,6 +267,8 @@ def _sample_totals(tot, disc, base):
         for b in batches:
             for row in b.to_pylist():
                 d = Dishes(row)
+                if not d.counted:
+                    continue
                 t = [np.zeros((SAMPLES, n), np.int64) for n in (1, COARSE, FINE)]
                 for k in d.samples(tot, disc, base):
                     t[0][k] = d.t0.sum()
@@ -250,6 +293,8 @@ def _answer(tot, per_sample, disc, base):
                 score = np.log10(p / SAMPLES)
                 c = d.word_counts()
                 plain, known = np.log10(c + 0.5)[d.word], (c > 0)[d.word]
+                if d.at is not None:
+                    score, plain, known = score[d.at], plain[d.at], known[d.at]
                 chunks, cuts, entry, doc = (_get(row[x], k) for x, k in (("chunks", np.int64), ("cuts", np.int64), ("entry", np.uint32), ("doc", np.uint16)))
                 out = []
                 for chunk, x, y in zip(chunks.tolist(), cuts[:-1], cuts[1:]):
@@ -292,14 +337,19 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "lm")
     cond = held_out or "crc32(cast(coalesce(cast(id as string), '') as binary)) % 5 = 1"
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("out", F.expr(cond))
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = int(size // PART_BYTES) + 1
-    blocks = texts.mapInArrow(_blocks(parts), "part long, chunk long, a binary, b binary, c binary, d binary")
+    size = texts.agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).first()
+    parts = int((size.b or 0) // PART_BYTES) + 1
+    hot = hot_words(texts, size.n, (size.b or 0) / 6)
+    blocks = texts.mapInArrow(_blocks(parts, hot), "part long, chunk long, a binary, b binary, c binary, d binary")
     # one pass over the texts: all blocks travel to their partitions; a chunk's head is a part below 0
     merged = blocks.groupBy("part").applyInArrow(
         lambda key, t: _heads(t) if key[0].as_py() < 0 else _merge(key, t), _STATE)
     state = scratch.put(merged, "state")
-    heads, dishes = state.where("part < 0"), state.where("part >= 0")
+    heads = state.where("part < 0")
+    dishes = state.where(F.col("part").between(0, parts - 1)).withColumns(
+        {"owner": F.lit(None).cast("long"), "everywhere": F.lit(None).cast("array<struct<ctx:int,c:long>>")})
+    if len(hot[0]):
+        dishes = dishes.unionByName(scratch.put(_shared_counts(state.where(F.col("part") >= parts)), "frequent"))
     first = dishes.mapInArrow(_first_totals, "level long, at long, c long, t long, n1 long, n2 long")
     first = first.groupBy("level", "at").agg(*[F.sum(x).alias(x) for x in ("c", "t", "n1", "n2")]).toPandas()  # at most 65,793 rows
     tot = {"c2": _vector(first, 2, "c"), "t2": _vector(first, 2, "t"), "t1": _vector(first, 1, "t"), "t0": float(_vector(first, 0, "t")[0])}
@@ -320,6 +370,23 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.withColumnRenamed("id", id_col)
 
 
+def _shared_counts(frequent: DataFrame) -> DataFrame:
+    """Partitions of frequent words, each with the word's counts from all of them."""
+    def work(batches):
+        for b in batches:
+            for row in b.to_pylist():
+                ctx, c = _get(row["entry_ctx"], np.uint16), _get(row["counts"], np.uint32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ctx), row["part"])), pa.array([row["words"]] * len(ctx)),
+                                                  pa.array(ctx.astype(np.int32)), pa.array(c.astype(np.int64))], ["part", "words", "ctx", "c"])
+
+    each = frequent.select("part", "words", "entry_ctx", "counts").mapInArrow(work, "part long, words binary, ctx int, c long")
+    counts = each.groupBy("words", "ctx").agg(F.sum("c").alias("c"), F.min("part").alias("p"))
+    per = counts.groupBy("words").agg(F.min("p").alias("owner"), F.collect_list(F.struct("ctx", "c")).alias("everywhere"))
+    # by word only the partitions' numbers travel; their occurrences are joined by partition
+    shared = frequent.select("part", "words").join(per, "words").select("part", "owner", "everywhere")
+    return frequent.join(shared, "part")
+
+
 def _vector(rows, level: int, col: str) -> np.ndarray:
     x = np.zeros((1, COARSE, FINE)[level])
     r = rows[rows.level == level]

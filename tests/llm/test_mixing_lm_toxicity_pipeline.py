@@ -70,6 +70,22 @@ def test_base_scores_and_gain(spark):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+def test_frequent_words_in_many_partitions_change_little(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").repartition(4)
+    plain = {r.doc_id: r for r in lm.score_texts(docs).collect()}
+    monkeypatch.setattr(lm, "HOT_TOKENS", 300)
+    monkeypatch.setattr(lm, "PART_BYTES", 60_000)
+    texts = docs.select(F.col("doc_id").alias("id"), "text")
+    hot, spread = lm.hot_words(texts, 200, 80_000)
+    assert len(hot) > 10 and spread.max() > 3 and (np.diff(hot.astype(object)) > 0).all()
+    split = {r.doc_id: r for r in lm.score_texts(docs).collect()}
+    for i, r in plain.items():
+        s = split[i]
+        assert (s.n_tokens, s.n_known, s.train_tokens, s.held_out) == (r.n_tokens, r.n_known, r.train_tokens, r.held_out)
+        assert math.isclose(s.base_score, r.base_score, rel_tol=1e-9) and math.isclose(s.score, r.score, rel_tol=0.05)
+    assert math.isclose(sum(r.score for r in split.values()), sum(r.score for r in plain.values()), rel_tol=0.005)
+
+
 def test_predictives_add_up_to_one():
     """All dishes in one partition: every restaurant's probabilities sum to one over V + 1 types."""
     rng = np.random.default_rng(0)
