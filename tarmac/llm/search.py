@@ -8,9 +8,9 @@ statistics (document count, mean length, document frequencies), so scores of
 different shards compare and the merge of the shards' top k is the global top k.
 
 A query first adds up its terms' block maxima. Blocks are taken by that bound in
-shrinking order; the documents of a batch of blocks are scored exactly, and the
-search ends when no bound reaches the k-th best score so far (a bound equal to it
-is still opened, so ties are exact). Bounds and scores are sums of the same
+shrinking order in a few batches; the documents of a batch are scored exactly, and
+a block whose bound does not reach the k-th best score so far is never opened (a
+bound equal to it is, so ties are exact). Bounds and scores are sums of the same
 numbers, hence no document above the threshold can be missed.
 
 A query is the set of its distinct words. Rank: score rounded to 6 digits, larger
@@ -32,10 +32,11 @@ from tarmac.llm import textops
 from tarmac.llm.base import Scratch
 
 K1, B = 1.2, 0.75
-BLOCK = 64
+BLOCK = 128
 #: text bytes per shard
 SHARD_BYTES = 32 << 20
-FIRST_BLOCKS = 8
+#: blocks opened at a time, by falling bound
+BATCHES = (8, 1 << 60)
 _NULL = -(1 << 63)  # stands for a null id inside a shard
 
 
@@ -119,25 +120,29 @@ class Shard:
         block = self.run_block[runs]
         bound = np.bincount(block, self.run_max[runs] * weight, self.blocks)
         order = np.argsort(-bound, kind="stable")
-        docs, scores, least, done, take = [], [], -np.inf, 0, FIRST_BLOCKS
-        chosen = np.zeros(self.blocks, bool)
-        while done < len(order) and bound[order[done]] > 0 and bound[order[done]] >= least - 1e-6:
+        docs, scores, least, done = [], [], -np.inf, 0
+        for take in BATCHES:
             part = order[done:done + take]
             part = part[(bound[part] >= least - 1e-6) & (bound[part] > 0)]
-            done, take = done + take, take * 2
-            chosen[:] = False
+            if not len(part):
+                break
+            done += take
+            chosen = np.zeros(self.blocks, bool)
             chosen[part] = True
             mine = np.flatnonzero(chosen[block])
-            s, m = self.run[runs[mine]], self.run_end[runs[mine]] - self.run[runs[mine]]
-            post = np.repeat(s - np.cumsum(m) + m, m) + np.arange(m.sum())
-            # local numbers: rank of the block among the chosen ones x BLOCK + place
-            place = np.cumsum(chosen) - 1
-            d = self.doc[post]
-            local = place[d // BLOCK] * BLOCK + d % BLOCK
-            got = np.bincount(local, self.gain[post] * np.repeat(weight[mine], m), len(part) * BLOCK)
-            real = np.flatnonzero(chosen)[np.arange(len(got)) // BLOCK] * BLOCK + np.arange(len(got)) % BLOCK
-            keep = got > 0
-            docs.append(real[keep])
+            if 3 * len(mine) > len(runs):  # most blocks are open: whole lists are read faster than their parts
+                spans = list(zip(self.start[at].tolist(), self.start[at + 1].tolist()))
+                doc, gain = (np.concatenate([x[a:b] for a, b in spans]) for x in (self.doc, self.gain))
+                got = np.bincount(doc, gain * np.repeat(idf, self.start[at + 1] - self.start[at]), len(self.ids))
+                got[~np.repeat(chosen, BLOCK)[:len(got)]] = 0
+            else:
+                first = runs[mine]
+                s, m = self.run[first], self.run_end[first] - self.run[first]
+                post = np.repeat(s - np.cumsum(m) + m, m)
+                post += np.arange(len(post))
+                got = np.bincount(self.doc[post], self.gain[post] * np.repeat(weight[mine], m), len(self.ids))
+            keep = np.flatnonzero(got)
+            docs.append(keep)
             scores.append(got[keep])
             s = np.concatenate(scores)
             if len(s) > k:
@@ -214,7 +219,7 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
     right = ask.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
                        F.lit(True).alias("query"), "id", F.lit(0).cast("long").alias("words"), "terms",
                        F.lit(None).cast("binary").alias("tfs"), "idf")
-    found = (left.unionByName(right).repartition(shards, "shard").sortWithinPartitions("shard", "query")
+    found = (left.unionByName(right).repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "query")
              .mapInArrow(_search(mean, k), "query_id long, id long, score double"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id"))
     return (found.withColumn("rank", rank).where(F.col("rank") <= k)
