@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
 1. Voters. From a bounded sample of labelled training rows (``MAX_LABELLED``,
-   smallest hashes first; copies and near copies of a text mostly count once) take the words and word
+   chosen by hash; copies and near copies of a text mostly count once) take the words and word
    beginnings that favour toxic texts, at most ``MAX_FEATURES``; they are dealt
    out to lexicon voters and pattern voters, beside voters for shouting,
    repeated marks, stretched letters and masked words. A voter votes toxic where
@@ -64,6 +64,13 @@ def bucket(doc: str = "doc") -> F.Column:
     return F.crc32(F.coalesce(F.col(doc).cast("string"), F.lit(""))) % 5
 
 
+def _sampled(rows: DataFrame, n: int, most: int, seed: int) -> DataFrame:
+    """About ``most`` of ``n`` rows (all of fewer) by a hash of the id, so that no task
+    sends more than its share; a little less than ``most``, to stay below it."""
+    share = min(1.0, (most - 4 * most**0.5) / max(n, 1))
+    return rows.where(F.pmod(F.xxhash64("doc", F.lit(seed)), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))) if n > most else rows
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").cast("binary").alias("text"))
 
@@ -210,19 +217,20 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     scratch = Scratch(docs.sparkSession, "toxicity")
     known = (labels.select(F.col(id_col).cast("long").alias("doc"), F.col(label_col).cast("int").alias("toxic"))
              .where("doc is not null and toxic is not null").groupBy("doc").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
-             .where(bucket() != 0).orderBy(F.xxhash64("doc"), "doc").limit(MAX_LABELLED))
-    known = F.broadcast(scratch.put(known, "labelled"))  # at most MAX_LABELLED rows of 12 bytes
+             .where(bucket() != 0))
+    known = scratch.put(known, "labels")
+    known = F.broadcast(scratch.put(_sampled(known, known.count(), MAX_LABELLED, 0), "labelled"))  # MAX_LABELLED rows of 12 bytes
     texts = _texts(docs, id_col, text_col)
     lexicon = learn_features(texts.join(known, "doc"))
     hits = scratch.put(hits_table(texts, lexicon), "hits")
     width = len(lexicon) + len(_SHAPES)
-    taught = hits.join(known, "doc").select("hits", "toxic").limit(MAX_LABELLED).toPandas()
+    taught = hits.join(known, "doc").dropDuplicates(["doc"]).select("hits", "toxic").toPandas()
     prior = float(taught.toxic.mean()) if len(taught) else 0.0
     model = None
     if lexicon and 0 < prior < 1:
-        w, base = label_model(*joint_votes(hits), prior)
-        sample = (hits.where(bucket() != 0).orderBy(F.xxhash64("doc", F.lit(1)), "doc").limit(MAX_TRAIN)
-                  .select("hits", "votes").toPandas())
+        n, joint = joint_votes(hits)
+        w, base = label_model(n, joint, prior)
+        sample = _sampled(hits, n, MAX_TRAIN, 1).where(bucket() != 0).select("hits", "votes").toPandas()
         q = posterior(sample.votes.to_numpy(np.int64), w, base)
         coef = fit_logistic(*_patterns(list(sample.hits), q, width), l2=0.1)
         x, y, n = _patterns(list(taught.hits), taught.toxic.to_numpy(float), width)
