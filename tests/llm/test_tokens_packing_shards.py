@@ -153,5 +153,6 @@ def test_counts_match_plain_dynamic_programming(spark, odd_docs, no_docs, monkey
         assert (g.n_words, g.n_tokens, g.n_byte_tokens) == (len(words), sum(a for a, _ in parts), sum(b for _, b in parts))
     assert counts.token_counts(no_docs).collect() == []
     trie = counts.Trie(pieces)
-    nodes = [trie.insert(w) and len(trie.kids) for w in ("▁share", "▁shared", "▁share")]
-    assert nodes[1] == nodes[0] + 1 and nodes[2] == nodes[1]
+    words = ["▁share", "▁shared", "▁sharing", "▁shy"]
+    assert trie.solve(words) == [plain(w) for w in words]
+    assert trie.nodes == len({w[:k] for w in words for k in range(1, len(w) + 1)})  # each prefix once
