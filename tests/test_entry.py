@@ -17,3 +17,21 @@ def test_every_oracle_key_is_a_query():
     rows_only = set(q) - set(o) - optional
     assert rows_only == {"ridge_metrics", "predictions", "elastic_net_metrics", "gbt_metrics",
                          "metrics_comparison"}
+
+
+def test_entry_without_the_optional_subpackage():
+    import os
+    import subprocess
+    import sys
+    code = """
+import sys
+class Hide:
+    def find_spec(self, name, path=None, target=None):
+        if name == "corpus_pipeline" or name.startswith("tarmac.llm"):
+            raise ModuleNotFoundError(f"No module named {name!r}", name=name)
+sys.meta_path.insert(0, Hide())
+import __spark_entry__ as e
+assert len(e.queries()) >= 66 and set(e.oracle_sql()) <= set(e.queries())
+assert not any(k == "pipeline" or k[:3] in ("op1", "op5") for k in e.queries())
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.abspath(entry_mod.__file__)))
