@@ -83,25 +83,26 @@ def formatted(messages: DataFrame, branches: int = 1) -> DataFrame:
     nodes = msg.select("t", F.col("node").alias("parent"), F.lit(1).alias("there"))
     links = (msg.select("t", "node", "parent", "score").join(nodes, ["t", "parent"], "left")
              .select("t", "node", F.when(F.col("there") == 1, F.col("parent")).alias("up"), F.lit(1).cast("long").alias("depth"), "score"))
-    jumps = [scratch.put(links, "jump")]
+    links = scratch.put(links, "jump")
+    # messages whose pointer has passed the root are done and only looked up from then on
+    jumps, done = [links.where("up is not null")], links.where("up is null")
     rounds = msg.count().bit_length()  # no path is longer than all messages; what still has an ancestor is a cycle
-    while len(jumps) <= rounds and not jumps[-1].where("up is not null").isEmpty():
-        a, b = jumps[-1].alias("a"), jumps[-1].alias("b")
-        step = a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.up") == F.col("b.node")), "left").select(
-            "a.t", "a.node", F.col("b.up").alias("up"),
-            (F.col("a.depth") + F.coalesce("b.depth", F.lit(0).cast("long"))).alias("depth"),
-            (F.col("a.score") + F.coalesce("b.score", F.lit(0.0))).alias("score"))
-        jumps.append(scratch.put(step, "jump"))
-    done = jumps[-1].where("up is null")
-    parents = jumps[0].where("up is not null").select("t", F.col("up").alias("node")).distinct()
+    while len(jumps) <= rounds and not jumps[-1].isEmpty():
+        a, b = jumps[-1].alias("a"), done.unionByName(jumps[-1]).alias("b")
+        step = scratch.put(a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.up") == F.col("b.node"))).select(
+            "a.t", "a.node", F.col("b.up").alias("up"), (F.col("a.depth") + F.col("b.depth")).alias("depth"),
+            (F.col("a.score") + F.col("b.score")).alias("score")), "jump")
+        jumps.append(step.where("up is not null"))
+        done = done.unionByName(step.where("up is null"))
+    parents = jumps[0].select("t", F.col("up").alias("node")).distinct()
     best = [(F.col("score") / F.col("depth")).desc(), F.col("depth").desc(), F.col("node")]
     leaves = done.join(parents, ["t", "node"], "left_anti").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(32)))
     for keys in (["t", "salt"], ["t"]):  # a tree with very many leaves is first ranked in parts
         leaves = leaves.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*best))).where(
             F.col("rank") <= branches)
     path = scratch.put(leaves.select("t", F.col("node").alias("leaf"), "rank", "node", F.lit(0).cast("long").alias("d")), "leaves")
-    for i in range(len(jumps) - 2, -1, -1):
-        up = path.join(jumps[i].where("up is not null").select("t", "node", "up"), ["t", "node"]).select(
+    for i in range(len(jumps) - 1, -1, -1):
+        up = path.join(jumps[i].select("t", "node", "up"), ["t", "node"]).select(
             "t", "leaf", "rank", F.col("up").alias("node"), (F.col("d") + (1 << i)).alias("d"))
         path = scratch.put(path.unionByName(up), "path")
     rows = path.join(msg, ["t", "node"]).withColumn("role1", escape_role(F.col("role"))).withColumn("text1", escape(F.col("text")))
