@@ -185,8 +185,12 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     largest = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     k = lists or int(min(MAX_LISTS, max(1, round(largest ** 0.5 / 8))))
     index: dict[int, Index] = {}
-    for row in classes.select(F.size("v").alias("d")).distinct().collect():  # vector lengths: one or a few
-        part = classes.where(F.size("v") == row.d).orderBy(F.xxhash64("key"), "key").limit(SAMPLE).select("v").toPandas()
+    for row in classes.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).collect():  # vector lengths: one or a few
+        # a hashed share of a little less than SAMPLE vectors (all, if there are fewer): no task sends more than its part
+        share = min(1.0, (SAMPLE - 4 * SAMPLE**0.5) / row.n) if row.n > SAMPLE else 1.0
+        part = classes.where((F.size("v") == row.d) & (F.pmod(F.xxhash64("key"), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))))
+        # the centroids depend on the order of the sample
+        part = part.select("key", "v").toPandas().sort_values("key")
         index[row.d] = Index(_unit(np.array(part.v.tolist(), np.float64)), k)
     placed = scratch.put(classes.select("cls", "label", "v", "copies").mapInArrow(
         _index_rows(index, r), "cls long, label long, dim int, copies long, list int, member boolean, v binary, codes binary, err double"),
