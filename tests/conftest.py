@@ -5,9 +5,6 @@ import pytest
 
 sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -21,4 +18,5 @@ def spark():
 @pytest.fixture(scope="session")
 def duck():
     from compare import duckdb_conn
+    from tables import SF01
     return duckdb_conn(SF01)

@@ -107,7 +107,7 @@ def test_study_window_prunes_month_partitions(spark, tmp_path):
 
 
 def _history(spark, root):
-    from conftest import SF001
+    from tables import SF001
     from tarmac.operators.features import FEATURE_COLUMNS
     from tarmac.plans.fixtures import fx_history
     from tarmac.sources.sinks import write_features

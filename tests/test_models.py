@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tarmac.operators import models as mdl
 from tarmac.plans import registry as R
 
-from conftest import SF001
+from tables import SF001
 
 
 def test_gbt_chunked_rounds_equal_one_long_fit(spark):

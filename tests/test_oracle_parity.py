@@ -4,7 +4,7 @@ import pytest
 
 from tarmac.plans.registry import ORACLE
 
-from conftest import SF01
+from tables import SF01
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

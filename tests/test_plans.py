@@ -5,7 +5,7 @@ import io
 
 from tarmac.plans.registry import QUERIES
 
-from conftest import SF01
+from tables import SF01
 
 
 def _plan(spark, name):
