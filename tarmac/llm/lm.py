@@ -91,6 +91,8 @@ def _chunk_rows(chunk: int, parts: int, hot: tuple, ids: list, sizes: list, held
     """Blocks of one chunk, and its texts as a part of their own."""
     h, ctx = np.concatenate(hashes), np.concatenate(contexts)
     n = np.array(sizes, np.int64)
+    if len(n) > _HELD:
+        raise ValueError(f"{len(n)} texts in a chunk, their numbers have 15 bits")
     doc = np.repeat(np.arange(len(n), dtype=np.uint16) | np.where(held, _HELD, np.uint16(0)).astype(np.uint16), n)
     by = np.argsort(h, kind="stable")
     h, ctx, doc = h[by], ctx[by], doc[by]
@@ -143,7 +145,10 @@ def _blocks(parts: int, hot: tuple):
                     held[3] += [words[x:y], [_END]]
                     held[4] += [np.zeros(1, np.uint16), fine[x:y]]
                     size += y - x + 1
-                if size >= CHUNK_WORDS or len(held[0]) >= CHUNK_DOCS - 4000:
+                    if len(held[0]) == CHUNK_DOCS:  # in the middle of a slice: a slice may hold any number of short texts
+                        yield _batch(list(_chunk_rows(task << 24 | seq, parts, hot, *held)), _BLOCK, kinds)
+                        held, size, seq = [[], [], [], [], []], 0, seq + 1
+                if size >= CHUNK_WORDS:
                     yield _batch(list(_chunk_rows(task << 24 | seq, parts, hot, *held)), _BLOCK, kinds)
                     held, size, seq = [[], [], [], [], []], 0, seq + 1
         if held[0]:

@@ -86,6 +86,23 @@ def test_frequent_words_in_many_partitions_change_little(spark, monkeypatch):
     assert math.isclose(sum(r.score for r in split.values()), sum(r.score for r in plain.values()), rel_tol=0.005)
 
 
+def test_many_short_texts_in_a_chunk(spark):
+    """Two batches of 18,000 texts: text numbers of a chunk stay below the bit of held-out texts."""
+    docs = spark.createDataFrame([(i, f"a{i % 7} b{i % 11}") for i in range(36_000)], "doc_id long, text string").coalesce(1)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "18000")
+    try:
+        got = lm.score_texts(docs).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    train = 3 * sum(not held(i) for i in range(36_000))
+    assert len(got) == 36_000 and all((r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (3, 3, train, held(r.doc_id)) for r in got)
+    assert all(r.score < 0 and r.base_score < 0 for r in got)
+    with pytest.raises(ValueError, match="15 bits"):
+        n = 32_769
+        list(lm._chunk_rows(0, 1, ([], []), [0] * n, [1] * n, [False] * n, [np.zeros(n, np.uint64)], [np.zeros(n, np.uint16)]))
+
+
 def test_predictives_add_up_to_one():
     """All dishes in one partition: every restaurant's probabilities sum to one over V + 1 types."""
     rng = np.random.default_rng(0)
