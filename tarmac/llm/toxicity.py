@@ -1,7 +1,8 @@
 """Toxicity by weak supervision.
 
 1. Voters. From a bounded sample of labelled training rows (``MAX_LABELLED``,
-   chosen by hash; copies and near copies of a text mostly count once) take the words and word
+   chosen by hash; copies and near copies of a text, the groups of ``op4`` within
+   the sample, count once per label, all other texts count) take the words and word
    beginnings that favour toxic texts, at most ``MAX_FEATURES``; they are dealt
    out to lexicon voters and pattern voters, beside voters for shouting,
    repeated marks, stretched letters and masked words. A voter votes toxic where
@@ -25,7 +26,6 @@ labels); repeated rows are scored each; an empty table gives an empty result."""
 from __future__ import annotations
 
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.base import Scratch
+from tarmac.llm.near import near_duplicates
 
 MAX_LABELLED = 20_000
 MAX_TRAIN = 20_000
@@ -75,18 +76,24 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").cast("binary").alias("text"))
 
 
-def learn_features(rows: DataFrame) -> list[bytes]:
-    """The toxic features of labelled ``rows (text, toxic)``."""
+def without_copies(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """One of the labelled ``rows (doc, text, toxic)`` per near-duplicate group and
+    label: the one with the smallest id. Texts without words are copies of each other."""
+    rows = scratch.put(rows.select("doc", "text", "toxic", F.monotonically_increasing_id().alias("row")), "sample")
+    group = near_duplicates(rows.select("row", "text"), "row").select(
+        "row", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(-1).alias("copies"))
+    first = F.min_by("text", F.struct("doc", F.xxhash64("text"), "row")).alias("text")
+    return scratch.put(rows.join(group, "row").groupBy("copies", "toxic").agg(first).select("text", "toxic"), "distinct")
+
+
+def learn_features(rows: DataFrame, scratch: Scratch) -> list[bytes]:
+    """The toxic features of labelled ``rows (doc, text, toxic)``."""
     def work(batches):
         for b in batches:
-            raw = [x.as_py() or b"" for x in b.column(0)]
-            fs = [features(x) for x in raw]
-            # near copies mostly share the long word of the smallest hash: one text per such anchor
-            anchor = [min((zlib.crc32(w) for w in f if len(w) > 8 and w[:1] == b"w"), default=zlib.crc32(x)) for f, x in zip(fs, raw)]
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(anchor, pa.int64()), pa.array([sorted(f) for f in fs], pa.list_(pa.binary()))],
-                                             ["toxic", "h", "fs"])
-
-    seen = rows.select("text", "toxic").mapInArrow(work, "toxic int, h long, fs array<binary>").dropDuplicates(["h", "toxic"])
+            fs = [sorted(features(x.as_py() or b"")) for x in b.column(0)]
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(fs, pa.list_(pa.binary()))], ["toxic", "fs"])
+
+    seen = without_copies(rows, scratch).mapInArrow(work, "toxic int, fs array<binary>")
     n = seen.agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).first()
     if not n.t or not n.c:
         return []
@@ -221,7 +228,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     known = scratch.put(known, "labels")
     known = F.broadcast(scratch.put(_sampled(known, known.count(), MAX_LABELLED, 0), "labelled"))  # MAX_LABELLED rows of 12 bytes
     texts = _texts(docs, id_col, text_col)
-    lexicon = learn_features(texts.join(known, "doc"))
+    lexicon = learn_features(texts.join(known, "doc"), scratch)
     hits = scratch.put(hits_table(texts, lexicon), "hits")
     width = len(lexicon) + len(_SHAPES)
     taught = hits.join(known, "doc").dropDuplicates(["doc"]).select("hits", "toxic").toPandas()

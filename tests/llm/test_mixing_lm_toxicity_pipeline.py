@@ -187,6 +187,22 @@ def test_held_out_labels_change_nothing(tainted):
     assert all(abs(a[i] - b[i]) < 1e-9 for i in a)
 
 
+def test_only_copies_are_left_out_of_the_sample(spark):
+    """Unrelated texts that share a long word all count, copies and near copies once per label."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(["thintion", *(f"u{rng.randrange(10**6)}" for _ in range(60))]), i % 2) for i in range(40)]
+    near = rows[0][1]
+    rows += [(100, near, 0), (101, near + " more", 0), (102, near, 1), (103, "", 0), (104, None, 0), (104, " ", 0)]
+    df = spark.createDataFrame(rows, "doc long, text string, toxic int").select("doc", F.col("text").cast("binary").alias("text"), "toxic")
+    got = Counter((bytes(r.text or b"").decode(), r.toxic) for r in toxicity.without_copies(df, Scratch(spark, "test-copies")).collect())
+    want = Counter((t, y) for _, t, y in rows[:40]) + Counter([(near, 1), ("", 0)])
+    assert got == want
+    # a word of every toxic text is learned, though they share the long word of the smallest hash
+    bad = [(i, t + (" grobix" if y else ""), y) for i, t, y in rows[:40]]
+    df = spark.createDataFrame(bad, "doc long, text string, toxic int").select("doc", F.col("text").cast("binary").alias("text"), "toxic")
+    assert b"wgrobix" in toxicity.learn_features(df, Scratch(spark, "test-copies"))
+
+
 def test_odd_rows_toxicity(spark, odd_docs, no_docs, tainted):
     _, labels = tainted
     got = toxicity.toxicity(odd_docs, labels).collect()
