@@ -217,7 +217,9 @@ def _name_partners(batches):
 def _confirm_partners(batches):
     for t in runs(batches, ["bucket", "bi", "bj"]):
         ids, comp = t.column("_id").to_pylist(), t.column("comp").to_pylist()
-        at = {i: k for k, i in enumerate(ids)}
+        at: dict[int, list[int]] = {}
+        for k, i in enumerate(ids):  # a repeated id has several texts
+            at.setdefault(i, []).append(k)
         sets = list(textops.shingle_sets(t.column("_text")))
         root = {c: c for c in comp}
 
@@ -228,16 +230,18 @@ def _confirm_partners(batches):
             return c
 
         links = []
-        for i, others in zip(ids, t.column("partners").to_pylist()):
+        for k, (i, others) in enumerate(zip(ids, t.column("partners").to_pylist())):
+            x = sets[k]
             for o in others:
-                p, q = find(comp[at[i]]), find(comp[at[o]])
-                if p == q:  # joined meanwhile: this pair can't change the components
-                    continue
-                x, y = sets[at[i]], sets[at[o]]
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= THRESHOLD * (len(x) + len(y) - both):
-                    links.append((i, o))
-                    root[p] = q
+                for j in at[o]:
+                    p, q = find(comp[k]), find(comp[j])
+                    if p == q:  # joined meanwhile: this pair can't change the components
+                        break
+                    y = sets[j]
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    if 100 * both >= THRESHOLD * (len(x) + len(y) - both):
+                        links.append((i, o))
+                        root[p] = q
         if links:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["a", "b"])
 

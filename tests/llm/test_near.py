@@ -87,3 +87,13 @@ def test_words_are_ascii_space_runs():
         assert len(textops.word_endings(data, offs)) == len(h)
     assert [len(h) for h in hashes] == [3, 0, 0, 1, 3] and hashes[0] == hashes[4]
     assert list(map(len, textops.shingle_sets(arr.slice(1)))) == [0, 0, 1, 1]
+
+
+def test_block_step_confirms_every_text_of_a_repeated_id():
+    """Ids 1 and 2 have two texts each; only the earlier text of both links."""
+    same = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, 1, [2], same), (1, 1, [2], "quite another text of the id one here"),
+            (2, 2, [], same), (2, 2, [], "yet other words that stand under id two")]
+    b = pa.RecordBatch.from_pylist([dict(bucket=9, bi=0, bj=0, _id=i, comp=c, partners=p, _text=t) for i, c, p, t in rows])
+    got = [tuple(r.values()) for out in near._confirm_partners([b]) for r in out.to_pylist()]
+    assert got == [(1, 2)]
