@@ -3,10 +3,10 @@
 A token is predicted in the restaurant of its context, the token before it. A
 restaurant's parent is that of the context's ending (its last two letters), whose
 parent is the root; below the root all V + 1 types are alike. Contexts are dealt
-into 2**16 restaurants by ending (256 classes) and word (256 per class): frequent
-contexts mostly have one of their own, rare ones share, and the totals of all
-restaurants stay a vector of fixed size. Every token of the training texts is a
-customer; nothing is cut off.
+into 2**16 restaurants by hashes of ending (256 classes) and word (256 per class),
+so contexts of any frequency share one, and the totals of all restaurants stay a
+vector of fixed size, however large the corpus. Every token of the training texts
+is a customer.
 
 All customers of one dish (predicted word) in all restaurants meet in one
 partition, so the seating of a dish, from its context restaurants up to the root,
