@@ -198,3 +198,26 @@ def op7(spark, sf_dir):
     """Log-probabilities of every document under a model of the training documents."""
     from tarmac.llm.lm import score_texts
     return score_texts(table(spark, sf_dir, "documents"))
+
+
+SEARCH_K = 20
+OP11_SQL = r"""
+WITH dt AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+it AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+len AS (SELECT doc_id, count(*) AS n FROM dt GROUP BY 1),
+st AS (SELECT count(*) AS docs, sum(n)::BIGINT AS l FROM len),
+norm AS (SELECT doc_id, 100 - 25 + ((25 * n * docs) // l) AS m FROM len, st),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM dt GROUP BY 1, 2),
+q AS (SELECT item_id, t, count(*) AS c FROM it GROUP BY 1, 2),
+wt AS (SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, st GROUP BY t, docs),
+sc AS (SELECT item_id, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+       FROM q JOIN wt USING (t) JOIN tf USING (t) JOIN norm USING (doc_id) GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM sc WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20"""
+
+
+@query("op11_stratified_search", OP11_SQL)
+def op11(spark, sf_dir):
+    """The 20 best documents for every benchmark item."""
+    from tarmac.llm.strata import ranked
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), SEARCH_K)

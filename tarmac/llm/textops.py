@@ -2,7 +2,8 @@
 
 Words are the runs ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. A word's hash
 is a polynomial over its bytes (a random 64-bit value per byte, an odd
-multiplier) and a final mix; texts are worked through in slices of a few MB, so
+multiplier) and a final mix; ``TERMS`` are runs of letters, digits and non-ASCII
+characters instead. Texts are worked through in slices of a few MB, so
 memory does not follow the batch size."""
 
 from __future__ import annotations
@@ -34,6 +35,11 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
 _BYTE[ord("A"):ord("Z") + 1] = _BYTE[ord("a"):ord("z") + 1]
 _BYTE[_SPACE] = 0
+#: (separator bytes, value of each byte) of the alphabets that word_hashes knows
+WORDS = (_SPACE, _BYTE)
+_NO_TERM = np.ones(256, bool)
+_NO_TERM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
+TERMS = (_NO_TERM, np.where(_NO_TERM, _U(0), _BYTE))
 _MULT = 0x5851F42D4C957F2D
 _pow = np.ones(1, np.uint64)
 _COEF = mix64(np.arange(101, 101 + SHINGLE, dtype=np.uint64)) | _U(1)
@@ -82,9 +88,10 @@ def word_endings(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         return mix64(_BYTE[data[e]] * _U(3) + np.where(alone, _U(0), _BYTE[before]))
 
 
-def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offs: np.ndarray, alphabet=WORDS) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, first word of each row with the total at the end)."""
-    word = ~_SPACE[data]
+    space, byte = alphabet
+    word = ~space[data]
     start = word.copy()
     start[1:] &= ~word[:-1]
     first = offs[:-1][offs[:-1] < len(data)]
@@ -96,7 +103,7 @@ def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
     length = np.diff(np.append(s, len(data)))
     pos = np.arange(len(data) - s[0]) - np.repeat(s - s[0], length)
     with np.errstate(over="ignore"):
-        v = _BYTE[data[s[0]:]]
+        v = byte[data[s[0]:]]
         v *= _powers(int(length.max()))[pos]
         h = np.add.reduceat(v, s - s[0])
     return mix64(h), rows
