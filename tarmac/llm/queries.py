@@ -221,3 +221,10 @@ def op11(spark, sf_dir):
     """The 20 best documents for every benchmark item."""
     from tarmac.llm.strata import ranked
     return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), SEARCH_K)
+
+
+@query("op13_cholesky_whitening")
+def op13(spark, sf_dir):
+    """The whitened first 8 components of every vector."""
+    from tarmac.llm.whitening import whiten
+    return whiten(table(spark, sf_dir, "embeddings"))
