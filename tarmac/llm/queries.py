@@ -228,3 +228,10 @@ def op13(spark, sf_dir):
     """The whitened first 8 components of every vector."""
     from tarmac.llm.whitening import whiten
     return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_block_extraction")
+def op12(spark, sf_dir):
+    """The main text of every page."""
+    from tarmac.llm.pages import extract
+    return extract(table(spark, sf_dir, "pages"))
