@@ -2,8 +2,8 @@
 
 A page is cut into flat blocks at its block-level tags (and at two line breaks in a
 row). A block knows its words, its share of linked words (link density), and those of
-the block before and after it, which are the tree's first six features. Four more come
-from the markup around it, for adverts, notices and reader comments can look exactly
+the block before and after it. The tree's other features come from the markup around
+it, for adverts, notices and reader comments can look exactly
 like paragraphs: whether an element around it is an article or main element, or is named
 like one; whether one is a menu, page header, footer, sidebar, form, hidden, or named
 like an advert, a notice or comments; whether the block is a heading; whether the page
@@ -11,7 +11,8 @@ has an article and the block is outside it; and the last one is whether it ends
 sentence.
 
 ``TABLE`` holds the small labelled table. ``grow`` fits a classification tree (Gini
-impurity, midpoints between neighbouring values, until leaves are pure) on the driver;
+impurity, midpoints between neighbouring values, until leaves are pure or would hold one
+row) on the driver;
 its size is fixed by the table, and the pages are classified by it inside their tasks.
 Texts never leave the task that read them: there is no shuffle.
 
@@ -235,8 +236,10 @@ class Blocks:
 
 # ---- features and the tree ------------------------------------------------------------------
 
-FEATURES = ["words_before", "words", "words_after", "links_before", "links", "links_after",
-            "main", "junk", "heading", "outside", "sentence"]
+FEATURES = ["junk", "outside", "main", "heading", "sentence", "words", "links", "words_before", "words_after",
+            "links_before", "links_after"]
+#: labelled blocks that a leaf must hold
+LEAF = 2
 #: words, or share of the words that are not junk, that a page's article must have to make the rest the outside
 ARTICLE_WORDS, ARTICLE_SHARE = 25, 0.2
 
@@ -246,15 +249,15 @@ def features(rows: list[tuple], sentence: list[bool]) -> np.ndarray:
     a = np.array(rows, np.float64).reshape(-1, 5)
     words, main = a[:, 0], a[:, 2]
     links = a[:, 1] / np.maximum(words, 1)
-    beside = lambda v: (np.append(0, v[:-1]), v, np.append(v[1:], 0))
+    before, after = (lambda v: np.append(0, v[:-1])), (lambda v: np.append(v[1:], 0))
     level, free = 0, words[a[:, 3] == 0].sum()
     for k in (2, 1):
         inside = words[main == k].sum()
         if inside >= ARTICLE_WORDS or inside > ARTICLE_SHARE * free:
             level = k
             break
-    return np.stack([*beside(words), *beside(links), main, a[:, 3], a[:, 4], (main < level).astype(np.float64),
-                     np.array(sentence, np.float64)], 1)
+    return np.stack([a[:, 3], (main < level).astype(np.float64), main, a[:, 4], np.array(sentence, np.float64), words, links,
+                     before(words), after(words), before(links), after(links)], 1)
 
 
 # The labelled table: pages apart by an empty line, one block a row:
@@ -423,6 +426,33 @@ TABLE = """
 1 2 0 2 0 0 1
 0 8 0 0 0 0 0
 
+0 3 3 0 1 0 0
+1 4 0 2 0 2 0
+1 41 0 2 0 0 1
+1 6 0 2 0 0 0
+
+1 6 0 2 0 2 0
+1 19 5 2 0 0 1
+1 3 0 2 0 1 0
+1 28 9 2 0 0 1
+1 110 0 2 0 0 1
+
+1 4 0 1 0 2 0
+1 35 2 1 0 0 1
+1 8 0 1 0 0 1
+
+1 7 0 0 0 2 0
+1 52 1 0 0 0 1
+1 31 0 0 0 0 1
+
+0 2 2 0 1 0 0
+1 23 0 2 0 0 1
+1 4 0 2 0 0 0
+0 30 0 0 0 0 1
+0 50 2 0 0 0 1
+0 64 0 0 0 0 1
+0 25 25 0 0 0 0
+
 1 1 0 2 0 0 1
 1 2 0 2 0 0 1
 """
@@ -453,6 +483,8 @@ class Tree:
             values = np.unique(x[:, f])
             for t in ((values[1:] + values[:-1]) / 2).tolist():
                 low = x[:, f] <= t
+                if min(low.sum(), (~low).sum()) < LEAF:
+                    continue
                 gini = sum(len(p) * p.mean() * (1 - p.mean()) for p in (y[low], y[~low]))
                 if best is None or gini < best[0] - 1e-12:
                     best = gini, f, t
