@@ -44,6 +44,7 @@ from pyspark.sql.window import Window
 
 from tarmac.llm import textops
 from tarmac.llm.base import Scratch, runs
+from tarmac.operators.sizing import broadcast_if_bounded
 
 K = 20
 #: bytes of packed terms in a shard, and in a cell of a stratum
@@ -51,6 +52,8 @@ SHARD_BYTES = 32 << 20
 CELL_BYTES = 1 << 20
 #: bytes of packed queries that one pass carries
 QUERY_BYTES = 16 << 20
+#: bytes of index rows that a task searches at a time
+SEARCH_BYTES = 24 << 20
 
 PACKED = "id long, n long, terms binary, tfs binary"
 INDEX = "m long, ids binary, known binary, terms binary, first_run binary, run_tf binary, run_start binary, docs binary"
@@ -117,8 +120,12 @@ class Stratum:
         return out
 
 
+#: (scores, ids, known) of no document
+NOTHING = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint8))
+
+
 class Shard:
-    """The strata of a task, with the largest impact of every (term, stratum)."""
+    """Some strata of a task, with the largest impact of every (term, stratum)."""
 
     def __init__(self, strata: list[Stratum]):
         self.strata = strata
@@ -130,8 +137,8 @@ class Shard:
         self.term, self.place, self.best, self.number = term[by], place[by], best[by], number[by]
         self.opened = self.seen = 0
 
-    def search(self, terms: np.ndarray, weight: np.ndarray, k: int):
-        """(scores, ids, known) of the k best documents."""
+    def search(self, terms: np.ndarray, weight: np.ndarray, k: int, best=NOTHING):
+        """(scores, ids, known) of the k best documents of these strata and of ``best``."""
         a, b = np.searchsorted(self.term, terms, "left"), np.searchsorted(self.term, terms, "right")
         n = b - a
         at = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
@@ -141,8 +148,7 @@ class Shard:
         by = np.argsort(number, kind="stable")
         w, number, place = w[by], number[by], self.place[at][by]
         cut = np.searchsorted(number, np.arange(len(self.strata) + 1))
-        none = np.empty(0, np.int64)
-        best, least = (none, none, none.astype(np.uint8)), 1
+        least = int(best[0].min()) if len(best[0]) >= k else 1
         for s in np.argsort(-bound, kind="stable").tolist():
             if bound[s] < least:
                 break
@@ -163,12 +169,24 @@ class Shard:
 
 def _search(queries: list[tuple[int, bytes, bytes]], k: int):
     def work(batches):
-        strata = [Stratum(r) for b in batches for r in b.to_pylist()]
-        if not strata:
-            return
-        shard = Shard(strata)
-        for q, terms, weight in queries:
-            score, ids, known = shard.search(np.frombuffer(terms, np.uint64), np.frombuffer(weight, np.int64), k)
+        best = [NOTHING] * len(queries)
+        held, size = [], 0
+
+        def visit():
+            shard = Shard([Stratum(r) for r in held])
+            for n, (_, terms, weight) in enumerate(queries):
+                best[n] = shard.search(np.frombuffer(terms, np.uint64), np.frombuffer(weight, np.int64), k, best[n])
+
+        for b in batches:
+            for i in range(b.num_rows):
+                held.append({c: b.column(c)[i].as_py() for c in b.schema.names})
+                size += sum(len(v) for v in held[-1].values() if isinstance(v, bytes))
+                if size > SEARCH_BYTES:
+                    visit()
+                    held, size = [], 0
+        if held:
+            visit()
+        for (q, _, _), (score, ids, known) in zip(queries, best):
             if len(score):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(score), q)), pa.array(ids, mask=known == 0), pa.array(score)], ["q", "id", "score"])
@@ -216,8 +234,8 @@ def build(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
     m = F.lit(75).cast("long") + F.expr(f"(25 * cast(n as {big}) * cast({stat.n}L as decimal(16,0))) div cast({stat.l or 1}L as {big})")
     strata = packed.withColumn("m", m)
     cells = strata.groupBy("m").agg(F.ceil(F.sum(F.length("terms")) / CELL_BYTES).alias("cells"))
-    # distinct values of m: a small table, joined behind Spark's own size check
-    dealt = strata.join(cells, "m").withColumn(
+    # one row per value of m; broadcast if that is few (a plain join would shuffle the packed texts once more)
+    dealt = strata.join(broadcast_if_bounded(scratch.put(cells, "cells")), "m").withColumn(
         "shard", F.pmod(F.xxhash64("m", F.pmod(F.xxhash64("id", "terms"), F.col("cells"))), F.lit(shards)))
     table = scratch.put(dealt.repartitionById(shards, F.col("shard").cast("int")).select("m", "id", "terms", "tfs")
                         .sortWithinPartitions("m").mapInArrow(_stratum, INDEX), "index")
