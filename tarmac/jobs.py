@@ -149,10 +149,10 @@ def train_baseline(spark: SparkSession, features_root: str, train_months: Sequen
     _require_months(spark, features_root, train_months, "train features")
     _require_months(spark, features_root, [test_month], "test features")
     df = spark.read.parquet(features_root)
-    scores, model, meta = mdl.train_baseline(_in_months(df, train_months), _in_months(df, [test_month]))
+    scores, model = mdl.train_baseline(_in_months(df, train_months), _in_months(df, [test_month]))
     metrics = scores.first().asDict()
     if out_dir:
-        sinks.save_model(spark, model, f"{out_dir}/baseline_delay", meta)
+        sinks.save_metadata(spark, f"{out_dir}/baseline_delay", model)
         sinks.write_small_csv(scores, f"{out_dir}/metrics_baseline")
     return {"files": {"train": [month_path(features_root, y, m) for y, m in train_months],
                       "test": month_path(features_root, *test_month),

@@ -1,9 +1,8 @@
 """Model jobs: ridge path with validation-chosen penalty, the elastic-net recipe,
 and boosted trees with early stopping.
 
-The ridge path needs only second moments of the design: one pass over the train
-and validation rows adds up X'X, X'y and the means, and every penalty of the path
-is solved from them (their size is checked, see ``prep.MAX_LEVELS``). Frames that
+The linear models need only second moments of their design (``operators.moments``):
+every penalty of the ridge path and the elastic net are solved from them. Frames that
 several passes read are written once as pruned Parquet to the shared scratch
 folder, so a lost executor does not replay the lineage.
 """
@@ -15,15 +14,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VarianceThresholdSelector, VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.functions.splines import natural_spline_basis
 from tarmac.operators import prep as pp
 from tarmac.operators.evaluate import error_metrics, mean_absolute_error
+from tarmac.operators.moments import Moments, RidgePath, elastic_net, split_moments
 from tarmac.operators.quantiles import exact_quantiles
 from tarmac.operators.sizing import broadcast_if_bounded
 from tarmac.session import written
@@ -40,18 +41,35 @@ EN_MAE, EN_RMSE, BASELINE_30D_MAE = "glmnet_mae", "glmnet_rmse", "baseline30d_ma
 
 
 # ---------------------------------------------------------------- ridge (baseline_v2)
+#: suffixes of a factor's level place and of its design column
+PLACE, COLUMN = "__p", "__j"
+
+
+def design_columns(aligned: DataFrame, levels: dict[str, list[str]], factors: Sequence[str], first: int) -> tuple[DataFrame, int]:
+    """``aligned`` with every factor's place turned into its design column (NULL for the
+    levels before ``first``, which have none), and the number of those columns."""
+    width, cols = 0, {}
+    for c in factors:
+        cols[f"{c}{COLUMN}"] = F.when(F.col(f"{c}{PLACE}") >= first, F.col(f"{c}{PLACE}") + F.lit(width - first)).cast("int")
+        width += len(levels[c]) - first
+    return aligned.withColumns(cols).drop(*[f"{c}{PLACE}" for c in factors]), width
+
+
 def prepare_ridge(split_df: DataFrame, keep: Sequence[str] = ("flight_id", "split")):
-    """(aligned and imputed ridge frame, level lists, train medians). Columns named
-    in ``keep`` that are predictors too stay beside the aligned ones as ``key_*``."""
+    """(aligned and imputed ridge frame with the factors' design columns, level lists,
+    train medians). Columns named in ``keep`` that are predictors too stay beside the
+    aligned ones as ``key_*``."""
     keys = [c for c in keep if c in pp.RIDGE_FACTORS + pp.RIDGE_NUMERICS]
     rows = split_df.withColumns({f"key_{c}": F.col(c) for c in keys}) if keys else split_df
     kept = [f"key_{c}" if c in keys else c for c in keep]
     # levels, medians and the aligned frame all read this: write it once
     rf = written(pp.ridge_features(rows, keep=kept), "ridge-frame")
     train = rf.where(F.col("split") == "train")
-    levels = pp.level_lists(pp.category_levels(train, pp.RIDGE_FACTORS, "other"))
+    table = written(pp.category_levels(train, pp.RIDGE_FACTORS, "other"), "ridge-levels")
+    levels = pp.level_lists(table)
     medians = pp.median_values(pp.train_medians(train, pp.RIDGE_NUMERICS))
-    return pp.impute_medians(pp.align_levels(rf, levels, pp.RIDGE_FACTORS, "other"), medians), levels, medians
+    aligned = pp.align_levels(rf, table, pp.RIDGE_FACTORS, "other", index=PLACE)
+    return design_columns(pp.impute_medians(aligned, medians), levels, pp.RIDGE_FACTORS, 1)[0], levels, medians
 
 
 def ridge_terms(levels: dict[str, list[str]], factors: Sequence[str] = pp.RIDGE_FACTORS,
@@ -75,145 +93,70 @@ def design_entries(aligned: DataFrame, levels: dict[str, list[str]], keep: Seque
     return aligned.select(*keep, F.explode(entries).alias("e")).select(*keep, "e.term", "e.value")
 
 
-class Encoder:
-    """Design rows of Arrow batches: a column index per factor (the design's width
-    for a factor's first level) and the numerics."""
+class Design:
+    """Design rows of Arrow batches: the factors' columns (``width`` where a row has none)
+    and the dense columns after them."""
 
-    def __init__(self, levels: dict[str, list[str]], factors=tuple(pp.RIDGE_FACTORS), numerics=tuple(pp.RIDGE_NUMERICS)):
-        self.factors, self.numerics, at = factors, numerics, 0
-        self.width = sum(len(levels[c]) - 1 for c in factors)
-        self.index: dict[str, dict[str, int]] = {}
-        for c in factors:
-            self.index[c] = {lv: (self.width if k == 0 else at + k - 1) for k, lv in enumerate(levels[c])}
-            at += len(levels[c]) - 1
+    def __init__(self, factors: Sequence[str], numerics: Sequence[str], width: int):
+        self.factors, self.numerics, self.width = list(factors), list(numerics), width
+        self.columns = [*[f"{c}{COLUMN}" for c in factors], *numerics]
 
-    def rows(self, b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        idx = np.empty((len(self.factors), b.num_rows), np.int64)
-        for k, c in enumerate(self.factors):
-            d = b.column(c).dictionary_encode()
-            lookup = np.array([self.index[c][v] for v in d.dictionary.to_pylist()] or [0], np.int64)
-            idx[k] = lookup[d.indices.to_numpy(zero_copy_only=False)]
-        return idx, np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in self.numerics], 1)
+    def predicted(self, b: pa.RecordBatch, intercepts: np.ndarray, coefs: np.ndarray) -> np.ndarray:
+        """(rows, fits) predictions of a batch."""
+        num = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in self.numerics], 1)
+        factor = np.vstack([coefs[:self.width], np.zeros((1, coefs.shape[1]))])
+        out = intercepts[None] + num @ coefs[self.width:]
+        for c in self.factors:
+            out += factor[b.column(f"{c}{COLUMN}").fill_null(self.width).to_numpy(zero_copy_only=False)]
+        return out
 
 
-#: the moments of so many groups of rows are added up; a task reads its rows in batches
-MOMENT_TASKS = 2048
+def ridge_design_of(levels: dict[str, list[str]]) -> Design:
+    return Design(pp.RIDGE_FACTORS, pp.RIDGE_NUMERICS, sum(len(levels[c]) - 1 for c in pp.RIDGE_FACTORS))
 
 
-def design_moments(aligned: DataFrame, levels: dict[str, list[str]]) -> dict[str, np.ndarray]:
-    """Per split the matrix Z'Z of Z = (design, 1, target), in one pass."""
-    enc = Encoder(levels)
-    size = enc.width + len(enc.numerics) + 2
+def design_moments(aligned: DataFrame, design: Design) -> dict[str, Moments]:
+    """The moments of the train and validation rows."""
+    rows = aligned.where(F.col("split").isin("train", "validation"))
+    return split_moments(rows, [f"{c}{COLUMN}" for c in design.factors], design.width, design.numerics, TARGET)
+
+
+#: coefficients (width x fits) that one scoring pass carries to the tasks
+PASS_COEFFICIENTS = 4_000_000
 
-    def work(batches):
-        total: dict[str, np.ndarray] = {}
-        for b in batches:
-            splits = np.array(b.column("split").to_pylist())
-            idx_all, num_all = enc.rows(b)
-            y_all = b.column(TARGET).to_numpy(zero_copy_only=False).astype(float)
-            for s in np.unique(splits):
-                m = total.setdefault(str(s), np.zeros((size + 1, size + 1)))  # the last place takes first levels
-                at = splits == s
-                idx, dense = idx_all[:, at], np.column_stack([num_all[at], np.ones(at.sum()), y_all[at]])
-                place = np.where(idx == enc.width, size, idx)
-                span = np.arange(enc.width, size)
-                m[np.ix_(span, span)] += dense.T @ dense
-                for i in range(len(place)):
-                    for k, col in enumerate(span):
-                        m[:, col] += np.bincount(place[i], dense[:, k], size + 1)
-                    for j in range(len(place)):
-                        m += np.bincount(place[i] * (size + 1) + place[j], minlength=(size + 1) ** 2).reshape(m.shape)
-        for s, m in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([s] * size), pa.array(np.arange(size)), pa.array([r[:size].tobytes() for r in m[:size]])],
-                                             ["split", "i", "row"])
-
-    def added(key, table):
-        rows = np.sum([np.frombuffer(x.as_py(), float) for x in table.column("row")], axis=0)
-        return pa.table({"split": [key[0].as_py()], "i": [key[1].as_py()], "row": [rows.tobytes()]})
-
-    cols = ["split", TARGET, *enc.factors, *enc.numerics]
-    parts = (aligned.where(F.col("split").isin("train", "validation") & F.col(TARGET).isNotNull()).select(*cols)
-             .coalesce(MOMENT_TASKS).mapInArrow(work, "split string, i long, row binary"))
-    out: dict[str, np.ndarray] = {}
-    for r in parts.groupBy("split", "i").applyInArrow(added, "split string, i long, row binary").collect():
-        out.setdefault(r["split"], np.zeros((size, size)))[r["i"]] = np.frombuffer(r["row"], float)
-    for m in out.values():  # factor x numeric was added to one triangle only
-        w = enc.width
-        m[w:, :w] = m[:w, w:].T
-    return out
-
-
-class RidgePath:
-    """Ridge fits of one design for any penalty, from its second moments.
-    Columns are scaled to unit variance and the target likewise, a penalty is in
-    the target's units, as in the published path."""
-
-    def __init__(self, moments: np.ndarray):
-        n = moments[-2, -2]
-        mean = moments[-2] / n
-        cov = moments / n - np.outer(mean, mean)
-        sd = np.sqrt(np.clip(np.diag(cov), 0, None))
-        self.n, self.mean, self.y_sd = n, mean, float(sd[-1]) or 1.0
-        x = np.arange(len(mean) - 2)
-        self.live = x[sd[:-2] > 1e-9 * np.maximum(1, np.abs(mean[:-2]))]
-        self.sd, self.p = sd[self.live], len(x)
-        corr = cov[np.ix_(self.live, self.live)] / np.outer(self.sd, self.sd)
-        self.r = cov[self.live, -1] / self.sd / self.y_sd
-        self.values, self.vectors = np.linalg.eigh(corr) if len(self.live) else (np.zeros(0), np.zeros((0, 0)))
-
-    def lambdas(self, n: int = 100, floor: float = 1e-3) -> list[float]:
-        """Log-spaced penalties from the computed largest one (at which a mixture
-        with ``floor`` of the absolute penalty would keep no column) down to
-        1e-4 of it (1e-2 with more columns than rows)."""
-        top = (float(np.abs(self.r).max()) if len(self.r) else 1.0) / floor * self.y_sd or 1.0
-        return np.geomspace(top, top * (1e-4 if self.n > self.p else 1e-2), n).tolist()
-
-    def fit(self, lam: float) -> tuple[float, np.ndarray]:
-        """(intercept, coefficient of every design column)."""
-        scaled = self.vectors @ ((self.vectors.T @ self.r) / (np.clip(self.values, 0, None) + lam / self.y_sd))
-        coef = np.zeros(self.p)
-        coef[self.live] = scaled * self.y_sd / self.sd
-        return float(self.mean[-1] - coef @ self.mean[:-2]), coef
-
-
-def _predicted(enc: Encoder, b: pa.RecordBatch, intercepts: np.ndarray, coefs: np.ndarray) -> np.ndarray:
-    """(rows, fits) predictions of a batch."""
-    idx, num = enc.rows(b)
-    factor = np.vstack([coefs[:enc.width], np.zeros((1, coefs.shape[1]))])
-    out = intercepts[None] + num @ coefs[enc.width:]
-    for i in idx:
-        out += factor[i]
-    return out
-
-
-def mae_by_penalty(rows: DataFrame, levels, fits: list[tuple[float, np.ndarray]]) -> list[float]:
-    """Mean absolute error of every fit over ``rows``, in one pass."""
-    enc, b0, coefs = Encoder(levels), np.array([f[0] for f in fits]), np.stack([f[1] for f in fits], 1)
+
+def mae_by_penalty(rows: DataFrame, design: Design, fits: list[tuple[float, np.ndarray]]) -> list[float]:
+    """Mean absolute error of every fit over ``rows``, in one pass (more only for designs so
+    wide that all fits together would not fit a task)."""
+    at_once = max(1, PASS_COEFFICIENTS // max(1, len(fits[0][1])))
+    if len(fits) > at_once:
+        return [m for k in range(0, len(fits), at_once) for m in mae_by_penalty(rows, design, fits[k:k + at_once])]
+    b0, coefs = np.array([f[0] for f in fits]), np.stack([f[1] for f in fits], 1)
 
     def work(batches):
         total, n = np.zeros(len(b0)), 0
         for b in batches:
             y = b.column(TARGET).to_numpy(zero_copy_only=False).astype(float)
-            total += np.abs(_predicted(enc, b, b0, coefs) - y[:, None]).sum(0)
+            total += np.abs(design.predicted(b, b0, coefs) - y[:, None]).sum(0)
             n += len(y)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(b0))), pa.array(total), pa.array(np.full(len(b0), n))], ["k", "s", "n"])
 
-    cols = [TARGET, *enc.factors, *enc.numerics]
-    got = (rows.where(F.col(TARGET).isNotNull()).select(*cols).mapInArrow(work, "k long, s double, n long")
+    got = (rows.where(F.col(TARGET).isNotNull()).select(TARGET, *design.columns).mapInArrow(work, "k long, s double, n long")
            .groupBy("k").agg((F.sum("s") / F.sum("n")).alias("mae")).collect())
     out = {r.k: r.mae for r in got}
     return [out[k] if out.get(k) is not None else float("inf") for k in range(len(fits))]
 
 
-def ridge_predict(aligned: DataFrame, levels, fit: tuple[float, np.ndarray], out_col: str = PRED_RIDGE) -> DataFrame:
-    enc, b0, coef = Encoder(levels), np.array([fit[0]]), fit[1][:, None]
+def linear_predict(rows: DataFrame, design: Design, fit: tuple[float, np.ndarray], out_col: str = PRED_RIDGE) -> DataFrame:
+    """``rows`` without their design columns and with the prediction."""
+    b0, coef = np.array([fit[0]]), fit[1][:, None]
+    kept = [c for c in rows.columns if not c.endswith(COLUMN)]
 
     def work(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_predicted(enc, b, b0, coef)[:, 0])], [*b.schema.names, out_col])
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], pa.array(design.predicted(b, b0, coef)[:, 0])], [*kept, out_col])
 
-    from pyspark.sql import types as T
-    return aligned.mapInArrow(work, T.StructType([*aligned.schema.fields, T.StructField(out_col, T.DoubleType())]))
+    return rows.mapInArrow(work, T.StructType([*rows.select(*kept).schema.fields, T.StructField(out_col, T.DoubleType())]))
 
 
 @dataclass
@@ -232,16 +175,18 @@ def ridge_path(split_df: DataFrame, keep: Sequence[str] = ("flight_id", "split")
     """Penalty with the smallest validation MAE of a path fitted on train (the larger
     one on a tie), refit on train + validation for the test rows."""
     aligned, levels, medians = prepare_ridge(split_df, keep)
-    moments = design_moments(aligned, levels)
+    aligned, design = written(aligned, "ridge-design"), ridge_design_of(levels)
+    moments = design_moments(aligned, design)
     path = RidgePath(moments["train"])
     lambdas = path.lambdas(n_lambdas)
-    fits = [path.fit(lam) for lam in lambdas]
+    fits = path.fits(lambdas)
     valid = aligned.where(F.col("split") == "validation")
-    maes = mae_by_penalty(valid, levels, fits)
+    maes = mae_by_penalty(valid, design, fits)
     best = int(np.argmin(maes))
-    final = RidgePath(moments["train"] + moments.get("validation", 0)).fit(lambdas[best])
-    valid_pred = ridge_predict(valid, levels, fits[best])
-    test_pred = ridge_predict(aligned.where(F.col("split") == "test"), levels, final)
+    both = moments["train"] + moments["validation"] if "validation" in moments else moments["train"]
+    final = RidgePath(both).fit(lambdas[best])
+    valid_pred = linear_predict(valid, design, fits[best])
+    test_pred = linear_predict(aligned.where(F.col("split") == "test"), design, final)
     metrics = error_metrics(valid_pred.unionByName(test_pred).withColumn("model", F.lit(model_name)),
                             TARGET, PRED_RIDGE)
     model = {"best_lambda": lambdas[best], "intercept": final[0], "terms": dict(zip(ridge_terms(levels), final[1].tolist())),
@@ -284,58 +229,81 @@ EN_NOMINAL = ["carrier", "origin", "dest"]
 EN_NUMERIC = ["dow", "temp", "prcp", "wspd", "rhum", "coco"]
 
 
-def elastic_net_fit(train: DataFrame, test: DataFrame, penalty: float = 0.01,
-                    mixture: float = 0.5) -> tuple[DataFrame, PipelineModel, dict]:
-    """(one row with the test MAE and RMSE, the model, its metadata). Recipe: unseen level -> ``new``, NULL -> ``unknown``, one indicator per
-    level, natural spline (df 5) on hour, train-median imputation, constant
-    columns dropped; elastic net fit."""
-    spark = train.sparkSession
-    keep = EN_NOMINAL + EN_NUMERIC + ["dep_hour_local", TARGET]
-    tr = train.select(*keep).withColumn("split", F.lit("train"))
-    te = test.select(*keep).withColumn("split", F.lit("test"))
-    both = tr.unionByName(te).withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("unknown")) for c in EN_NOMINAL})
+def recipe_levels_joined(rows: DataFrame, levels: DataFrame, names: dict[str, list[str]], hours: DataFrame,
+                         medians: dict[str, float] | None) -> tuple[DataFrame, Design]:
+    """The recipe's steps that learn nothing, on ``rows``: design column per nominal level
+    (a level that train lacks gets the column of ``other``, which no train row has), hour
+    basis joined, numerics imputed where medians are given."""
+    spline = [c for c in hours.columns if c != "dep_hour_local"]
+    numerics = EN_NUMERIC + spline
+    out = rows.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("unknown")) for c in EN_NOMINAL})
+    out = pp.align_levels(out, levels, EN_NOMINAL, "other", index=PLACE)
+    out, width = design_columns(out, names, EN_NOMINAL, 0)
+    out = out.join(broadcast_if_bounded(hours, 10_000), "dep_hour_local", "left")
+    out = out.withColumns({c: F.col(c).cast("double") for c in numerics})
+    return (pp.impute_medians(out, medians) if medians else out), Design(EN_NOMINAL, numerics, width)
+
+
+def recipe_frame(train: DataFrame, test: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, Design, dict]:
+    """(rows of both parts with the recipe's columns, their design, what was learned).
+    Recipe: unseen level -> ``other``, NULL -> ``unknown``, one indicator per level, natural
+    spline (df 5) on the hour, train-median imputation."""
+    cols = [*keep, *EN_NOMINAL, *EN_NUMERIC, "dep_hour_local", TARGET]
+    both = train.select(*cols).withColumn("split", F.lit("train")).unionByName(test.select(*cols).withColumn("split", F.lit("test")))
     both = written(both, "recipe-rows")
-    tr_rows = both.where(F.col("split") == "train")
-    levels = pp.level_lists(pp.category_levels(tr_rows, EN_NOMINAL, "other"))
-    table = hour_spline_table(spark, tr_rows)
-    spline_cols = [c for c in table.columns if c != "dep_hour_local"]
-    both = both.join(broadcast_if_bounded(table, 10_000), "dep_hour_local", "left")
-    numerics = EN_NUMERIC + spline_cols
-    both = both.select(*[F.col(c).cast("double").alias(c) if c in numerics else F.col(c)
-                         for c in both.columns])
-    medians = pp.median_values(pp.train_medians(both.where(F.col("split") == "train"), numerics))
-    both = pp.impute_medians(both, medians)
-    idx = [StringIndexerModel.from_labels([lv for lv in levels[c] if lv != pp.OTHER], inputCol=c,
-                                          outputCol=f"{c}__i", handleInvalid="keep")
-           for c in EN_NOMINAL]
-    ohe = OneHotEncoder(inputCols=[f"{c}__i" for c in EN_NOMINAL],
-                        outputCols=[f"{c}__v" for c in EN_NOMINAL], dropLast=False,
-                        handleInvalid="keep")
-    asm = VectorAssembler(inputCols=[f"{c}__v" for c in EN_NOMINAL] + numerics, outputCol="raw")
-    zv = VarianceThresholdSelector(featuresCol="raw", outputCol="features", varianceThreshold=0.0)
-    lr = LinearRegression(featuresCol="features", labelCol=TARGET, regParam=penalty,
-                          elasticNetParam=mixture, standardization=True)
-    both = written(both, "recipe-design")
-    # rows without a target cannot be fit; they still shape levels and medians
-    model: PipelineModel = Pipeline(stages=[*idx, ohe, asm, zv, lr]).fit(
-        both.where((F.col("split") == "train") & F.col(TARGET).isNotNull()))
-    pred = model.transform(both.where(F.col("split") == "test"))
+    is_train = F.col("split") == "train"
+    named = both.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("unknown")) for c in EN_NOMINAL})
+    table = written(pp.category_levels(named.where(is_train), EN_NOMINAL, "other"), "recipe-levels")
+    levels = pp.level_lists(table)
+    hours = hour_spline_table(both.sparkSession, both.where(is_train))
+    joined, design = recipe_levels_joined(both, table, levels, hours, None)
+    joined = written(joined, "recipe-joined")
+    medians = pp.median_values(pp.train_medians(joined.where(is_train), design.numerics))
+    learned = {"levels": levels, "medians": medians, "hour_basis": [r.asDict() for r in hours.collect()]}
+    return written(pp.impute_medians(joined, medians), "recipe-design"), design, learned
+
+
+def elastic_net_fit(train: DataFrame, test: DataFrame, penalty: float = 0.01,
+                    mixture: float = 0.5) -> tuple[DataFrame, dict]:
+    """(one row with the test MAE and RMSE, the model as a dict): the recipe's columns, those
+    that are constant in train left out, fitted by ``moments.elastic_net`` from one pass over
+    the train rows. Rows without a target cannot be fitted; they still shape levels and medians."""
+    both, design, learned = recipe_frame(train, test)
+    fitted = both.where(F.col("split") == "train")
+    moments = split_moments(fitted, [f"{c}{COLUMN}" for c in EN_NOMINAL], design.width, design.numerics, TARGET)["train"]
+    intercept, coef = elastic_net(moments, penalty, mixture)
+    pred = linear_predict(both.where(F.col("split") == "test"), design, (intercept, coef), "prediction")
     err = F.col("prediction") - F.col(TARGET)
     scores = pred.agg(F.round(F.avg(F.abs(err)), 6).alias(EN_MAE),
                       F.round(F.sqrt(F.avg(err * err)), 6).alias(EN_RMSE))
-    meta = {"levels": levels, "medians": medians, "penalty": penalty, "mixture": mixture,
-            "hour_basis": [r.asDict() for r in table.collect()]}
-    return scores, model, meta
-
-
-def train_baseline(train: DataFrame, test: DataFrame) -> tuple[DataFrame, PipelineModel, dict]:
-    """(one row: 30-day rolling baseline MAE, elastic-net MAE and RMSE; the model;
-    its metadata)."""
+    terms = [f"{c}={lv}" for c in EN_NOMINAL for lv in learned["levels"][c]] + design.numerics
+    return scores, {**learned, "penalty": penalty, "mixture": mixture, "intercept": intercept, "terms": dict(zip(terms, coef.tolist()))}
+
+
+def elastic_net_predict(rows: DataFrame, model: dict, out_col: str = "prediction") -> DataFrame:
+    """``rows`` with the prediction of a stored elastic-net model."""
+    spark = rows.sparkSession
+    table = spark.createDataFrame([(c, lv, i) for c in EN_NOMINAL for i, lv in enumerate(model["levels"][c])],
+                                  "feature string, level string, idx long")
+    names = list(model["hour_basis"][0])
+    hours = spark.createDataFrame([tuple(r[n] for n in names) for r in model["hour_basis"]],
+                                  ", ".join(f"{n} {'long' if n == 'dep_hour_local' else 'double'}" for n in names))
+    # the row's own values stand beside the recipe's
+    own = [c for c in rows.columns if c in EN_NOMINAL + EN_NUMERIC]
+    kept = rows.withColumns({f"_own_{c}": F.col(c) for c in own})
+    joined, design = recipe_levels_joined(kept, table, model["levels"], hours, model["medians"])
+    terms = [f"{c}={lv}" for c in EN_NOMINAL for lv in model["levels"][c]] + design.numerics
+    out = linear_predict(joined, design, (model["intercept"], np.array([model["terms"][t] for t in terms])), out_col)
+    return out.select(*[(F.col(f"_own_{c}") if c in own else F.col(c)).alias(c) for c in rows.columns], out_col)
+
+
+def train_baseline(train: DataFrame, test: DataFrame) -> tuple[DataFrame, dict]:
+    """(one row: 30-day rolling baseline MAE, elastic-net MAE and RMSE; the model)."""
     from tarmac.operators.baselines import rolling_30d_backfilled
     base = mean_absolute_error(rolling_30d_backfilled(train, test), TARGET, "yhat_baseline")
-    scores, model, meta = elastic_net_fit(train, test)
+    scores, model = elastic_net_fit(train, test)
     b = base.first()["mae"]
-    return scores.select(F.lit(b).cast("double").alias(BASELINE_30D_MAE), EN_MAE, EN_RMSE), model, meta
+    return scores.select(F.lit(b).cast("double").alias(BASELINE_30D_MAE), EN_MAE, EN_RMSE), model
 
 
 # ---------------------------------------------------------------- boosted trees
@@ -384,9 +352,10 @@ def prepare_tree(split_df: DataFrame):
     medians and the design stages."""
     tf = written(pp.tree_features(split_df), "tree-frame")
     train0 = tf.where(F.col("split") == "train")
-    levels = pp.level_lists(pp.category_levels(train0, pp.TREE_FACTORS, "missing"))
+    table = written(pp.category_levels(train0, pp.TREE_FACTORS, "missing"), "tree-levels")
+    levels = pp.level_lists(table)
     medians = pp.median_values(pp.train_medians(train0, pp.TREE_NUMERICS))
-    aligned = pp.impute_medians(pp.align_levels(tf, levels, pp.TREE_FACTORS, "missing"), medians)
+    aligned = pp.impute_medians(pp.align_levels(tf, table, pp.TREE_FACTORS, "missing"), medians)
     idx = [StringIndexerModel.from_labels(levels[c], inputCol=c, outputCol=f"{c}__i")
            for c in pp.TREE_FACTORS]
     asm = VectorAssembler(inputCols=[f"{c}__i" for c in pp.TREE_FACTORS] + pp.TREE_NUMERICS,

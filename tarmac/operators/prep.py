@@ -1,19 +1,20 @@
 """Leakage-aware feature preparation.
 
 Levels and medians are learned on the train rows only and applied to every
-split. Level lists are checked against ``MAX_LEVELS``: they become columns of a
-design and sets in a plan.
+split. Levels are a table (feature, level, idx) that is joined to the rows, broadcast
+behind a size check and shuffled beyond it, so a factor may have any number of levels.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.functions.flags import coco_text, precip_flag, precip_indicator, wind_cos, wind_sin
 from tarmac.operators.quantiles import exact_quantiles
+from tarmac.operators.sizing import DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS, size_at_most
 
 # The predictor sets of the two model families.
 RIDGE_FACTORS = ["carrier", "origin", "dest", "dep_hour_local", "dow", "month", "coco"]
@@ -54,12 +55,8 @@ def _long(df: DataFrame, cols: Sequence[str], value_type: str = "string") -> Dat
         for c in cols])).alias("kv")).select("kv.feature", "kv.value")
 
 
-#: levels of all factors together; they become columns of a design and literals of a plan
-MAX_LEVELS = 5_000
-
-
 def category_levels(train: DataFrame, cols: Sequence[str], variant: str = "other") -> DataFrame:
-    """(feature, level, idx): the model's level list per factor, from one
+    """(feature, level, idx): the model's levels per factor, from one
     aggregation of the train rows.
 
     ``variant="other"``: sorted distinct non-NULL train values, then ``other`` last.
@@ -69,43 +66,43 @@ def category_levels(train: DataFrame, cols: Sequence[str], variant: str = "other
     value = F.col("value")
     if variant == "missing":
         value = F.when(value.isNull() | (value == ""), F.lit(MISSING)).otherwise(value)
-    seen = _long(train, cols).groupBy("feature").agg(F.sort_array(F.collect_set(value)).alias("lv"))
-    names = train.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
-    lv = F.coalesce("lv", F.array().cast("array<string>"))
-    levels = (F.concat(lv, F.array(F.lit(OTHER))) if variant == "other" else
-              F.array_sort(F.array_distinct(F.concat(lv, F.array(F.lit(MISSING), F.lit(OTHER))))))
-    out = names.join(seen, "feature", "left").select("feature", F.posexplode(levels).alias("idx", "level"))
-    return out.select("feature", "level", F.col("idx").cast("long").alias("idx"))
-
-
-def level_lists(levels: DataFrame, max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
-    """Level lists per factor; more than ``max_levels`` in all is an error (group
-    rare values first), never a silent cut."""
-    rows = levels.limit(max_levels + 1).collect()
-    if len(rows) > max_levels:
-        raise ValueError(f"more than {max_levels} factor levels")
+    seen = _long(train, cols).select("feature", value.alias("level")).where("level is not null").distinct()
+    added = (OTHER,) if variant == "other" else (MISSING, OTHER)
+    extra = train.sparkSession.createDataFrame([(c, lv) for c in cols for lv in added], "feature string, level string")
+    last = F.lit(variant == "other") & (F.col("level") == OTHER)
+    order = Window.partitionBy("feature").orderBy(last, "level")
+    return (seen.unionByName(extra).distinct()
+            .select("feature", "level", (F.row_number().over(order) - 1).cast("long").alias("idx")))
+
+
+def level_lists(levels: DataFrame) -> dict[str, list[str]]:
+    """Levels per factor in order: the names of a design's columns, as many as it is wide."""
     out: dict[str, list[tuple[int, str]]] = {}
-    for r in rows:
+    for r in levels.collect():
         out.setdefault(r["feature"], []).append((r["idx"], r["level"]))
     return {k: [lv for _, lv in sorted(v)] for k, v in out.items()}
 
 
-def align_levels(df: DataFrame, levels: DataFrame | dict[str, list[str]], cols: Sequence[str],
-                 variant: str = "other") -> DataFrame:
+def align_levels(df: DataFrame, levels: DataFrame, cols: Sequence[str], variant: str = "other",
+                 index: str | None = None) -> DataFrame:
     """Replace each factor value by itself when it is a model level, else by
     ``other``; NULL -> ``other`` (variant ``other``) or NULL/empty ->
-    ``missing`` (variant ``missing``). The checked level lists are hash-set
-    membership tests; no join."""
-    lists = levels if isinstance(levels, dict) else level_lists(levels)
-
-    def aligned(c: str) -> F.Column:
+    ``missing`` (variant ``missing``). With ``index`` a column ``<factor><index>``
+    holds the level's place. The level table is joined, factor by factor."""
+    small = size_at_most(levels, DEFAULT_MAX_BROADCAST_ROWS, DEFAULT_MAX_BROADCAST_BYTES)
+    others = {r["feature"]: r["idx"] for r in levels.where(F.col("level") == OTHER).collect()} if index else {}
+    out = df
+    for c in cols:
         val = F.col(c).cast("string")
         if variant == "missing":
             val = F.when(val.isNull() | (val == ""), F.lit(MISSING)).otherwise(val)
-        known = val.isin(lists[c]) if lists.get(c) else F.lit(False)
-        return F.when(known, val).otherwise(F.lit(OTHER))
-
-    return df.withColumns({c: aligned(c) for c in cols})
+        of = levels.where(F.col("feature") == c).select(F.col("level").alias("_level"), F.col("idx").alias("_idx"))
+        out = out.withColumn("_value", val).join(F.broadcast(of) if small else of, F.col("_value") == F.col("_level"), "left")
+        new = {c: F.coalesce("_level", F.lit(OTHER))}
+        if index:
+            new[f"{c}{index}"] = F.coalesce("_idx", F.lit(others[c])).cast("int")
+        out = out.withColumns(new).drop("_value", "_level", "_idx")
+    return out
 
 
 def train_medians(train: DataFrame, cols: Sequence[str]) -> DataFrame:

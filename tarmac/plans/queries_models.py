@@ -12,7 +12,10 @@ from tarmac.plans import queries_prep  # noqa: F401  (registers the SQL steps us
 from tarmac.plans.oracle import compose, cte
 from tarmac.operators import evaluate as ev
 from tarmac.operators import models as mdl
+from tarmac.operators import moments as mo
 from tarmac.operators import prep as pp
+from tarmac.operators.quantiles import exact_quantiles
+from tarmac.operators.sizing import broadcast_if_bounded
 from tarmac.plans.queries_baselines import _m1_parts, _ravg90, _split
 from tarmac.session import scratch_path, written
 from tarmac.sources import sinks
@@ -119,6 +122,60 @@ def _ridge_design(c: Ctx) -> DataFrame:
     return mdl.design_entries(aligned, levels, ["flight_id", "split"]).withColumn("value", r6(F.col("value")))
 
 
+# the moments by definition: every pair of nonzero entries of a row, averaged over the split's rows
+cte("design_long", " union all ".join(
+    [f"select flight_id, split, concat('{c}=', {c}) as term, cast(1 as double) as value from ra "
+     f"where {c} <> (select level from lv_other where feature = '{c}' and idx = 0)" for c in pp.RIDGE_FACTORS]
+    + [f"select flight_id, split, '{c}' as term, {c} as value from ra" for c in pp.RIDGE_NUMERICS]
+    + ["select flight_id, split, '1' as term, 1 as value from ra",
+       "select flight_id, split, 'dep_delay_min' as term, dep_delay_min as value from rf"]), ("ra", "rf", "lv_other"))
+
+
+@query("ridge_moments", compose("""
+select * from (
+  select p.split, p.term as term, q.term as with_term,
+    round(sum(p.value * q.value) / (select count(*) from ra where ra.split = p.split), 3) as mean_product
+  from design_long p join design_long q on p.flight_id = q.flight_id and p.split = q.split and p.term <= q.term
+  where p.split in ('train', 'validation') group by p.split, p.term, q.term) m
+where mean_product <> 0""", "design_long"))
+def _ridge_moments(c: Ctx) -> DataFrame:
+    """Second moments of the ridge design (levels, numerics, constant, target) per split."""
+    aligned, levels, _ = mdl.prepare_ridge(_split(c))
+    design = mdl.ridge_design_of(levels)
+    rows = aligned.where(F.col("split").isin("train", "validation"))
+    table = written(mo.moment_entries(rows, [f"{f}{mdl.COLUMN}" for f in design.factors], design.width, design.numerics, mdl.TARGET), "moments")
+    names = [*mdl.ridge_terms(levels), "1", mdl.TARGET]
+    one = len(names) - 2
+    n = table.where((F.col("i") == one) & (F.col("j") == one)).select("split", F.col("value").alias("n"))
+    terms = broadcast_if_bounded(c.spark.createDataFrame(list(enumerate(names)), "k int, name string"))
+    out = (table.join(F.broadcast(n), "split")  # one row per split
+           .join(terms.select(F.col("k").alias("i"), F.col("name").alias("a")), "i")
+           .join(terms.select(F.col("k").alias("j"), F.col("name").alias("b")), "j"))
+    return out.select("split", F.least("a", "b").alias("term"), F.greatest("a", "b").alias("with_term"),
+                      (F.round(F.col("value") / F.col("n"), 3) + F.lit(0.0)).alias("mean_product")).where("mean_product <> 0")
+
+
+cte("recipe", """
+select flight_id, split, dep_delay_min, dep_hour_local, dow, temp, prcp, wspd, rhum, coco, """ + ", ".join(
+    f"coalesce({c}, 'unknown') as {c}" for c in mdl.EN_NOMINAL) + " from known_rows", ("known_rows",))
+_recipe_cols = ", ".join(
+    [f"case when {c} in (select {c} from recipe where split = 'train') then {c} else 'other' end as {c}" for c in mdl.EN_NOMINAL]
+    + [f"cast(coalesce({c}, (select quantile_cont({c}, 0.5) from recipe where split = 'train')) as double) as {c}" for c in mdl.EN_NUMERIC])
+_knots = ", ".join(f"(select quantile_cont(dep_hour_local, {k / 5}) from recipe where split = 'train') as knot_{k}" for k in range(1, 5))
+
+
+@query("recipe_columns", compose(f"select flight_id, split, dep_hour_local, {_recipe_cols}, {_knots} from recipe", "recipe"))
+def _recipe(c: Ctx) -> DataFrame:
+    """The elastic net's recipe per row: levels (unseen ones ``other``, NULL ``unknown``), imputed
+    numerics, and the interior knots of the hour's spline."""
+    train, test = _m1_parts(c)
+    both, design, _ = mdl.recipe_frame(train, test, keep=["flight_id"])
+    knots = exact_quantiles(both.where(F.col("split") == "train").withColumn("_g", F.lit(1)), ["_g"], "dep_hour_local",
+                            [k / 5 for k in range(1, 5)], [f"knot_{k}" for k in range(1, 5)]).drop("_g")
+    return both.select("flight_id", "split", "dep_hour_local", *mdl.EN_NOMINAL, *mdl.EN_NUMERIC,
+                       *[knots.select(f"knot_{k}").scalar().alias(f"knot_{k}") for k in range(1, 5)])
+
+
 _med_sql("tmed", "tf", pp.TREE_NUMERICS)
 _aligned_sql("ta", "tf", "lv_missing", "tmed", pp.TREE_FACTORS, pp.TREE_NUMERICS, True)
 _tree_cols = ", ".join(

@@ -6,6 +6,7 @@ import json
 from pyspark.sql import functions as F
 
 from tarmac import jobs
+from tarmac.operators import models as mdl
 
 HDR = ('"Year","Month","DayofMonth","FlightDate","IATA_CODE_Reporting_Airline",'
        '"Flight_Number_Reporting_Airline","Origin","Dest","CRSDepTime","DepDelay","Cancelled"')
@@ -127,8 +128,13 @@ def test_train_baseline_on_partitioned_features(spark, tmp_path):
     got = jobs.train_baseline(spark, root, train_months, (2001, 1), out)
     m = got["metrics"]
     assert all(math.isfinite(m[c]) for c in ("baseline30d_mae", "glmnet_mae", "glmnet_rmse")) and m["glmnet_rmse"] >= m["glmnet_mae"]
-    model, meta = sinks.load_model(spark, got["files"]["model"])
-    assert len(model.stages) > 3 and meta["penalty"] == 0.01 and "unknown" not in meta["medians"]
+    model = sinks.load_metadata(spark, got["files"]["model"])
+    assert model["penalty"] == 0.01 and "unknown" not in model["medians"] and len(model["terms"]) > 50
+    # the stored model gives the reported error again, on the month's own rows
+    test = spark.read.parquet(root).where("year = 2001 and month = 1")
+    again = mdl.elastic_net_predict(test, model)
+    assert again.columns == [*test.columns, "prediction"] and again.select(*test.columns).exceptAll(test).isEmpty()
+    assert math.isclose(again.agg(F.avg(F.abs(F.col("prediction") - F.col("dep_delay_min")))).first()[0], m["glmnet_mae"], abs_tol=1e-5)
     for months, test, what in (([*train_months, (2035, 1)], (2001, 1), "2035/month=1|year=2035"), (train_months, (2030, 1), "test features")):
         with pytest.raises(ValueError, match=what):
             jobs.train_baseline(spark, root, months, test)

@@ -35,22 +35,22 @@ def test_ridge_path_invariants(spark):
     assert res.test_pred.where(F.col("pred_glmnet").isNull()).count() == 0
 
 
-def test_moments_and_path_match_numpy(spark):
-    """One-pass moments equal those of the dense design; fits solve the ridge equations."""
+def test_ridge_path_matches_numpy(spark):
+    """Moments equal those of the dense design; fits solve the ridge equations."""
     import numpy as np
     sp = R._split(R.Ctx(spark, SF001))
     aligned, levels, _ = mdl.prepare_ridge(sp)
     aligned = aligned.persist()
-    names = mdl.ridge_terms(levels)
-    moments = mdl.design_moments(aligned, levels)["train"]
-    train = aligned.where(F.col("split") == "train").select("flight_id", "split", "dep_delay_min", *mdl.pp.RIDGE_FACTORS, *mdl.pp.RIDGE_NUMERICS)
+    names, design = mdl.ridge_terms(levels), mdl.ridge_design_of(levels)
+    moments = mdl.design_moments(aligned, design)["train"]
+    train = aligned.where(F.col("split") == "train").select("flight_id", "split", "dep_delay_min", *mdl.pp.RIDGE_FACTORS, *design.columns)
     at = {r.flight_id: i for i, r in enumerate(train.select("flight_id").collect())}
     y = np.array([r[0] for r in train.select("dep_delay_min").collect()])
     x = np.zeros((len(at), len(names)))
     for r in mdl.design_entries(train, levels, ["flight_id"]).collect():
         x[at[r.flight_id], names.index(r.term)] = r.value
     z = np.column_stack([x, np.ones(len(y)), y])
-    assert np.allclose(moments, z.T @ z)
+    assert np.allclose(moments.dense(np.arange(z.shape[1])), z.T @ z)
     path = mdl.RidgePath(moments)
     for lam in path.lambdas(3):
         b0, b = path.fit(lam)
@@ -60,7 +60,7 @@ def test_moments_and_path_match_numpy(spark):
         want = np.linalg.solve(xs.T @ xs / len(y) + np.eye(live.sum()) * lam / y.std(), xs.T @ ys / len(y)) * y.std() / sd[live]
         assert np.allclose(b[live], want, atol=1e-8) and (b[~live] == 0).all()
         assert math.isclose(b0, y.mean() - x.mean(0) @ b, abs_tol=1e-6)
-    pred = {r.flight_id: r.pred_glmnet for r in mdl.ridge_predict(train, levels, (b0, b)).collect()}
+    pred = {r.flight_id: r.pred_glmnet for r in mdl.linear_predict(train, design, (b0, b)).collect()}
     assert all(math.isclose(pred[k], b0 + x[i] @ b, abs_tol=1e-6) for k, i in at.items())
 
 
@@ -82,11 +82,3 @@ def test_first_trees_equal_refit(spark):
         a = {r.flight_id: r.prediction for r in mdl.first_trees(full, few).transform(x).collect()}
         b = {r.flight_id: r.prediction for r in short.transform(x).collect()}
         assert a.keys() == b.keys() and all(abs(a[i] - b[i]) < 1e-9 for i in a)
-
-
-def test_too_many_levels_raise(spark):
-    import pytest
-    lv = mdl.pp.category_levels(spark.createDataFrame([(str(i),) for i in range(30)], "c string"), ["c"])
-    assert len(mdl.pp.level_lists(lv)["c"]) == 31
-    with pytest.raises(ValueError, match="levels"):
-        mdl.pp.level_lists(lv, 20)
