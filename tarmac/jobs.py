@@ -27,7 +27,7 @@ from tarmac.operators import filters as flt
 from tarmac.operators import models as mdl
 from tarmac.operators import stations as st
 from tarmac.operators.sizing import broadcast_if_bounded, row_count_at_most
-from tarmac.session import configure, written
+from tarmac.session import configure, drop_path, written
 from tarmac.sources import airports as ap
 from tarmac.sources import flights as fs
 from tarmac.sources import months as mo
@@ -201,12 +201,14 @@ def train_trees(spark: SparkSession, features_root: str, out_dir: str, study=STU
     appended), ``tree_model`` with its metadata and ``tree_predictions``; returns the
     comparison."""
     configure(spark)
-    res = mdl.gbt_run(_study_rows(spark, features_root, study, splits), max_rounds=max_rounds)
+    # a run that was stopped goes on after its last finished block of rounds
+    res = mdl.gbt_run(_study_rows(spark, features_root, study, splits), max_rounds=max_rounds, folder=f"{out_dir}/tree_progress")
     metrics = written(res.metrics, "metrics")
     sinks.write_small_csv(metrics, f"{out_dir}/metrics_trees")
     both = sinks.append_metrics(spark, metrics, baseline_metrics or f"{out_dir}/{BASELINE_METRICS}")
     sinks.write_small_csv(both, f"{out_dir}/metrics_with_baselines")
     sinks.save_model(spark, res.model, f"{out_dir}/tree_model", res.metadata)
+    drop_path(spark, f"{out_dir}/tree_progress")
     if save_predictions:
         sinks.write_predictions(mdl.tree_predictions(res), f"{out_dir}/tree_predictions")
     return sinks.read_small_csv(spark, f"{out_dir}/metrics_with_baselines", sinks.METRICS_SCHEMA)

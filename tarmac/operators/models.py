@@ -16,13 +16,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.functions.splines import natural_spline_basis
 from tarmac.operators import prep as pp
+from tarmac.operators.boosting import BLOCK, boost
 from tarmac.operators.evaluate import error_metrics, mean_absolute_error
 from tarmac.operators.moments import Moments, RidgePath, elastic_net, split_moments
 from tarmac.operators.quantiles import exact_quantiles
@@ -307,34 +307,6 @@ def train_baseline(train: DataFrame, test: DataFrame) -> tuple[DataFrame, dict]:
 
 
 # ---------------------------------------------------------------- boosted trees
-def best_round(curve: Sequence[float], patience: int = 40) -> int:
-    """Trees to keep: the best validation score, stopping once ``patience``
-    rounds pass without a strict improvement."""
-    best_i, best = 0, float("inf")
-    for i, v in enumerate(curve):
-        if v < best:
-            best_i, best = i, v
-        elif i - best_i >= patience:
-            break
-    return best_i + 1
-
-
-def first_trees(model: GBTRegressionModel, k: int) -> GBTRegressionModel:
-    """The fitted model cut to its first ``k`` trees. With a fixed seed a k-round
-    fit grows the same k trees, so this equals its model without refitting."""
-    from pyspark.sql import SparkSession
-    sc = SparkSession.active().sparkContext
-    java, gateway = model._java_obj, sc._gateway
-    trees = gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, k)
-    weights = gateway.new_array(sc._jvm.double, k)
-    grown, w = java.trees(), java.treeWeights()
-    for i in range(k):
-        trees[i], weights[i] = grown[i], w[i]
-    cut = GBTRegressionModel(sc._jvm.org.apache.spark.ml.regression.GBTRegressionModel(
-        f"{model.uid}_{k}", trees, weights, java.numFeatures()))
-    return cut.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
-
-
 @dataclass
 class TreeResult:
     best_iteration: int
@@ -365,41 +337,23 @@ def prepare_tree(split_df: DataFrame):
 
 
 def gbt_run(split_df: DataFrame, max_rounds: int = 1000, patience: int = 40, seed: int = 42,
-            model_name: str = MODEL_TREE, first_rounds: int | None = None) -> TreeResult:
+            model_name: str = MODEL_TREE, block: int = BLOCK, folder: str | None = None) -> TreeResult:
+    """Boosted trees on train, their number chosen by the validation error. With ``folder`` a
+    run that was stopped goes on where it was (see ``operators.boosting``)."""
     x, levels, medians, design = prepare_tree(split_df)
     keep = [c for c in ("flight_id",) if c in x.columns]
     x = written(x.select(*keep, "split", TARGET, "features"), "tree-design")
-    train = x.where(F.col("split") == "train").select("features", TARGET)
-    valid = x.where(F.col("split") == "validation")
-    test = x.where(F.col("split") == "test")
+    train, valid, test = (x.where(F.col("split") == s) for s in ("train", "validation", "test"))
     max_levels = max(len(v) for v in levels.values())
-    gbt = GBTRegressor(featuresCol="features", labelCol=TARGET, lossType="squared", maxDepth=6,
-                       stepSize=0.05, minInstancesPerNode=100, subsamplingRate=0.8,
-                       featureSubsetStrategy="0.8", maxIter=max_rounds, seed=seed,
-                       maxBins=max(32, max_levels), checkpointInterval=10)
-    # Rounds are fitted in growing chunks until the patience rule triggers
-    # inside the fitted curve (or the round limit is reached): with a fixed
-    # seed the first k trees do not depend on maxIter, so this equals one
-    # long fit stopped early, without fitting hundreds of unused rounds. A
-    # curve still improving at its end doubles; otherwise best + patience
-    # rounds settle it.
-    # a first chunk of twice the patience settles any curve whose best round
-    # comes within the first `patience` rounds in a single fit
-    rounds = min(first_rounds or 2 * patience, max_rounds)
-    while True:
-        model = gbt.copy({gbt.maxIter: rounds}).fit(train)
-        curve = model.evaluateEachIteration(valid, "absolute")
-        k = best_round(curve, patience)
-        if k + patience <= len(curve) or rounds >= max_rounds:
-            break
-        rounds = min(max_rounds, k + patience if k < rounds else 2 * rounds)
-    model = first_trees(model, k)
-    vp, tp = (model.transform(d).withColumnRenamed("prediction", "pred") for d in (valid, test))
+    run = boost(train, valid, TARGET, max_rounds=max_rounds, patience=patience, seed=seed, block=block, folder=folder,
+                maxDepth=6, minInstancesPerNode=100, subsamplingRate=0.8, featureSubsetStrategy="0.8", maxBins=max(32, max_levels))
+    vp, tp = (run.predict(d, "pred") for d in (valid, test))
     metrics = error_metrics(vp.unionByName(tp).withColumn("model", F.lit(model_name)), TARGET, "pred")
     meta = {"target": TARGET, "levels": levels, "medians": medians, "categorical": pp.TREE_FACTORS, "numeric": pp.TREE_NUMERICS,
-            "best_iteration": k, "best_score": curve[k - 1], "seed": seed,
-            "params": {"max_depth": 6, "step": 0.05, "min_rows": 100, "row_share": 0.8, "column_share": 0.8}}
-    return TreeResult(k, vp.drop("features"), tp.drop("features"), metrics, PipelineModel(stages=[*design.stages, model]), meta)
+            "best_iteration": run.best, "best_score": run.curve[run.best - 1], "curve": run.curve, "seed": seed,
+            "params": {"max_depth": 6, "step": run.step, "min_rows": 100, "row_share": 0.8, "column_share": 0.8}}
+    return TreeResult(run.best, vp.drop("features"), tp.drop("features"), metrics,
+                      PipelineModel(stages=[*design.stages, *run.model().stages]), meta)
 
 
 def tree_predictions(res: TreeResult) -> DataFrame:

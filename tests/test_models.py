@@ -2,26 +2,19 @@
 
 import math
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from tarmac.operators import boosting
 from tarmac.operators import models as mdl
 from tarmac.plans import registry as R
+from tarmac.session import written
 
 from tables import SF001
 
 
-def test_gbt_chunked_rounds_equal_one_long_fit(spark):
-    sp = R._split(R.Ctx(spark, SF001))
-    a = mdl.gbt_run(sp, max_rounds=48, first_rounds=6)
-    b = mdl.gbt_run(sp, max_rounds=48, first_rounds=48)
-    assert a.best_iteration == b.best_iteration
-    ma = {r.split: r for r in a.metrics.collect()}
-    mb = {r.split: r for r in b.metrics.collect()}
-    assert ma == mb
-
-
 def test_ridge_path_invariants(spark):
-    import numpy as np
     sp = R._split(R.Ctx(spark, SF001))
     res = mdl.ridge_path(sp, n_lambdas=12)
     rows = {r.split: r for r in res.metrics.collect()}
@@ -37,7 +30,6 @@ def test_ridge_path_invariants(spark):
 
 def test_ridge_path_matches_numpy(spark):
     """Moments equal those of the dense design; fits solve the ridge equations."""
-    import numpy as np
     sp = R._split(R.Ctx(spark, SF001))
     aligned, levels, _ = mdl.prepare_ridge(sp)
     aligned = aligned.persist()
@@ -70,15 +62,58 @@ def test_unseen_levels_still_score(spark):
     assert res.valid_pred.count() == sp.where(F.col("split") == "validation").count()
 
 
-def test_first_trees_equal_refit(spark):
+@pytest.fixture(scope="module")
+def trees(spark):
+    x = written(mdl.prepare_tree(R._split(R.Ctx(spark, SF001)))[0].select("flight_id", "split", "dep_delay_min", "features"), "trees")
+    return x.where("split = 'train'"), x.where("split = 'validation'")
+
+
+TREE = dict(maxDepth=3, minInstancesPerNode=10, subsamplingRate=0.8, featureSubsetStrategy="0.8", maxBins=32)
+
+
+def test_rounds_equal_mllib_s_own_boosting(spark, trees):
+    """The same errors after every round and the same predictions as one long fit."""
     from pyspark.ml.regression import GBTRegressor
-    x = mdl.prepare_tree(R._split(R.Ctx(spark, SF001)))[0]
-    train = x.where(F.col("split") == "train")
-    g = GBTRegressor(featuresCol="features", labelCol="dep_delay_min", maxDepth=2, stepSize=0.1,
-                     minInstancesPerNode=5, subsamplingRate=0.8, seed=42, maxBins=32)
-    for long, few in ((12, 5), (215, 205)):
-        full = g.copy({g.maxIter: long}).fit(train)
-        short = g.copy({g.maxIter: few}).fit(train)
-        a = {r.flight_id: r.prediction for r in mdl.first_trees(full, few).transform(x).collect()}
-        b = {r.flight_id: r.prediction for r in short.transform(x).collect()}
-        assert a.keys() == b.keys() and all(abs(a[i] - b[i]) < 1e-9 for i in a)
+    train, valid = trees
+    run = boosting.boost(train, valid, "dep_delay_min", max_rounds=12, patience=40, block=5, **TREE)
+    fit = GBTRegressor(featuresCol="features", labelCol="dep_delay_min", maxIter=12, stepSize=0.05, seed=42, **TREE).fit(train)
+    assert np.allclose(run.curve, fit.evaluateEachIteration(valid, "absolute")) and len(run.trees) == 12
+    run.best = 12
+    a = {r.flight_id: r.prediction for r in run.predict(valid).collect()}
+    b = {r.flight_id: r.prediction for r in fit.transform(valid).collect()}
+    assert a.keys() == b.keys() and all(abs(a[i] - b[i]) < 1e-9 for i in a)
+
+
+def test_a_stopped_run_goes_on(spark, trees, tmp_path, monkeypatch):
+    """Stopped after its first block, boosting fits only the rounds that lack; other
+    parameters start anew."""
+    train, valid = trees
+    folder, fits = str(tmp_path / "progress"), []
+    fit = boosting.RandomForestRegressor.fit
+
+    def counted(self, df):
+        if len(fits) == 6 and not stopped:
+            stopped.append(1)
+            raise RuntimeError("lost")
+        fits.append(self.getSeed())
+        return fit(self, df)
+
+    stopped: list[int] = []
+    monkeypatch.setattr(boosting.RandomForestRegressor, "fit", counted)
+    with pytest.raises(RuntimeError):
+        boosting.boost(train, valid, "dep_delay_min", max_rounds=9, block=4, folder=folder, **TREE)
+    again = boosting.boost(train, valid, "dep_delay_min", max_rounds=9, block=4, folder=folder, **TREE)
+    assert fits == [42, 43, 44, 45, 46, 47, 46, 47, 48, 49, 50]  # the first block is not fitted again
+    whole = boosting.boost(train, valid, "dep_delay_min", max_rounds=9, block=4, **TREE)
+    assert np.allclose(again.curve, whole.curve) and len(again.trees) == 9 and again.best == whole.best
+    fits.clear()
+    boosting.boost(train, valid, "dep_delay_min", max_rounds=2, block=4, seed=1, folder=folder, **TREE)
+    assert fits == [1, 2]
+
+
+def test_patience_ends_boosting(spark, trees):
+    train, valid = trees
+    run = boosting.boost(train, valid.withColumn("dep_delay_min", F.rand(1) * 1000), "dep_delay_min", max_rounds=60, patience=3, block=2, **TREE)
+    assert len(run.curve) < 60 and run.best == boosting.best_round(run.curve, 3) and run.best + 3 <= len(run.curve)
+    none = boosting.boost(train, valid.limit(0), "dep_delay_min", max_rounds=2, block=2, **TREE)
+    assert none.best == 1

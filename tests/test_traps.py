@@ -9,7 +9,7 @@ from tarmac.functions import bins, flags, timeparts as tp
 from tarmac.operators import baselines as bl
 from tarmac.operators import evaluate as ev
 from tarmac.operators import features as feat
-from tarmac.operators import models as mdl
+from tarmac.operators.boosting import best_round
 from tarmac.operators import prep as pp
 from tarmac.operators import stations as st
 
@@ -169,8 +169,8 @@ def test_metrics_definition(spark):
 
 def test_patience_rule():
     down = [10.0 - i for i in range(5)]
-    assert mdl.best_round(down + [6.0] * 39 + [4.0], 40) == 45      # 39-round plateau: goes on
-    assert mdl.best_round(down + [6.0] * 40 + [4.0], 40) == 5       # 40 rounds: stops
+    assert best_round(down + [6.0] * 39 + [4.0], 40) == 45      # 39-round plateau: goes on
+    assert best_round(down + [6.0] * 40 + [4.0], 40) == 5       # 40 rounds: stops
 
 
 def test_sentinel_airports(spark):
