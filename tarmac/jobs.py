@@ -6,6 +6,7 @@ month range (no per-month driver loop over data).
                             coverage on request
 * ``build_features_range``  flights + airports + stations + weather -> features by the
                             flight's month, only pending months unless overwrite
+* ``write_eda``             every exploratory table from one read of new months of features
 * ``train_baseline``        30-day rolling baseline + elastic net, model and metrics saved
 * ``train_ridge``           90-day averages + ridge path: split counts, metrics,
                             predictions and model saved
@@ -21,18 +22,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.operators import baselines as bl
+from tarmac.operators import eda, profiles
 from tarmac.operators import evaluate as ev
 from tarmac.operators import features as feat
 from tarmac.operators import filters as flt
 from tarmac.operators import models as mdl
 from tarmac.operators import stations as st
-from tarmac.operators.sizing import broadcast_if_bounded, row_count_at_most
+from tarmac.operators.sizing import row_count_at_most
 from tarmac.session import configure, drop_path, written
 from tarmac.sources import airports as ap
 from tarmac.sources import flights as fs
+from tarmac.sources import ledger
 from tarmac.sources import months as mo
 from tarmac.sources import sinks
 from tarmac.sources import weather as ws
+from tarmac.sources.ledger import recorded
 from tarmac.sources.paths import month_path, require_paths
 
 
@@ -64,7 +68,10 @@ def ingest_range(spark: SparkSession, flight_csvs: Sequence[str], out_root: str,
     requested = mo.month_range(spark, start, end)
     months = _month_list(mo.pending_months(requested, mo.existing_months(spark, out_root), overwrite))
     if months:
-        fs.write_flights(_in_months(fs.read_flights_csv(spark, flight_csvs), months), out_root)
+        rows = _in_months(fs.read_flights_csv(spark, flight_csvs), months)
+        with recorded(spark, out_root, months):
+            fs.clear_months(spark, out_root, months)
+            fs.write_flights(rows, out_root)
     if weather_files:
         landed = f"{weather_root.rstrip('/')}/hourly"
         wanted = _month_list(mo.pending_months(requested, mo.existing_months(spark, landed), overwrite))
@@ -74,12 +81,12 @@ def ingest_range(spark: SparkSession, flight_csvs: Sequence[str], out_root: str,
                                              ap.read_stations(spark, stations_json, stations_cache)), "crosswalk")
             require_rows(xwalk, "no airport of the flights has a weather station")
         if wanted:
-            # observations of the stations in the crosswalk
+            # the files of the stations in the crosswalk, no others
             t = F.col("time")
-            seen = ws.read_weather(spark, weather_files).withColumns({"year": F.year(t), "month": F.month(t)})
-            near = xwalk.select(F.col("meteostat_id").alias("station_id")).distinct()
-            ws.write_weather(_in_months(seen, wanted).drop("year", "month").join(broadcast_if_bounded(near), "station_id", "left_semi"),
-                             landed)
+            near = xwalk.select(F.col("meteostat_id").alias("station_id"))
+            seen = ws.read_weather(spark, weather_files, stations=near).withColumns({"year": F.year(t), "month": F.month(t)})
+            with recorded(spark, landed, wanted):
+                ws.write_weather(_in_months(seen, wanted).drop("year", "month"), landed)
             ws.write_crosswalk(xwalk, f"{weather_root.rstrip('/')}/crosswalk")
         if do_coverage:
             asked = _month_list(requested)
@@ -104,13 +111,15 @@ def build_features_range(spark: SparkSession, flights_root: str, weather_files:
                          airports_csv: str, stations_json: str, out_root: str, start: str,
                          end: str, overwrite: bool = False, how: str = "left",
                          stations_cache: str | None = None,
-                         hour_basis: str = "session", weather_root: str | None = None) -> list[tuple[int, int]]:
+                         hour_basis: str = "session", weather_root: str | None = None,
+                         checks_dir: str | None = None) -> list[tuple[int, int]]:
     """Features for every pending month of ``start..end`` in one job, partitioned by
     the flight's own month. ``hour_basis="airport"`` takes hour and weekday on the
     airport's clock. Weather comes from what ``ingest_range`` landed under
     ``weather_root``, else from the raw files. Both ends read a few days beyond the
     months, so a late flight whose UTC schedule falls into the next month finds its
-    weather too (a month-by-month build would leave it NULL)."""
+    weather too (a month-by-month build would leave it NULL). With ``checks_dir`` the
+    written months are looked over: number of rows, busiest origins, earliest rows."""
     configure(spark)
     require_paths(spark, [flights_root], "flights")
     todo = mo.pending_months(mo.month_range(spark, start, end),
@@ -133,13 +142,61 @@ def build_features_range(spark: SparkSession, flights_root: str, weather_files:
         ym = F.col("year") * 12 + F.col("month")  # prunes month folders; the exact times follow
         weather = weather.where((ym >= y0 * 12 + m0 - 1) & (ym <= y1 * 12 + m1 + 1)).drop("year", "month")
     else:
-        weather = ws.read_weather(spark, weather_files)
+        weather = ws.read_weather(spark, weather_files, stations=smap.select("station_id"))
     weather = weather.where((F.col("time") >= lo) & (F.col("time") < hi))
     out = feat.build_features(flights, smap, weather, how=how, hour_basis=hour_basis, keep_month=True)
-    sinks.write_features(out, out_root)
+    with recorded(spark, out_root, months):
+        # a month that has no rows any more would keep its old folder
+        fs.clear_months(spark, out_root, months)
+        sinks.write_features(out, out_root)
+    if checks_dir:
+        feature_checks(spark, out_root, months, checks_dir)
     return months
 
 
+def feature_checks(spark: SparkSession, features_root: str, months: Sequence[tuple[int, int]], out_dir: str) -> dict[str, DataFrame]:
+    """What a build is looked over by, as small CSV files: ``count``, ``busiest_origins`` and
+    ``earliest_rows`` of the months."""
+    rows = _in_months(spark.read.parquet(features_root), months)
+    tables = {"count": rows.agg(F.count(F.lit(1)).alias("n")), "busiest_origins": eda.origin_sanity(rows),
+              "earliest_rows": eda.earliest_rows(rows)}
+    for name, df in tables.items():
+        sinks.write_small_csv(df, f"{out_dir}/{name}")
+    return tables
+
+
+def refresh_states(spark: SparkSession, features_root: str, states_root: str) -> list[tuple[int, int]]:
+    """Bring the month states under ``states_root`` up to date: months of features that have
+    none, or were written anew since, are read once; no other month is. Returns them."""
+    have = ledger.complete_months(spark, states_root).select("year", "month", F.col("source").alias("run"))
+    todo = ledger.complete_months(spark, features_root).select("year", "month", "run").join(have, ["year", "month", "run"], "left_anti")
+    sources = {(r.year, r.month): r.run for r in todo.collect()}
+    months = sorted(sources)
+    if months:
+        rows = _in_months(spark.read.parquet(features_root), months)
+        states = profiles.month_states(rows, by=("year", "month"))
+        with recorded(spark, states_root, months, sources):
+            (states.coalesce(64).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("year_read", "month_read").parquet(states_root))
+    return months
+
+
+def write_eda(spark: SparkSession, features_root: str, out_dir: str, start: str, end: str, **limits) -> dict[str, str]:
+    """Every exploratory table over the months of ``[start, end)`` as a small CSV under
+    ``out_dir``, from month states kept in ``out_dir/states``: a run reads the features of
+    months that are new or were rebuilt, in one scan. Returns the tables' paths."""
+    configure(spark)
+    require_paths(spark, [features_root], "features")
+    refresh_states(spark, features_root, f"{out_dir}/states")
+    require_paths(spark, [f"{out_dir}/states"], "complete months of features")
+    states = written(profiles.merged(spark.read.parquet(f"{out_dir}/states")), "states")
+    paths = {}
+    for name, df in profiles.reports(states, start, end, **limits).items():
+        paths[name] = f"{out_dir}/{name}"
+        sinks.write_small_csv(df, paths[name])
+    return paths
+
+
 def train_baseline(spark: SparkSession, features_root: str, train_months: Sequence[tuple[int, int]],
                    test_month: tuple[int, int], out_dir: str | None = None) -> dict:
     """30-day baseline MAE and elastic-net MAE / RMSE; the model goes to ``out_dir``.

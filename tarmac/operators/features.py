@@ -129,23 +129,32 @@ def build_features(flights: DataFrame, smap: DataFrame, weather: DataFrame,
 
 def weather_coverage(flights: DataFrame, xwalk: DataFrame, weather: DataFrame,
                      dedupe: bool = False) -> DataFrame:
-    """Flights (all, cancelled too) joined to every crosswalk station of the
-    origin and to that station's observation at the exact scheduled hour (local
-    schedule read as UTC). Counts joined rows, so an airport with several
-    stations counts its flights several times; ``dedupe=True`` counts each
-    flight (by ``flight_id``) once, with weather when any station has it."""
-    cols = ["origin", crs_dep_hour(F.col("flight_date"), F.col("crs_dep_time")).alias("crs_dep_hour")]
-    if dedupe:
-        cols.insert(0, "flight_id")
-    f = flights.select(*cols)
-    x = broadcast_if_bounded(xwalk.select("iata", "meteostat_id").distinct() if dedupe
-                             else xwalk.select("iata", "meteostat_id"), materialize=True)
-    w = pad_measures(weather).select(F.col("station_id"), to_ntz(F.col("time")).alias("w_time"),
-                                     F.col("temp"))
-    j = (f.join(x, f.origin == x.iata, "left")
-         .join(w, (x.meteostat_id == w.station_id) & (f.crs_dep_hour == w.w_time), "left"))
+    """Flights (all, cancelled too) against every crosswalk station of the origin and that
+    station's observation at the exact scheduled hour (local schedule read as UTC).
+    Counts combinations, so an airport with several stations counts its flights several
+    times; ``dedupe=True`` counts each flight (by ``flight_id``) once, with weather when
+    any station has it.
+
+    Both sides are counted before they meet: flights per (origin, hour), readings per
+    (station, hour), stations per airport. The counts are multiplied after the joins, so
+    the rows that are joined are airport hours, however many flights an hour has."""
+    hour = crs_dep_hour(F.col("flight_date"), F.col("crs_dep_time")).alias("hour")
+    stations = broadcast_if_bounded(xwalk.groupBy(F.col("iata").alias("origin"), "meteostat_id")
+                                    .agg(F.count(F.lit(1)).alias("times")), materialize=True)
+    readings = (pad_measures(weather).groupBy(F.col("station_id").alias("meteostat_id"), to_ntz(F.col("time")).alias("hour"))
+                .agg(F.count(F.lit(1)).alias("readings"), F.count("temp").alias("known")))
+
+    def met(slots: DataFrame) -> DataFrame:
+        return slots.join(stations, "origin", "left").join(readings, ["meteostat_id", "hour"], "left")
+
     if dedupe:
-        per_flight = j.groupBy("flight_id").agg(F.max(F.col("temp").isNotNull()).alias("_has"))
-        return per_flight.agg(F.count(F.lit(1)).alias("total_flights"),
-                              F.count(F.when(F.col("_has"), 1)).alias("with_weather"))
-    return j.agg(F.count(F.lit(1)).alias("total_flights"), F.count("temp").alias("with_weather"))
+        rows = flights.select("flight_id", "origin", hour).distinct()
+        has = met(rows.select("origin", "hour").distinct()).where("known > 0").select("origin", "hour").distinct()
+        per_flight = (rows.join(has.withColumn("_has", F.lit(True)), ["origin", "hour"], "left")
+                      .groupBy("flight_id").agg(F.max("_has").alias("_has")))
+        return per_flight.agg(F.count(F.lit(1)).alias("total_flights"), F.count("_has").alias("with_weather"))
+    per_hour = met(flights.select("origin", hour).groupBy("origin", "hour").agg(F.count(F.lit(1)).alias("n")))
+    pairs = F.col("n") * F.coalesce("times", F.lit(1))
+    total = F.sum(pairs * F.coalesce("readings", F.lit(1)))
+    return per_hour.agg(F.coalesce(total, F.lit(0)).alias("total_flights"),
+                        F.coalesce(F.sum(pairs * F.coalesce("known", F.lit(0))), F.lit(0)).alias("with_weather"))

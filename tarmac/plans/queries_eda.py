@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tarmac.plans.core import Ctx, query
 from tarmac.plans import queries_features  # noqa: F401  (registers the SQL steps used here)
 from tarmac.plans.oracle import compose, cte
-from tarmac.operators import eda
+from tarmac.operators import eda, profiles
+from tarmac.session import written
 
 
 # ====================================================================== EDA
@@ -140,3 +142,42 @@ query("features_seasonality", compose(f"""
 select dep_hour_local, dow, round(avg({_POS}), 6) as mean_pos_delay, count(*) as n
 from features_left group by 1, 2""", "features_left"))(
     lambda c: eda.seasonality(c.features("left")))
+
+
+# every report as (report, key, measure, value) rows, straight from the rows of the window
+_REPORTS = {
+    "seasonality": ("concat_ws('|', dep_hour_local, dow)", ["mean_pos_delay", "n"], "group by dep_hour_local, dow"),
+    "tail_stats": ("''", ["n", *[f"pct_gt_{t}" for t in profiles.TAILS]], ""),
+    "delay_by_rain": ("case when prcp > 0 then 'Rain' when prcp is not null then 'No rain' else '' end", ["mean_pos_delay", "n"], "group by 2"),
+    **{f"delay_by_{name}": (f"coalesce({_cut_sql(col, lo, hi, w, inc)}, '')", ["mean_pos_delay", "n"], "group by 2")
+       for name, col, lo, hi, w, inc in (("temp", "temp", -50, 50, 5, False), ("wind", "wspd", 0, 240, 10, True), ("precip", "prcp", 0, 105, 5, True))},
+    "missing_by_month": ("concat_ws('|', year(sched_dep_tstz), month(sched_dep_tstz))", [n for _, n in eda.MISSING_PROFILE],
+                         "group by year(sched_dep_tstz), month(sched_dep_tstz)"),
+    "airport_summary": ("origin", ["n", "mean_pos_delay", "late_15_pct"], f"group by origin having count(*) >= {MIN_ORIGIN_FLIGHTS}"),
+}
+_MEASURE_SQL = {
+    "n": "count(*)", "mean_pos_delay": f"avg({_POS})", "late_15_pct": "100 * count_if(late_15) / nullif(count(late_15), 0)",
+    **{f"pct_gt_{t}": f"100 * count_if(dep_delay_min > {t}) / nullif(count(dep_delay_min), 0)" for t in profiles.TAILS},
+    **{name: f"100 * count_if({col} is null) / count(*)" for col, name in eda.MISSING_PROFILE}}
+_long = " union all ".join(
+    f"select '{report}' as report, {key} as key, unnest([{', '.join(repr(m) for m in measures)}]) as measure, "
+    f"unnest([{', '.join(f'cast({_MEASURE_SQL[m]} as double)' for m in measures)}]) as value from ds_eda {tail}"
+    for report, (key, measures, tail) in _REPORTS.items())
+
+
+@query("eda_from_month_states", compose(f"select report, key, measure, round(value, 6) as value from ({_long}) l where value is not null",
+                                        "ds_eda"))
+def _eda_states(c: Ctx) -> DataFrame:
+    """Reports from month states: one read of the rows gives states per month, the states
+    add up to the reports."""
+    states = written(profiles.month_states(c.history), "states")
+    tables = profiles.reports(profiles.merged(states), EDA_START, EDA_END, MIN_ORIGIN_FLIGHTS)
+    keys = {"seasonality": ["dep_hour_local", "dow"], "missing_by_month": ["year", "month"], "airport_summary": ["origin"], "tail_stats": [],
+            "delay_by_rain": ["rain"], "delay_by_temp": ["temp_bin"], "delay_by_wind": ["wspd_bin"], "delay_by_precip": ["prcp_bin"]}
+    out = None
+    for report, (_, measures, _) in _REPORTS.items():
+        pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures])).alias("p")
+        key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys[report]]) if keys[report] else F.lit("")
+        part = tables[report].select(F.lit(report).alias("report"), key.alias("key"), pairs).select("report", "key", "p.*")
+        out = part if out is None else out.unionByName(part)
+    return out.where("value is not null").withColumn("value", F.round("value", 6) + F.lit(0.0))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.plans.core import Ctx, query
-from tarmac.plans.oracle import compose
+from tarmac.plans.oracle import compose, cte
 from tarmac.functions import flags as fl
 from tarmac.functions import timeparts as tp
 from tarmac.operators import features as feat
@@ -100,15 +100,31 @@ query("features_inner", compose("select * from features_inner", "features_inner"
 query("features_left_ids", compose("select * exclude (year, month) from features_left_ids", "features_left_ids"))(
     lambda c: c.features("left", keep_ids=True))
 
+# airport hours with their flights, times the airport's stations, times the readings of that hour
+cte("airport_hours", """
+select origin, case when hhmm // 100 < 24 and hhmm % 100 < 60 then flight_date + to_hours(cast(hhmm // 100 as bigint)) end as hour,
+  count(*) as departures
+from (select origin, flight_date, cast(trim(crs_dep_time) as bigint) as hhmm from fx_flights) t group by all""", ("fx_flights",))
+cte("airport_stations", "select iata, meteostat_id, count(*) as listed from xwalk group by all", ("xwalk",))
+cte("station_hours", "select station_id, time, count(*) as seen, count(temp) as warm from fx_weather group by all", ("fx_weather",))
+
 query("weather_coverage", compose("""
-select count(*) as total_flights, count(w.temp) as with_weather
-from (select origin, date_trunc('hour', try_strptime(strftime(flight_date, '%Y-%m-%d') || ' '
-        || lpad(trim(crs_dep_time), 4, '0'), '%Y-%m-%d %H%M')) as crs_dep_hour
-      from fx_flights) fe
-left join xwalk x on fe.origin = x.iata
-left join fx_weather w on x.meteostat_id = w.station_id and fe.crs_dep_hour = w.time""",
-                              "fx_flights", "xwalk", "fx_weather"))(
+select cast(sum(departures * coalesce(listed, 1) * coalesce(seen, 1)) as bigint) as total_flights,
+  cast(coalesce(sum(departures * listed * warm), 0) as bigint) as with_weather
+from airport_hours h
+left join airport_stations on iata = origin
+left join station_hours on station_id = meteostat_id and time = hour""", "airport_hours", "airport_stations", "station_hours"))(
     lambda c: feat.weather_coverage(c.flights, c.xwalk, c.weather))
 
+query("weather_coverage_once", compose("""
+select count(distinct flight_id) as total_flights, count(distinct flight_id) filter (covered) as with_weather
+from (select f.flight_id, exists (
+        select 1 from airport_stations s, station_hours r
+        where s.iata = f.origin and r.station_id = s.meteostat_id and r.warm > 0 and r.time = case
+          when cast(trim(f.crs_dep_time) as bigint) // 100 < 24
+          then f.flight_date + to_hours(cast(cast(trim(f.crs_dep_time) as bigint) // 100 as bigint)) end) as covered
+      from fx_flights f) t""", "fx_flights", "airport_stations", "station_hours"))(
+    lambda c: feat.weather_coverage(c.flights, c.xwalk, c.weather, dedupe=True))
+
 query("feature_count", compose("select count(*) as n from features_inner", "features_inner"))(
     lambda c: c.features("inner").agg(F.count(F.lit(1)).alias("n")))

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.session import drop_path
 from tarmac.sources.csvmap import FILE, field, read_csv_files
+from tarmac.sources.paths import month_path
 
 # Source column names of the monthly on-time performance files.
 ONTIME_COLUMNS = {
@@ -31,35 +33,31 @@ def _typed(raw: DataFrame, all_columns: bool) -> DataFrame:
                                                  "origin", "dest", "crs_dep_time"))
 
 
-def read_flights_csv(spark: SparkSession, paths: str | Sequence[str], all_columns: bool = True) -> DataFrame:
-    """All monthly files in one scan per header; HHMM stays text. With
-    ``all_columns`` the source's other columns follow as text."""
-    return _typed(read_csv_files(spark, paths), all_columns).drop("source_file")
-
-
-def read_flight_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Same, with each row's ``source_file`` name."""
-    return _typed(read_csv_files(spark, paths), True)
+def read_flights_csv(spark: SparkSession, paths: str | Sequence[str], all_columns: bool = True, literal: bool = False) -> DataFrame:
+    """All monthly files in one scan, with each row's ``source_file`` name; HHMM stays text.
+    With ``all_columns`` the source's other columns follow as text."""
+    return _typed(read_csv_files(spark, paths, literal=literal), all_columns)
 
 
 def write_flights(df: DataFrame, out_root: str) -> None:
-    """``year=YYYY/month=M`` partitions from each row's own values; only the
-    partitions present in ``df`` are replaced (dynamic overwrite). The
-    ``rebalance`` hint clusters rows by month but lets AQE split a large month
-    into advisory-size tasks, so no month is written by a single task."""
-    (df.hint("rebalance", "year", "month").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("year", "month").parquet(out_root))
-
-
-def write_flights_by_file(df: DataFrame, out_root: str) -> None:
-    """``year/month/source_file`` partitions: writing a file again replaces that
-    file's rows and no other's, so files of one month may come in any order."""
+    """``year=YYYY/month=M/source_file=F`` partitions from each row's own values, for batch
+    and stream alike: writing a file's rows again replaces that file's rows of the month
+    and no other's, so files of a month may come in any order. The ``rebalance`` hint
+    clusters rows by partition but lets AQE split a large one into advisory-size tasks."""
+    if "source_file" not in df.columns:
+        df = df.withColumn("source_file", F.lit("rows"))
     (df.hint("rebalance", "year", "month", "source_file").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("year", "month", "source_file").parquet(out_root))
 
 
+def clear_months(spark: SparkSession, root: str, months: Sequence[tuple[int, int]]) -> None:
+    """Remove what lies under the months, of whatever files: a batch run replaces them as a
+    whole. The ledger holds them pending meanwhile."""
+    for y, m in months:
+        drop_path(spark, month_path(root, y, m))
+
+
 def read_flights(spark: SparkSession, root: str, months: Sequence[tuple[int, int]] | None = None,
                  columns: Sequence[str] | None = None) -> DataFrame:
     """Partitioned flights; a month list becomes a partition filter."""
@@ -70,6 +68,4 @@ def read_flights(spark: SparkSession, root: str, months: Sequence[tuple[int, int
             c = (F.col("year") == y) & (F.col("month") == m)
             cond = c if cond is None else cond | c
         df = df.where(cond)
-    if columns:
-        df = df.select(*columns)
-    return df
+    return df.select(*columns) if columns else df

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.sources.ledger import complete_months
+
 
 def month_range_between(start: Column, end: Column) -> Column:
     """Array of first-of-month dates from ``start``'s month to ``end``'s, inclusive."""
@@ -35,14 +37,13 @@ def pending_months(requested: DataFrame, existing: DataFrame, overwrite: bool =
 
 
 def existing_months(spark: SparkSession, root: str) -> DataFrame:
-    """(year, month) partitions under a partitioned Parquet root, from the folder
-    names; a folder without data files does not count."""
+    """(year, month) that are complete under a partitioned root: its ledger says that the
+    run which wrote them has ended, and their folders are there."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     top = jvm.org.apache.hadoop.fs.Path(root)
     fs = top.getFileSystem(conf)
     found = []
     for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(top, "year=*/month=*")) or []:
-        if fs.getContentSummary(status.getPath()).getFileCount() > 0:
-            month, year = status.getPath().getName(), status.getPath().getParent().getName()
-            found.append((int(year.partition("=")[2]), int(month.partition("=")[2])))
-    return spark.createDataFrame(found, "year int, month int")
+        month, year = status.getPath().getName(), status.getPath().getParent().getName()
+        found.append((int(year.partition("=")[2]), int(month.partition("=")[2])))
+    return spark.createDataFrame(found, "year int, month int").join(complete_months(spark, root), ["year", "month"], "left_semi")

@@ -6,17 +6,19 @@ the month loop) and a failed run resumes where it stopped. ``availableNow``
 processes everything present and stops, which suits a monthly schedule.
 
 The stream carries file names only; a batch reads its files with the batch CSV
-reader and writes them as ``year/month/source_file`` partitions. A batch hence
-replaces rows of its own files and no others: a month may be spread over files
-and batches, a correction file adds to its month, and a repeated batch writes
-the same rows again.
+reader and writes them as the batch jobs do (``year/month/source_file`` partitions, one
+root for both). A batch hence replaces rows of its own files and no others: a month may be
+spread over files and batches, a correction file adds to its month, and a repeated batch
+writes the same rows again. The months of a batch are recorded in the root's ledger.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.sources.flights import read_flight_files, write_flights_by_file
+from tarmac.session import written
+from tarmac.sources.flights import read_flights_csv, write_flights
+from tarmac.sources.ledger import recorded
 
 # schema of Spark's binary file source, of which only the path is read
 _FILES = "path string, modificationTime timestamp, length long, content binary"
@@ -36,7 +38,11 @@ def ingest_monthly_drops(spark: SparkSession, landing_dir: str, out_root: str, c
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         files = [r.path for r in batch.collect()]  # at most files_per_batch names
         if files:
-            write_flights_by_file(read_flight_files(batch.sparkSession, files), out_root)
+            own = batch.sparkSession
+            rows = written(read_flights_csv(own, files, literal=True), "drop")
+            months = [(r.year, r.month) for r in rows.select("year", "month").where("year is not null and month is not null").distinct().collect()]
+            with recorded(own, out_root, months):
+                write_flights(rows, out_root)
             batches.append(epoch_id)
 
     q = (names.writeStream.foreachBatch(write_batch)

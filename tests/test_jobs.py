@@ -83,6 +83,77 @@ def test_feature_months_never_erase_each_other(spark, tmp_path):
     assert [(r.month, r.temp) for r in late] == [(1, 2.0)]  # 22:00 in New York, weather of the next UTC month
 
 
+def test_a_failed_run_leaves_its_months_pending(spark, tmp_path, monkeypatch):
+    """A run that dies while it writes leaves no month that counts as complete, and the next
+    run replaces what it left."""
+    import pytest
+
+    from tarmac.sources import flights as fs
+    from tarmac.sources import months as mo
+    land, root = tmp_path / "land", str(tmp_path / "flights")
+    land.mkdir()
+    line = '2022,{m},1,"2022-{m:02d}-01","AA","{n}","JFK","LAX","0700",1.00,0.00\n'
+    (land / "old name.csv").write_text(HDR + "\n" + line.format(m=1, n=1) + line.format(m=2, n=2))
+    write = fs.write_flights
+
+    def dies(df, out):
+        write(df, out)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(fs, "write_flights", dies)
+    with pytest.raises(RuntimeError):
+        jobs.ingest_range(spark, [str(land)], root, "2022-01", "2022-02")
+    assert mo.existing_months(spark, root).isEmpty() and fs.read_flights(spark, root).count() == 2
+    monkeypatch.setattr(fs, "write_flights", write)
+    (land / "old name.csv").rename(land / "new name.csv")
+    assert jobs.ingest_range(spark, [str(land)], root, "2022-01", "2022-02") == [(2022, 1), (2022, 2)]
+    assert fs.read_flights(spark, root).count() == 2  # the failed run's rows are gone
+
+
+def test_eda_job_reads_a_month_once(spark, tmp_path):
+    """All tables from month states equal the operators; a later run reads new and rebuilt months only."""
+    from tarmac.operators import eda
+    from tarmac.plans import registry as R
+    from tarmac.sources import sinks
+    from tarmac.sources.ledger import recorded
+
+    from tables import SF001
+    root, out = str(tmp_path / "features"), str(tmp_path / "eda")
+    hist = R.Ctx(spark, SF001).history
+    t = F.col("sched_dep_tstz")
+    rows = hist.drop("flight_id").withColumns({"year": F.year(F.date_sub(t, 1)), "month": F.month(F.date_sub(t, 1))})
+
+    def land(months):
+        with recorded(spark, root, months):
+            sinks.write_features(rows.where((F.col("year") * 100 + F.col("month")).isin([y * 100 + m for y, m in months])), root)
+
+    early = [(1995, m) for m in range(1, 13)] + [(1994, 12)]
+    rest = [tuple(r) for r in rows.select("year", "month").distinct().collect() if tuple(r) not in early]
+    land(early)
+    assert set(jobs.refresh_states(spark, root, f"{out}/states")) == set(early)
+    land(rest)
+    land([(1995, 3)])
+    paths = jobs.write_eda(spark, root, out, "1995-01-01", "2001-08-01", min_flights=10)
+    assert jobs.refresh_states(spark, root, f"{out}/states") == []
+    assert len(paths) == 15
+    whole = eda.eda_window(hist, "1995-01-01", "2001-08-01")
+    for name, want in (("monthly_counts", eda.monthly_counts(hist)), ("seasonality", eda.seasonality(whole)), ("delay_by_temp", eda.delay_by_temp(whole)),
+                       ("missing_by_month", eda.missing_by_month(whole)), ("airport_summary", eda.airport_summary_labeled(whole, 10)),
+                       ("delay_histogram", eda.delay_histogram(whole)), ("origin_sanity", eda.origin_sanity(hist)), ("tail_stats", eda.tail_stats(whole))):
+        got = spark.read.schema(want.schema).option("header", True).csv(paths[name])
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect())), name
+
+
+def test_feature_checks_are_written(spark, tmp_path):
+    root, out = str(tmp_path / "features"), str(tmp_path / "checks")
+    _history(spark, root)
+    tables = jobs.feature_checks(spark, root, [(2000, 1), (2000, 2)], out)
+    n = int(spark.read.option("header", True).csv(f"{out}/count").first().n)
+    assert n == spark.read.parquet(root).where("year = 2000 and month in (1, 2)").count() > 0
+    assert spark.read.option("header", True).csv(f"{out}/busiest_origins").count() == tables["busiest_origins"].count() <= 10
+    assert spark.read.option("header", True).csv(f"{out}/earliest_rows").count() == 5
+
+
 def test_study_window_prunes_month_partitions(spark, tmp_path):
     import contextlib
     import datetime as dt

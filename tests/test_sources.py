@@ -12,6 +12,7 @@ from tarmac.sources import flights as fs
 from tarmac.sources import months as mo
 from tarmac.sources import sinks
 from tarmac.sources import weather as ws
+from tarmac.sources.ledger import complete_months, recorded
 from tarmac.sources.paths import require_paths
 from tarmac.streaming import ingest_monthly_drops
 
@@ -46,6 +47,9 @@ def test_flights_csv_roundtrip(spark, tmp_path):
     fs.write_flights(df, out)
     back = fs.read_flights(spark, out, months=[(2022, 1)])
     assert back.count() == 2
+    assert mo.existing_months(spark, out).isEmpty()  # data without a record is pending
+    with recorded(spark, out, [(2022, 1), (2022, 2), (2022, 5)]):
+        assert mo.existing_months(spark, out).isEmpty()
     existing = mo.existing_months(spark, out)
     pend = mo.pending_months(mo.month_range(spark, "2022-01", "2022-03"), existing)
     assert [(r.year, r.month) for r in pend.collect()] == [(2022, 3)]
@@ -83,6 +87,82 @@ def test_csv_folder_with_space_wide_files_and_blank_names(spark, tmp_path):
     assert len(got) == 1 and got[0].OriginCityName == "New York, NY" and got[0].flight_number == "10"
 
 
+def test_two_thousand_files_with_three_headers(spark, tmp_path):
+    """Headers come from one job; the driver opens no file and sends no list of files."""
+    from tarmac.sources.csvmap import read_csv_files
+    heads = ["id,a,b", "b,id", "id,x y,a"]
+    rows = {0: "{k},a{k},b{k}", 1: "b{k},{k}", 2: "{k},x{k},a{k}"}
+    for k in range(2000):
+        folder = tmp_path / "land" / f"d{k % 7}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"f{k}.csv").write_text(heads[k % 3] + "\n" + rows[k % 3].format(k=k) + "\n")
+    (tmp_path / "land" / "_temporary").mkdir()
+    (tmp_path / "land" / "_temporary" / "half.csv").write_text("id,a\n-1,z\n")
+    gateway = spark.sparkContext._gateway._gateway_client
+    sent, send = [], type(gateway).send_command
+    try:
+        type(gateway).send_command = lambda self, *a, **kw: (sent.append(1), send(self, *a, **kw))[1]
+        df = read_csv_files(spark, str(tmp_path / "land"))
+    finally:
+        type(gateway).send_command = send
+    assert len(sent) < 2000
+    got = {int(r.id): r for r in df.collect()}
+    assert set(got) == set(range(2000)) and set(df.columns) == {"_file", "id", "a", "b", "x y"}
+    for k, r in got.items():
+        assert (r.a, r.b, r["x y"]) == ((f"a{k}", f"b{k}", None), (None, f"b{k}", None), (f"a{k}", None, f"x{k}"))[k % 3]
+        assert r["_file"].endswith(f"/d{k % 7}/f{k}.csv")
+
+
+def test_only_wanted_stations_are_opened(spark, tmp_path):
+    """Files of other stations are broken: reading them would fail or show."""
+    for s in ("A1", "B2"):
+        with gzip.open(tmp_path / f"{s}.csv.gz", "wt") as f:
+            f.write(f"year,month,day,hour,temp\n2022,1,1,{len(s)},{ord(s[0])}\n")
+    (tmp_path / "C3.csv.gz").write_bytes(b"this is no gzip file")
+    want = spark.createDataFrame([("A1",), ("B2",), ("Z9",)], "station_id string")
+    got = ws.read_weather(spark, str(tmp_path), stations=want)
+    assert {(r.station_id, r.temp) for r in got.collect()} == {("A1", 65.0), ("B2", 66.0)}
+    (tmp_path / "C3.csv.gz").unlink()
+    old, ws.MAX_PICKED = ws.MAX_PICKED, 1
+    try:
+        far = ws.read_weather(spark, str(tmp_path), stations=want.where("station_id <> 'B2'"))
+        assert {r.station_id for r in far.collect()} == {"A1"}
+    finally:
+        ws.MAX_PICKED = old
+
+
+def test_ledger_holds_failed_and_repeated_runs(spark, tmp_path):
+    root = str(tmp_path / "root")
+    months = lambda: {(r.year, r.month) for r in complete_months(spark, root).collect()}
+    assert months() == set()
+    with recorded(spark, root, [(2022, 1), (2022, 2)]) as first:
+        pass
+    assert months() == {(2022, 1), (2022, 2)}
+    with pytest.raises(RuntimeError):
+        with recorded(spark, root, [(2022, 2), (2022, 3)]):
+            raise RuntimeError("lost")
+    assert months() == {(2022, 1)}  # the month that was being replaced is pending again
+    with recorded(spark, root, [(2022, 2)], {(2022, 2): "from"}) as again:
+        pass
+    rows = {(r.year, r.month): (r.run, r.source) for r in complete_months(spark, root).collect()}
+    assert rows == {(2022, 1): (first, None), (2022, 2): (again, "from")}
+
+
+def test_stream_and_batch_share_a_root(spark, tmp_path):
+    land = tmp_path / "land"
+    land.mkdir()
+    out = str(tmp_path / "out")
+    _month_csv(land / "jan.csv", 2022, 1, [(1, 1, "0700", 1.0, 0.0)])
+    with recorded(spark, out, [(2022, 1)]):
+        fs.write_flights(fs.read_flights_csv(spark, str(land)), out)
+    _month_csv(land / "more.csv", 2022, 1, [(2, 2, "0700", 1.0, 0.0), (3, 3, "0700", 1.0, 0.0)])
+    _month_csv(land / "feb.csv", 2022, 2, [(2, 4, "0700", 1.0, 0.0)])
+    ingest_monthly_drops(spark, str(land), out, str(tmp_path / "ck"))
+    assert {r.flight_number for r in fs.read_flights(spark, out).collect()} == {"1", "2", "3", "4"}
+    assert fs.read_flights(spark, out).count() == 4
+    assert {(r.year, r.month) for r in mo.existing_months(spark, out).collect()} == {(2022, 1), (2022, 2)}
+
+
 def test_stream_keeps_every_file_of_a_month(spark, tmp_path):
     land = tmp_path / "land"
     land.mkdir()
