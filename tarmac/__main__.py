@@ -62,6 +62,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--features", required=True)
     s.add_argument("--test-month", type=_month, required=True)
     s.add_argument("--out")
+    s.add_argument("--history", help="folder of kept totals, so that train rows are read once")
     for name, text in (("ridge", "90-day averages and ridge path"), ("trees", "boosted trees")):
         s = stage(name, text, months=False)
         s.add_argument("--features", required=True)
@@ -91,7 +92,8 @@ def run(args: argparse.Namespace, spark) -> object:
         after = f"{year + month // 12}-{month % 12 + 1:02d}-01"
         return jobs.write_eda(spark, args.features, args.out, f"{args.start}-01", after, min_flights=args.min_flights)
     if args.stage == "baseline":
-        return jobs.train_baseline(spark, args.features, _months(args.start, args.end), _months(args.test_month, args.test_month)[0], args.out)
+        return jobs.train_baseline(spark, args.features, _months(args.start, args.end), _months(args.test_month, args.test_month)[0], args.out,
+                                   history_root=args.history)
     job = jobs.train_ridge if args.stage == "ridge" else jobs.train_trees
     return [r.asDict() for r in job(spark, args.features, args.out).collect()]
 

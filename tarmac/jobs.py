@@ -165,20 +165,41 @@ def feature_checks(spark: SparkSession, features_root: str, months: Sequence[tup
     return tables
 
 
+def _renewed(spark: SparkSession, features_root: str, root: str) -> dict[tuple[int, int], str]:
+    """Complete months of features, with the run that wrote them, that ``root`` has not been
+    derived from yet."""
+    have = ledger.complete_months(spark, root).select("year", "month", F.col("source").alias("run"))
+    todo = ledger.complete_months(spark, features_root).select("year", "month", "run").join(have, ["year", "month", "run"], "left_anti")
+    return {(r.year, r.month): r.run for r in todo.orderBy("year", "month").collect()}
+
+
 def refresh_states(spark: SparkSession, features_root: str, states_root: str) -> list[tuple[int, int]]:
     """Bring the month states under ``states_root`` up to date: months of features that have
     none, or were written anew since, are read once; no other month is. Returns them."""
-    have = ledger.complete_months(spark, states_root).select("year", "month", F.col("source").alias("run"))
-    todo = ledger.complete_months(spark, features_root).select("year", "month", "run").join(have, ["year", "month", "run"], "left_anti")
-    sources = {(r.year, r.month): r.run for r in todo.collect()}
-    months = sorted(sources)
-    if months:
-        rows = _in_months(spark.read.parquet(features_root), months)
+    sources = _renewed(spark, features_root, states_root)
+    if sources:
+        rows = _in_months(spark.read.parquet(features_root), list(sources))
         states = profiles.month_states(rows, by=("year", "month"))
-        with recorded(spark, states_root, months, sources):
-            (states.coalesce(64).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        with recorded(spark, states_root, list(sources), sources):
+            (states.hint("rebalance", "year_read", "month_read").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("year_read", "month_read").parquet(states_root))
-    return months
+    return list(sources)
+
+
+def refresh_history(spark: SparkSession, features_root: str, history_root: str) -> list[tuple[int, int]]:
+    """The same for the tables of the 30-day predictor, ``totals`` and ``sums`` under
+    ``history_root``, by the month read and the month of the schedule."""
+    sources = _renewed(spark, features_root, history_root)
+    if sources:
+        read = {"year_read": F.col("year"), "month_read": F.col("month")}
+        rows = _in_months(spark.read.parquet(features_root), list(sources)).withColumns(read)
+        with recorded(spark, history_root, list(sources), sources):
+            for name, df in zip(("totals", "sums"), bl.history_tables(rows, tuple(read))):
+                for y, m in sources:
+                    drop_path(spark, f"{history_root}/{name}/year_read={y}/month_read={m}")
+                (df.hint("rebalance", *read, "year", "month").write.mode("append")
+                 .partitionBy(*read, "year", "month").parquet(f"{history_root}/{name}"))
+    return list(sources)
 
 
 def write_eda(spark: SparkSession, features_root: str, out_dir: str, start: str, end: str, **limits) -> dict[str, str]:
@@ -198,15 +219,23 @@ def write_eda(spark: SparkSession, features_root: str, out_dir: str, start: str,
 
 
 def train_baseline(spark: SparkSession, features_root: str, train_months: Sequence[tuple[int, int]],
-                   test_month: tuple[int, int], out_dir: str | None = None) -> dict:
-    """30-day baseline MAE and elastic-net MAE / RMSE; the model goes to ``out_dir``.
+                   test_month: tuple[int, int], out_dir: str | None = None, history_root: str | None = None) -> dict:
+    """30-day baseline MAE and elastic-net MAE / RMSE; the model goes to ``out_dir``. With
+    ``history_root`` the 30-day predictor reads tables kept there (brought up to date first)
+    instead of every train row.
     Returns ``{"files": {train, test, model}, "metrics": {...}}``; a month without
     features is an error that names it."""
     configure(spark)
     _require_months(spark, features_root, train_months, "train features")
     _require_months(spark, features_root, [test_month], "test features")
     df = spark.read.parquet(features_root)
-    scores, model = mdl.train_baseline(_in_months(df, train_months), _in_months(df, [test_month]))
+    train, test, rolled = _in_months(df, train_months), _in_months(df, [test_month]), None
+    if history_root:
+        refresh_history(spark, features_root, history_root)
+        ym = F.col("year_read") * 12 + F.col("month_read")
+        kept = [spark.read.parquet(f"{history_root}/{name}").where(ym.isin([y * 12 + m for y, m in train_months])) for name in ("totals", "sums")]
+        rolled = bl.rolling_30d_from_history(*kept, test)
+    scores, model = mdl.train_baseline(train, test, rolled)
     metrics = scores.first().asDict()
     if out_dir:
         sinks.save_metadata(spark, f"{out_dir}/baseline_delay", model)

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.operators.rolling import rolling_mean_bucketed
+from tarmac.operators.rolling import day_totals, rolling_mean_bucketed, rolling_mean_from_totals
 from tarmac.operators.sizing import broadcast_if_bounded
 
 ROUTE = ["carrier", "origin", "dest"]
@@ -72,17 +72,43 @@ def backfill_means(train: DataFrame):
     return route, carr, glob
 
 
+def history_tables(rows: DataFrame, by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """What the 30-day predictor needs of past rows, to be kept by month: (totals per route
+    and instant, sums per route). Both add up over months. ``by``: further columns to keep
+    apart, such as the month that a run has read."""
+    d, ts, keys = F.col("dep_delay_min").cast("double"), F.col("sched_dep_tstz"), [*ROUTE, *by]
+    sums = (rows.groupBy(*keys, F.year(ts).alias("year"), F.month(ts).alias("month"))
+            .agg(F.sum(d).alias("total"), F.count(d).alias("n")))
+    return day_totals(rows, keys, "sched_dep_tstz", "dep_delay_min"), sums
+
+
+def rolling_30d_from_history(totals: DataFrame, sums: DataFrame, test: DataFrame, days: int = 30) -> DataFrame:
+    """``rolling_30d_backfilled`` from kept tables of the train rows: reads the totals of the
+    30 days before the test rows and one row per route and month, no train row."""
+    cols = ROUTE + ["sched_dep_tstz", "dep_delay_min"]
+    rolled = rolling_mean_from_totals(totals, test.select(*cols), ROUTE, "sched_dep_tstz", "dep_delay_min",
+                                      days * SECONDS_PER_DAY * MICROS_PER_SECOND, MICROS_PER_SECOND, "trailing_avg")
+    from tarmac.session import written
+    mean = F.when(F.sum("n") > 0, F.sum("total") / F.sum("n"))
+    route = written(sums.groupBy(*ROUTE).agg(F.sum("total").alias("total"), F.sum("n").alias("n")), "route-sums")
+    return _backfilled(rolled, route.select(*ROUTE, F.when(F.col("n") > 0, F.col("total") / F.col("n")).alias("route_avg")),
+                       route.groupBy("carrier").agg(mean.alias("carrier_avg")), route.agg(mean.alias("overall_avg")).scalar())
+
+
+def _backfilled(rolled: DataFrame, route: DataFrame, carr: DataFrame, glob: Column) -> DataFrame:
+    # equality joins: a NULL key never finds a backfill row
+    out = rolled.join(route, ROUTE, "left").join(broadcast_if_bounded(carr), "carrier", "left")
+    return out.select(*ROUTE, "sched_dep_tstz", "dep_delay_min",
+                      F.coalesce("trailing_avg", "route_avg", "carrier_avg", glob).alias("yhat_baseline"))
+
+
 def rolling_30d_backfilled(train: DataFrame, test: DataFrame, days: int = 30) -> DataFrame:
     cols = ROUTE + ["sched_dep_tstz", "dep_delay_min"]
     all_rows = tagged_union(train.select(*cols), test.select(*cols))
     rolled = rolling_mean(all_rows, ROUTE, "sched_dep_tstz", "dep_delay_min", days,
                           wanted=F.col("split") == "test")
     route, carr, glob = backfill_means(train)
-    # equality joins: a NULL key never finds a backfill row
-    out = (rolled.join(route, ROUTE, "left")
-           .join(broadcast_if_bounded(carr), "carrier", "left"))
-    return out.select(*cols, F.coalesce("trailing_avg", "route_avg", "carrier_avg", glob)
-                      .alias("yhat_baseline"))
+    return _backfilled(rolled, route, carr, glob)
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -105,11 +131,9 @@ def rolling_avg_90d(history: DataFrame, new_data: DataFrame, cutoff: str,
     fb_keys = ["origin", "dest", "dep_hour_local"]
     # the three averages from one scan of the history (grouping sets);
     # grouping_id bits follow main_keys: 0 = main, 0b10001 = fallback, 0b11111 = all
-    from tarmac.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(hist.sparkSession)
-    g = (hist.groupingSets([main_keys, fb_keys, []], *main_keys)
-         .agg(F.avg("dep_delay_min").alias("_m"), F.grouping_id().alias("_gid"))
-         .checkpoint(eager=True))
+    from tarmac.session import written
+    g = written(hist.groupingSets([main_keys, fb_keys, []], *main_keys)
+                .agg(F.avg("dep_delay_min").alias("_m"), F.grouping_id().alias("_gid")), "averages-90d")
     avg_main = g.where(F.col("_gid") == 0).select(*main_keys, F.col("_m").alias("pred_main"))
     avg_fb = g.where(F.col("_gid") == 17).select(*fb_keys, F.col("_m").alias("pred_fallback"))
     glob = g.where(F.col("_gid") == 31).select("_m").scalar()

@@ -13,6 +13,8 @@ smaller delay, smaller flight id.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from tarmac.functions.timeparts import (
     crs_dep_hour, dow_sunday0, gap_seconds, hour_bin, hour_of, sched_dep_utc, to_ntz,
 )
 from tarmac.operators.sizing import broadcast_if_bounded
+from tarmac.session import scratch_path
 
 # Weather measures of an hourly observation, in output order.
 MEASURES = ["dwpt", "rhum", "prcp", "snow", "wdir", "wspd", "wpgt", "pres", "tsun", "temp"]
@@ -127,6 +130,32 @@ def build_features(flights: DataFrame, smap: DataFrame, weather: DataFrame,
     return out.select(*cols)
 
 
+def bucketed(df: DataFrame, cols: list[str], buckets: int, name: str) -> DataFrame:
+    """``df`` as a table in ``buckets`` buckets by ``cols``, sorted inside, in the shared scratch
+    folder: one shuffle when it is written, none in later joins on those columns."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    (df.repartition(buckets, *cols).write.format("parquet").bucketBy(buckets, *cols).sortBy(*cols)
+     .option("path", scratch_path(spark, table)).saveAsTable(table))
+    return spark.table(table)
+
+
+def bucketed_sides(flights: DataFrame, smap: DataFrame, weather: DataFrame, buckets: int, hour_basis: str = "session",
+                   radius_minutes: int = 30) -> tuple[DataFrame, DataFrame]:
+    """Deduplicated departures and reduced weather, bucketed alike by (station, hour bin). The
+    weather side serves every later build of the same months."""
+    fx = flight_dedup(calendar_features(flights_to_station(flights, smap), hour_basis))
+    wx = nearest_weather(weather, radius_minutes).withColumnRenamed("station_id", "wx_station")
+    return (bucketed(fx, ["station_id", "dep_hr_bin"], buckets, "departures"), bucketed(wx, ["wx_station", "bin"], buckets, "hourly_weather"))
+
+
+def join_bucketed(fx: DataFrame, wx: DataFrame, how: str = "left") -> DataFrame:
+    """Feature rows from two bucketed sides: a merge join of equal buckets, no exchange."""
+    j = fx.join(wx.hint("merge"), (fx.station_id == wx.wx_station) & (fx.dep_hr_bin == wx.bin), how)
+    return (j.withColumn("late_15", late_flag(F.col("dep_delay_min")))
+            .withColumn("sched_dep_tstz", to_ntz(F.col("sched_dep_tstz"))).select(*FEATURE_COLUMNS))
+
+
 def weather_coverage(flights: DataFrame, xwalk: DataFrame, weather: DataFrame,
                      dedupe: bool = False) -> DataFrame:
     """Flights (all, cancelled too) against every crosswalk station of the origin and that

@@ -297,10 +297,11 @@ def elastic_net_predict(rows: DataFrame, model: dict, out_col: str = "prediction
     return out.select(*[(F.col(f"_own_{c}") if c in own else F.col(c)).alias(c) for c in rows.columns], out_col)
 
 
-def train_baseline(train: DataFrame, test: DataFrame) -> tuple[DataFrame, dict]:
-    """(one row: 30-day rolling baseline MAE, elastic-net MAE and RMSE; the model)."""
+def train_baseline(train: DataFrame, test: DataFrame, rolled: DataFrame | None = None) -> tuple[DataFrame, dict]:
+    """(one row: 30-day rolling baseline MAE, elastic-net MAE and RMSE; the model).
+    ``rolled``: the 30-day predictions where they are at hand."""
     from tarmac.operators.baselines import rolling_30d_backfilled
-    base = mean_absolute_error(rolling_30d_backfilled(train, test), TARGET, "yhat_baseline")
+    base = mean_absolute_error(rolling_30d_backfilled(train, test) if rolled is None else rolled, TARGET, "yhat_baseline")
     scores, model = elastic_net_fit(train, test)
     b = base.first()["mae"]
     return scores.select(F.lit(b).cast("double").alias(BASELINE_30D_MAE), EN_MAE, EN_RMSE), model

@@ -16,6 +16,9 @@ running totals are built from day buckets:
 5. the upper and lower results are paired by one aggregation on (key, instant),
    in whose partitioning the wanted rows join back.
 
+``day_totals`` keeps step 1 as a table by month; ``rolling_mean_from_totals`` starts from it
+and reads the span of the frames only.
+
 Totals are kept of finite values, non-NULL values, NaN, +Inf and -Inf apart, so a
 special value counts while it is inside a frame and leaves no trace after it.
 Keys are one struct, in which a NULL equals a NULL. Results equal ``avg(value)
@@ -39,21 +42,57 @@ _INF = float("inf")
 _TOTALS = ["_s", "_c", "_nan", "_pos", "_neg"]
 
 
-def rolling_mean_bucketed(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str,
-                          span_micros: int, gap_micros: int, out_col: str,
-                          bucket_micros: int = MICROS_PER_DAY, wanted: Column | None = None) -> DataFrame:
-    key = F.struct(*keys)
-    t = F.unix_micros(F.col(ts_col).cast("timestamp"))
+def instant_totals(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str, wanted: Column | None = None) -> DataFrame:
+    """(_key, _t, totals, _w): one row per key and instant; ``_w``: some row there is wanted."""
     y = F.col("_y")
     special = F.isnan(y) | (F.abs(y) == _INF)
     want = F.lit(True) if wanted is None else F.coalesce(wanted, F.lit(False))
-    points = (df.select(key.alias("_key"), t.alias("_t"), F.col(value_col).cast("double").alias("_y"), want.alias("_w"))
-              .where("_t is not null").groupBy("_key", "_t")
-              .agg(F.sum(F.when(y.isNotNull() & ~special, y).otherwise(0.0)).alias("_s"), F.count("_y").alias("_c"),
-                   *[F.count_if(F.coalesce(cond, F.lit(False))).alias(n) for n, cond in (
-                       ("_nan", F.isnan(y)), ("_pos", y == _INF), ("_neg", y == -_INF))],
-                   F.max("_w").alias("_w")))
-    points = written(points, "rolling-points")
+    t = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    return (df.select(F.struct(*keys).alias("_key"), t.alias("_t"), F.col(value_col).cast("double").alias("_y"), want.alias("_w"))
+            .where("_t is not null").groupBy("_key", "_t")
+            .agg(F.sum(F.when(y.isNotNull() & ~special, y).otherwise(0.0)).alias("_s"), F.count("_y").alias("_c"),
+                 *[F.count_if(F.coalesce(cond, F.lit(False))).alias(n) for n, cond in (
+                     ("_nan", F.isnan(y)), ("_pos", y == _INF), ("_neg", y == -_INF))],
+                 F.max("_w").alias("_w")))
+
+
+def rolling_mean_bucketed(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str,
+                          span_micros: int, gap_micros: int, out_col: str,
+                          bucket_micros: int = MICROS_PER_DAY, wanted: Column | None = None) -> DataFrame:
+    points = written(instant_totals(df, keys, ts_col, value_col, wanted), "rolling-points")
+    rows = df if wanted is None else df.where(wanted)
+    return _with_means(rows, points, keys, ts_col, span_micros, gap_micros, out_col, bucket_micros)
+
+
+def day_totals(df: DataFrame, keys: Sequence[str], ts_col: str, value_col: str) -> DataFrame:
+    """The totals of every key and instant in a form to be kept: key columns, ``_t``, totals,
+    and the instant's ``year`` and ``month`` to partition by. Totals of different rows
+    add up, so a new month is appended."""
+    t = F.timestamp_micros("_t")
+    return (instant_totals(df, keys, ts_col, value_col).select(*[F.col(f"_key.{k}").alias(k) for k in keys], "_t", *_TOTALS)
+            .withColumns({"year": F.year(t), "month": F.month(t)}))
+
+
+def rolling_mean_from_totals(stored: DataFrame, rows: DataFrame, keys: Sequence[str], ts_col: str, value_col: str,
+                             span_micros: int, gap_micros: int, out_col: str, bucket_micros: int = MICROS_PER_DAY) -> DataFrame:
+    """The mean for ``rows`` over themselves and the kept totals of other rows. Only the
+    totals of the frames' span are read: months outside it are pruned."""
+    own = instant_totals(rows, keys, ts_col, value_col)
+    ends = rows.agg(F.min(F.unix_micros(F.col(ts_col).cast("timestamp"))).alias("a"), F.max(F.unix_micros(F.col(ts_col).cast("timestamp"))).alias("b")).first()
+    lo, hi = (ends.a or 0) - span_micros, ends.b or 0
+    month = lambda x: F.year(x) * 12 + F.month(x)
+    ym = F.col("year") * 12 + F.col("month")
+    part = (stored.where((ym >= month(F.timestamp_micros(F.lit(lo)))) & (ym <= month(F.timestamp_micros(F.lit(hi)))))
+            .where((F.col("_t") >= lo) & (F.col("_t") <= hi))
+            .select(F.struct(*keys).alias("_key"), "_t", *_TOTALS, F.lit(False).alias("_w")))
+    both = own.unionByName(part).groupBy("_key", "_t").agg(*[F.sum(c).alias(c) for c in _TOTALS], F.max("_w").alias("_w"))
+    return _with_means(rows, written(both, "rolling-points"), keys, ts_col, span_micros, gap_micros, out_col, bucket_micros)
+
+
+def _with_means(rows: DataFrame, points: DataFrame, keys: Sequence[str], ts_col: str, span_micros: int, gap_micros: int,
+                out_col: str, bucket_micros: int) -> DataFrame:
+    """``rows`` with the mean over the written ``points`` of their key."""
+    key, t = F.struct(*keys), F.unix_micros(F.col(ts_col).cast("timestamp"))
     at = F.col("_t")
     none = [F.lit(0.0), *[F.lit(0).cast("long")] * 4]
 
@@ -81,5 +120,5 @@ def rolling_mean_bucketed(df: DataFrame, keys: Sequence[str], ts_col: str, value
     mean = (F.when((c["_nan"] > 0) | ((c["_pos"] > 0) & (c["_neg"] > 0)), F.lit(float("nan")))
             .when(c["_pos"] > 0, F.lit(_INF)).when(c["_neg"] > 0, F.lit(-_INF)).otherwise(c["_s"] / c["_c"]))
     frame = frame.select("_key", "_at", F.when(c["_c"] > 0, mean).alias(out_col))
-    rows = (df if wanted is None else df.where(wanted)).withColumn("_key", key).withColumn("_at", t)
+    rows = rows.withColumn("_key", key).withColumn("_at", t)
     return rows.join(frame, ["_key", "_at"], "left").drop("_key", "_at")

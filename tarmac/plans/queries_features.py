@@ -100,6 +100,9 @@ query("features_inner", compose("select * from features_inner", "features_inner"
 query("features_left_ids", compose("select * exclude (year, month) from features_left_ids", "features_left_ids"))(
     lambda c: c.features("left", keep_ids=True))
 
+query("features_bucketed", compose("select * from features_left", "features_left"))(
+    lambda c: feat.join_bucketed(*feat.bucketed_sides(c.flights, c.smap, c.weather, 8)))
+
 # airport hours with their flights, times the airport's stations, times the readings of that hour
 cte("airport_hours", """
 select origin, case when hhmm // 100 < 24 and hhmm % 100 < 60 then flight_date + to_hours(cast(hhmm // 100 as bigint)) end as hour,

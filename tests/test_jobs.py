@@ -206,6 +206,17 @@ def test_train_baseline_on_partitioned_features(spark, tmp_path):
     again = mdl.elastic_net_predict(test, model)
     assert again.columns == [*test.columns, "prediction"] and again.select(*test.columns).exceptAll(test).isEmpty()
     assert math.isclose(again.agg(F.avg(F.abs(F.col("prediction") - F.col("dep_delay_min")))).first()[0], m["glmnet_mae"], abs_tol=1e-5)
+    # kept totals give the same baseline; a month that is written anew is read again, no other
+    from tarmac.sources.ledger import recorded
+    history = str(tmp_path / "history")
+    with recorded(spark, root, [*train_months, (2001, 1)]):
+        pass
+    kept = jobs.train_baseline(spark, root, train_months, (2001, 1), history_root=history)["metrics"]
+    assert kept == m
+    with recorded(spark, root, [(2000, 6)]):
+        pass
+    assert jobs.refresh_history(spark, root, history) == [(2000, 6)] and jobs.refresh_history(spark, root, history) == []
+    assert jobs.train_baseline(spark, root, train_months, (2001, 1), history_root=history)["metrics"] == m
     for months, test, what in (([*train_months, (2035, 1)], (2001, 1), "2035/month=1|year=2035"), (train_months, (2030, 1), "test features")):
         with pytest.raises(ValueError, match=what):
             jobs.train_baseline(spark, root, months, test)
