@@ -251,10 +251,15 @@ SPLITS = [("train", "2022-01-01", "2023-01-01"), ("validation", "2023-01-01", "2
 BASELINE_METRICS = "metrics_baseline_v2"
 
 
-def _study_rows(spark: SparkSession, features_root: str, study, splits) -> DataFrame:
-    rows = flt.chrono_split(flt.study_window(spark.read.parquet(features_root), *study), splits)
-    return written(rows.select("split", "dep_date", "month", mdl.TARGET, "sched_dep_tstz", "carrier", "origin", "dest",
-                               "dep_hour_local", "dow", "coco", "temp", "wspd", "rhum", "pres", "prcp", "wdir"), "study")
+#: what the models read of a feature row
+STUDY_COLUMNS = ["sched_dep_tstz", "carrier", "origin", "dest", "dep_hour_local", "dow", "coco", "temp", "wspd", "rhum", "pres",
+                 "prcp", "wdir", mdl.TARGET]
+
+
+def _study_rows(features: DataFrame, study, splits) -> DataFrame:
+    """Labelled study rows; hour and day of week are filled where the files lack them."""
+    rows = flt.chrono_split(flt.study_window(features, *study), splits)
+    return written(rows.select("split", "dep_date", "month", *STUDY_COLUMNS), "study")
 
 
 def train_ridge(spark: SparkSession, features_root: str, out_dir: str, study=STUDY, splits=SPLITS,
@@ -263,7 +268,8 @@ def train_ridge(spark: SparkSession, features_root: str, out_dir: str, study=STU
     ``split_counts``, ``metrics_baseline_v2``, ``predictions`` (by split) and
     ``ridge_model``; returns the metrics."""
     configure(spark)
-    sp = _study_rows(spark, features_root, study, splits)
+    features = flt.tolerant_select(spark.read.parquet(features_root), [*STUDY_COLUMNS, "year", "month"])
+    sp = _study_rows(features, study, splits)
     sinks.write_small_csv(flt.split_counts(sp), f"{out_dir}/split_counts")
     cut = {name: lo for name, lo, _ in splits}
     train, valid, test = (sp.where(F.col("split") == s) for s in ("train", "validation", "test"))
@@ -288,7 +294,8 @@ def train_trees(spark: SparkSession, features_root: str, out_dir: str, study=STU
     comparison."""
     configure(spark)
     # a run that was stopped goes on after its last finished block of rounds
-    res = mdl.gbt_run(_study_rows(spark, features_root, study, splits), max_rounds=max_rounds, folder=f"{out_dir}/tree_progress")
+    features = flt.require_columns(spark.read.parquet(features_root), STUDY_COLUMNS)
+    res = mdl.gbt_run(_study_rows(features, study, splits), max_rounds=max_rounds, folder=f"{out_dir}/tree_progress")
     metrics = written(res.metrics, "metrics")
     sinks.write_small_csv(metrics, f"{out_dir}/metrics_trees")
     both = sinks.append_metrics(spark, metrics, baseline_metrics or f"{out_dir}/{BASELINE_METRICS}")

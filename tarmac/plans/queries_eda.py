@@ -78,20 +78,16 @@ query("seasonality", _eda_sql(f"""
 select dep_hour_local, dow, round(avg({_POS}), 6) as mean_pos_delay, count(*) as n
 from ds_eda group by 1, 2"""))(lambda c: eda.seasonality(_ctx_eda(c)))
 
-_SUMMARY = f"""
-select origin, count(*) as n, round(avg({_POS}), 6) as mean_pos_delay,
-  round(avg(cast(late_15 as double)) * 100, 6) as late_15_pct
-from ds_eda group by origin having count(*) >= {MIN_ORIGIN_FLIGHTS}"""
+cte("origin_means", f"""
+select origin, count(*) as n, avg({_POS}) as exact, round(avg({_POS}), 6) as mean_pos_delay,
+  round(avg(cast(late_15 as double)) * 100, 6) as late_15_pct,
+  row_number() over (order by avg({_POS}) desc nulls last, origin) as place
+from ds_eda group by origin having count(*) >= {MIN_ORIGIN_FLIGHTS}""", ("ds_eda",))
 
-query("top_origins", _eda_sql(f"""
-select * from ({_SUMMARY}) s order by mean_pos_delay desc nulls last, origin limit 20"""))(
+query("top_origins", compose("select * exclude (exact, place) from origin_means where place <= 20", "origin_means"))(
     lambda c: eda.top_origins(_ctx_eda(c), MIN_ORIGIN_FLIGHTS, 20))
 
-query("airport_summary", _eda_sql(f"""
-select s.*, coalesce(t.top_label, false) as top_label
-from ({_SUMMARY}) s
-left join (select origin, true as top_label from ({_SUMMARY}) s2
-           order by mean_pos_delay desc nulls last, origin limit 15) t using (origin)"""))(
+query("airport_summary", compose("select * exclude (exact, place), place <= 15 as top_label from origin_means", "origin_means"))(
     lambda c: eda.airport_summary_labeled(_ctx_eda(c), MIN_ORIGIN_FLIGHTS, 15))
 
 
