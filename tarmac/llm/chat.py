@@ -19,7 +19,8 @@ Edge cases: a null text or role is empty; a null tree is a tree of its own; a
 parent that does not exist makes a root; messages in a cycle reach no root and
 give no conversation; repeated (tree, node) rows raise no error but each stands
 for the other, so give nodes that are unique in their tree (``chain`` numbers
-them); an empty table gives no conversations; other columns are ignored."""
+them; equal rows are turns of their own there); very long texts stay whole; an empty
+table gives no conversations; other columns are ignored, whatever their names."""
 
 from __future__ import annotations
 
@@ -52,13 +53,13 @@ def unescape(c: Column) -> Column:
 
 
 def escape_role(c: Column) -> Column:
-    """One line: a backslash doubles, a line end becomes backslash-n."""
-    return F.replace(F.replace(escape(c), F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
+    """One line: a backslash becomes backslash-s, a line end backslash-n, so a backslash is
+    always the first of two characters."""
+    return F.replace(F.replace(escape(c), F.lit("\\"), F.lit("\\s")), F.lit("\n"), F.lit("\\n"))
 
 
 def unescape_role(c: Column) -> Column:
-    plain = F.regexp_replace(F.regexp_replace(c, F.lit(r"\\\\"), F.lit("\u0000")), F.lit(r"\\n"), F.lit("\n"))
-    return unescape(F.replace(plain, F.lit("\u0000"), F.lit("\\")))
+    return unescape(F.replace(F.replace(c, F.lit("\\n"), F.lit("\n")), F.lit("\\s"), F.lit("\\")))
 
 
 def chain(rows: DataFrame, tree_col: str, turn_col: str, role_col: str = "role", text_col: str = "text") -> DataFrame:

@@ -42,6 +42,17 @@ def test_control_strings_survive_and_do_not_act(spark):
         assert r.formatted.count(chat.START) == len(mine)
 
 
+def test_roles_of_any_characters_repeated_rows_and_clashing_columns(spark):
+    roles = ["a\x00b", "\x00", "a\\nb", "a\nb", "\\", "\\\\n", "s\\s", "<|im_end|>\n", "[\\INST]", "user", "user"]
+    rows = [(1, 3, r, "same text") for r in roles] + [(1, 3, "user", "same text")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for c in ("tree", "node", "parent", "score", "t", "leaf", "rank", "p", "d"):
+        df = df.withColumn(c, F.lit("clash"))
+    (got,) = read_back(chat.formatted(chat.chain(df, "conv_id", "turn")))
+    assert [t.role for t in got.turns] == sorted(roles + ["user"], key=lambda r: r.encode()) and got.n_turns == 12
+    assert {t.text for t in got.turns} == {"same text"}
+
+
 def test_top_k_matches_brute_force(spark, odd_docs, no_docs):
     rng = random.Random(2)
     vocab = [f"w{int(rng.paretovariate(0.6))}" for _ in range(4000)]
