@@ -21,9 +21,14 @@ blocks and returns one row per linked class: its link count and the smallest cla
 it reaches in that task. Pairs themselves are never emitted, and components come
 from those rows.
 
+Labels are compared in their own type (numbers by value, texts as they are). Vectors are
+scaled by a power of two before any product, so very small and very large ones neither
+vanish nor overflow.
+
 Edge cases: null, zero, empty or non-finite vectors and null labels link with
 nothing; vectors of different lengths never link; repeated rows are vectors of
-their own; an empty table gives an empty result; other columns are ignored."""
+their own; an empty table gives an empty result; other columns are ignored, whatever
+their names."""
 
 from __future__ import annotations
 
@@ -31,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.llm.base import Scratch, components
 
@@ -38,8 +44,11 @@ THRESHOLD = 0.93
 SAMPLE = 20_000
 SUBSPACES = 16
 CODES = 256
-MAX_LISTS = 256
+#: sample vectors per coarse list at least; up to that the lists grow with the largest label
+PER_LIST = 8
 BLOCK = 1024
+#: distances computed at a time
+CELLS = 4_000_000
 EPS = 1e-6
 
 
@@ -57,7 +66,8 @@ def kmeans(x: np.ndarray, k: int, seed: int, rounds: int = 8) -> np.ndarray:
 
 
 def nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
-    return ((c * c).sum(1)[None] - 2 * x @ c.T).argmin(1)
+    step, own = max(1, CELLS // len(c)), (c * c).sum(1)[None]
+    return np.concatenate([(own - 2 * x[k:k + step] @ c.T).argmin(1) for k in range(0, len(x), step)] or [np.empty(0, np.int64)])
 
 
 class Index:
@@ -65,6 +75,8 @@ class Index:
 
     def __init__(self, sample: np.ndarray, lists: int):
         self.coarse = kmeans(sample, min(lists, len(sample)), 1)
+        square = (self.coarse ** 2).sum(1)
+        self.wide = np.sqrt(np.maximum(square[:, None] + square[None] - 2 * self.coarse @ self.coarse.T, 0))
         rest = sample - self.coarse[nearest(sample, self.coarse)]
         self.cuts = np.array_split(np.arange(sample.shape[1]), min(SUBSPACES, sample.shape[1]))
         self.books = [kmeans(rest[:, c], min(CODES, len(rest)), 2, 4) for c in self.cuts]
@@ -80,10 +92,10 @@ class Index:
     def probes(self, x: np.ndarray, own: np.ndarray, r: float) -> np.ndarray:
         """Mask (vector, list): lists at or after the own one that can hold a vector within r."""
         d = (x * x).sum(1)[:, None] + (self.coarse ** 2).sum(1)[None] - 2 * x @ self.coarse.T
-        gap = self.coarse[own][:, None] - self.coarse[None]
-        wide = np.sqrt((gap ** 2).sum(2))
+        wide = self.wide[own]
         plane = (d - d[np.arange(len(x)), own][:, None]) / (2 * np.maximum(wide, 1e-12))
-        return ((plane <= r + EPS) | (wide < 1e-9)) & (np.arange(len(self.coarse))[None] >= own[:, None])
+        # the distance of close centroids is the difference of large numbers: such lists are probed
+        return ((plane <= r + EPS) | (wide < 1e-4)) & (np.arange(len(self.coarse))[None] >= own[:, None])
 
     def distances(self, q: np.ndarray, list_id: int, codes: np.ndarray) -> np.ndarray:
         """Squared distances of queries to the codes of one list, by table look-up."""
@@ -96,7 +108,13 @@ class Index:
         return out
 
 
+def _scaled(v: np.ndarray) -> np.ndarray:
+    """Rows times a power of two: the same directions, the largest entry near one."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(1))[1][:, None])
+
+
 def _unit(v: np.ndarray) -> np.ndarray:
+    v = _scaled(v)
     return v / np.sqrt((v * v).sum(1))[:, None]
 
 
@@ -122,7 +140,7 @@ def _index_rows(index: dict[int, Index], r: float):
                         out += [(*key, c, False, v, None, None) for c in np.flatnonzero(probe[k]).tolist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 9, (
-                    pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.float64()))],
+                    pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.float64()))],
                 ["cls", "label", "dim", "copies", "list", "member", "v", "codes", "err"])
     return work
 
@@ -136,8 +154,8 @@ def _compare(index: dict[int, Index], threshold: float, r: float):
                 qid, xid = np.array(row["qid"]), np.array(row["xid"])
                 codes = np.frombuffer(b"".join(row["xcodes"]), np.uint8).reshape(len(x), -1)
                 err = np.array(row["xerr"])
-                qu, xu = _unit(q), _unit(x)
-                dist = ix.distances(qu, row["list"], codes)
+                q, x = _scaled(q), _scaled(x)
+                dist = ix.distances(_unit(q), row["list"], codes)
                 near = np.sqrt(np.maximum(dist, 0)) - err[None] <= r + 1e-4  # float32 tables
                 # inside the own list every pair shows up twice: once is enough
                 near &= (np.array(row["qown"])[:, None] != row["list"]) | (qid[:, None] < xid[None])
@@ -166,6 +184,18 @@ def _compare(index: dict[int, Index], threshold: float, r: float):
     return work
 
 
+def label_text(df: DataFrame, col: str) -> F.Column:
+    """A label as a text that is equal exactly where the labels are."""
+    kind, c = df.schema[col].dataType, F.col(col)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        c = c + F.lit(0.0)  # one zero
+    elif isinstance(kind, T.BinaryType):
+        return F.hex(c)
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.when(c.isNotNull(), F.to_json(F.struct(c)))
+    return c.cast("string")
+
+
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
                  threshold: float = THRESHOLD, lists: int | None = None) -> DataFrame:
     """``id_col, n_links, component_id, kept`` of every row."""
@@ -173,7 +203,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     v = F.col("v")
     fine = (F.col("label").isNotNull() & F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0)
             & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0))
-    rows = scratch.put(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"),
+    rows = scratch.put(vectors.select(F.col(id_col).cast("long").alias("id"), label_text(vectors, label_col).alias("label"),
                                       F.col(vec_col).cast("array<double>").alias("v"))
                        .withColumn("ok", F.coalesce(fine, F.lit(False)))
                        .withColumn("key", F.when(F.col("ok"), F.sha2(F.concat_ws(",", F.col("label"), F.transform(
@@ -183,7 +213,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
                                                   F.first("v").alias("v"), F.count("*").alias("copies")), "classes")
     r = float(np.sqrt(2 - 2 * threshold))
     largest = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    k = lists or int(min(MAX_LISTS, max(1, round(largest ** 0.5 / 8))))
+    k = lists or max(1, min(SAMPLE // PER_LIST, round(largest ** 0.5 / 8)))
     index: dict[int, Index] = {}
     for row in classes.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).collect():  # vector lengths: one or a few
         # a hashed share of a little less than SAMPLE vectors (all, if there are fewer): no task sends more than its part
@@ -193,7 +223,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         part = part.select("key", "v").toPandas().sort_values("key")
         index[row.d] = Index(_unit(np.array(part.v.tolist(), np.float64)), k)
     placed = scratch.put(classes.select("cls", "label", "v", "copies").mapInArrow(
-        _index_rows(index, r), "cls long, label long, dim int, copies long, list int, member boolean, v binary, codes binary, err double"),
+        _index_rows(index, r), "cls long, label string, dim int, copies long, list int, member boolean, v binary, codes binary, err double"),
         "placed")
     at = ["label", "dim", "list"]
     blocks = placed.groupBy(*at, "member").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
@@ -203,7 +233,10 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     own = placed.where("member").select("cls", F.col("list").alias("own"))
     q = (packed.where(~F.col("member")).join(own, "cls").groupBy(*at, F.col("block").alias("qblock")).agg(
         *[F.collect_list(c).alias(n) for c, n in (("cls", "qid"), ("v", "qv"), ("own", "qown"), ("copies", "qcopies"))]))
-    found = scratch.put(x.join(q, at).drop("label", "block", "qblock").mapInArrow(
+    # every block of probing vectors meets every block of the list, as rows of their own key: a
+    # list that holds a third of all vectors is spread over its blocks
+    of = blocks.where("member").select(*at, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    found = scratch.put(x.join(q.join(of, at), [*at, "block"]).drop("label", "block", "qblock").mapInArrow(
         _compare(index, threshold, r), "cls long, links long, low long"), "found")
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
     comp = components(found.select(F.col("cls").alias("a"), F.col("low").alias("b")), scratch)

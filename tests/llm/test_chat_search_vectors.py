@@ -117,3 +117,42 @@ def test_vector_links_match_brute_force(spark):
         got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(df, lists=lists).collect()}
         assert got == {i: (len(links[i]), comp[i], comp[i] == i) for i in links}
     assert vectors.near_vectors(df.limit(0)).collect() == []
+
+
+def linked(spark, rows, kind="string"):
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")
+    return sorted(((r.vec_id, r.n_links, r.component_id) for r in vectors.near_vectors(df).collect()), key=str)
+
+
+def test_tiny_and_huge_vectors_link_by_direction(spark):
+    """A vector's length says nothing: 1e-200 and 1e200 times a vector link with it, and one
+    odd vector takes no other's links."""
+    base = [1.0, 2.0, -3.0, 0.5]
+    rows = [(i, [c * s for c in base], "a") for i, s in enumerate([1.0, 2.0, 1e-200, 1e200, 1e-310, 3.0])]
+    rows += [(6, [1e-200, 0.0, 0.0, 0.0], "a"), (7, [0.0, 5e-324, 0.0, 0.0], "a"), (8, [0.0, 1e308, 0.0, 0.0], "a"), (9, [0.0] * 4, "a")]
+    want = [(i, 5, 0) for i in range(6)] + [(6, 0, 6), (7, 1, 7), (8, 1, 7), (9, 0, 9)]
+    assert linked(spark, rows) == want
+
+
+def test_labels_are_compared_in_their_own_type(spark):
+    v, far = [1.0, 2.0], [2.0, -1.0]
+    assert linked(spark, [(1, v, 1.2), (2, v, 1.7), (3, v, 1.2), (4, v, 0.0), (5, v, -0.0), (6, v, None)], "double") == [
+        (1, 1, 1), (2, 0, 2), (3, 1, 1), (4, 1, 4), (5, 1, 4), (6, 0, 6)]
+    assert linked(spark, [(1, v, "x"), (2, v, "X"), (3, v, "x"), (4, v, "1"), (5, v, "1.0"), (6, v, ""), (7, v, "")]) == [
+        (1, 1, 1), (2, 0, 2), (3, 1, 1), (4, 0, 4), (5, 0, 5), (6, 1, 6), (7, 1, 6)]
+    assert linked(spark, [(1, v, [1]), (2, v, [1]), (3, v, [2])], "array<int>") == [(1, 1, 1), (2, 1, 1), (3, 0, 3)]
+    # a repeated id: every row has its own count, the ids share a component where they link
+    assert linked(spark, [(1, v, "x"), (1, v, "x"), (1, far, "x"), (2, v, "x")]) == [(1, 0, 1), (1, 2, 1), (1, 2, 1), (2, 2, 1)]
+
+
+def test_a_list_of_many_blocks_keeps_every_link(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "BLOCK", 8)
+    rng = np.random.default_rng(6)
+    e = rng.normal(size=(90, 6))
+    e[30:] = e[:60] + rng.normal(size=(60, 6)) * 0.1
+    rows = [(i, v.tolist(), "hot") for i, v in enumerate(e)]
+    u = e / np.linalg.norm(e, axis=1)[:, None]
+    want = ((u @ u.T) >= 0.93).sum(1) - 1
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    for lists in (1, 5):
+        assert {r.vec_id: r.n_links for r in vectors.near_vectors(df, lists=lists).collect()} == dict(enumerate(want.tolist()))
