@@ -1,40 +1,47 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
 A token is predicted in the restaurant of its context, the token before it. A
-restaurant's parent is that of the context's ending (its last two letters), whose
-parent is the root; below the root all V + 1 types are alike. Contexts are dealt
-into 2**16 restaurants by hashes of ending (256 classes) and word (256 per class),
-so contexts of any frequency share one, and the totals of all restaurants stay a
-vector of fixed size, however large the corpus. Every token of the training texts
-is a customer.
-
-All customers of one dish (predicted word) in all restaurants meet in one
-partition, so the seating of a dish, from its context restaurants up to the root,
-is sampled without exchange. A Gibbs step takes the customers of one dish out of
-a restaurant and seats them again one by one: at a new table with probability
-proportional to (strength + discount x tables) x parent's predictive, else at an
-occupied one; each new table is a customer of the parent. Customers beyond the
-64th come in blocks of i/32 that share one probability. During the sweeps
-the restaurants' table totals stand at their first values; the predictive of each
-kept sample uses the totals of that very sample (one aggregate of fixed size
-between two replays of the same seeded chain), so a restaurant's probabilities add
-up to one. Scores take the mean of the samples' predictives.
-
-Steps: scan tasks cut texts into chunks and send every partition one block of a
-chunk's words, contexts and text numbers; partitions answer with one sum per chunk
-and text. A frequent word's occurrences are dealt out by chunk over partitions of
-their own (which words, tells a sample of texts; it steers the dealing only). Their
-counts per context, at most 2**16 of them, are added up and joined back to each of
-these partitions, which then run the same seeded chain; one of them reports totals.
-Discounts are n1 / (n1 + 2 n2) of each level's first customers.
+restaurant's parent is that of the context's ending (its last two letters, 256 classes),
+whose parent is the root; below the root all V + 1 types are alike. Every context has a
+restaurant of its own, known by 64 bits, and every token of the training texts is a
+customer: what is kept grows with the corpus.
+
+Customers of one dish (predicted word) meet in one partition, so the seating of a dish,
+from its context restaurants up to the root, is sampled there. A Gibbs sweep takes
+the customers of every dish out of their restaurants and seats them again one by one: at
+a new table with probability proportional to (strength + discount x tables) x parent's
+predictive, else at an occupied one; each new table is a customer of the parent.
+Customers beyond the 64th come in blocks of i/32 that share one probability. After a
+sweep the totals of all restaurants (customers, tables) are added up and the next sweep
+starts from them, so a sweep is synchronous over dishes. Scores take the mean of the
+kept sweeps' predictives, each under its own totals, so that a restaurant's probabilities
+add up to one.
+
+Totals of restaurants travel in two ways. The ``KNOWN`` most frequent contexts of a sample
+have numbers; theirs are a vector of that size. All other contexts' totals are a
+table: each partition sends its contexts' parts to hashed buckets, a bucket adds them up and
+sends every partition the totals of the contexts it holds, joined to its rows. Which
+contexts have numbers changes the way, no result.
+
+Steps: scan tasks cut texts into chunks and send every partition one block of a chunk's
+words, contexts and text numbers; partitions answer with one sum per chunk and text. A
+frequent word's occurrences in numbered contexts are dealt out by chunk over partitions of
+their own, which share its counts (at most ``KNOWN`` contexts); those in other contexts
+go to the partition of the context. Its upper levels, one number per ending, are seated
+once a sweep from the sums of all partitions. The sweeps are seeded and replayed by
+later passes instead of being stored. Discounts are n1 / (n1 + 2 n2) of each level's first
+customers.
 
 Edge cases: a null or empty text is its end token alone; repeated rows are texts
 of their own; a null id counts as the empty text for the split; without training
-texts all scores are 0; an empty table gives an empty result; other columns are
-ignored. Words are compared by 64-bit hashes."""
+texts all scores are 0; very long texts are chunks of their own; an empty table gives an
+empty result; other columns are ignored, whatever their names. Words are compared by
+64-bit hashes, contexts by 56 bits of them and their ending."""
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -46,13 +53,16 @@ from tarmac.llm.base import Scratch
 
 CHUNK_WORDS = 700_000
 CHUNK_DOCS = 30_000  # text numbers have 15 bits, the 16th marks held-out texts
-PART_BYTES = 8 << 20
+PART_BYTES = 16 << 20
 #: words of at least this share of a sample of about so many texts get partitions of their own
-HOT_SHARE, SAMPLE_TEXTS, HOT_TOKENS = 0.001, 2_000, 1_000_000
-FINE, COARSE = 1 << 16, 1 << 8
+HOT_SHARE, SAMPLE_TEXTS, HOT_TOKENS = 0.001, 8_000, 1_000_000
+#: contexts that have numbers, and the number that stands for any other
+KNOWN, OTHER = (1 << 16) - 1, (1 << 16) - 1
+ENDINGS = 256
 STRENGTH = (10.0, 5.0, 2.0)  # root, endings, contexts
-BURN_IN, SAMPLES = 2, 3
+BURN_IN, SAMPLES = 1, 2
 _END = np.uint64(0xD6E8FEB86659FD93)
+_START = np.uint64(0)  # the context of a text's first token
 _HELD = np.uint16(1 << 15)
 _ANSWER = 1  # marks rows of sums; heads have parts below 0
 _zip = pa.Codec("zstd")
@@ -68,55 +78,85 @@ def _get(b: bytes, kind) -> np.ndarray:
     return np.frombuffer(_zip.decompress(b[8:], n, asbytes=True) if n else b"", kind)
 
 
-def hot_words(texts: DataFrame, n_texts: int, tokens: float) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of frequent words, sorted, and the number of partitions of each."""
-    def work(batches):
-        for b in batches:
-            for _, _, data, offs in textops.slices(b.column(0)):
-                words, rows = textops.word_hashes(data, offs)
-                w, n = np.unique(np.append(words, np.full(len(rows) - 1, _END)), return_counts=True)
-                some = n >= HOT_SHARE * n.sum() / 8  # a frequent word is not far below its share in any slice
-                yield pa.RecordBatch.from_arrays([pa.array(np.append(w[some], np.uint64(0)).view(np.int64)), pa.array(np.append(n[some], n.sum()))], ["w", "n"])
+def context_keys(words: np.ndarray, endings: np.ndarray) -> np.ndarray:
+    """56 bits of a word's hash and the class of its ending."""
+    return (words & ~np.uint64(255)) | (endings & np.uint64(255))
+
+
+class Frequent:
+    """Frequent words (hashes, sorted) with their numbers of partitions, and the numbered
+    contexts (keys, sorted). A sample tells them; they steer ways, not results."""
+
+    def __init__(self, texts: DataFrame, n_texts: int, tokens: float, numbered: int = KNOWN):
+        def work(batches):
+            for b in batches:
+                for _, _, data, offs in textops.slices(b.column(0)):
+                    words, rows = textops.word_hashes(data, offs)
+                    key, n = np.unique(context_keys(words, textops.word_endings(data, offs)), return_counts=True)
+                    w, m = np.unique(np.append(words, np.full(len(rows) - 1, _END)), return_counts=True)
+                    some = m >= HOT_SHARE * m.sum() / 8  # a frequent word is not far below its share in any slice
+                    for kind, x, c in ((0, key, n), (1, w[some], m[some]), (2, np.zeros(1, np.uint64), m.sum(keepdims=True))):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int32)), pa.array(x.view(np.int64)), pa.array(c)], ["kind", "w", "n"])
+
+        share = max(1, n_texts // SAMPLE_TEXTS)
+        seen = texts.where(F.pmod(F.xxhash64("id", "text"), F.lit(share)) == 0).select("text").mapInArrow(work, "kind int, w long, n long")
+        count = Scratch(texts.sparkSession, "lm-sample").put(seen.groupBy("kind", "w").agg(F.sum("n").alias("n")), "counts")
+        keys = [r.w for r in count.where("kind = 0").orderBy(F.desc("n"), "w").limit(max(0, numbered - 1)).select("w").collect()]
+        total = (count.where("kind = 2").first() or {"n": 0})["n"]
+        hot = count.where((F.col("kind") == 1) & (F.col("n") >= HOT_SHARE * total)).collect()  # at most 1 / HOT_SHARE
+        hot.sort(key=lambda r: r.w & (2**64 - 1))
+        self.words = np.array([r.w for r in hot], np.int64).view(np.uint64)
+        self.spread = np.array([max(1, -(-r.n / total * tokens // HOT_TOKENS)) for r in hot], np.int64)
+        self.known = np.unique(np.append(np.array(keys, np.int64).view(np.uint64), _START))
+        self.known_end = (self.known & np.uint64(255)).astype(np.int64)
+
+    def hot_index(self, words: np.ndarray) -> np.ndarray:
+        """Place among the frequent words, -1 for others."""
+        return _find(self.words, words)
 
-    share = max(1, n_texts // SAMPLE_TEXTS)
-    seen = texts.where(F.pmod(F.xxhash64("id"), F.lit(share)) == 0).select("text").mapInArrow(work, "w long, n long")
-    count = {r.w: r.n for r in seen.groupBy("w").agg(F.sum("n").alias("n")).collect()}  # at most 8 / HOT_SHARE words a slice
-    total = count.pop(0, 0)
-    hot = sorted(w & (2**64 - 1) for w, n in count.items() if n >= HOT_SHARE * total)
-    shares = [count[w - 2**64 if w >= 2**63 else w] / total for w in hot]
-    return np.array(hot, np.uint64), np.array([max(1, -(-s * tokens // HOT_TOKENS)) for s in shares], np.int64)
 
+def _find(table: np.ndarray, x: np.ndarray) -> np.ndarray:
+    if not len(table):
+        return np.full(len(x), -1)
+    at = np.minimum(np.searchsorted(table, x), len(table) - 1)
+    return np.where(table[at] == x, at, -1)
 
-def _chunk_rows(chunk: int, parts: int, hot: tuple, ids: list, sizes: list, held: list, hashes: list, contexts: list):
+
+def _spread(h: np.ndarray, parts: int) -> np.ndarray:
+    return (((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+
+
+def _chunk_rows(chunk: int, parts: int, often: Frequent, ids: list, sizes: list, held: list, hashes: list, contexts: list):
     """Blocks of one chunk, and its texts as a part of their own."""
-    h, ctx = np.concatenate(hashes), np.concatenate(contexts)
+    h, key = np.concatenate(hashes), np.concatenate(contexts)
     n = np.array(sizes, np.int64)
     if len(n) > _HELD:
         raise ValueError(f"{len(n)} texts in a chunk, their numbers have 15 bits")
+    yield (-1 - chunk, chunk, _put(np.array([-1 if i is None else i for i in ids], np.int64)), _put(n),
+           _put(np.array(held, bool)), _put(np.array([i is None for i in ids], bool)), _put(np.empty(0)))
     doc = np.repeat(np.arange(len(n), dtype=np.uint16) | np.where(held, _HELD, np.uint16(0)).astype(np.uint16), n)
+    ctx, hot = _find(often.known, key), often.hot_index(h)
+    part = _spread(h, parts)
+    apart = (hot >= 0) & (ctx < 0)  # a frequent word in a context without a number
+    part[apart] = _spread(textops.mix64(key[apart]), parts)
+    shared = (hot >= 0) & (ctx >= 0)
+    place = int(textops.mix64(np.array([chunk], np.uint64))[0] >> np.uint64(1))
+    first = np.cumsum(often.spread) - often.spread
+    part[shared] = parts + first[hot[shared]] + place % often.spread[hot[shared]]
     by = np.argsort(h, kind="stable")
-    h, ctx, doc = h[by], ctx[by], doc[by]
-    part = ((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-    cut = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
-    yield (-1 - chunk, chunk, _put(np.array([-1 if i is None else i for i in ids], np.int64)), _put(n),
-           _put(np.array(held, bool)), _put(np.array([i is None for i in ids], bool)))
-    words, spread = hot
-    cold = np.ones(len(h), bool)
-    place = int(textops.mix64(np.array([chunk], np.uint64))[0])
-    for k, (a, b) in enumerate(zip(np.searchsorted(h, words), np.searchsorted(h, words, "right"))):
-        if b > a:
-            cold[a:b] = False
-            p = parts + int(spread[:k].sum()) + place % int(spread[k])
-            yield p, chunk, _put(words[k:k + 1]), _put(np.array([b - a], np.uint32)), _put(ctx[a:b]), _put(doc[a:b])
-    for p in range(parts):
-        at = slice(cut[p], cut[p + 1])
-        mine = cold[at]
-        if mine.any():
-            some, count = np.unique(h[at][mine], return_counts=True)
-            yield p, chunk, _put(some), _put(count.astype(np.uint32)), _put(ctx[at][mine]), _put(doc[at][mine])
-
-
-_BLOCK = ["part", "chunk", "a", "b", "c", "d"]
+    by = by[np.argsort(part[by].astype(np.int16) if part.max(initial=0) < 1 << 15 else part[by], kind="stable")]
+    h, part, ctx, key, doc = h[by], part[by], ctx[by], key[by], doc[by]
+    cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part)) if len(part) else [0]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        some, count = np.unique(h[a:b], return_counts=True)
+        mine = ctx[a:b]
+        yield (int(part[a]), chunk, _put(some), _put(count.astype(np.uint32)), _put(np.where(mine < 0, OTHER, mine).astype(np.uint16)),
+               _put(doc[a:b]), _put(key[a:b][mine < 0]))
+
+
+_BLOCK = ["part", "chunk", "a", "b", "c", "d", "e"]
+_BLOCK_KINDS = (pa.int64(), pa.int64(), *[pa.binary()] * 5)
+_BLOCK_SCHEMA = "part long, chunk long, a binary, b binary, c binary, d binary, e binary"
 
 
 def _batch(rows: list, names, kinds) -> pa.RecordBatch:
@@ -124,9 +164,7 @@ def _batch(rows: list, names, kinds) -> pa.RecordBatch:
                                       list(names))
 
 
-def _blocks(parts: int, hot: tuple):
-    kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 4)
-
+def _blocks(parts: int, often: Frequent):
     def work(batches):
         task, seq = TaskContext.get().partitionId(), 0
         held = [[], [], [], [], []]
@@ -135,67 +173,99 @@ def _blocks(parts: int, hot: tuple):
             ids, out = b.column(0).to_pylist(), b.column(2).to_pylist()
             for lo, hi, data, offs in textops.slices(b.column(1)):
                 words, rows = textops.word_hashes(data, offs)
-                ending = textops.word_endings(data, offs)
-                fine = ((ending & np.uint64(255)) << np.uint64(8) | (words & np.uint64(255))).astype(np.uint16)
+                keys = context_keys(words, textops.word_endings(data, offs))
                 for i in range(lo, hi):
                     x, y = rows[i - lo], rows[i - lo + 1]
                     held[0].append(ids[i])
                     held[1].append(y - x + 1)
                     held[2].append(out[i])
                     held[3] += [words[x:y], [_END]]
-                    held[4] += [np.zeros(1, np.uint16), fine[x:y]]
+                    held[4] += [[_START], keys[x:y]]
                     size += y - x + 1
                     if len(held[0]) == CHUNK_DOCS:  # in the middle of a slice: a slice may hold any number of short texts
-                        yield _batch(list(_chunk_rows(task << 24 | seq, parts, hot, *held)), _BLOCK, kinds)
+                        yield _batch(list(_chunk_rows(task << 24 | seq, parts, often, *held)), _BLOCK, _BLOCK_KINDS)
                         held, size, seq = [[], [], [], [], []], 0, seq + 1
                 if size >= CHUNK_WORDS:
-                    yield _batch(list(_chunk_rows(task << 24 | seq, parts, hot, *held)), _BLOCK, kinds)
+                    yield _batch(list(_chunk_rows(task << 24 | seq, parts, often, *held)), _BLOCK, _BLOCK_KINDS)
                     held, size, seq = [[], [], [], [], []], 0, seq + 1
         if held[0]:
-            yield _batch(list(_chunk_rows(task << 24 | seq, parts, hot, *held)), _BLOCK, kinds)
+            yield _batch(list(_chunk_rows(task << 24 | seq, parts, often, *held)), _BLOCK, _BLOCK_KINDS)
 
     return work
 
 
-_STATE = "part long, words binary, entry_word binary, entry_ctx binary, counts binary, chunks binary, cuts binary, entry binary, doc binary"
+_STATE = ("part long, words binary, entry_word binary, entry_ctx binary, counts binary, others binary, chunks binary, cuts binary, "
+          "entry binary, doc binary")
+_STATE_NAMES = [x.split()[0] for x in _STATE.split(", ")]
+_STATE_KINDS = (pa.int64(), *[pa.binary()] * 9)
 
 
 def _merge(key, table):
     """One partition's dishes: distinct (word, context) entries with training
-    counts, and where each occurrence belongs."""
+    counts, and where each occurrence belongs. Contexts without a number follow the
+    numbered ones, in the order of their keys."""
     chunks = np.array(table.column("chunk").to_pylist(), np.int64)
-    words, count, ctx, doc = ([_get(x.as_py(), k) for x in table.column(c)]
-                              for c, k in zip("abcd", (np.uint64, np.uint32, np.uint16, np.uint16)))
+    words, count, ctx, doc, other = ([_get(x.as_py(), k) for x in table.column(c)]
+                                     for c, k in zip("abcde", (np.uint64, np.uint32, np.uint16, np.uint16, np.uint64)))
     every, at = np.unique(np.concatenate(words), return_inverse=True)
-    occ = np.repeat(at, np.concatenate(count)).astype(np.int64) << 16 | np.concatenate(ctx).astype(np.int64)
+    cuts = np.append(0, np.cumsum([len(x) for x in ctx]))
+    where = np.concatenate(ctx).astype(np.int64)
+    others, place = np.unique(np.concatenate(other), return_inverse=True)
+    where[where == OTHER] = KNOWN + place
+    occ = np.repeat(at, np.concatenate(count)).astype(np.int64) << 32 | where
+    del at, where, place
     entries, entry = np.unique(occ, return_inverse=True)
     doc = np.concatenate(doc)
     counts = np.bincount(entry[(doc & _HELD) == 0], minlength=len(entries)).astype(np.uint32)
-    cuts = np.append(0, np.cumsum([len(x) for x in ctx]))
-    row = (key[0].as_py(), _put(every), _put((entries >> 16).astype(np.uint32)), _put((entries & 0xFFFF).astype(np.uint16)),
-           _put(counts), _put(chunks), _put(cuts), _put(entry.astype(np.uint32)), _put(doc & ~_HELD))
-    names = [x.split()[0] for x in _STATE.split(", ")]
-    return pa.Table.from_batches([_batch([row], names, (pa.int64(), *[pa.binary()] * 8))])
+    row = (key[0].as_py(), _put(every), _put((entries >> 32).astype(np.uint32)), _put((entries & 0xFFFFFFFF).astype(np.uint32)),
+           _put(counts), _put(others), _put(chunks), _put(cuts), _put(entry.astype(np.uint32)), _put(doc & ~_HELD))
+    return pa.Table.from_batches([_batch([row], _STATE_NAMES, _STATE_KINDS)])
+
+
+class Totals:
+    """Totals of all restaurants after a sweep, but for the contexts without a number:
+    ``c2, t2`` by numbered context, ``c1, t1`` by ending, ``c0, t0`` of the root, and the
+    predictives of the frequent words by ending (``hot``) with their customers."""
+
+    def __init__(self, c2, t2, c1, t1, t0, hot_c1, hot_t1, hot_t0, disc, base):
+        self.c2, self.t2, self.c1 = c2, t2, c1
+        hot_c0 = hot_t1.sum(1)
+        self.t1 = t1 + hot_t1.sum(0)
+        self.c0, self.t0 = float(self.t1.sum()), float(t0 + hot_t0.sum())
+        s, self.disc, self.base = STRENGTH, disc, base
+        self.hot_p0 = (hot_c0 - disc[0] * hot_t0 + (s[0] + disc[0] * self.t0) * base) / (s[0] + self.c0)
+        self.hot_p1 = (hot_c1 - disc[1] * hot_t1 + (s[1] + disc[1] * self.t1)[None] * self.hot_p0[:, None]) / (s[1] + self.c1)[None]
 
 
 class Dishes:
     """The three levels of one partition: words, (word, ending), (word, context).
-    A partition of a frequent word takes the word's counts from all its partitions."""
+    A partition of a frequent word takes the word's counts from all its partitions.
+    Frequent words' upper levels are not local: they come with the totals."""
 
-    def __init__(self, row: dict):
-        self.seed, self.counted = [7, row["part"]], True
+    def __init__(self, row: dict, often: Frequent):
+        self.part, self.counted, self.seed = row["part"], True, [7, 0, row["part"] & (2**63 - 1)]
         self.at = None  # where the partition's own entries stand
-        self.n_words = len(_get(row["words"], np.uint64))
+        self.words = _get(row["words"], np.uint64)
         self.word = _get(row["entry_word"], np.uint32).astype(np.int64)
-        self.ctx = _get(row["entry_ctx"], np.uint16).astype(np.int64)
+        self.ctx = _get(row["entry_ctx"], np.uint32).astype(np.int64)
         self.c2 = _get(row["counts"], np.uint32).astype(np.int64)
+        self.others = _get(row["others"], np.uint64)
         if row.get("owner") is not None:
             every = sorted(row["everywhere"], key=lambda x: x["ctx"])
             own, self.ctx = self.ctx, np.array([x["ctx"] for x in every], np.int64)
             self.c2, self.word = np.array([x["c"] for x in every], np.int64), np.zeros(len(every), np.int64)
             self.at = np.searchsorted(self.ctx, own)
-            self.seed, self.counted = [7, 1, int(_get(row["words"], np.uint64)[0])], row["owner"] == row["part"]
-        pair, self.up = np.unique(self.word << 8 | self.ctx >> 8, return_inverse=True)
+            self.seed, self.counted = [7, 1, int(self.words[0])], row["owner"] == row["part"]
+        end = np.zeros(KNOWN + len(self.others), np.int64)
+        end[:len(often.known)] = often.known_end
+        end[KNOWN:] = (self.others & np.uint64(255)).astype(np.int64)
+        self.end2 = end[self.ctx]
+        hot = often.hot_index(self.words)
+        self.hot_word = hot
+        self.hot = np.flatnonzero(hot[self.word] >= 0)  # entries of frequent words
+        self.hot_of = hot[self.word[self.hot]]
+        self.own = np.flatnonzero(hot[self.word] < 0)
+        pair, self.up = np.unique(self.word[self.own] << 8 | self.end2[self.own], return_inverse=True)
         self.pair_word, self.end = pair >> 8, pair & 255
         self.t2 = np.minimum(self.c2, 1)
         self._raise()
@@ -204,39 +274,35 @@ class Dishes:
         self.t0 = np.minimum(self.c0, 1)
 
     def _raise(self):
-        self.c1 = np.bincount(self.up, self.t2, len(self.pair_word)).astype(np.int64)
+        self.c1 = np.bincount(self.up, self.t2[self.own], len(self.pair_word)).astype(np.int64)
         t1 = getattr(self, "t1", np.minimum(self.c1, 1))
-        self.c0 = np.bincount(self.pair_word, t1, self.n_words).astype(np.int64)
-
-    def word_counts(self) -> np.ndarray:
-        return np.bincount(self.word, self.c2, self.n_words)
-
-    def predictive(self, tot: dict, disc, base: float):
-        """Root, ending and context predictives of all entries under totals ``tot``."""
-        s = STRENGTH
-        p0 = (self.c0 - disc[0] * self.t0 + (s[0] + disc[0] * tot["t0"]) * base) / (s[0] + tot["t1"].sum())
-        c1 = np.bincount(np.arange(FINE) >> 8, tot["t2"], COARSE)
-        p1 = (self.c1 - disc[1] * self.t1 + (s[1] + disc[1] * tot["t1"])[self.end] * p0[self.pair_word]) / (s[1] + c1)[self.end]
-        p2 = (self.c2 - disc[2] * self.t2 + (s[2] + disc[2] * tot["t2"])[self.ctx] * p1[self.up]) / (s[2] + tot["c2"])[self.ctx]
-        return p0, p1, p2
-
-    def sweep(self, tot: dict, disc, base: float, rng) -> None:
+        self.c0 = np.bincount(self.pair_word, t1, len(self.words)).astype(np.int64)
+
+    def parents(self, tot: Totals):
+        """Root predictive of the words, and the endings' predictive of every entry."""
+        s, disc = STRENGTH, tot.disc
+        p0 = (self.c0 - disc[0] * self.t0 + (s[0] + disc[0] * tot.t0) * tot.base) / (s[0] + tot.c0)
+        p1 = (self.c1 - disc[1] * self.t1 + (s[1] + disc[1] * tot.t1)[self.end] * p0[self.pair_word]) / (s[1] + tot.c1)[self.end]
+        out = np.empty(len(self.word))
+        out[self.own] = p1[self.up]
+        out[self.hot] = tot.hot_p1[self.hot_of, self.end2[self.hot]]
+        return p0, out
+
+    def predictive(self, tot: Totals, c2: np.ndarray, t2: np.ndarray) -> np.ndarray:
+        """Context predictives of all entries; ``c2, t2``: totals of this partition's contexts."""
+        s, d = STRENGTH[2], tot.disc[2]
+        return (self.c2 - d * self.t2 + (s + d * t2)[self.ctx] * self.parents(tot)[1]) / (s + c2)[self.ctx]
+
+    def sweep(self, number: int, tot: Totals, t2: np.ndarray) -> None:
         """Seats all customers anew, contexts first; their tables sit above."""
-        s = STRENGTH
-        p0, p1, _ = self.predictive(tot, disc, base)
-        self.t2 = seat(self.c2, (s[2] + disc[2] * tot["t2"])[self.ctx] * p1[self.up], disc[2], rng)
-        self.c1 = np.bincount(self.up, self.t2, len(self.pair_word)).astype(np.int64)
-        self.t1 = seat(self.c1, (s[1] + disc[1] * tot["t1"])[self.end] * p0[self.pair_word], disc[1], rng)
-        self.c0 = np.bincount(self.pair_word, self.t1, self.n_words).astype(np.int64)
-        self.t0 = seat(self.c0, np.full(self.n_words, (s[0] + disc[0] * tot["t0"]) * base), disc[0], rng)
-
-    def samples(self, tot: dict, disc, base: float):
-        """The kept states of the seeded chain (this object, again and again)."""
-        rng = np.random.default_rng(self.seed)
-        for i in range(BURN_IN + SAMPLES):
-            self.sweep(tot, disc, base, rng)
-            if i >= BURN_IN:
-                yield i - BURN_IN
+        rng = np.random.default_rng([*self.seed, number])
+        s, disc = STRENGTH, tot.disc
+        p0, p1 = self.parents(tot)
+        self.t2 = seat(self.c2, (s[2] + disc[2] * t2)[self.ctx] * p1, disc[2], rng)
+        self.c1 = np.bincount(self.up, self.t2[self.own], len(self.pair_word)).astype(np.int64)
+        self.t1 = seat(self.c1, (s[1] + disc[1] * tot.t1)[self.end] * p0[self.pair_word], disc[1], rng)
+        self.c0 = np.bincount(self.pair_word, self.t1, len(self.words)).astype(np.int64)
+        self.t0 = seat(self.c0, np.full(len(self.words), (s[0] + disc[0] * tot.t0) * tot.base), disc[0], rng)
 
 
 def seat(c: np.ndarray, new: np.ndarray, disc: float, rng) -> np.ndarray:
@@ -252,51 +318,122 @@ def seat(c: np.ndarray, new: np.ndarray, disc: float, rng) -> np.ndarray:
     return t
 
 
-def _first_totals(batches):
-    """(level, restaurant, customers, tables, singles, pairs) of first seatings."""
-    for b in batches:
-        for row in b.to_pylist():
-            d = Dishes(row)
-            if not d.counted:
-                continue
-            for level, c, at in ((2, d.c2, d.ctx), (1, d.c1, d.end), (0, d.c0, np.zeros(d.n_words, np.int64))):
-                n = FINE if level == 2 else COARSE if level else 1
-                cols = [np.bincount(at, x, n).astype(np.int64) for x in (c, c > 0, c == 1, c == 2)]
-                some = np.flatnonzero(cols[0])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), level)), pa.array(some), *[pa.array(x[some]) for x in cols]],
-                                                 ["level", "at", "c", "t", "n1", "n2"])
-
-
-def _sample_totals(tot, disc, base):
+_SUMS = "kind int, at long, c long, t long, n1 long, n2 long, part long, bucket long, a binary, b binary, d binary"
+_SUM_NAMES = [x.split()[0] for x in _SUMS.split(", ")]
+_SUM_KINDS = (pa.int32(), *[pa.int64()] * 7, *[pa.binary()] * 3)
+#: kinds of sums: root, endings, numbered contexts, (frequent word, ending), counts of frequent words, other contexts
+ROOT, ENDING, CONTEXT, HOT_PAIR, HOT_WORD, OTHERS = range(6)
+
+
+def _local(row: dict, d: Dishes, tots: list[Totals]):
+    """Totals of the partition's contexts, numbered ones first: customers, and tables after
+    every sweep so far."""
+    c2 = np.zeros(KNOWN + len(d.others))
+    c2[:KNOWN] = tots[0].c2
+    t2 = []
+    for k, tot in enumerate(tots):
+        x = np.zeros(len(c2))
+        x[:KNOWN] = tot.t2
+        got = sorted(row.get(f"r{k}") or [], key=lambda v: v["bucket"])
+        if got:
+            if k == 0:
+                c2[KNOWN:] = np.concatenate([_get(v["a"], np.uint32) for v in got])
+            x[KNOWN:] = np.concatenate([_get(v["b"], np.uint32) for v in got])
+        t2.append(x)
+    return c2, t2
+
+
+def _replayed(row: dict, often: Frequent, tots: list[Totals], sweeps: int):
+    """The partition after each of the first sweeps, with the totals of its contexts."""
+    d = Dishes(row, often)
+    c2, t2 = _local(row, d, tots)
+    for k in range(sweeps):
+        d.sweep(k + 1, tots[k], t2[k])
+        yield k + 1, d, c2, t2
+
+
+def _sums(often: Frequent, tots: list[Totals], buckets: int):
+    """Sums of one partition after sweep ``len(tots)`` (0: the first seating)."""
     def work(batches):
         for b in batches:
             for row in b.to_pylist():
-                d = Dishes(row)
+                d = Dishes(row, often)
+                for _, d, _, _ in _replayed(row, often, tots, len(tots)) if tots else ():
+                    pass
                 if not d.counted:
                     continue
-                t = [np.zeros((SAMPLES, n), np.int64) for n in (1, COARSE, FINE)]
-                for k in d.samples(tot, disc, base):
-                    t[0][k] = d.t0.sum()
-                    t[1][k] = np.bincount(d.end, d.t1, COARSE)
-                    t[2][k] = np.bincount(d.ctx, d.t2, FINE)
-                for level, x in enumerate(t):
-                    some = np.flatnonzero(x.any(0))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), level)), pa.array(some), *[pa.array(y[some]) for y in x]],
-                                                     ["level", "at", *(f"t{k}" for k in range(SAMPLES))])
+                rows = []
+
+                def put(kind, at, n, *values):
+                    cols = [np.bincount(at, v, n).astype(np.int64) for v in values]
+                    for i in np.flatnonzero(np.any(cols, 0)).tolist():
+                        rows.append((kind, i, *(int(c[i]) for c in cols), *[0] * (4 - len(cols)), d.part, 0, None, None, None))
+
+                first = not tots
+                low = d.ctx < KNOWN
+                stat = ((d.c2 == 1), (d.c2 == 2)) if first else ()
+                put(CONTEXT, d.ctx[low], KNOWN, d.c2[low], d.t2[low], *(x[low] for x in stat))
+                put(ENDING, d.end2, ENDINGS, d.t2)
+                put(ENDING, d.end, ENDINGS, np.zeros(len(d.end)), d.t1, *((d.c1 == 1), (d.c1 == 2)) if first else ())
+                put(ROOT, np.zeros(len(d.words), np.int64), 1, d.c0, d.t0, *((d.c0 == 1), (d.c0 == 2)) if first else ())
+                put(HOT_PAIR, d.hot_of << 8 | d.end2[d.hot], len(often.words) << 8, d.t2[d.hot])
+                if first:
+                    put(HOT_WORD, d.hot_of, len(often.words), d.c2[d.hot])
+                if len(d.others):
+                    at = d.ctx[~low] - KNOWN
+                    c, t = (np.bincount(at, v[~low], len(d.others)).astype(np.uint32) for v in (d.c2, d.t2))
+                    n1, n2 = (int((d.c2[~low] == k).sum()) for k in (1, 2))
+                    cut = np.searchsorted(_spread(d.others, buckets), np.arange(buckets + 1))
+                    for k in np.flatnonzero(np.diff(cut)).tolist():
+                        x = slice(cut[k], cut[k + 1])
+                        keys, c_of = (_put(d.others[x]), _put(c[x])) if first else (None, None)
+                        rows.append((OTHERS, 0, int(c[x].sum()), 0, n1 if k == _first(cut) else 0, n2 if k == _first(cut) else 0,
+                                     d.part, k, keys, c_of, _put(t[x])))
+                yield _batch(rows, _SUM_NAMES, _SUM_KINDS)
     return work
 
 
-def _answer(tot, per_sample, disc, base):
+def _first(cut: np.ndarray) -> int:
+    """The first bucket that is not empty."""
+    return int(np.flatnonzero(np.diff(cut))[0])
+
+
+_BACK = "part long, bucket long, a binary, b binary"
+
+
+def _exchanged(key, table):
+    """Totals of one bucket's contexts, for every partition that holds some of them: rows
+    with keys tell which, rows with tables bring this sweep's."""
+    keys, c, t = {}, {}, {}
+    for r in table.to_pylist():
+        if r["a"] is not None:
+            keys[r["part"]] = _get(r["a"], np.uint64)
+            c[r["part"]] = _get(r["b"], np.uint32)
+        if r["d"] is not None:
+            t[r["part"]] = _get(r["d"], np.uint32)
+    every, at = np.unique(np.concatenate(list(keys.values())), return_inverse=True)
+    cuts = np.append(0, np.cumsum([len(v) for v in keys.values()]))
+    total = [np.bincount(at, np.concatenate([v[p] for p in keys]), len(every)).astype(np.uint32) for v in (c, t)]
+    rows = [(p, key[0].as_py(), _put(total[0][at[x:y]]), _put(total[1][at[x:y]])) for p, x, y in zip(keys, cuts[:-1], cuts[1:])]
+    return pa.Table.from_batches([_batch(rows, ["part", "bucket", "a", "b"], (pa.int64(), pa.int64(), pa.binary(), pa.binary()))])
+
+
+def _answer(often: Frequent, tots: list[Totals], hot_counts: np.ndarray, burn_in: int):
     """Per chunk and text: sums of log10 predictives and of log10 (c + 0.5), known tokens."""
     def work(batches):
         for b in batches:
             for row in b.to_pylist():
-                d = Dishes(row)
-                p = np.zeros(len(d.word))
-                for k in d.samples(tot, disc, base):
-                    p += d.predictive(per_sample[k], disc, base)[2]
-                score = np.log10(p / SAMPLES)
-                c = d.word_counts()
+                d = Dishes(row, often)
+                c2, t2 = _local(row, d, tots)
+                p, kept = 0.0, 0
+                if len(tots) == 1:  # the first seating alone
+                    p, kept = d.predictive(tots[0], c2, t2[0]), 1
+                for k, d, _, _ in _replayed(row, often, tots, len(tots) - 1):
+                    if k > burn_in:
+                        p, kept = p + d.predictive(tots[k], c2, t2[k]), kept + 1
+                score = np.log10(p / kept)
+                c = np.bincount(d.word, d.c2, len(d.words))
+                c = np.where(d.hot_word >= 0, hot_counts[d.hot_word] if len(hot_counts) else 0, c)
                 plain, known = np.log10(c + 0.5)[d.word], (c > 0)[d.word]
                 if d.at is not None:
                     score, plain, known = score[d.at], plain[d.at], known[d.at]
@@ -307,8 +444,8 @@ def _answer(tot, per_sample, disc, base):
                     n = int(t.max()) + 1
                     has = np.flatnonzero(np.bincount(t, minlength=n))
                     sums = [np.bincount(t, v[e], n)[has] for v in (score, plain, known)]
-                    out.append((_ANSWER, chunk, _put(has.astype(np.uint16)), _put(sums[0]), _put(sums[1]), _put(sums[2].astype(np.uint32))))
-                yield _batch(out, _BLOCK, (pa.int64(), pa.int64(), *[pa.binary()] * 4))
+                    out.append((_ANSWER, chunk, _put(has.astype(np.uint16)), _put(sums[0]), _put(sums[1]), _put(sums[2].astype(np.uint32)), None))
+                yield _batch(out, _BLOCK, _BLOCK_KINDS)
     return work
 
 
@@ -336,40 +473,108 @@ def _finish(train_tokens: int, types: int):
     return work
 
 
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: str | None = None) -> DataFrame:
+def _bucketed(df: DataFrame, scratch: Scratch, buckets: int) -> DataFrame:
+    """``df`` as a table in buckets of ``part``: joins by part move the other side only."""
+    name = f"lm_state_{uuid.uuid4().hex[:12]}"
+    (df.write.format("parquet").option("compression", "zstd").bucketBy(buckets, "part").option("path", f"{scratch.root}/{name}")
+     .saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
+def _totals(sums, often: Frequent, before: Totals | None, number: int, disc=None, base: float = 1.0) -> Totals:
+    """Totals of a sweep from its added-up sums. Seats the frequent words' upper levels."""
+    def vec(kind, col, n):
+        x = np.zeros(n)
+        r = sums[sums.kind == kind]
+        x[r["at"].to_numpy(np.int64)] = r[col].to_numpy(float)
+        return x
+
+    hot_c1 = vec(HOT_PAIR, "c", len(often.words) << 8).reshape(-1, ENDINGS).astype(np.int64)
+    if before is None:
+        hot_t1 = np.minimum(hot_c1, 1)
+        hot_t0 = np.minimum(hot_t1.sum(1), 1)
+    else:
+        rng, s = np.random.default_rng([7, 2, number]), STRENGTH
+        new = (s[1] + disc[1] * before.t1)[None] * before.hot_p0[:, None]
+        hot_t1 = seat(hot_c1.ravel(), new.ravel(), disc[1], rng).reshape(hot_c1.shape)
+        hot_t0 = seat(hot_t1.sum(1), np.full(len(hot_t1), (s[0] + disc[0] * before.t0) * base), disc[0], rng)
+    c2 = vec(CONTEXT, "c", KNOWN) if before is None else before.c2
+    return Totals(c2, vec(CONTEXT, "t", KNOWN), vec(ENDING, "c", ENDINGS), vec(ENDING, "t", ENDINGS), vec(ROOT, "t", 1)[0],
+                  hot_c1, hot_t1, hot_t0, disc, base)
+
+
+def _discounts(sums, hot_c1: np.ndarray) -> list[float]:
+    """Discounts of root, endings and contexts from the numbers of single and double customers."""
+    n = {k: np.zeros(2) for k in (ROOT, ENDING, CONTEXT)}
+    for kind, n1, n2 in sums[["kind", "n1", "n2"]].itertuples(index=False):
+        if kind in (ROOT, ENDING, CONTEXT, OTHERS):
+            n[CONTEXT if kind == OTHERS else kind] += (n1, n2)
+    for level, c in ((ENDING, hot_c1.ravel()), (ROOT, np.minimum(hot_c1, 1).sum(1))):
+        n[level] += ((c == 1).sum(), (c == 2).sum())
+    return [float(min(0.95, max(0.05, a / max(1, a + 2 * b)))) for a, b in (n[ROOT], n[ENDING], n[CONTEXT])]
+
+
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: str | None = None,
+                burn_in: int = BURN_IN, samples: int = SAMPLES, numbered: int = KNOWN) -> DataFrame:
     """``id_col, held_out, n_tokens, n_known, train_tokens, base_score, score``.
-    ``held_out``: SQL condition on ``id`` of texts that the model does not learn from."""
+    ``held_out``: SQL condition on ``id`` of texts that the model does not learn from.
+    ``burn_in, samples``: sweeps before the kept ones and kept ones; both 0: the first
+    seating, one table a dish, is the model."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "lm")
     cond = held_out or "crc32(cast(coalesce(cast(id as string), '') as binary)) % 5 = 1"
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("out", F.expr(cond))
     size = texts.agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).first()
     parts = int((size.b or 0) // PART_BYTES) + 1
-    hot = hot_words(texts, size.n, (size.b or 0) / 6)
-    blocks = texts.mapInArrow(_blocks(parts, hot), "part long, chunk long, a binary, b binary, c binary, d binary")
+    often = Frequent(texts, size.n, (size.b or 0) / 4, numbered)
+    blocks = texts.mapInArrow(_blocks(parts, often), _BLOCK_SCHEMA)
     # one pass over the texts: all blocks travel to their partitions; a chunk's head is a part below 0
     merged = blocks.groupBy("part").applyInArrow(
         lambda key, t: _heads(t) if key[0].as_py() < 0 else _merge(key, t), _STATE)
-    state = scratch.put(merged, "state")
+    state = _bucketed(merged, scratch, parts)
     heads = state.where("part < 0")
-    dishes = state.where(F.col("part").between(0, parts - 1)).withColumns(
+    own = state.where(F.col("part").between(0, parts - 1)).withColumns(
         {"owner": F.lit(None).cast("long"), "everywhere": F.lit(None).cast("array<struct<ctx:int,c:long>>")})
-    if len(hot[0]):
-        dishes = dishes.unionByName(scratch.put(_shared_counts(state.where(F.col("part") >= parts)), "frequent"))
-    first = dishes.mapInArrow(_first_totals, "level long, at long, c long, t long, n1 long, n2 long")
-    first = first.groupBy("level", "at").agg(*[F.sum(x).alias(x) for x in ("c", "t", "n1", "n2")]).toPandas()  # at most 65,793 rows
-    tot = {"c2": _vector(first, 2, "c"), "t2": _vector(first, 2, "t"), "t1": _vector(first, 1, "t"), "t0": float(_vector(first, 0, "t")[0])}
-    per = first.groupby("level")[["n1", "n2"]].sum()
-    disc = [float(min(0.95, max(0.05, per.n1.get(k, 0) / max(1, per.n1.get(k, 0) + 2 * per.n2.get(k, 0))))) for k in range(3)]
-    train_tokens, types = int(tot["c2"].sum()), int(tot["t0"])
-    base = 1.0 / (types + 1)
-    cols = [f"t{k}" for k in range(SAMPLES)]
-    kept = dishes.mapInArrow(_sample_totals(tot, disc, base), "level long, at long, " + ", ".join(f"{c} long" for c in cols))
-    kept = kept.groupBy("level", "at").agg(*[F.sum(c).alias(c) for c in cols]).toPandas()  # same bound
-    per_sample = [{"c2": tot["c2"], "t2": _vector(kept, 2, c), "t1": _vector(kept, 1, c), "t0": float(_vector(kept, 0, c)[0])} for c in cols]
-    block = "part long, chunk long, a binary, b binary, c binary, d binary"
-    answers = dishes.mapInArrow(_answer(tot, per_sample, disc, base), block)
+    frequent = None
+    if len(often.words):
+        frequent = scratch.put(_shared_counts(state.where(F.col("part") >= parts)), "frequent")
+    core = ["part", "words", "entry_word", "entry_ctx", "counts", "others", "owner", "everywhere"]
+    back: list[DataFrame] = []  # totals of the contexts without a number, by partition, after every sweep
+
+    def dishes(cols: list[str]) -> DataFrame:
+        out, other = own.select(*cols), frequent.select(*cols) if frequent is not None else None
+        for k, totals in enumerate(back):
+            out = out.join(totals.withColumnRenamed("r", f"r{k}").hint("shuffle_hash"), "part", "left")
+        if other is None:
+            return out
+        empty = F.lit(None).cast("array<struct<bucket:long,a:binary,b:binary>>")
+        return out.unionByName(other.withColumns({f"r{k}": empty for k in range(len(back))}))
+
+    tots: list[Totals] = []
+    places = None
+    for number in range(burn_in + samples + 1):
+        sums = scratch.put(dishes(core).mapInArrow(_sums(often, tots, parts), _SUMS), f"sums{number}")
+        small = (sums.groupBy("kind", "at").agg(*[F.sum(c).alias(c) for c in ("c", "t", "n1", "n2")])
+                 .toPandas())  # at most KNOWN contexts, 256 endings and (frequent words x 257) rows
+        others = sums.where(F.col("kind") == OTHERS).select("part", "bucket", "a", "b", "d")
+        if number == 0:
+            places = others.select("part", "bucket", "a", "b", F.lit(None).cast("binary").alias("d"))
+            hot_counts = np.zeros(len(often.words))
+            r = small[small.kind == HOT_WORD]
+            hot_counts[r["at"].to_numpy(np.int64)] = r["c"].to_numpy(float)
+            hot_c1 = np.zeros(len(often.words) << 8, np.int64)
+            r = small[small.kind == HOT_PAIR]
+            hot_c1[r["at"].to_numpy(np.int64)] = r["c"].to_numpy(np.int64)
+            disc = _discounts(small, hot_c1.reshape(-1, ENDINGS))
+            train_tokens = int(small[small.kind.isin([CONTEXT, OTHERS])]["c"].sum())
+            types = int(small[small.kind == ROOT]["t"].sum() + (hot_counts > 0).sum())
+            base = 1.0 / (types + 1)
+        tots.append(_totals(small, often, tots[-1] if tots else None, number, disc, base))
+        moved = others if number == 0 else others.unionByName(places)
+        totals = moved.groupBy("bucket").applyInArrow(_exchanged, _BACK)
+        back.append(scratch.put(totals.groupBy("part").agg(F.collect_list(F.struct("bucket", "a", "b")).alias("r")), f"totals{number}"))
+    answers = dishes([*core, "chunks", "cuts", "entry", "doc"]).mapInArrow(_answer(often, tots, hot_counts, burn_in), _BLOCK_SCHEMA)
     texts_of = heads.select("part", (-1 - F.col("part")).alias("chunk"), F.col("words").alias("a"), F.col("entry_word").alias("b"),
-                            F.col("entry_ctx").alias("c"), F.col("counts").alias("d"))
+                            F.col("entry_ctx").alias("c"), F.col("counts").alias("d"), F.col("others").alias("e"))
     out = answers.unionByName(texts_of).groupBy("chunk").applyInArrow(
         _finish(train_tokens, types), "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumnRenamed("id", id_col)
@@ -380,7 +585,7 @@ def _shared_counts(frequent: DataFrame) -> DataFrame:
     def work(batches):
         for b in batches:
             for row in b.to_pylist():
-                ctx, c = _get(row["entry_ctx"], np.uint16), _get(row["counts"], np.uint32)
+                ctx, c = _get(row["entry_ctx"], np.uint32), _get(row["counts"], np.uint32)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ctx), row["part"])), pa.array([row["words"]] * len(ctx)),
                                                   pa.array(ctx.astype(np.int32)), pa.array(c.astype(np.int64))], ["part", "words", "ctx", "c"])
 
@@ -392,16 +597,8 @@ def _shared_counts(frequent: DataFrame) -> DataFrame:
     return frequent.join(shared, "part")
 
 
-def _vector(rows, level: int, col: str) -> np.ndarray:
-    x = np.zeros((1, COARSE, FINE)[level])
-    r = rows[rows.level == level]
-    x[r["at"].to_numpy(np.int64)] = r[col].to_numpy(float)
-    return x
-
-
 def _heads(table):
     """A chunk's texts as they came, in the columns of the state."""
     r = table.to_pylist()[0]
-    names = [x.split()[0] for x in _STATE.split(", ")]
-    row = (r["part"], r["a"], r["b"], r["c"], r["d"], *[None] * 4)
-    return pa.Table.from_batches([_batch([row], names, (pa.int64(), *[pa.binary()] * 8))])
+    row = (r["part"], r["a"], r["b"], r["c"], r["d"], r["e"], *[None] * 4)
+    return pa.Table.from_batches([_batch([row], _STATE_NAMES, _STATE_KINDS)])

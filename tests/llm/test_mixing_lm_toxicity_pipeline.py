@@ -76,8 +76,8 @@ def test_frequent_words_in_many_partitions_change_little(spark, monkeypatch):
     monkeypatch.setattr(lm, "HOT_TOKENS", 300)
     monkeypatch.setattr(lm, "PART_BYTES", 60_000)
     texts = docs.select(F.col("doc_id").alias("id"), "text")
-    hot, spread = lm.hot_words(texts, 200, 80_000)
-    assert len(hot) > 10 and spread.max() > 3 and (np.diff(hot.astype(object)) > 0).all()
+    often = lm.Frequent(texts, 200, 80_000)
+    assert len(often.words) > 10 and often.spread.max() > 3 and (np.diff(often.words.astype(object)) > 0).all()
     split = {r.doc_id: r for r in lm.score_texts(docs).collect()}
     for i, r in plain.items():
         s = split[i]
@@ -100,47 +100,134 @@ def test_many_short_texts_in_a_chunk(spark):
     assert all(r.score < 0 and r.base_score < 0 for r in got)
     with pytest.raises(ValueError, match="15 bits"):
         n = 32_769
-        list(lm._chunk_rows(0, 1, ([], []), [0] * n, [1] * n, [False] * n, [np.zeros(n, np.uint64)], [np.zeros(n, np.uint16)]))
+        list(lm._chunk_rows(0, 1, None, [0] * n, [1] * n, [False] * n, [np.zeros(n, np.uint64)], [np.zeros(n, np.uint64)]))
+
+
+def test_seating_is_the_restaurant_process():
+    """Mean and spread of the numbers of tables against the exact distribution."""
+    rng = np.random.default_rng(1)
+    for c, new, disc in ((1, 0.3, 0.5), (2, 0.3, 0.5), (7, 2.0, 0.2), (40, 0.7, 0.8)):
+        p = np.zeros(c + 2)
+        p[1] = 1.0
+        for i in range(1, c):
+            open_ = np.array([new / (new + i - disc * t) for t in range(c + 2)])
+            p = p * (1 - open_) + np.append(0, (p * open_)[:-1])
+        t = np.arange(c + 2)
+        got = lm.seat(np.full(40_000, c), np.full(40_000, new), disc, rng)
+        assert got.min() >= 1 and got.max() <= c
+        assert abs(got.mean() - p @ t) < 0.03 * max(1, p @ t) and abs(got.var() - (p @ t ** 2 - (p @ t) ** 2)) < 0.1 * max(1, got.var())
+    big = lm.seat(np.array([10_000] * 50), np.array([5.0] * 50), 0.5, rng)
+    assert (big >= 1).all() and (big <= 10_000).all()
+
+
+class Bare:
+    """Frequent words and numbered contexts of a hand-made partition."""
+    words, spread = np.empty(0, np.uint64), np.empty(0, np.int64)
+
+    def __init__(self, keys):
+        self.known = np.sort(keys)
+        self.known_end = (self.known & np.uint64(255)).astype(np.int64)
+
+    hot_index = lm.Frequent.hot_index
 
 
 def test_predictives_add_up_to_one():
-    """All dishes in one partition: every restaurant's probabilities sum to one over V + 1 types."""
-    rng = np.random.default_rng(0)
-    words, ctx = rng.zipf(1.5, 4000) % 50, rng.integers(0, 40, 4000)
-    pairs, c = np.unique(np.stack([words, ctx * 17 % (1 << 16)], 1), axis=0, return_counts=True)
-    row = {"part": 0, "words": lm._put(np.arange(50, dtype=np.uint64)), "entry_word": lm._put(pairs[:, 0].astype(np.uint32)),
-           "entry_ctx": lm._put(pairs[:, 1].astype(np.uint16)), "counts": lm._put(c.astype(np.uint32))}
-    d = lm.Dishes(row)
-    types = int((d.c0 > 0).sum())
-    c2 = np.bincount(d.ctx, d.c2, lm.FINE)
+    """Over all words, in every context, after every sweep: numbered contexts and others."""
+    rng = np.random.default_rng(2)
+    n_words, numbered, others = 50, 25, 15
+    keys = (rng.integers(1, 1 << 40, numbered + others).astype(np.uint64) << np.uint64(8)) | rng.integers(0, 4, numbered + others).astype(np.uint64)
+    often, rest = Bare(keys[:numbered]), np.sort(keys[numbered:])
+    every = np.array([(w, x) for w in range(n_words) for x in [*range(numbered), *range(lm.KNOWN, lm.KNOWN + others)]])
+    c = rng.integers(0, 9, len(every)) * (rng.random(len(every)) < 0.3)
+    c[every[:, 0] < 5] = 0  # words that only held-out texts have
+    row = {"part": 0, "words": lm._put(np.arange(n_words, dtype=np.uint64)), "entry_word": lm._put(every[:, 0].astype(np.uint32)),
+           "entry_ctx": lm._put(every[:, 1].astype(np.uint32)), "counts": lm._put(c.astype(np.uint32)), "others": lm._put(rest)}
+    d = lm.Dishes(row, often)
+    types, n_ctx = int((d.c0 > 0).sum()), lm.KNOWN + others
+    assert types < n_words
+    disc, base, none = [0.5, 0.6, 0.7], 1 / (types + 1), np.zeros((0, 256), np.int64)
+    c2 = np.bincount(d.ctx, d.c2, n_ctx)
 
     def totals():
-        return {"c2": c2, "t2": np.bincount(d.ctx, d.t2, lm.FINE), "t1": np.bincount(d.end, d.t1, lm.COARSE), "t0": float(d.t0.sum())}
-
-    disc, base = [0.5, 0.6, 0.7], 1 / (types + 1)
-    for _ in d.samples(totals(), disc, base):
-        assert (d.t2 >= np.minimum(d.c2, 1)).all() and (d.t2 <= d.c2).all()
-        tot = totals()
-        # every word in every context, known pairs or not
-        every = lm.Dishes({**row, "entry_word": lm._put(np.repeat(np.arange(50), 40).astype(np.uint32)),
-                           "entry_ctx": lm._put(np.tile(np.sort(np.arange(40) * 17), 50).astype(np.uint16)),
-                           "counts": lm._put(np.zeros(2000, np.uint32))})
-        key = {(w, x): i for i, (w, x) in enumerate(zip(d.word, d.ctx))}
-        at = np.array([key.get((w, x), -1) for w, x in zip(every.word, every.ctx)])
-        every.c2, every.t2 = (np.where(at >= 0, x[at], 0) for x in (d.c2, d.t2))
-        up = {(w, e): i for i, (w, e) in enumerate(zip(d.pair_word, d.end))}
-        at = np.array([up.get((w, e), -1) for w, e in zip(every.pair_word, every.end)])
-        every.c1, every.t1 = (np.where(at >= 0, x[at], 0) for x in (d.c1, d.t1))
-        every.c0, every.t0 = d.c0, d.t0
-        p0, _, p2 = every.predictive(tot, disc, base)
-        unseen = (lm.STRENGTH[0] + disc[0] * tot["t0"]) * base / (lm.STRENGTH[0] + tot["t1"].sum())
-        c1 = np.bincount(np.arange(lm.FINE) >> 8, tot["t2"], lm.COARSE)
-        for x in np.unique(every.ctx):
-            e = x >> 8
-            rest = unseen * (lm.STRENGTH[1] + disc[1] * tot["t1"][e]) / (lm.STRENGTH[1] + c1[e])
-            rest *= (lm.STRENGTH[2] + disc[2] * tot["t2"][x]) / (lm.STRENGTH[2] + c2[x])
-            unknown = 50 - types  # words of the partition that no training text has share the type beyond V
-            assert abs(p2[every.ctx == x].sum() - rest * unknown + rest - 1) < 1e-9
+        t2 = np.bincount(d.ctx, d.t2, n_ctx).astype(float)
+        ends = (np.bincount(d.end2, d.t2, 256), np.bincount(d.end, d.t1, 256))
+        return lm.Totals(c2[:lm.KNOWN], t2[:lm.KNOWN], ends[0], ends[1], d.t0.sum(), none, none, none.sum(1), disc, base), t2
+
+    for k in range(4):
+        tot, t2 = totals()
+        if k:
+            d.sweep(k, tot, t2)
+            assert (d.t2 >= np.minimum(d.c2, 1)).all() and (d.t2 <= d.c2).all() and (d.t1 <= d.c1).all() and (d.t0 <= d.c0).all()
+            tot, t2 = totals()
+        p = d.predictive(tot, c2, t2)
+        # a word without customers has the share of the one type beyond V; five of them share it
+        for x in np.unique(every[:, 1]):
+            mine = every[:, 1] == x
+            assert abs(p[mine & (every[:, 0] >= 5)].sum() + p[mine & (every[:, 0] == 0)].sum() - 1) < 1e-9
+
+
+def plain_model(texts, held, disc):
+    """log10 probabilities of every text under the first seating, by dictionaries alone."""
+    tok = [(t or "").encode().lower().split() for t in texts]
+    end = lambda w: bytes(w[-2:]) if w else None
+    c2, c2_of = Counter(), Counter()
+    for ws, h in zip(tok, held):
+        if not h:
+            for a, b in zip([None, *ws], [*ws, b"\n"]):
+                c2[a, b] += 1
+                c2_of[a] += 1
+    t2_of = Counter(a for a, _ in c2)
+    c1 = Counter((end(a), b) for a, b in c2)
+    c1_of, t1_of = Counter(), Counter(e for e, _ in c1)
+    for (e, _), n in c1.items():
+        c1_of[e] += n
+    c0 = Counter(b for _, b in c1)
+    n0, t0 = sum(c0.values()), len(c0)
+    s, out = lm.STRENGTH, []
+    for ws in tok:
+        total = 0.0
+        for a, b in zip([None, *ws], [*ws, b"\n"]):
+            e = end(a)
+            p = (c0[b] - disc[0] * (c0[b] > 0) + (s[0] + disc[0] * t0) / (t0 + 1)) / (s[0] + n0)
+            p = (c1[e, b] - disc[1] * (c1[e, b] > 0) + (s[1] + disc[1] * t1_of[e]) * p) / (s[1] + c1_of[e])
+            p = (c2[a, b] - disc[2] * (c2[a, b] > 0) + (s[2] + disc[2] * t2_of[a]) * p) / (s[2] + c2_of[a])
+            total += math.log10(p)
+        out.append(total)
+    level = [Counter(c.values()) for c in (c0, c1, c2)]
+    return out, [min(0.95, max(0.05, n[1] / max(1, n[1] + 2 * n[2]))) for n in level]
+
+
+@pytest.mark.parametrize("numbered,part_bytes,hot_tokens", [(lm.KNOWN, 1 << 24, 1_000_000), (4, 3_000, 200), (1, 1 << 24, 1_000_000)])
+def test_scores_are_those_of_exact_contexts(spark, monkeypatch, numbered, part_bytes, hot_tokens):
+    """The whole way, contexts with and without numbers, many partitions, frequent words apart:
+    the scores of the first seating are those of a plain model with a restaurant per context."""
+    monkeypatch.setattr(lm, "PART_BYTES", part_bytes)
+    monkeypatch.setattr(lm, "HOT_TOKENS", hot_tokens)
+    rng = random.Random(5)
+    vocab = [f"w{int(rng.paretovariate(0.8))}{x}" for x in ("ab", "cd", "ef", "gh") for _ in range(60)]
+    texts = [" ".join(rng.choice(vocab) for _ in range(rng.choice([0, 1, 5, 40, 200]))) for _ in range(150)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in lm.score_texts(df, burn_in=0, samples=0, numbered=numbered).collect()}
+    held = [got[i].held_out for i in range(len(texts))]
+    _, disc = plain_model(texts, held, [0.5] * 3)
+    want, _ = plain_model(texts, held, disc)
+    assert len(got) == len(texts) and 10 < sum(held) < 60
+    for i, w in enumerate(want):
+        assert math.isclose(got[i].score, w, rel_tol=1e-9), i
+
+
+def test_sweeps_agree_whatever_the_way(spark, monkeypatch):
+    """Contexts without numbers take another way and other random draws: the sampled scores
+    stay close."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    a = {r.doc_id: r for r in lm.score_texts(docs).collect()}
+    monkeypatch.setattr(lm, "PART_BYTES", 100_000)
+    b = {r.doc_id: r for r in lm.score_texts(docs, numbered=50).collect()}
+    assert a.keys() == b.keys() and all(math.isclose(a[i].score, b[i].score, rel_tol=0.05, abs_tol=0.6) for i in a)
+    held = [i for i in a if a[i].held_out]
+    assert math.isclose(sum(a[i].score for i in held), sum(b[i].score for i in held), rel_tol=0.005)
+    again = {r.doc_id: r.score for r in lm.score_texts(docs, numbered=50).collect()}
+    assert again == {i: r.score for i, r in b.items()}  # seeded
 
 
 def test_odd_rows_score(spark, odd_docs, no_docs):
