@@ -39,6 +39,15 @@ class Scratch:
             p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def bucketed(df: DataFrame, scratch: Scratch, name: str, col: str, buckets: int) -> DataFrame:
+    """``df`` as a table in ``buckets`` buckets of ``col`` in the shared folder. A later join on
+    ``col`` moves the other side only."""
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    (df.write.format("parquet").option("compression", "zstd").bucketBy(buckets, col).option("path", f"{scratch.root}/{table}")
+     .saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
 def source_key(col: str = "source") -> F.Column:
     """A non-null text key per source; a null source is a queue of its own."""
     c = F.col(col).cast("string")

@@ -128,6 +128,36 @@ def test_shards_round_trip_and_resume(spark, odd_docs, no_docs, tmp_path):
     assert shards.write_shards(no_docs, str(tmp_path / "e")).collect() == []
 
 
+def test_slots_depend_on_the_rows_alone(spark, odd_docs, tmp_path, monkeypatch):
+    """Two and five partitions, other chunks and ranges: the same document at the same slot, byte for byte."""
+    given = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").union(odd_docs.select("doc_id", "text"))
+    seen = []
+    for k, (parts, cut, ranges) in enumerate(((2, 1000, 500_000), (5, 3, 40))):
+        monkeypatch.setattr(shards, "CUT_ROWS", cut)
+        monkeypatch.setattr(shards, "RANGE_DOCS", ranges)
+        out = shards.write_shards(given.repartition(parts), str(tmp_path / f"p{k}"), seq_len=64, rows=500)
+        seen.append({r.slot: (r.doc_id, r.seq_no, r.n_tokens, bytes(r.ids)) for r in out.collect()})
+    assert seen[0] == seen[1] and sorted(seen[0]) == list(range(len(seen[0])))
+
+
+def test_binary_shards_resume_from_their_byte(spark, odd_docs, no_docs, tmp_path):
+    out = shards.write_shards(odd_docs, str(tmp_path / "s"), seq_len=64, rows=100)
+    want = {r.slot: bytes(r.ids) for r in out.collect()}
+    n = len(want)
+    files = shards.write_binary(out, str(tmp_path / "bin")).collect()
+    assert sum(f.rows for f in files) == n and {f.stride for f in files} == {128} and sorted(f.shard for f in files) == list(range(-(-n // 100)))
+    for f in files:
+        raw = (tmp_path / "bin" / f"shard-{f.shard:06d}.bin").read_bytes()
+        assert f.first_slot == f.shard * 100 and len(raw) == f.bytes == f.rows * 128 and zlib.crc32(raw) == f.crc32
+        assert raw == b"".join(want[f.first_slot + k] for k in range(f.rows))
+    assert not list((tmp_path / "bin").glob("_part*"))
+    for first in (0, 99, 100, 257, n - 1, n):
+        assert list(shards.read_binary(str(tmp_path / "bin"), first, 128, rows=100)) == [want[s] for s in range(first, n)]
+    again = shards.write_binary(out, str(tmp_path / "bin")).collect()  # a rerun replaces whole files
+    assert sorted(again) == sorted(files)
+    assert shards.write_binary(shards.write_shards(no_docs, str(tmp_path / "e")), str(tmp_path / "none")).collect() == []
+
+
 def test_counts_match_plain_dynamic_programming(spark, odd_docs, no_docs, monkeypatch):
     pieces = counts.vocabulary()
     low, longest = min(pieces.values()) - 10.0, max(map(len, pieces))
