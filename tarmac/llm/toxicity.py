@@ -21,7 +21,9 @@ Inputs of a score are the text's words alone. Edge cases: a null or empty text
 has no hits and gets the base score; documents without a label are scored like
 others; several labels of a document count as toxic if any is; without labelled
 toxic and clean rows every score is the share of toxic labels (0 without
-labels); repeated rows are scored each; an empty table gives an empty result."""
+labels); repeated rows are scored each; words of more than 40 or fewer than 3 bytes are no
+features (they still count by their beginnings); very long texts are scored whole; an
+empty table gives an empty result; other columns are ignored, whatever their names."""
 
 from __future__ import annotations
 
@@ -72,8 +74,9 @@ def _sampled(rows: DataFrame, n: int, most: int, seed: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64("doc", F.lit(seed)), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))) if n > most else rows
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").cast("binary").alias("text"))
+def _texts(docs: DataFrame, id_col: str, text_col: str, row_col: str | None) -> DataFrame:
+    row = F.col(row_col) if row_col else F.lit(None)
+    return docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").cast("binary").alias("text"), row.cast("long").alias("row"))
 
 
 def without_copies(rows: DataFrame, scratch: Scratch) -> DataFrame:
@@ -119,7 +122,7 @@ def voter_of(lexicon: list[bytes]) -> list[int]:
 
 
 def hits_table(texts: DataFrame, lexicon: list[bytes]) -> DataFrame:
-    """``doc, hits (indices of lexicon entries, then of shapes), votes (bit mask)``."""
+    """``doc, row, hits (indices of lexicon entries, then of shapes), votes (bit mask)``."""
     deal, n = voter_of(lexicon), len(lexicon)
     words = {f[1:]: i for i, f in enumerate(lexicon) if f[:1] == b"w"}
     starts = {f[1:]: i for i, f in enumerate(lexicon) if f[:1] == b"s"}
@@ -142,10 +145,10 @@ def hits_table(texts: DataFrame, lexicon: list[bytes]) -> DataFrame:
                         mask |= 1 << (WORD_VOTERS + START_VOTERS + j)
                 hits.append(h)
                 votes.append(mask)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(hits, pa.list_(pa.int32())), pa.array(votes, pa.int64())],
-                                             ["doc", "hits", "votes"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(hits, pa.list_(pa.int32())), pa.array(votes, pa.int64())],
+                                             ["doc", "row", "hits", "votes"])
 
-    return texts.mapInArrow(work, "doc long, hits array<int>, votes long")
+    return texts.mapInArrow(work, "doc long, row long, hits array<int>, votes long")
 
 
 def joint_votes(hits: DataFrame) -> tuple[int, np.ndarray]:
@@ -219,15 +222,17 @@ def _patterns(hits: list, label: np.ndarray, width: int) -> tuple[np.ndarray, np
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             label_col: str = "toxic") -> DataFrame:
-    """``id_col, held_out, score, predicted`` of every row of ``docs``."""
+             label_col: str = "toxic", row_col: str | None = None) -> DataFrame:
+    """``id_col, held_out, score, predicted`` of every row of ``docs``. With ``row_col``, a
+    number per row, the result carries it too, so that rows without an id or with
+    a repeated one are told apart."""
     scratch = Scratch(docs.sparkSession, "toxicity")
     known = (labels.select(F.col(id_col).cast("long").alias("doc"), F.col(label_col).cast("int").alias("toxic"))
              .where("doc is not null and toxic is not null").groupBy("doc").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
              .where(bucket() != 0))
     known = scratch.put(known, "labels")
     known = F.broadcast(scratch.put(_sampled(known, known.count(), MAX_LABELLED, 0), "labelled"))  # MAX_LABELLED rows of 12 bytes
-    texts = _texts(docs, id_col, text_col)
+    texts = _texts(docs, id_col, text_col, row_col)
     lexicon = learn_features(texts.join(known, "doc"), scratch)
     hits = scratch.put(hits_table(texts, lexicon), "hits")
     width = len(lexicon) + len(_SHAPES)
@@ -246,13 +251,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     def work(batches):
         for b in batches:
-            h = b.column(1).to_pylist()
+            h = b.column(2).to_pylist()
             score = np.full(len(h), prior)
             if model is not None:
                 coef, shift = model
                 score = _sigmoid(np.array([coef[x].sum() + coef[-1] for x in h]) + shift) if h else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score, pa.float64())], ["doc", "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(score, pa.float64())], ["doc", "row", "score"])
 
-    out = hits.select("doc", "hits").mapInArrow(work, "doc long, score double")
-    return out.select(F.col("doc").alias(id_col), (bucket() == 0).alias("held_out"), "score",
+    out = hits.select("doc", "row", "hits").mapInArrow(work, "doc long, row long, score double")
+    return out.select(F.col("doc").alias(id_col), *([F.col("row").alias(row_col)] if row_col else []), (bucket() == 0).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))

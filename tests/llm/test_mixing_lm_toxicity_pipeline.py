@@ -326,3 +326,26 @@ def test_pipeline_takes_an_empty_table(spark, no_docs):
     for name, stage in cp.STAGES:
         docs = scratch.put(stage(spark, docs, SMALL), name)
     assert docs.count() == 0
+
+
+def test_pipeline_judges_rows_not_ids(spark):
+    """Rows without an id are judged; rows that share an id stand for themselves alone."""
+    import corpus_pipeline as cp
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    given = spark.read.parquet(f"{SMALL}/documents.parquet")
+    bad = toxicity.toxicity(given, labels).orderBy(F.desc("score"), "doc_id").limit(1).join(given, "doc_id").first()
+    fine = "a quiet walk along the river with many old friends and a long talk about nothing much at all"
+    other = "the museum opens at nine on most days and closes early when the weather turns bad in winter"
+    a, b, c, d = (10 ** 6 + k for k in range(4))  # ids of the rows, none of which has a label
+    rows = [(a, bad.text), (a, fine), (None, bad.text), (None, other), (b, fine + " indeed"), (b, "quite another story without any copies in this little table"),
+            (c, None), (c, ""), (None, None), (d, other), (None, other)]
+    extra = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], given.schema).withColumn("_row", F.lit("own")).withColumn("score", F.lit(1))
+    docs = given.withColumn("_row", F.lit("own")).withColumn("score", F.lit(1)).unionByName(extra)
+    kept = Scratch(spark, "t").put(cp.toxicity_filter(spark, docs, SMALL), "clean")
+    assert kept.dtypes == docs.dtypes
+    mine = Counter((r.doc_id, r.text) for r in kept.where("source = 's'").collect())
+    assert mine == Counter((i, t) for i, t in rows if t != bad.text)
+    left = cp.near_dedup(spark, kept.where("source = 's'"), SMALL)
+    assert left.dtypes == docs.dtypes
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter(
+        [(a, fine), (b, rows[5][1]), (c, None), (c, ""), (None, None), (d, other)])
