@@ -7,8 +7,10 @@ so a lost executor re-reads files instead of repeating earlier stages. All but
 the last stage return the columns of ``documents``; the last returns pieces of
 packed sequences.
 
-A row without an id can't be judged by the keyed stages' joins and is kept by the
-first two stages; texts may be null or empty in every stage (see the operators)."""
+Every row is judged as itself: the first two stages number their rows and decide by that
+number, so rows without an id are judged too and rows that repeat an id do not stand for
+each other. Texts may be null or empty in every stage, tables empty, and further columns of
+any name are carried along (see the operators)."""
 
 from __future__ import annotations
 
@@ -19,25 +21,41 @@ from pyspark.sql import functions as F
 MAX_REPEAT = 1.25
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number per row, written so that it stands; and the number's column."""
+    from tarmac.llm.base import Scratch
+
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    return Scratch(docs.sparkSession, "rows").put(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name
+
+
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier doesn't reject."""
-    from tarmac.session import importable
+    """Rows that the toxicity classifier doesn't reject."""
     from tarmac.llm.toxicity import toxicity
+    from tarmac.session import importable
 
     importable(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    bad = toxicity(docs, labels).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    rows, number = _numbered(docs)
+    bad = toxicity(rows, labels, row_col=number).where("predicted = 1").select(number)
+    return rows.join(bad, number, "left_anti").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every near-duplicate group: the one with the smallest id."""
+    """One row of every near-duplicate group: one with the smallest id (a null id is largest).
+    Rows without words are in no group and stay."""
     from tarmac.llm.near import near_duplicates
     from tarmac.session import importable
 
     importable(spark)
-    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows, number = _numbered(docs)
+    groups = near_duplicates(rows, number)
+    inside = groups.where("n_shingles > 0").join(rows.select(number, "doc_id"), number)
+    first = inside.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", number)).alias("r"))
+    stay = first.select(F.col(f"r.{number}").alias(number)).unionByName(groups.where("n_shingles = 0").select(number))
+    return rows.join(stay, number, "left_semi").select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
