@@ -53,7 +53,7 @@ from tarmac.llm.base import Scratch
 
 CHUNK_WORDS = 700_000
 CHUNK_DOCS = 30_000  # text numbers have 15 bits, the 16th marks held-out texts
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 #: words of at least this share of a sample of about so many texts get partitions of their own
 HOT_SHARE, SAMPLE_TEXTS, HOT_TOKENS = 0.001, 8_000, 1_000_000
 #: contexts that have numbers, and the number that stands for any other
@@ -246,26 +246,27 @@ class Dishes:
         self.part, self.counted, self.seed = row["part"], True, [7, 0, row["part"] & (2**63 - 1)]
         self.at = None  # where the partition's own entries stand
         self.words = _get(row["words"], np.uint64)
-        self.word = _get(row["entry_word"], np.uint32).astype(np.int64)
-        self.ctx = _get(row["entry_ctx"], np.uint32).astype(np.int64)
+        self.word = _get(row["entry_word"], np.uint32).astype(np.int32)
+        self.ctx = _get(row["entry_ctx"], np.uint32).astype(np.int32)
         self.c2 = _get(row["counts"], np.uint32).astype(np.int64)
         self.others = _get(row["others"], np.uint64)
         if row.get("owner") is not None:
             every = sorted(row["everywhere"], key=lambda x: x["ctx"])
-            own, self.ctx = self.ctx, np.array([x["ctx"] for x in every], np.int64)
-            self.c2, self.word = np.array([x["c"] for x in every], np.int64), np.zeros(len(every), np.int64)
+            own, self.ctx = self.ctx, np.array([x["ctx"] for x in every], np.int32)
+            self.c2, self.word = np.array([x["c"] for x in every], np.int64), np.zeros(len(every), np.int32)
             self.at = np.searchsorted(self.ctx, own)
             self.seed, self.counted = [7, 1, int(self.words[0])], row["owner"] == row["part"]
-        end = np.zeros(KNOWN + len(self.others), np.int64)
+        end = np.zeros(KNOWN + len(self.others), np.uint8)
         end[:len(often.known)] = often.known_end
-        end[KNOWN:] = (self.others & np.uint64(255)).astype(np.int64)
+        end[KNOWN:] = self.others & np.uint64(255)
         self.end2 = end[self.ctx]
         hot = often.hot_index(self.words)
         self.hot_word = hot
         self.hot = np.flatnonzero(hot[self.word] >= 0)  # entries of frequent words
         self.hot_of = hot[self.word[self.hot]]
-        self.own = np.flatnonzero(hot[self.word] < 0)
-        pair, self.up = np.unique(self.word[self.own] << 8 | self.end2[self.own], return_inverse=True)
+        self.own = np.flatnonzero(hot[self.word] < 0).astype(np.int32)
+        pair, up = np.unique(self.word[self.own].astype(np.int64) << 8 | self.end2[self.own], return_inverse=True)
+        self.up = up.astype(np.int32)
         self.pair_word, self.end = pair >> 8, pair & 255
         self.t2 = np.minimum(self.c2, 1)
         self._raise()
@@ -291,7 +292,12 @@ class Dishes:
     def predictive(self, tot: Totals, c2: np.ndarray, t2: np.ndarray) -> np.ndarray:
         """Context predictives of all entries; ``c2, t2``: totals of this partition's contexts."""
         s, d = STRENGTH[2], tot.disc[2]
-        return (self.c2 - d * self.t2 + (s + d * t2)[self.ctx] * self.parents(tot)[1]) / (s + c2)[self.ctx]
+        p = self.parents(tot)[1]
+        p *= (s + d * t2)[self.ctx]
+        p += self.c2
+        p -= d * self.t2
+        p /= (s + c2)[self.ctx]
+        return p
 
     def sweep(self, number: int, tot: Totals, t2: np.ndarray) -> None:
         """Seats all customers anew, contexts first; their tables sit above."""
@@ -343,59 +349,67 @@ def _local(row: dict, d: Dishes, tots: list[Totals]):
     return c2, t2
 
 
-def _replayed(row: dict, often: Frequent, tots: list[Totals], sweeps: int):
-    """The partition after each of the first sweeps, with the totals of its contexts."""
-    d = Dishes(row, often)
-    c2, t2 = _local(row, d, tots)
+def _replay(d: Dishes, tots: list[Totals], t2: list[np.ndarray], sweeps: int):
+    """Takes the partition through the first sweeps, one a turn."""
     for k in range(sweeps):
         d.sweep(k + 1, tots[k], t2[k])
-        yield k + 1, d, c2, t2
+        yield k + 1
+
+
+def _rows(batches):
+    """Rows one by one: a partition's row is large, a batch may hold several."""
+    for b in batches:
+        for i in range(b.num_rows):
+            yield {c: b.column(k)[i].as_py() for k, c in enumerate(b.schema.names)}
 
 
 def _sums(often: Frequent, tots: list[Totals], buckets: int):
     """Sums of one partition after sweep ``len(tots)`` (0: the first seating)."""
     def work(batches):
-        for b in batches:
-            for row in b.to_pylist():
-                d = Dishes(row, often)
-                for _, d, _, _ in _replayed(row, often, tots, len(tots)) if tots else ():
+        for row in _rows(batches):
+            d = Dishes(row, often)
+            if tots:
+                t2 = _local(row, d, tots)[1]
+                for _ in _replay(d, tots, t2, len(tots)):
                     pass
-                if not d.counted:
-                    continue
-                rows = []
-
-                def put(kind, at, n, *values):
-                    cols = [np.bincount(at, v, n).astype(np.int64) for v in values]
-                    for i in np.flatnonzero(np.any(cols, 0)).tolist():
-                        rows.append((kind, i, *(int(c[i]) for c in cols), *[0] * (4 - len(cols)), d.part, 0, None, None, None))
-
-                first = not tots
-                low = d.ctx < KNOWN
-                stat = ((d.c2 == 1), (d.c2 == 2)) if first else ()
-                put(CONTEXT, d.ctx[low], KNOWN, d.c2[low], d.t2[low], *(x[low] for x in stat))
-                put(ENDING, d.end2, ENDINGS, d.t2)
-                put(ENDING, d.end, ENDINGS, np.zeros(len(d.end)), d.t1, *((d.c1 == 1), (d.c1 == 2)) if first else ())
-                put(ROOT, np.zeros(len(d.words), np.int64), 1, d.c0, d.t0, *((d.c0 == 1), (d.c0 == 2)) if first else ())
-                put(HOT_PAIR, d.hot_of << 8 | d.end2[d.hot], len(often.words) << 8, d.t2[d.hot])
-                if first:
-                    put(HOT_WORD, d.hot_of, len(often.words), d.c2[d.hot])
-                if len(d.others):
-                    at = d.ctx[~low] - KNOWN
-                    c, t = (np.bincount(at, v[~low], len(d.others)).astype(np.uint32) for v in (d.c2, d.t2))
-                    n1, n2 = (int((d.c2[~low] == k).sum()) for k in (1, 2))
-                    cut = np.searchsorted(_spread(d.others, buckets), np.arange(buckets + 1))
-                    for k in np.flatnonzero(np.diff(cut)).tolist():
-                        x = slice(cut[k], cut[k + 1])
-                        keys, c_of = (_put(d.others[x]), _put(c[x])) if first else (None, None)
-                        rows.append((OTHERS, 0, int(c[x].sum()), 0, n1 if k == _first(cut) else 0, n2 if k == _first(cut) else 0,
-                                     d.part, k, keys, c_of, _put(t[x])))
-                yield _batch(rows, _SUM_NAMES, _SUM_KINDS)
+                del t2
+            if d.counted:
+                yield from _sum_rows(d, often, not tots, buckets)
     return work
 
 
-def _first(cut: np.ndarray) -> int:
-    """The first bucket that is not empty."""
-    return int(np.flatnonzero(np.diff(cut))[0])
+def _sum_rows(d: Dishes, often: Frequent, first: bool, buckets: int):
+    """One batch of sums per level, and the rows of the contexts without a number."""
+    def batch(kind, at, n, *values):
+        cols = [np.bincount(at, v, n).astype(np.int64) for v in values]
+        cols += [np.zeros(n, np.int64)] * (4 - len(cols))
+        some = np.flatnonzero(np.any(cols, 0))
+        m = len(some)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(m, kind, np.int32)), pa.array(some), *(pa.array(c[some]) for c in cols), pa.array(np.full(m, d.part)),
+             pa.array(np.zeros(m, np.int64)), *[pa.nulls(m, pa.binary())] * 3], _SUM_NAMES)
+
+    low = d.ctx < KNOWN
+    yield batch(CONTEXT, d.ctx[low], KNOWN, d.c2[low], d.t2[low], *((d.c2[low] == k) for k in (1, 2) if first))
+    yield batch(ENDING, d.end2, ENDINGS, d.t2)
+    yield batch(ENDING, d.end, ENDINGS, np.zeros(len(d.end)), d.t1, *((d.c1 == k) for k in (1, 2) if first))
+    yield batch(ROOT, np.zeros(len(d.words), np.int64), 1, d.c0, d.t0, *((d.c0 == k) for k in (1, 2) if first))
+    yield batch(HOT_PAIR, d.hot_of << 8 | d.end2[d.hot], len(often.words) << 8, d.t2[d.hot])
+    if first:
+        yield batch(HOT_WORD, d.hot_of, len(often.words), d.c2[d.hot])
+    if not len(d.others):
+        return
+    at = d.ctx[~low] - KNOWN
+    c, t = (np.bincount(at, v[~low], len(d.others)).astype(np.uint32) for v in (d.c2, d.t2))
+    cut = np.searchsorted(_spread(d.others, buckets), np.arange(buckets + 1))
+    n1, n2 = (int((d.c2[~low] == k).sum()) if first else 0 for k in (1, 2))
+    rows = []
+    for k in np.flatnonzero(np.diff(cut)).tolist():
+        x = slice(cut[k], cut[k + 1])
+        keys, c_of = (_put(d.others[x]), _put(c[x])) if first else (None, None)
+        rows.append((OTHERS, 0, int(c[x].sum()), 0, n1, n2, d.part, k, keys, c_of, _put(t[x])))
+        n1 = n2 = 0  # told once
+    yield _batch(rows, _SUM_NAMES, _SUM_KINDS)
 
 
 _BACK = "part long, bucket long, a binary, b binary"
@@ -420,31 +434,39 @@ def _exchanged(key, table):
 
 def _answer(often: Frequent, tots: list[Totals], hot_counts: np.ndarray, burn_in: int):
     """Per chunk and text: sums of log10 predictives and of log10 (c + 0.5), known tokens."""
+    def entries(row):
+        """Of every entry: log10 of the mean predictive, log10 (c + 0.5), whether its word is known."""
+        d = Dishes(row, often)
+        c2, t2 = _local(row, d, tots)
+        p, kept = 0.0, 0
+        if len(tots) == 1:  # the first seating alone
+            p, kept = d.predictive(tots[0], c2, t2[0]), 1
+        for k in _replay(d, tots, t2, len(tots) - 1):
+            if k > burn_in:
+                p, kept = p + d.predictive(tots[k], c2, t2[k]), kept + 1
+        del c2, t2
+        p /= kept
+        score = np.log10(p, out=p)
+        c = np.bincount(d.word, d.c2, len(d.words))
+        c = np.where(d.hot_word >= 0, hot_counts[d.hot_word] if len(hot_counts) else 0, c)
+        at = slice(None) if d.at is None else d.at
+        return score[at], np.log10(c + 0.5)[d.word][at], (c > 0)[d.word][at]
+
     def work(batches):
-        for b in batches:
-            for row in b.to_pylist():
-                d = Dishes(row, often)
-                c2, t2 = _local(row, d, tots)
-                p, kept = 0.0, 0
-                if len(tots) == 1:  # the first seating alone
-                    p, kept = d.predictive(tots[0], c2, t2[0]), 1
-                for k, d, _, _ in _replayed(row, often, tots, len(tots) - 1):
-                    if k > burn_in:
-                        p, kept = p + d.predictive(tots[k], c2, t2[k]), kept + 1
-                score = np.log10(p / kept)
-                c = np.bincount(d.word, d.c2, len(d.words))
-                c = np.where(d.hot_word >= 0, hot_counts[d.hot_word] if len(hot_counts) else 0, c)
-                plain, known = np.log10(c + 0.5)[d.word], (c > 0)[d.word]
-                if d.at is not None:
-                    score, plain, known = score[d.at], plain[d.at], known[d.at]
-                chunks, cuts, entry, doc = (_get(row[x], k) for x, k in (("chunks", np.int64), ("cuts", np.int64), ("entry", np.uint32), ("doc", np.uint16)))
-                out = []
-                for chunk, x, y in zip(chunks.tolist(), cuts[:-1], cuts[1:]):
-                    e, t = entry[x:y], doc[x:y]
-                    n = int(t.max()) + 1
-                    has = np.flatnonzero(np.bincount(t, minlength=n))
-                    sums = [np.bincount(t, v[e], n)[has] for v in (score, plain, known)]
-                    out.append((_ANSWER, chunk, _put(has.astype(np.uint16)), _put(sums[0]), _put(sums[1]), _put(sums[2].astype(np.uint32)), None))
+        for row in _rows(batches):
+            values = entries({k: row.pop(k) for k in list(row) if k not in ("chunks", "cuts", "entry", "doc")})
+            chunks, cuts, entry, doc = (_get(row.pop(x), k) for x, k in (("chunks", np.int64), ("cuts", np.int64), ("entry", np.uint32), ("doc", np.uint16)))
+            out = []
+            for chunk, x, y in zip(chunks.tolist(), cuts[:-1], cuts[1:]):
+                e, t = entry[x:y], doc[x:y]
+                n = int(t.max()) + 1
+                has = np.flatnonzero(np.bincount(t, minlength=n))
+                sums = [np.bincount(t, v[e], n)[has] for v in values]
+                out.append((_ANSWER, chunk, _put(has.astype(np.uint16)), _put(sums[0]), _put(sums[1]), _put(sums[2].astype(np.uint32)), None))
+                if len(out) == 32:
+                    yield _batch(out, _BLOCK, _BLOCK_KINDS)
+                    out = []
+            if out:
                 yield _batch(out, _BLOCK, _BLOCK_KINDS)
     return work
 
