@@ -349,3 +349,31 @@ def test_pipeline_judges_rows_not_ids(spark):
     assert left.dtypes == docs.dtypes
     assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter(
         [(a, fine), (b, rows[5][1]), (c, None), (c, ""), (None, None), (d, other)])
+
+
+def test_label_model_finds_the_voters_rates():
+    """From exact joint votes of independent voters: the log ratios of their hit and miss rates,
+    and the posterior by Bayes' rule over all vote patterns; a copied voter shares its weight."""
+    prior, n = 0.1, 10 ** 6
+    hit, miss = np.zeros(toxicity.N_VOTERS), np.zeros(toxicity.N_VOTERS)
+    hit[:6], miss[:6] = [0.9, 0.6, 0.4, 0.8, 0.3, 0.5], [0.05, 0.01, 0.1, 0.2, 0.02, 0.3]
+
+    def joint(same=()):
+        out = n * (prior * np.outer(hit, hit) + (1 - prior) * np.outer(miss, miss))
+        np.fill_diagonal(out, n * (prior * hit + (1 - prior) * miss))
+        for a, b in same:
+            out[a, b] = out[b, a] = out[a, a]
+        return out
+
+    w, base = toxicity.label_model(n, joint(), prior)
+    assert np.allclose(w[:6], np.log(hit[:6] / miss[:6]), rtol=1e-3) and (w[6:] == 0).all()
+    masks = np.arange(64)
+    on = (masks[:, None] >> np.arange(6)) & 1
+    got = toxicity.posterior(masks, w, base)
+    # an abstention says nothing: Bayes' rule over the votes that were cast
+    odds = prior / (1 - prior) * np.prod(np.where(on, hit[:6] / miss[:6], 1.0), 1)
+    assert np.allclose(got, odds / (1 + odds), atol=1e-3)
+    hit[6], miss[6] = hit[0], miss[0]
+    both, _ = toxicity.label_model(n, joint(same=[(0, 6)]), prior)
+    assert np.isclose(both[0], both[6]) and 0.5 < both[0] / np.log(hit[0] / miss[0]) < 0.75
+    assert np.allclose(both[1:6], np.log(hit[1:6] / miss[1:6]), rtol=0.05)

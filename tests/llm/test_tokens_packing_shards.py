@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tarmac.llm import counts, packing, shards, tokens
+from tarmac.llm.base import Scratch
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -193,3 +194,32 @@ def test_counts_match_plain_dynamic_programming(spark, odd_docs, no_docs, monkey
     words = ["▁share", "▁shared", "▁sharing", "▁shy"]
     assert trie.solve(words) == [plain(w) for w in words]
     assert trie.nodes == len({w[:k] for w in words for k in range(1, len(w) + 1)})  # each prefix once
+
+
+def test_schedule_is_a_round_by_round_deficit_round_robin(spark):
+    """Packets in the order that a plain deficit round-robin sends them, one round a window."""
+    rng = np.random.default_rng(8)
+    window, packet = 96, 16
+    rows, pos = [], {}
+    for part in range(3):
+        for k in range(25):
+            src, n = "n" if k % 9 == 8 else f"s:{'abc'[k % 3]}", int(rng.integers(1, 60))
+            rows.append((part << 33 | k, part, src, n, pos.get((part, src), 0)))
+            pos[part, src] = pos.get((part, src), 0) + n
+    weights = {"a": 3.0, "b": 1.5, "c": 1.0, None: 0.5}
+    meta = spark.createDataFrame(rows, "uid long, part long, src string, n long, pos long")
+    got = sorted((r.g, r.uid, r.start, r.length) for r in packing.schedule(meta, window, packet, weights, Scratch(spark, "t")).collect())
+    queues = {}
+    for uid, part, src, n, _ in sorted(rows, key=lambda r: (r[1], r[0])):
+        queues.setdefault(src, []).extend((uid, s, min(packet, n - s)) for s in range(0, n, packet))
+    share = {"n" if k is None else f"s:{k}": v / sum(weights.values()) for k, v in weights.items()}
+    deficit, want, g = dict.fromkeys(queues, 0.0), [], 0
+    while any(queues.values()):
+        for src in sorted(queues):
+            deficit[src] += window * share[src]
+            while queues[src] and queues[src][0][2] <= deficit[src] + 1e-9:
+                uid, s, n = queues[src].pop(0)
+                deficit[src] -= n
+                want.append((g, uid, s, n))
+                g += n
+    assert got == want
