@@ -57,15 +57,18 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
 JUNK_TAGS = frozenset("nav footer aside form dialog menu button select fieldset".split())
 JUNK_ROLES = frozenset("""navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar
 tablist status""".split())
-JUNK_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising adsense anzeige werbung publicidad publicite sponsor
-sponsored promo promos promotion banner nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager footer masthead
-topbar toolbar sidebar aside rail widget widgets cookie cookies consent gdpr notice notices disclaimer popup modal overlay toast
-newsletter subscribe subscription signup login paywall share sharing social comment comments kommentar kommentare commentaire
-commentaires comentario comentarios disqus respond reply replies related recommended recommendations trending popular teaser
-teasers hidden copyright skip form""".split())
-MAIN_NAMES = frozenset("article post entry story content contents main body text prose".split())
+JUNK_NAMES = frozenset("""ad ads adv alert anzeige werbung publicidad publicite banner nav menu menus footer masthead topbar toolbar
+aside rail widget widgets consent gdpr notice notices disclaimer popup modal overlay toast signup login paywall share sharing social
+disqus respond reply replies related trending popular teaser teasers copyright skip form""".split())
+#: beginnings of words that say the same
+JUNK_STEMS = re.compile(r"(?:advert|adsense|ad(?:slot|box|unit|container|wrapper|banner|block|space|zone)|sponsor|promo|navig|navbar|navmenu"
+                        r"|breadcrumb|paginat|pager|footer|sidebar|cookie|newsletter|subscri|comment(?!ary)|kommentar|commentaire|comentario"
+                        r"|recommend)")
+#: whole names of what is not shown
+UNSEEN = frozenset("hidden is-hidden visually-hidden sr-only screen-reader-text".split())
+MAIN_NAMES = frozenset("article post entry story content contents main prose".split())
 #: a name with one of these words says something about the page's layout, not about the element
-LAYOUT = frozenset("has with no without wrapper layout page".split())
+LAYOUT = frozenset("has with no without layout".split())
 COMMENT_HEADINGS = frozenset("""comments comment reader comments|readers comments|user comments|leave a comment|leave a reply|add a comment
 |post a comment|kommentare|leserkommentare|commentaires|comentarios""".replace("\n", "").replace("comments comment reader", "comments|comment|reader").split("|"))
 
@@ -84,7 +87,7 @@ def _name_says(name: str) -> tuple[bool, bool, bool]:
     words = {w.lower() for w in PART.findall(name)}
     if words & LAYOUT:
         return False, False, False
-    junk = bool(words & JUNK_NAMES)
+    junk = bool(words & JUNK_NAMES) or any(JUNK_STEMS.match(w) for w in words) or name.lower() in UNSEEN
     main = not junk and bool(words & MAIN_NAMES)
     return junk, main, not main and "header" in words
 
@@ -99,6 +102,10 @@ def _says(tag: str, attrs: str) -> tuple[bool, int, bool]:
                 for name in value.split():
                     j, m, h = _name_says(name)
                     junk, main, header = junk or j, max(main, int(m)), header or h
+            elif key == "aria-label":
+                junk = junk or _name_says(value)[0]
+            elif key == "itemprop":
+                main = 2 if value.lower() == "articlebody" else main
             elif key == "role":
                 junk, main = junk or value.lower() in JUNK_ROLES, 2 if value.lower() in ("main", "article") else main
             elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and HIDING.search(value)):

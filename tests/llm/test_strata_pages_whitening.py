@@ -111,6 +111,11 @@ PAGES = {
     "whole page is a form": (f"<form id=aspnetForm><article><h2>Head</h2><p>{S}</p></article><div class=login>Log in here</div></form>", ["Head", S]),
     "article too short for its length to tell": ("<nav><a href=x>a</a></nav><div class=ad>Buy this now.</div><article><h1>No.</h1><p>No.</p></article><footer>c</footer>",
                                                  ["No.", "No."]),
+    "names written together": (
+        f"""<body class="page has-sidebar"><div class="siteHeader"><p>{MORE}</p></div><div id="cookieBar">{S}</div><div class="content-with-sidebar">
+        <div itemprop="articleBody"><p class="text-center">{S}</p><p>{MORE}</p><div class="adslot-top">{MORE}</div><p class="commentary">{S}</p></div>
+        <ol class="commentlist"><li><p>{S}</p><li><p>{MORE}</p></ol><div class="page-footer">{S}</div></div>
+        <section aria-label="Comments"><p>{MORE}</p></section><div class="sidebarRight"><p>{S}</p></div></body>""", [S, MORE, S]),
     "hidden parts": (f"<article><p>{S}</p><p hidden>{MORE}</p><div style='display: none'>{MORE}</div><p aria-hidden=true>{S}</p><p>{MORE}</p></article>", [S, MORE]),
     "references and spaces": ("<article><p>caf&eacute;&nbsp;&#8212;\n\t x &lt; y &amp;amp; z&#x41;</p><pre>a  b\n c</pre><p>1 < 2 <3</p></article>",
                               ["café — x < y &amp; zA", "a b c", "1 < 2 <3"]),
