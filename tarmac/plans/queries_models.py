@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +66,40 @@ def _mae_by_candidate(c: Ctx) -> DataFrame:
                                "dep_delay_min", ["split"])
 
 
+cte("recipe", """
+select flight_id, split, dep_delay_min, dep_hour_local, dow, temp, prcp, wspd, rhum, coco, """ + ", ".join(
+    f"coalesce({c}, 'unknown') as {c}" for c in mdl.EN_NOMINAL) + " from known_rows", ("known_rows",))
+
+_en_terms = " union ".join(
+    [f"select concat('{c}=', {c}) as term from recipe where split = 'train' and dep_delay_min is not null" for c in mdl.EN_NOMINAL]
+    + [f"select '{t}' as term" for t in [*mdl.EN_NUMERIC, *(f"dep_hour_local_ns_{k}" for k in range(1, 6))]])
+
+
+@query("elastic_net_optimality", compose(f"select term, cast(0 as double) as violation from ({_en_terms}) t", "recipe"))
+def _en_optimality(c: Ctx) -> DataFrame:
+    """The elastic net fitted from moments, tried on the train rows: the error's slope along a
+    scaled column is the penalty's edge where the column is used, and below it elsewhere."""
+    both, design, learned = mdl.recipe_frame(*_m1_parts(c), keep=["flight_id"])
+    train = both.where((F.col("split") == "train") & F.col(mdl.TARGET).isNotNull())
+    penalty, mixture = 0.01, 0.5
+    moments = mo.split_moments(train, [f"{x}{mdl.COLUMN}" for x in mdl.EN_NOMINAL], design.width, design.numerics, mdl.TARGET)["train"]
+    fit = mo.elastic_net(moments, penalty, mixture)
+    terms = [f"{x}={lv}" for x in mdl.EN_NOMINAL for lv in learned["levels"][x]] + design.numerics
+    rows = mdl.linear_predict(train, design, fit, "_pred").withColumn("_e", F.col(mdl.TARGET) - F.col("_pred"))
+    entry = [F.struct(F.concat(F.lit(f"{x}="), F.col(x)).alias("term"), F.lit(1.0).alias("v")) for x in mdl.EN_NOMINAL]
+    entry += [F.struct(F.lit(x).alias("term"), F.col(x).alias("v")) for x in design.numerics]
+    v = F.col("x.v")
+    sums = rows.select("_e", F.explode(F.array(*entry)).alias("x")).groupBy("x.term").agg(
+        F.sum(v * F.col("_e")).alias("s"), F.sum(v).alias("a"), F.sum(v * v).alias("q"))
+    n, y_sd = moments.n, float(np.sqrt((moments.diagonal[-1] - moments.sums[-1] ** 2 / moments.n) / (moments.n - 1)))
+    coef = broadcast_if_bounded(c.spark.createDataFrame(list(zip(terms, fit[1].tolist())), "term string, coef double"))
+    sd = F.sqrt((F.col("q") - F.col("a") * F.col("a") / n) / (n - 1))
+    slope = F.col("s") / (n * y_sd) / F.col("sd") - F.lit(penalty / y_sd * (1 - mixture)) * F.col("coef") * F.col("sd") / y_sd
+    edge = penalty / y_sd * mixture
+    off = F.when(F.col("coef") != 0, F.abs(slope - edge * F.signum("coef"))).otherwise(F.greatest(F.lit(0.0), F.abs(slope) - edge))
+    return sums.join(coef, "term").withColumn("sd", sd).select("term", r6(off).alias("violation"))
+
+
 @query("elastic_net_metrics")
 def _en_metrics(c: Ctx) -> DataFrame:
     """30-day baseline MAE plus elastic-net MAE / RMSE on the test month."""
@@ -155,9 +190,60 @@ def _ridge_moments(c: Ctx) -> DataFrame:
                       (F.round(F.col("value") / F.col("n"), 3) + F.lit(0.0)).alias("mean_product")).where("mean_product <> 0")
 
 
-cte("recipe", """
-select flight_id, split, dep_delay_min, dep_hour_local, dow, temp, prcp, wspd, rhum, coco, """ + ", ".join(
-    f"coalesce({c}, 'unknown') as {c}" for c in mdl.EN_NOMINAL) + " from known_rows", ("known_rows",))
+# coefficients of the scoring pass by a rule, so that SQL knows them: from a term's length and the fit's number
+_N_FITS = 11
+
+
+def _rule(term: str, k: int) -> float:
+    return (len(term) % 7 - 3) / 10 + k / 100
+
+
+cte("rule_scores", f"""
+select p.flight_id, k, k + sum(p.value * ((length(p.term) % 7 - 3) / 10.0::double + k / 100.0::double)) as pred
+from design_long p, range({_N_FITS}) r(k) where p.split = 'validation' and p.term not in ('1', 'dep_delay_min')
+group by p.flight_id, k""", ("design_long",))
+
+
+@query("mae_by_fit", compose("""
+select cast(k as integer) as fit, round(avg(abs(pred - dep_delay_min)), 6) as mae
+from rule_scores join rf using (flight_id) where rf.split = 'validation' group by k""", "rule_scores", "rf"))
+def _mae_by_fit(c: Ctx) -> DataFrame:
+    """The one-pass scoring of a path: mean absolute error of every fit over the validation rows."""
+    aligned, levels, _ = mdl.prepare_ridge(_split(c))
+    terms = mdl.ridge_terms(levels)
+    fits = [(float(k), np.array([_rule(t, k) for t in terms])) for k in range(_N_FITS)]
+    maes = mdl.mae_by_penalty(aligned.where(F.col("split") == "validation"), mdl.ridge_design_of(levels), fits)
+    return c.spark.createDataFrame([(k, m) for k, m in enumerate(maes)], "fit int, mae double").withColumn("mae", r6(F.col("mae")))
+
+
+@query("ridge_optimality", compose("""
+select cast(k as integer) as fit, term, cast(0 as double) as slope
+from (select distinct term from design_long where split = 'train' and value <> 0 and term not in ('1', 'dep_delay_min')) t,
+  (values (0), (50), (99)) v(k)""", "design_long"))
+def _ridge_optimality(c: Ctx) -> DataFrame:
+    """Fits of the ridge path from the moments, tried on the train rows: at a fit the penalised
+    error's slope along every scaled column is zero. The rows' errors come from the scoring
+    code, the slopes from the long form of the design."""
+    aligned, levels, _ = mdl.prepare_ridge(_split(c))
+    aligned, design = written(aligned, "ridge-design"), mdl.ridge_design_of(levels)
+    path = mdl.RidgePath(mdl.design_moments(aligned, design)["train"])
+    lambdas, terms = path.lambdas(), mdl.ridge_terms(levels)
+    train = aligned.where(F.col("split") == "train")
+    entries = mdl.design_entries(train, levels, ["flight_id"])
+    out = None
+    for k in (0, 50, 99):
+        fit = path.fit(lambdas[k])
+        error = mdl.linear_predict(train.select("flight_id", mdl.TARGET, *design.columns), design, fit, "_pred").select(
+            "flight_id", (F.col(mdl.TARGET) - F.col("_pred")).alias("_e"))
+        scale = [(terms[j], float(sd), float(lambdas[k] / path.y_sd * fit[1][j] * sd / path.y_sd)) for j, sd in zip(path.live.tolist(), path.sd)]
+        columns = broadcast_if_bounded(c.spark.createDataFrame(scale, "term string, sd double, pull double"))
+        slope = F.col("s") / F.lit(path.n * path.y_sd) / F.col("sd") - F.col("pull")
+        part = (entries.join(error, "flight_id").groupBy("term").agg(F.sum(F.col("value") * F.col("_e")).alias("s"))
+                .join(columns, "term").select(F.lit(k).alias("fit"), "term", r6(slope).alias("slope")))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 _recipe_cols = ", ".join(
     [f"case when {c} in (select {c} from recipe where split = 'train') then {c} else 'other' end as {c}" for c in mdl.EN_NOMINAL]
     + [f"cast(coalesce({c}, (select quantile_cont({c}, 0.5) from recipe where split = 'train')) as double) as {c}" for c in mdl.EN_NUMERIC])
