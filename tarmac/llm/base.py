@@ -5,13 +5,31 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.session import scratch_path
+from tarmac.session import drop_path, scratch_path
+
+
+_open: list[list["Scratch"]] = []  # scratch folders that the open ``spent`` blocks have seen
+
+
+@contextmanager
+def spent(spark: SparkSession) -> Iterator[None]:
+    """Removes, at the end of a block that went well, every scratch folder that was begun in
+    it. For a block that ends with its result written: nothing lazy may read them after."""
+    mine: list[Scratch] = []
+    _open.append(mine)
+    try:
+        yield
+    finally:
+        _open.remove(mine)
+    for s in mine:
+        drop_path(spark, s.root)
 
 
 class Scratch:
@@ -23,6 +41,8 @@ class Scratch:
         self.spark = spark
         self.root = f"{scratch_path(spark, name)}-{uuid.uuid4().hex[:12]}"
         self._n = 0
+        for seen in _open:
+            seen.append(self)
 
     def put(self, df: DataFrame, name: str = "t") -> DataFrame:
         path = f"{self.root}/{self._n}-{name}"
