@@ -84,11 +84,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    from tarmac.llm.base import Scratch
+    """All stages over ``documents``. What a stage has written for itself, and the rows of the
+    stage before, go once its own rows are written."""
+    from tarmac.llm.base import Scratch, spent
 
     scratch = Scratch(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = scratch.put(stage(spark, docs, sf_dir), name)
+        with spent(spark):
+            docs = scratch.put(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            scratch.drop(before)
+        before = docs
     return docs
