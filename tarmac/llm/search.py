@@ -77,33 +77,57 @@ def _terms(batches):
         yield flush()
 
 
+#: postings that a shard turns into contributions at a time
+PART = 1 << 18
+
+
 class Shard:
-    """Inverted index over packed documents; contributions lack the idf factor."""
+    """Inverted index over packed documents; contributions lack the idf factor. ``terms`` and
+    ``tfs`` (an array per document) are emptied once they are copied, and positions are 32-bit,
+    so that a shard takes little more than its postings while it is built."""
 
-    def __init__(self, ids, words, terms, tfs, mean_words: float):
+    def __init__(self, ids, words, terms: list, tfs: list, mean_words: float):
         top = [t[n.argmax()] if len(t) else 0 for t, n in zip(terms, tfs)]
-        order = np.lexsort((np.asarray(words), np.array(top, np.uint64)))
+        words = np.asarray(words, np.int64)
+        order = np.lexsort((words, np.array(top, np.uint64)))
         self.ids = np.asarray(ids, np.int64)[order]
         sizes = np.array([len(terms[i]) for i in order], np.int64)
-        doc = np.repeat(np.arange(len(order), dtype=np.int32), sizes)
         t = np.concatenate([terms[i] for i in order] or [np.empty(0, np.uint64)])
-        tf = np.concatenate([tfs[i] for i in order] or [np.empty(0, np.uint32)]).astype(np.float64)
-        length = np.asarray(words, np.float64)[order][doc]
-        gain = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / max(mean_words, 1e-12)))
+        tf = np.concatenate([tfs[i] for i in order] or [np.empty(0, np.uint32)])
+        terms.clear()
+        tfs.clear()
         by = np.argsort(t, kind="stable")
-        t, self.doc, self.gain = t[by], doc[by], gain[by]
-        self.terms, self.start = np.unique(t, return_index=True)
+        if len(by) < 1 << 31:
+            by = by.astype(np.int32)
+        t = t[by]
+        tf = tf[by]
+        self.doc = np.repeat(np.arange(len(order), dtype=np.int32), sizes)[by]
+        del by
+        first = np.ones(len(t), bool)
+        if len(t):
+            np.not_equal(t[1:], t[:-1], out=first[1:])
+        self.start = np.flatnonzero(first)
+        self.terms = t[self.start]
         self.start = np.append(self.start, len(t))
+        del t
         # blocks of a term: runs of postings with one block number
         block = self.doc // BLOCK
-        new = np.ones(len(t), bool)
-        if len(t):
-            new[1:] = (t[1:] != t[:-1]) | (block[1:] != block[:-1])
-        self.run = np.flatnonzero(new)
-        self.run_block = block[self.run]
-        self.run_max = np.maximum.reduceat(self.gain, self.run) if len(self.run) else np.empty(0)
-        self.run_start = np.searchsorted(self.run, self.start)
-        self.run_end = np.append(self.run[1:], len(t))
+        if len(block):
+            first[1:] |= block[1:] != block[:-1]
+        run = np.flatnonzero(first)
+        self.run_block = block[run]
+        del block, first
+        self.run_start = np.searchsorted(run, self.start)
+        run = np.append(run, len(tf))
+        self.run = run.astype(np.int32) if len(tf) < 1 << 31 else run
+        del run
+        length, mean = words[order].astype(np.float64), max(mean_words, 1e-12)
+        self.gain = np.empty(len(tf))
+        for a in range(0, len(tf), PART):
+            n = tf[a:a + PART].astype(np.float64)
+            self.gain[a:a + PART] = n * (K1 + 1) / (n + K1 * (1 - B + B * length[self.doc[a:a + PART]] / mean))
+        del tf
+        self.run_max = np.maximum.reduceat(self.gain, self.run[:-1]) if len(self.run) > 1 else np.empty(0)
         self.blocks = int(-(-len(order) // BLOCK))
 
     def search(self, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +161,8 @@ class Shard:
                 got[~np.repeat(chosen, BLOCK)[:len(got)]] = 0
             else:
                 first = runs[mine]
-                s, m = self.run[first], self.run_end[first] - self.run[first]
+                s = self.run[first].astype(np.int64)
+                m = self.run[first + 1] - s
                 post = np.repeat(s - np.cumsum(m) + m, m)
                 post += np.arange(len(post))
                 got = np.bincount(self.doc[post], self.gain[post] * np.repeat(weight[mine], m), len(self.ids))
@@ -152,30 +177,49 @@ class Shard:
         return self.ids[np.concatenate(docs)], np.concatenate(scores)
 
 
+def _pieces(column: pa.Array, dtype: str) -> list[np.ndarray]:
+    """Every value of a binary column as numbers, in the batch's own memory."""
+    if not len(column):
+        return []
+    _, offsets, data = column.buffers()
+    wide = np.dtype(np.int64 if pa.types.is_large_binary(column.type) else np.int32)
+    at = np.frombuffer(offsets, wide, len(column) + 1, wide.itemsize * column.offset).tolist()
+    whole = memoryview(data) if data is not None else memoryview(b"")
+    return [np.frombuffer(whole[a:e], dtype) for a, e in zip(at[:-1], at[1:])]
+
+
 def _search(mean_words: float, k: int):
     def work(batches):
         """Rows come by shard, a shard's documents before its queries."""
-        shard, build, index = None, [], None
+        shard, index = None, None
+        ids, words, terms, tfs = [], [], [], []
         for b in batches:
-            cols = [b.column(n).to_pylist() for n in ("shard", "query", "id", "words", "terms", "tfs", "idf")]
-            out = []
-            for s, is_query, i, words, terms, tfs, idf in zip(*cols):
-                if s != shard:
-                    shard, build, index = s, [], None
-                t = np.frombuffer(terms, np.uint64)
-                if not is_query:
-                    build.append((_NULL if i is None else i, words, t, np.frombuffer(tfs, "<u4")))
+            number, asks = b.column("shard").to_numpy(), b.column("query").to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((number[1:] != number[:-1]) | (asks[1:] != asks[:-1])) + 1
+            ends = [*cuts.tolist(), b.num_rows] if b.num_rows else []
+            for at, end in zip([0, *ends[:-1]], ends):
+                part = b.slice(at, end - at)
+                if number[at] != shard:
+                    shard, index = number[at], None
+                    ids, words, terms, tfs = [], [], [], []
+                if not asks[at]:
+                    ids.append(part.column("id").fill_null(_NULL).to_numpy())
+                    words.append(part.column("words").to_numpy())
+                    terms += _pieces(part.column("terms"), "<u8")
+                    tfs += _pieces(part.column("tfs"), "<u4")
                     continue
                 if index is None:
-                    index = Shard(*(zip(*build) if build else ([], [], [], [])), mean_words)
-                    build = []
-                ids, score = index.search(t, np.frombuffer(idf, np.float64), k)
-                score = np.round(score, 6)
-                best = np.lexsort((ids, -score))[:k]
-                out += [(i, d, v) for d, v in zip(ids[best].tolist(), score[best].tolist())]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
-                    pa.int64(), pa.int64(), pa.float64()))], ["query_id", "id", "score"])
+                    none = np.empty(0, np.int64)
+                    index = Shard(np.concatenate(ids or [none]), np.concatenate(words or [none]), terms, tfs, mean_words)
+                    ids, words = [], []
+                for lo in range(0, part.num_rows, 500):  # answers of a few queries at a time
+                    some, out = part.slice(lo, 500), []
+                    for i, t, idf in zip(some.column("id").to_pylist(), _pieces(some.column("terms"), "<u8"), _pieces(some.column("idf"), "<f8")):
+                        found, score = index.search(t, idf, k)
+                        score = np.round(score, 6)
+                        best = np.lexsort((found, -score))[:k]
+                        out.append((np.full(len(best), i, np.int64), found[best], score[best]))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["query_id", "id", "score"])
     return work
 
 

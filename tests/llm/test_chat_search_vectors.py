@@ -1,6 +1,7 @@
 """Chat trees, exact search and vector links against brute force; odd rows."""
 import math
 import random
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -84,6 +85,27 @@ def test_top_k_matches_brute_force(spark, odd_docs, no_docs):
     assert None in {r.doc_id for r in odd} or all(r.doc_id is not None for r in odd)
 
 
+def test_a_shard_takes_little_more_than_its_postings():
+    rng = np.random.default_rng(8)
+    terms = [np.unique(rng.integers(0, 1 << 20, 400).astype(np.uint64)) for _ in range(2500)]
+    tfs = [rng.integers(1, 4, len(t)).astype("<u4") for t in terms]
+    words, postings = [int(n.sum()) for n in tfs], sum(map(len, terms))
+    tracemalloc.start()
+    held = tracemalloc.get_traced_memory()[0]
+    shard = search.Shard(range(2500), words, list(terms), list(tfs), 800.0)
+    now, peak = (x - held for x in tracemalloc.get_traced_memory())
+    tracemalloc.stop()
+    assert peak < 60 * postings, (peak / postings, now / postings)  # 104 with every step at 64 bits
+    t = terms[7][:30]
+    ids, score = shard.search(t, np.ones(30), 5)
+    want = {}
+    for i in range(2500):
+        n = tfs[i][np.isin(terms[i], t)].astype(float)
+        want[i] = (n * 2.2 / (n + 1.2 * (0.25 + 0.75 * words[i] / 800.0))).sum()
+    best = sorted(want, key=lambda i: -want[i])[:5]
+    assert [i for i, _ in sorted(zip(ids.tolist(), score), key=lambda x: -x[1])[:5]] == best
+
+
 def test_vector_links_match_brute_force(spark):
     rng = np.random.default_rng(4)
     rows = []
