@@ -128,9 +128,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     live = sig.where("n > 0 and _id is not null")
     classes = scratch.put(live.groupBy("h1", "h2", "n").agg(F.min(F.struct("_id", *_BITS, "bands")).alias("r"))
                           .select("h1", "h2", "n", "r.*"), "classes")
-    member = classes.select("_id", *_BITS, F.posexplode("bands").alias("band", "bucket"))
+    member = classes.select("_id", F.posexplode("bands").alias("band", "bucket"))
     many = member.groupBy("bucket").agg(F.count("*").alias("m")).where("m > 1").select("bucket")
-    shared = scratch.put(member.join(many, "bucket"), "shared")
+    # bits go to members of shared buckets only, and only their texts are ever compared
+    met = scratch.put(member.join(many, "bucket"), "met")
+    shared = scratch.put(met.join(classes.select("_id", *_BITS), "_id").select("bucket", "_id", *_BITS, "band"), "shared")
+    texts = scratch.put(texts.join(met.select("_id").distinct(), "_id", "left_semi"), "texts")
+    scratch.drop(met)
     comp, edges, tried = None, None, None
     for turn in range(STARS):  # every member against its buckets' leader, another leader each time
         rows = shared if comp is None else _open(shared, comp, scratch)
@@ -141,11 +145,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = scratch.put(pairs, "star")
+        if rows is not shared:
+            scratch.drop(rows)
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = scratch.put(_verified(pairs, texts), "links")
         edges = links if edges is None else edges.unionByName(links)
         comp = components(edges, scratch)
-    edges = edges.unionByName(_remaining(_open(shared, comp, scratch), classes, texts, scratch))
+    rest = _open(shared, comp, scratch)
+    scratch.drop(shared)
+    edges = edges.unionByName(_remaining(rest, classes, texts, scratch))
+    scratch.drop(rest, texts)
     comp = components(edges, scratch)
     final = _label(classes.select("h1", "h2", "n", "_id"), comp).select("h1", "h2", "n", "comp")
     out = (sig.where("n = 0 or _id is null").select("_id", "n", F.col("_id").alias("comp")).unionByName(

@@ -97,3 +97,14 @@ def test_block_step_confirms_every_text_of_a_repeated_id():
     b = pa.RecordBatch.from_pylist([dict(bucket=9, bi=0, bj=0, _id=i, comp=c, partners=p, _text=t) for i, c, p, t in rows])
     got = [tuple(r.values()) for out in near._confirm_partners([b]) for r in out.to_pylist()]
     assert got == [(1, 2)]
+
+
+def test_only_texts_that_share_a_bucket_are_compared(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    text = [" ".join(f"w{k}" for k in rng.integers(0, 10**9, 200)) for _ in range(40)]
+    docs = [(k, t) for k, t in enumerate(text)] + [(100, text[3] + " more"), (101, text[3])]
+    held, real = [], near._verified
+    monkeypatch.setattr(near, "_verified", lambda pairs, texts: (held.append({r._id for r in texts.select("_id").collect()}), real(pairs, texts))[1])
+    got = {r.doc_id: r.component_id for r in near.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {**{k: k for k in range(40)}, 100: 3, 101: 3}
+    assert held and all(ids == {3, 100} for ids in held)
