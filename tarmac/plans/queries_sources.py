@@ -30,14 +30,15 @@ select flight_id, flight_date, trim(crs_dep_time) as crs_dep_time, carrier, orig
 from fx_flights""", "fx_flights"))
 def _flights_csv(c: Ctx) -> DataFrame:
     """Departures as monthly CSV files with the on-time column names (header
-    in every file), read back with the header-mapped reader."""
+    in every file), read back with the header-mapped reader. A large month is split
+    into files of about the advisory size, so no task writes a whole month."""
     src = {v[0]: k for k, v in fs.ONTIME_COLUMNS.items()}
     f = c.flights.withColumn("year", F.year("flight_date")).withColumn(
         "month", F.month("flight_date")).withColumn("day", F.dayofmonth("flight_date"))
     out = f.select(*[(F.col("flight_id").cast("string") if name == "flight_number" else F.col(name))
                      .alias(col) for col, name in src.items()])
     path = _folder(c, "on time csv")
-    out.repartition("Year", "Month").write.option("header", True).csv(path)
+    out.hint("rebalance", "Year", "Month").write.option("header", True).csv(path)
     back = fs.read_flights_csv(c.spark, path, all_columns=False)
     return back.select(F.col("flight_number").cast("bigint").alias("flight_id"), "flight_date",
                        "crs_dep_time", "carrier", "origin", "dest", "dep_delay", "cancelled",

@@ -246,3 +246,18 @@ def test_model_persistence_roundtrip(spark, tmp_path):
     assert meta["best_lambda"] == 0.1 and meta["levels"]["carrier"] == ["AA", "other"]
     pred = back.transform(df).select("prediction").first()[0]
     assert abs(pred - 1.0) < 1e-6
+
+
+def test_a_month_of_flights_is_written_by_several_tasks(spark, tmp_path):
+    from tarmac.plans.registry import QUERIES
+    (spark.range(0, 20_000, 1, 8).selectExpr("id as event_id", "timestamp_seconds(1704067200 + id % 86400) as ts", "'AA' as event_type",
+                                             "id as user_id", "cast(id % 90 as double) as value")
+     .write.parquet(str(tmp_path / "events.parquet")))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "40k")
+    try:
+        back = QUERIES["flights_csv_roundtrip"](spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len({f.rpartition("/")[2] for f in back.inputFiles()}) > 2
+    assert [r.flight_id for r in back.select("flight_id").orderBy("flight_id").collect()] == list(range(20_000))
+    assert {(r.year, r.month) for r in back.select("year", "month").distinct().collect()} == {(2024, 1)}
