@@ -5,10 +5,11 @@ one, on a share of the rows and of the columns per node) to twice the residuals,
 first tree counts in full and every later one ``step``-fold. That is what MLlib's boosted
 trees do inside one ``fit``; here the rounds are ours, so none is ever fitted again:
 
-* rounds come in blocks. Within a block the prediction so far is the stored one plus the
-  block's trees, evaluated while the rows are read. After a block the new predictions are
-  written beside features and target, for train and validation rows, so a round never
-  replays the rounds before its block and a lost executor re-reads files;
+* rounds come in blocks. Within a block a round's train rows are kept with their label, as
+  a fit passes over them several times: a round adds the last tree to the rows of the round
+  before and drops those. After a block the new predictions are written beside features and
+  target, for train and validation rows, so a round never replays the rounds before its
+  block and a lost executor re-reads files;
 * one aggregation over the validation rows gives the error after each of the block's rounds;
 * a block ends with a record of its errors, written last. With ``folder`` a run that was
   stopped goes on after its last recorded block; a record of other rows or other
@@ -25,6 +26,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
@@ -139,18 +141,26 @@ def boost(train: DataFrame, valid: DataFrame, target: str, features: str = "feat
     rows, held = progress.tables(done) if done else start
     while done < max_rounds and not (curve and best_round(curve, patience) + patience <= len(curve)):
         new: list[RandomForestRegressionModel] = []
+        kept: DataFrame | None = None
         for k in range(min(block, max_rounds - done)):
-            residual = F.col(target) - _after(k, step, done)
+            residual = F.col(target) - F.col(_SO_FAR)
             label = F.col(target).cast("double") if done + k == 0 else 2.0 * residual
-            fitted = forest.copy({forest.seed: seed + done + k}).fit(rows.withColumn(_LABEL, label).select(features, _LABEL))
+            now = rows.withColumn(_LABEL, label).select(*keep, _LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+            fitted = forest.copy({forest.seed: seed + done + k}).fit(now.select(features, _LABEL))
+            if kept is not None:
+                kept.unpersist()
+            kept = now
             new.append(fitted.setPredictionCol(f"_t{k}"))
-            rows, held = (new[-1].transform(df) for df in (rows, held))
+            weight = 1.0 if done + k == 0 else step
+            rows = new[-1].transform(now).withColumn(_SO_FAR, F.col(_SO_FAR) + F.col(f"_t{k}") * weight).select(*keep)
+            held = new[-1].transform(held)
         errors = held.agg(*[F.avg(F.abs(_after(k + 1, step, done) - F.col(target))).alias(f"e{k}") for k in range(len(new))]).first()
         curve = curve + [e if e is not None else float("inf") for e in errors]
         trees += new
         before, done = done, done + len(new)
-        rows, held = (df.withColumn(_SO_FAR, _after(len(new), step, before)).select(*keep) for df in (rows, held))
+        held = held.withColumn(_SO_FAR, _after(len(new), step, before)).select(*keep)
         progress.put(done, rows, held, new, before, curve)
+        kept.unpersist()
         rows, held = progress.tables(done)
         if before:
             progress.drop_block(before)

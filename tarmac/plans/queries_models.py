@@ -114,9 +114,9 @@ def _gbt_metrics(c: Ctx) -> DataFrame:
 @query("metrics_comparison")
 def _metrics_cmp(c: Ctx) -> DataFrame:
     """Stored baseline metrics (90-day average, ridge) with the tree metrics appended."""
-    sp = _split(c)
+    sp = written(_split(c), "split")  # the average, the ridge and the trees all read it
     path = scratch_path(c.spark, f"metrics/{uuid.uuid4().hex}")
-    base = ev.error_metrics(_ravg90(c).withColumn("model", F.lit(mdl.MODEL_ROLLING_90D)), "dep_delay_min", "pred_rolling_avg")
+    base = ev.error_metrics(_ravg90(c, sp).withColumn("model", F.lit(mdl.MODEL_ROLLING_90D)), "dep_delay_min", "pred_rolling_avg")
     sinks.write_small_csv(base.unionByName(mdl.ridge_path(sp).metrics), path)
     return sinks.append_metrics(c.spark, mdl.gbt_run(sp, max_rounds=GBT_MAX_ROUNDS).metrics, path)
 

@@ -117,3 +117,38 @@ def test_patience_ends_boosting(spark, trees):
     assert len(run.curve) < 60 and run.best == boosting.best_round(run.curve, 3) and run.best + 3 <= len(run.curve)
     none = boosting.boost(train, valid.limit(0), "dep_delay_min", max_rounds=2, block=2, **TREE)
     assert none.best == 1
+
+
+def test_a_round_fits_rows_that_are_kept(spark, monkeypatch):
+    """Every fit passes over its rows several times: they are kept until the next round's are."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import RandomForestRegressor
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
+        spark.range(400).selectExpr("cast(id % 20 as double) a", "cast(id % 7 as double) b", "cast((id % 20) * 3 - id % 7 as double) y"))
+    seen, real = [], RandomForestRegressor.fit
+
+    def fit(self, df, params=None):
+        seen.append("InMemoryRelation" in df._jdf.queryExecution().withCachedData().toString())
+        return real(self, df, params) if params else real(self, df)
+
+    monkeypatch.setattr(RandomForestRegressor, "fit", fit)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    run = boosting.boost(rows, rows, "y", max_rounds=5, block=3, maxDepth=3, minInstancesPerNode=1, subsamplingRate=1.0)
+    assert len(run.trees) == 5 and run.curve[-1] < run.curve[1]
+    assert seen == [True] * 5
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_compared_metrics_split_the_history_once(spark, monkeypatch):
+    from types import SimpleNamespace
+    from tarmac.plans import queries_baselines as qb
+    from tarmac.plans import queries_models as qm
+    calls, real = [], qb._split
+    for m in (qb, qm):
+        monkeypatch.setattr(m, "_split", lambda c: (calls.append(1), real(c))[1])
+    none = spark.createDataFrame([], qm.sinks.METRICS_SCHEMA)
+    monkeypatch.setattr(qm.mdl, "ridge_path", lambda sp: SimpleNamespace(metrics=none))
+    monkeypatch.setattr(qm.mdl, "gbt_run", lambda sp, max_rounds: SimpleNamespace(metrics=none))
+    got = R.QUERIES["metrics_comparison"](spark, "/root/testdata/sf0.001").collect()
+    assert {(r.model, r.split) for r in got} == {(qm.mdl.MODEL_ROLLING_90D, s) for s in ("validation", "test")}
+    assert len(calls) == 1
