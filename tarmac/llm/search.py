@@ -1,29 +1,38 @@
 """Exact BM25 top-k by an inverted index with block-max pruning, per shard.
 
-Documents are dealt into hashed shards. A shard orders its documents by their most
-frequent word and length (so that a block holds texts of one kind), cuts them into
-blocks of ``BLOCK`` and keeps, for every term, postings with their exact BM25
-contribution and the largest contribution in each block. Contributions use global
-statistics (document count, mean length, document frequencies), so scores of
+A shard is the inverted index of some documents, built where they are read and written
+as one row. It orders its documents by their most frequent word and length (so that a
+block holds texts of one kind), cuts them into blocks of ``BLOCK`` and keeps, for every
+term, postings with their exact BM25 contribution. The shard's most frequent terms lie
+in a table (document x term) with the largest contribution in each block. Contributions
+use global statistics (document count, mean length, document frequencies), so scores of
 different shards compare and the merge of the shards' top k is the global top k.
 
-A query first adds up its terms' block maxima. Blocks are taken by that bound in
-shrinking order in a few batches; the documents of a batch are scored exactly, and
-a block whose bound does not reach the k-th best score so far is never opened (a
+A query adds up the lists of its rarer terms; a document's bound is that sum and its
+block's maxima of the query's frequent terms. The documents of the largest bounds are
+scored exactly, and one whose bound does not reach the k-th best score so far is not (a
 bound equal to it is, so ties are exact). Bounds and scores are sums of the same
 numbers, hence no document above the threshold can be missed.
 
+Queries go to the shards by a nested loop over the two written tables, which writes
+nothing: no row is kept for a (query, shard). The first shards, about the root of their
+number, are searched before the others, whose answers begin at the k-th best score found
+there, so their rows do not grow with shards x queries either.
+
 A query is the set of its distinct words. Rank: score rounded to 6 digits, larger
 first, then smaller id. Edge cases: a null or empty text, or one without words,
 matches nothing and as a query gives no rows; a null id is found under null and,
-as a query, ignored; repeated rows are documents of their own; fewer than k
-matches give fewer rows; empty tables give an empty result; other columns are
-ignored. Terms are compared by 64-bit hashes."""
+as a query, ignored; two rows of one query id are one query; repeated rows are documents
+of their own; fewer than k matches give fewer rows; empty tables give an empty result;
+other columns are ignored. Terms are compared by 64-bit hashes."""
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -33,10 +42,18 @@ from tarmac.llm.base import Scratch
 
 K1, B = 1.2, 0.75
 BLOCK = 128
-#: text bytes per shard
-SHARD_BYTES = 32 << 20
-#: blocks opened at a time, by falling bound
-BATCHES = (8, 1 << 60)
+#: bytes of terms in a shard
+SHARD_BYTES = 28 << 20
+#: the table of a shard holds terms of at least this share of its documents, so many at most
+OFTEN, COLUMNS = 0.1, 1024
+#: queries, and about terms, of a chunk; bytes of chunks that a task passes by its shards
+CHUNK_QUERIES, CHUNK_TERMS, GROUP_BYTES = 1024, 1 << 20, 32 << 20
+#: tasks of shards from which the first ones are searched before the others
+EARLY_TASKS = 9
+#: scores that differ by less may be equal when rounded
+TIE = 2e-6
+#: a query of whose blocks more than one in so many are open is scored on the whole table, so many queries at a time
+OPEN, WHOLE = 8, 128
 _NULL = -(1 << 63)  # stands for a null id inside a shard
 
 
@@ -81,100 +98,129 @@ def _terms(batches):
 PART = 1 << 18
 
 
+def _inverted(ids, words, terms: list, tfs: list) -> tuple[np.ndarray, ...]:
+    """(ids, words, terms, start, doc, tf) of an inverted index over packed documents. ``terms``
+    and ``tfs`` (an array per document) are emptied once they are copied, and positions are
+    32-bit, so that little more than the postings is held."""
+    top = [t[n.argmax()] if len(t) else 0 for t, n in zip(terms, tfs)]
+    words = np.asarray(words, np.int64)
+    order = np.lexsort((words, np.array(top, np.uint64)))
+    sizes = np.array([len(terms[i]) for i in order], np.int64)
+    t = np.concatenate([terms[i] for i in order] or [np.empty(0, np.uint64)])
+    tf = np.concatenate([tfs[i] for i in order] or [np.empty(0, np.uint32)])
+    tf = tf.astype(np.min_scalar_type(tf.max(initial=0)))
+    terms.clear()
+    tfs.clear()
+    by = np.argsort(t, kind="stable").astype(np.int32)
+    t = t[by]
+    tf = tf[by]
+    doc = np.repeat(np.arange(len(order), dtype=np.int32), sizes)[by]
+    del by
+    first = np.ones(len(t), bool)
+    if len(t):
+        np.not_equal(t[1:], t[:-1], out=first[1:])
+    start = np.flatnonzero(first).astype(np.int32)
+    return np.asarray(ids, np.int64)[order], words[order], t[start], np.append(start, np.int32(len(t))), doc, tf
+
+
 class Shard:
-    """Inverted index over packed documents; contributions lack the idf factor. ``terms`` and
-    ``tfs`` (an array per document) are emptied once they are copied, and positions are 32-bit,
-    so that a shard takes little more than its postings while it is built."""
+    """Inverted index over packed documents; contributions lack the idf factor."""
 
     def __init__(self, ids, words, terms: list, tfs: list, mean_words: float):
-        top = [t[n.argmax()] if len(t) else 0 for t, n in zip(terms, tfs)]
-        words = np.asarray(words, np.int64)
-        order = np.lexsort((words, np.array(top, np.uint64)))
-        self.ids = np.asarray(ids, np.int64)[order]
-        sizes = np.array([len(terms[i]) for i in order], np.int64)
-        t = np.concatenate([terms[i] for i in order] or [np.empty(0, np.uint64)])
-        tf = np.concatenate([tfs[i] for i in order] or [np.empty(0, np.uint32)])
-        terms.clear()
-        tfs.clear()
-        by = np.argsort(t, kind="stable")
-        if len(by) < 1 << 31:
-            by = by.astype(np.int32)
-        t = t[by]
-        tf = tf[by]
-        self.doc = np.repeat(np.arange(len(order), dtype=np.int32), sizes)[by]
-        del by
-        first = np.ones(len(t), bool)
-        if len(t):
-            np.not_equal(t[1:], t[:-1], out=first[1:])
-        self.start = np.flatnonzero(first)
-        self.terms = t[self.start]
-        self.start = np.append(self.start, len(t))
-        del t
-        # blocks of a term: runs of postings with one block number
-        block = self.doc // BLOCK
-        if len(block):
-            first[1:] |= block[1:] != block[:-1]
-        run = np.flatnonzero(first)
-        self.run_block = block[run]
-        del block, first
-        self.run_start = np.searchsorted(run, self.start)
-        run = np.append(run, len(tf))
-        self.run = run.astype(np.int32) if len(tf) < 1 << 31 else run
-        del run
-        length, mean = words[order].astype(np.float64), max(mean_words, 1e-12)
+        self._open(*_inverted(ids, words, terms, tfs), mean_words)
+
+    @classmethod
+    def of(cls, ids, words, terms, start, doc, tf, mean_words: float) -> Shard:
+        """The shard of a row of the written index (buffers)."""
+        shard, doc = cls.__new__(cls), np.frombuffer(doc, np.int32)
+        width = len(memoryview(tf)) // len(doc) if len(doc) else 1
+        shard._open(np.frombuffer(ids, np.int64), np.frombuffer(words, np.int64), np.frombuffer(terms, np.uint64),
+                    np.frombuffer(start, np.int32), doc, np.frombuffer(tf, f"<u{width}"), mean_words)
+        return shard
+
+    def _open(self, ids, words, terms, start, doc, tf, mean_words: float):
+        self.ids, self.terms, self.start, self.doc = ids, terms, start.astype(np.int64), doc
+        self.blocks = int(-(-len(ids) // BLOCK))
+        length, mean = words.astype(np.float64), max(mean_words, 1e-12)
         self.gain = np.empty(len(tf))
         for a in range(0, len(tf), PART):
             n = tf[a:a + PART].astype(np.float64)
-            self.gain[a:a + PART] = n * (K1 + 1) / (n + K1 * (1 - B + B * length[self.doc[a:a + PART]] / mean))
-        del tf
-        self.run_max = np.maximum.reduceat(self.gain, self.run[:-1]) if len(self.run) > 1 else np.empty(0)
-        self.blocks = int(-(-len(order) // BLOCK))
+            self.gain[a:a + PART] = n * (K1 + 1) / (n + K1 * (1 - B + B * length[doc[a:a + PART]] / mean))
+        # the table takes two numbers per posting at most
+        count = np.diff(self.start)
+        often = np.flatnonzero(count >= max(1, OFTEN * len(ids)))
+        width = min(COLUMNS, 2 * len(doc) // max(1, self.blocks * BLOCK))
+        often = often[np.argsort(-count[often], kind="stable")[:width]]
+        self.column = np.full(len(terms), -1, np.int32)
+        self.column[often] = np.arange(len(often))
+        self.table = np.zeros((self.blocks * BLOCK, len(often)))
+        for c, t in enumerate(often.tolist()):
+            of = slice(self.start[t], self.start[t + 1])
+            self.table[doc[of], c] = self.gain[of]
+        self.most = self.table.reshape(self.blocks, BLOCK, len(often)).max(1)
+        self.narrow = self.table.astype(np.float32)
+
+    def search_all(self, terms: np.ndarray, idf: np.ndarray, at: np.ndarray, cuts: np.ndarray, least: np.ndarray, k: int):
+        """(query, documents, scores) with the top k of this shard for every query. Query ``i``
+        has the terms ``terms[at[cuts[i]:cuts[i + 1]]]``, and no score under ``least[i]`` is needed."""
+        if not len(self.terms):
+            return
+        place = np.searchsorted(self.terms, terms)
+        place[place == len(self.terms)] = 0
+        known = self.terms[place] == terms
+        column = np.where(known, self.column[place], -1)
+        weight = np.zeros((len(cuts) - 1, self.table.shape[1]))
+        number, c = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts)), column[at]
+        hit = np.flatnonzero(c >= 0)
+        weight[number[hit], c[hit]] = idf[at[hit]]
+        bounds = weight @ self.most.T
+        hit = np.flatnonzero((known & (column < 0))[at])  # the lists of the rarer terms
+        ends = np.searchsorted(hit, cuts).tolist()
+        at = at[hit]
+        start, idf = self.start[place[at]], idf[at]
+        size = self.start[place[at] + 1] - start
+        whole: list[tuple[int, np.ndarray, float]] = []
+        for i, (a, e) in enumerate(zip(ends[:-1], ends[1:])):
+            n = size[a:e]
+            post = np.repeat(start[a:e] - np.cumsum(n) + n, n)
+            post += np.arange(len(post))
+            gain = self.gain.take(post)
+            gain *= np.repeat(idf[a:e], n)
+            some = np.bincount(self.doc.take(post), gain, len(self.table)).reshape(-1, BLOCK)
+            low = max(float(least[i]) - TIE, 1e-300)
+            block = np.flatnonzero(some.max(1) + bounds[i] >= low)
+            if OPEN * len(block) <= self.blocks:
+                chosen = np.flatnonzero(some[block] + bounds[i][block, None] >= low)
+                chosen += (block[chosen // BLOCK] - chosen // BLOCK) * BLOCK
+                yield i, *self._scored(some.ravel(), weight[i], chosen, low)
+                continue
+            whole.append((i, some.ravel(), low))
+            if len(whole) == WHOLE:
+                yield from self._whole(whole, weight, k)
+                whole = []
+        yield from self._whole(whole, weight, k)
+
+    def _whole(self, queries, weight: np.ndarray, k: int):
+        """Scores of all documents, in short numbers; those that may reach the threshold are scored again."""
+        dense = weight[[i for i, _, _ in queries]].astype(np.float32) @ self.narrow.T
+        for (i, some, low), short in zip(queries, dense):
+            # a sum of positive products errs by a share of itself
+            slack = 1.1 * (weight.shape[1] + 8) * 2.0 ** -24 * float(short.max(initial=0))
+            score = short + some
+            if low == 1e-300 and len(score) > k:
+                low = max(low, np.partition(score, len(score) - k)[len(score) - k] - slack - TIE)
+            yield i, *self._scored(some, weight[i], np.flatnonzero(score >= max(low - slack, 1e-300)), low)
+
+    def _scored(self, some, weight, chosen, low):
+        score = some[chosen] + self.table[chosen] @ weight
+        keep = np.flatnonzero(score >= low)
+        return self.ids[chosen[keep]], score[keep]
 
     def search(self, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(documents, scores) that contain the top k of this shard."""
-        at = np.searchsorted(self.terms, terms)
-        hit = at < len(self.terms)
-        hit[hit] = self.terms[at[hit]] == terms[hit]
-        at, idf = at[hit], idf[hit]
-        if not len(at):
-            return np.empty(0, np.int64), np.empty(0)
-        a, n = self.run_start[at], self.run_start[at + 1] - self.run_start[at]
-        runs = np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())
-        weight = np.repeat(idf, n)
-        block = self.run_block[runs]
-        bound = np.bincount(block, self.run_max[runs] * weight, self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        docs, scores, least, done = [], [], -np.inf, 0
-        for take in BATCHES:
-            part = order[done:done + take]
-            part = part[(bound[part] >= least - 1e-6) & (bound[part] > 0)]
-            if not len(part):
-                break
-            done += take
-            chosen = np.zeros(self.blocks, bool)
-            chosen[part] = True
-            mine = np.flatnonzero(chosen[block])
-            if 3 * len(mine) > len(runs):  # most blocks are open: whole lists are read faster than their parts
-                spans = list(zip(self.start[at].tolist(), self.start[at + 1].tolist()))
-                doc, gain = (np.concatenate([x[a:b] for a, b in spans]) for x in (self.doc, self.gain))
-                got = np.bincount(doc, gain * np.repeat(idf, self.start[at + 1] - self.start[at]), len(self.ids))
-                got[~np.repeat(chosen, BLOCK)[:len(got)]] = 0
-            else:
-                first = runs[mine]
-                s = self.run[first].astype(np.int64)
-                m = self.run[first + 1] - s
-                post = np.repeat(s - np.cumsum(m) + m, m)
-                post += np.arange(len(post))
-                got = np.bincount(self.doc[post], self.gain[post] * np.repeat(weight[mine], m), len(self.ids))
-            keep = np.flatnonzero(got)
-            docs.append(keep)
-            scores.append(got[keep])
-            s = np.concatenate(scores)
-            if len(s) > k:
-                least = np.partition(s, len(s) - k)[len(s) - k]
-                w = s >= least - 1e-6
-                docs, scores = [np.concatenate(docs)[w]], [s[w]]
-        return self.ids[np.concatenate(docs)], np.concatenate(scores)
+        """(documents, scores) that contain the top k of this shard for one query."""
+        for _, ids, scores in self.search_all(terms, idf, np.arange(len(terms)), np.array([0, len(terms)]), np.array([-np.inf]), k):
+            return ids, scores
+        return np.empty(0, np.int64), np.empty(0)
 
 
 def _pieces(column: pa.Array, dtype: str) -> list[np.ndarray]:
@@ -188,51 +234,108 @@ def _pieces(column: pa.Array, dtype: str) -> list[np.ndarray]:
     return [np.frombuffer(whole[a:e], dtype) for a, e in zip(at[:-1], at[1:])]
 
 
+SHARD = ["ids", "words", "terms", "start", "doc", "tf"]
+INDEX = "task long, " + ", ".join(f"{c} binary" for c in SHARD)
+
+
+def _index(batches):
+    """The shards of a task's packed documents, a row each: of ``SHARD_BYTES`` of terms, the last of half to one and a half."""
+    task = TaskContext.get().partitionId()
+    held: list[tuple] = []  # (id, words, terms, tfs)
+
+    def row(docs):
+        ids, words, terms, tfs = (list(c) for c in zip(*docs))
+        docs.clear()
+        arrays = _inverted(ids, words, terms, tfs)
+        values = (pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(np.array([0, a.nbytes], np.int32)), pa.py_buffer(a)]) for a in arrays)
+        return pa.RecordBatch.from_arrays([pa.array([task]), *values], ["task", *SHARD])
+
+    size = 0
+    for b in batches:
+        for d in zip(b.column("id").fill_null(_NULL).to_pylist(), b.column("words").to_pylist(),
+                     _pieces(b.column("terms"), "<u8"), _pieces(b.column("tfs"), "<u4")):
+            held.append(d)
+            size += d[2].nbytes
+            if 2 * size >= 3 * SHARD_BYTES:
+                n, size = 0, 0
+                while n < len(held) and size < SHARD_BYTES:
+                    size += held[n][2].nbytes
+                    n += 1
+                first, held = held[:n], held[n:]
+                yield row(first)
+                size = sum(x[2].nbytes for x in held)
+    if held:
+        yield row(held)
+
+
+CHUNK = {"queries": "<i8", "names": "<u8", "idf": "<f8", "at": "<i4", "cuts": "<i8", "least": "<f8"}
+
+
+def _chunks(batches):
+    """Queries in chunks, a row each: distinct terms with their idf, and the places of each query's terms in them."""
+    held: list[tuple] = []
+
+    def row():
+        i, terms, idf, least = zip(*held)
+        names, first, at = np.unique(np.concatenate(terms), return_index=True, return_inverse=True)
+        arrays = (i, names, np.concatenate(idf)[first], at, np.append(0, np.cumsum([len(t) for t in terms])), least)
+        return pa.RecordBatch.from_arrays([pa.array([np.asarray(a, t).tobytes()], pa.binary()) for a, t in zip(arrays, CHUNK.values())], list(CHUNK))
+
+    size = 0
+    for b in batches:
+        for q in zip(b.column("id").to_pylist(), _pieces(b.column("terms"), "<u8"), _pieces(b.column("idf"), "<f8"),
+                     b.column("least").fill_null(-np.inf).to_pylist()):
+            held.append(q)
+            size += len(q[1])
+            if len(held) == CHUNK_QUERIES or size >= CHUNK_TERMS:
+                yield row()
+                held, size = [], 0
+    if held:
+        yield row()
+
+
 def _search(mean_words: float, k: int):
     def work(batches):
-        """Rows come by shard, a shard's documents before its queries."""
-        shard, index = None, None
-        ids, words, terms, tfs = [], [], [], []
+        """Rows are a shard, then the chunks of queries that it answers, then the next shard."""
+        shard = None
         for b in batches:
-            number, asks = b.column("shard").to_numpy(), b.column("query").to_numpy(zero_copy_only=False)
-            cuts = np.flatnonzero((number[1:] != number[:-1]) | (asks[1:] != asks[:-1])) + 1
-            ends = [*cuts.tolist(), b.num_rows] if b.num_rows else []
-            for at, end in zip([0, *ends[:-1]], ends):
-                part = b.slice(at, end - at)
-                if number[at] != shard:
-                    shard, index = number[at], None
-                    ids, words, terms, tfs = [], [], [], []
-                if not asks[at]:
-                    ids.append(part.column("id").fill_null(_NULL).to_numpy())
-                    words.append(part.column("words").to_numpy())
-                    terms += _pieces(part.column("terms"), "<u8")
-                    tfs += _pieces(part.column("tfs"), "<u4")
+            for n in range(b.num_rows):
+                if b.column("ids")[n].is_valid:
+                    shard = None
+                    shard = Shard.of(*(b.column(c)[n].as_buffer() for c in SHARD), mean_words)
                     continue
-                if index is None:
-                    none = np.empty(0, np.int64)
-                    index = Shard(np.concatenate(ids or [none]), np.concatenate(words or [none]), terms, tfs, mean_words)
-                    ids, words = [], []
-                for lo in range(0, part.num_rows, 500):  # answers of a few queries at a time
-                    some, out = part.slice(lo, 500), []
-                    for i, t, idf in zip(some.column("id").to_pylist(), _pieces(some.column("terms"), "<u8"), _pieces(some.column("idf"), "<f8")):
-                        found, score = index.search(t, idf, k)
-                        score = np.round(score, 6)
-                        best = np.lexsort((found, -score))[:k]
-                        out.append((np.full(len(best), i, np.int64), found[best], score[best]))
+                q, names, idf, at, cuts, least = (np.frombuffer(b.column(f"q_{c}")[n].as_buffer(), t) for c, t in CHUNK.items())
+                out = []
+                for i, found, score in shard.search_all(names, idf, at, cuts, least, k):
+                    score = np.round(score, 6)
+                    best = np.lexsort((found, -score))[:k]
+                    out.append((np.full(len(best), q[i]), found[best], score[best]))
+                if out:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["query_id", "id", "score"])
     return work
 
 
+def _scan(index: DataFrame, chunks: DataFrame, groups: int, mean_words: float, k: int) -> DataFrame:
+    """``query_id, id, score``: k rows at most for every shard and query. A nested loop over the two
+    written tables: a shard meets the first row of a task's chunks, its mark meets them all."""
+    left = index.select(F.explode(F.array(F.lit(False), F.lit(True))).alias("mark"), *SHARD)
+    left = left.select("mark", *(F.when(~F.col("mark"), F.col(c)).alias(c) for c in SHARD))
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # of a row in its partition
+    right = chunks.coalesce(groups).select((number == 0).alias("first"), *(F.col(c).alias(f"q_{c}") for c in CHUNK))
+    both = left.hint("shuffle_replicate_nl").join(right, F.col("mark") | F.col("first"))
+    return both.select(*SHARD, *(F.when(F.col("mark"), F.col(f"q_{c}")).alias(f"q_{c}") for c in CHUNK)).mapInArrow(
+        _search(mean_words, k), "query_id long, id long, score double")
+
+
 def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text",
           shards: int | None = None) -> DataFrame:
     """``query_id, rank, id_col, score``: the k best documents of every query
-    ``queries (query_id, text)``."""
+    ``queries (query_id, text)``. ``shards``: tasks that documents are dealt to, else by their size."""
     scratch = Scratch(docs.sparkSession, "search")
     cols = lambda df, i, t: df.select(F.col(i).cast("long").alias("id"), F.col(t).cast("string").alias("text"))
     packed = scratch.put(cols(docs, id_col, text_col).mapInArrow(_pack, PACKED), "packed")
     stat = packed.agg(F.count("*").alias("n"), F.avg("words").alias("mean"), F.sum(F.length("terms")).alias("b")).first()
     n, mean = int(stat.n), float(stat.mean or 0)
-    shards = shards or max(1, int((stat.b or 0) // SHARD_BYTES) + 1)
     asked = scratch.put(cols(queries, "query_id", text_col).where("id is not null").mapInArrow(_pack, PACKED).where("words > 0"), "asked")
 
     def each(batches):
@@ -258,13 +361,22 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
                 pa.int64(), pa.binary(), pa.binary()))], ["id", "terms", "idf"])
 
     ask = scratch.put(weighted.mapInArrow(bits, "id long, terms binary, idf binary"), "queries")
-    left = packed.select(F.pmod(F.xxhash64("id", "words"), F.lit(shards)).alias("shard"), F.lit(False).alias("query"), "id",
-                         "words", "terms", "tfs", F.lit(None).cast("binary").alias("idf"))
-    right = ask.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
-                       F.lit(True).alias("query"), "id", F.lit(0).cast("long").alias("words"), "terms",
-                       F.lit(None).cast("binary").alias("tfs"), "idf")
-    found = (left.unionByName(right).repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "query")
-             .mapInArrow(_search(mean, k), "query_id long, id long, score double"))
+    dealt = packed.repartition(shards) if shards else packed.coalesce(int((stat.b or 0) // SHARD_BYTES) + 1)
+    index = scratch.put(dealt.mapInArrow(_index, INDEX), "index")
+    scratch.drop(packed, asked)
+
+    def scan(some: DataFrame, asking: DataFrame) -> DataFrame:
+        chunks = scratch.put(asking.mapInArrow(_chunks, ", ".join(f"{c} binary" for c in CHUNK)), "chunks")
+        size = chunks.agg(F.sum(F.length("names") + F.length("idf") + F.length("at"))).first()[0] or 0
+        return _scan(some, chunks, int(size // GROUP_BYTES) + 1, mean, k)
+
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id"))
+    tasks = (index.agg(F.max("task")).first()[0] or 0) + 1
+    early = math.isqrt(tasks) if tasks >= EARLY_TASKS else tasks
+    found = scan(index.where(F.col("task") < early), ask.withColumn("least", F.lit(None).cast("double")))
+    if early < tasks:
+        found = scratch.put(found, "early")
+        least = found.withColumn("rank", rank).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("least"))
+        found = found.unionByName(scan(index.where(F.col("task") >= early), ask.join(least, "id", "left")))
     return (found.withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("long").alias("rank"), F.when(F.col("id") != _NULL, F.col("id")).alias(id_col), "score"))

@@ -4,9 +4,11 @@ import random
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tarmac.llm import chat, search, vectors
+from tarmac.session import ensure_checkpoint_dir
 
 
 def read_back(df):
@@ -85,6 +87,108 @@ def test_top_k_matches_brute_force(spark, odd_docs, no_docs):
     assert None in {r.doc_id for r in odd} or all(r.doc_id is not None for r in odd)
 
 
+def test_queries_take_no_disk_per_shard(spark, monkeypatch):
+    """Forty shards leave about as many bytes behind as two: no copy of a query for every shard."""
+    rng = random.Random(12)
+    docs = [(i, " ".join(f"w{rng.randrange(1 << 40)}" for _ in range(600))) for i in range(240)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    asked = df.select(F.col("doc_id").alias("query_id"), "text")
+
+    def kept():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        at = spark._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
+        store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        return sum(files.apply(i).length() for i in range(files.size())) + store.getContentSummary(at).getLength()
+
+    left = {}
+    for shards in (2, 40):
+        before = kept()
+        assert search.top_k(df, asked, 1, shards=shards).count() == 240
+        left[shards] = kept() - before
+    assert left[40] < 2 * left[2], left
+
+
+def test_top_k_by_stages_and_groups_is_the_same(spark, monkeypatch):
+    """First shards before the others, chunks in several groups: the rows of one shard."""
+    rng = random.Random(13)
+    vocab = [f"w{int(rng.paretovariate(0.5))}" for _ in range(3000)]
+    docs = [(i // 2 if i % 50 == 0 else i, " ".join(rng.choice(vocab) for _ in range(rng.randrange(0, 90)))) for i in range(900)]
+    docs += [(None, docs[4][1]), (2000, docs[4][1]), (2001, docs[4][1]), (2001, docs[4][1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(9)
+    asked = df.where("doc_id % 3 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    rows = lambda **c: sorted((tuple(r) for r in search.top_k(df, asked, 5, **c).collect()), key=str)
+    one = rows(shards=1)
+    assert {q for q, *_ in one} == {i for i, t in docs if i is not None and i % 3 == 0 and t}
+    monkeypatch.setattr(search, "GROUP_BYTES", 4096)
+    assert rows(shards=5) == one
+    monkeypatch.setattr(search, "EARLY_TASKS", 2)
+    assert rows(shards=7) == one
+
+
+def test_shards_and_chunks_are_cut_by_size(monkeypatch):
+    monkeypatch.setattr(search, "SHARD_BYTES", 800)
+    monkeypatch.setattr(search, "CHUNK_TERMS", 30)
+    monkeypatch.setattr(search, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda self: 3})())}))
+    terms = [np.sort(np.random.default_rng(i).choice(500, i % 40, replace=False)).astype("<u8") for i in range(100)]
+    packed = pa.RecordBatch.from_arrays([
+        pa.array([None if i == 7 else i for i in range(100)], pa.int64()), pa.array(list(map(len, terms)), pa.int64()),
+        pa.array([t.tobytes() for t in terms]), pa.array([np.ones(len(t), "<u4").tobytes() for t in terms])], ["id", "words", "terms", "tfs"])
+    rows = list(search._index([packed.slice(0, 33), packed.slice(33)]))
+    sizes = [8 * len(np.frombuffer(r.column("doc")[0].as_py(), np.int32)) for r in rows]
+    assert sum(sizes) == 8 * sum(map(len, terms)) and all(400 <= s <= 1200 + 8 * 40 for s in sizes) and len(rows) > 10
+    found = {}
+    for r in rows:
+        shard = search.Shard.of(*(r.column(c)[0].as_buffer() for c in search.SHARD), 20.0)
+        for t, a, e in zip(shard.terms.tolist(), shard.start[:-1], shard.start[1:]):
+            for i in shard.ids[shard.doc[a:e]].tolist():
+                found.setdefault(i, []).append(t)
+    assert found == {search._NULL if i == 7 else i: t.tolist() for i, t in enumerate(terms) if len(t)}
+    asks = pa.RecordBatch.from_arrays([pa.array(range(100), pa.int64()), packed.column("terms"), pa.array([(t * 0.5).astype("<f8").tobytes() for t in terms]),
+                                       pa.array([None if i % 2 else float(i) for i in range(100)], pa.float64())], ["id", "terms", "idf", "least"])
+    seen = 0
+    for r in search._chunks([asks.slice(0, 41), asks.slice(41)]):
+        q, names, idf, at, cuts, least = (np.frombuffer(r.column(c)[0].as_buffer(), t) for c, t in search.CHUNK.items())
+        assert (idf == names * 0.5).all() and len(at) < 30 + 40
+        for n, i in enumerate(q.tolist()):
+            assert i == seen and names[at[cuts[n]:cuts[n + 1]]].tolist() == terms[i].tolist()
+            assert least[n] == (-np.inf if i % 2 else i)
+            seen += 1
+    assert seen == 100
+
+
+def test_a_threshold_opens_few_documents_and_misses_none(monkeypatch):
+    """Open blocks only, or the whole table in short numbers: the best documents and scores of a full sum."""
+    rng = np.random.default_rng(5)
+    common = np.arange(60, dtype=np.uint64)
+    terms = [np.unique(np.append(rng.choice(common, 20), rng.integers(60, 4000, 15).astype(np.uint64))) for _ in range(3000)]
+    terms[2900:] = [np.unique(np.append(common[:40], np.arange(5000, 5010, dtype=np.uint64))) for _ in range(100)]
+    tfs = [rng.integers(1, 5, len(t)).astype("<u4") for t in terms]
+    words = [int(n.sum()) for n in tfs]
+    names = np.arange(5010, dtype=np.uint64)
+    idf = rng.uniform(0.01, 9, len(names))
+    asks = [terms[i] for i in (0, 5, 2950, 2999)] + [np.array([77], np.uint64), np.array([9999], np.uint64)]
+    sums = []
+    for t in asks:
+        sums.append(np.array([sum(idf[int(x)] * m * 2.2 / (m + 1.2 * (0.25 + 0.75 * w / 90.0)) for x, m in zip(d.tolist(), n.tolist()) if x in set(t.tolist()))
+                              for d, n, w in zip(terms, tfs, words)]))
+    shard = search.Shard(range(3000), words, list(terms), list(tfs), 90.0)
+    assert shard.table.shape[1] >= 40 and shard.blocks == 24
+    asked = np.append(names, np.uint64(9999))
+    at, cuts = np.searchsorted(asked, np.concatenate(asks)), np.append(0, np.cumsum([len(t) for t in asks]))
+    for share in (1, 1000):  # any number of blocks may be pruned, none may
+        monkeypatch.setattr(search, "OPEN", share)
+        for known in (False, True):
+            least = np.array([np.round(np.sort(s)[-10], 6) if known and s.max() > 0 else -np.inf for s in sums])
+            got = {i: (ids, score) for i, ids, score in shard.search_all(asked, np.append(idf, 1.0), at, cuts, least, 10)}
+            for i, s in enumerate(sums):
+                best = [d for d in np.lexsort((np.arange(3000), -np.round(s, 6)))[:10] if s[d] > 0]
+                ids, score = got[i]
+                assert set(best) <= set(ids.tolist())
+                assert np.allclose(score, s[ids], rtol=1e-12)
+                if known or share == 1000:
+                    assert len(ids) < 40 or i == 4
+
+
 def test_a_shard_takes_little_more_than_its_postings():
     rng = np.random.default_rng(8)
     terms = [np.unique(rng.integers(0, 1 << 20, 400).astype(np.uint64)) for _ in range(2500)]
