@@ -130,12 +130,15 @@ class Shard:
         self._open(*_inverted(ids, words, terms, tfs), mean_words)
 
     @classmethod
-    def of(cls, ids, words, terms, start, doc, tf, mean_words: float) -> Shard:
-        """The shard of a row of the written index (buffers)."""
-        shard, doc = cls.__new__(cls), np.frombuffer(doc, np.int32)
-        width = len(memoryview(tf)) // len(doc) if len(doc) else 1
-        shard._open(np.frombuffer(ids, np.int64), np.frombuffer(words, np.int64), np.frombuffer(terms, np.uint64),
-                    np.frombuffer(start, np.int32), doc, np.frombuffer(tf, f"<u{width}"), mean_words)
+    def of(cls, pieces: list, mean_words: float) -> Shard:
+        """The shard of its rows in the written index."""
+        whole, at, arrays = b"".join(pieces), 4 * 8, []
+        docs, terms, postings, width = np.frombuffer(whole, np.int64, 4).tolist()
+        for n, kind in ((docs, "<i8"), (docs, "<i8"), (terms, "<u8"), (terms + 1, "<i4"), (postings, "<i4"), (postings, f"<u{width}")):
+            arrays.append(np.frombuffer(whole, kind, n, at))
+            at += arrays[-1].nbytes
+        shard = cls.__new__(cls)
+        shard._open(*arrays, mean_words)
         return shard
 
     def _open(self, ids, words, terms, start, doc, tf, mean_words: float):
@@ -234,21 +237,25 @@ def _pieces(column: pa.Array, dtype: str) -> list[np.ndarray]:
     return [np.frombuffer(whole[a:e], dtype) for a, e in zip(at[:-1], at[1:])]
 
 
-SHARD = ["ids", "words", "terms", "start", "doc", "tf"]
-INDEX = "task long, " + ", ".join(f"{c} binary" for c in SHARD)
+#: rows of an index: a shard's bytes in pieces, then its mark
+INDEX = "task long, mark boolean, data binary"
+PIECE = 4 << 20
 
 
 def _index(batches):
-    """The shards of a task's packed documents, a row each: of ``SHARD_BYTES`` of terms, the last of half to one and a half."""
+    """The shards of a task's packed documents: of ``SHARD_BYTES`` of terms, the last of half to one and a half."""
     task = TaskContext.get().partitionId()
     held: list[tuple] = []  # (id, words, terms, tfs)
 
-    def row(docs):
+    def rows(docs):
         ids, words, terms, tfs = (list(c) for c in zip(*docs))
         docs.clear()
         arrays = _inverted(ids, words, terms, tfs)
-        values = (pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(np.array([0, a.nbytes], np.int32)), pa.py_buffer(a)]) for a in arrays)
-        return pa.RecordBatch.from_arrays([pa.array([task]), *values], ["task", *SHARD])
+        sizes = np.array([len(arrays[0]), len(arrays[2]), len(arrays[4]), arrays[5].itemsize], np.int64)
+        whole = memoryview(b"".join([sizes, *arrays]))
+        del arrays
+        for mark, value in [(False, whole[a:a + PIECE]) for a in range(0, len(whole), PIECE)] + [(True, None)]:
+            yield pa.RecordBatch.from_arrays([pa.array([task]), pa.array([mark]), pa.array([value and bytes(value)], pa.binary())], ["task", "mark", "data"])
 
     size = 0
     for b in batches:
@@ -262,10 +269,10 @@ def _index(batches):
                     size += held[n][2].nbytes
                     n += 1
                 first, held = held[:n], held[n:]
-                yield row(first)
+                yield from rows(first)
                 size = sum(x[2].nbytes for x in held)
     if held:
-        yield row(held)
+        yield from rows(held)
 
 
 CHUNK = {"queries": "<i8", "names": "<u8", "idf": "<f8", "at": "<i4", "cuts": "<i8", "least": "<f8"}
@@ -296,14 +303,17 @@ def _chunks(batches):
 
 def _search(mean_words: float, k: int):
     def work(batches):
-        """Rows are a shard, then the chunks of queries that it answers, then the next shard."""
-        shard = None
+        """Rows are a shard's pieces, then the chunks of queries that it answers, then the next shard."""
+        pieces, shard = [], None
         for b in batches:
             for n in range(b.num_rows):
-                if b.column("ids")[n].is_valid:
-                    shard = None
-                    shard = Shard.of(*(b.column(c)[n].as_buffer() for c in SHARD), mean_words)
+                if b.column("data")[n].is_valid:
+                    if shard is not None:
+                        pieces, shard = [], None
+                    pieces.append(b.column("data")[n].as_py())
                     continue
+                if shard is None:
+                    shard, pieces = Shard.of(pieces, mean_words), []
                 q, names, idf, at, cuts, least = (np.frombuffer(b.column(f"q_{c}")[n].as_buffer(), t) for c, t in CHUNK.items())
                 out = []
                 for i, found, score in shard.search_all(names, idf, at, cuts, least, k):
@@ -315,15 +325,18 @@ def _search(mean_words: float, k: int):
     return work
 
 
+#: for tables whose files are read whole, one after the other, and go to Python in small batches
+READ_WHOLE = {"spark.sql.files.maxPartitionBytes": str(1 << 50), "spark.sql.files.openCostInBytes": str(1 << 50),
+              "spark.sql.files.maxRecordsPerFile": "0", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
 def _scan(index: DataFrame, chunks: DataFrame, groups: int, mean_words: float, k: int) -> DataFrame:
     """``query_id, id, score``: k rows at most for every shard and query. A nested loop over the two
-    written tables: a shard meets the first row of a task's chunks, its mark meets them all."""
-    left = index.select(F.explode(F.array(F.lit(False), F.lit(True))).alias("mark"), *SHARD)
-    left = left.select("mark", *(F.when(~F.col("mark"), F.col(c)).alias(c) for c in SHARD))
+    written tables: a shard's pieces meet the first of a task's chunks only, its mark meets them all."""
     number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # of a row in its partition
     right = chunks.coalesce(groups).select((number == 0).alias("first"), *(F.col(c).alias(f"q_{c}") for c in CHUNK))
-    both = left.hint("shuffle_replicate_nl").join(right, F.col("mark") | F.col("first"))
-    return both.select(*SHARD, *(F.when(F.col("mark"), F.col(f"q_{c}")).alias(f"q_{c}") for c in CHUNK)).mapInArrow(
+    both = index.select("mark", "data").hint("shuffle_replicate_nl").join(right, F.col("mark") | F.col("first"))
+    return both.select("data", *(F.when(F.col("mark"), F.col(f"q_{c}")).alias(f"q_{c}") for c in CHUNK)).mapInArrow(
         _search(mean_words, k), "query_id long, id long, score double")
 
 
@@ -331,7 +344,11 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
           shards: int | None = None) -> DataFrame:
     """``query_id, rank, id_col, score``: the k best documents of every query
     ``queries (query_id, text)``. ``shards``: tasks that documents are dealt to, else by their size."""
-    scratch = Scratch(docs.sparkSession, "search")
+    spark = docs.sparkSession
+    scratch, whole = Scratch(spark, "search"), spark.newSession()
+    for name, value in READ_WHOLE.items():
+        whole.conf.set(name, value)
+    again = lambda df, session: session.read.schema(df.schema).parquet(df._scratch)
     cols = lambda df, i, t: df.select(F.col(i).cast("long").alias("id"), F.col(t).cast("string").alias("text"))
     packed = scratch.put(cols(docs, id_col, text_col).mapInArrow(_pack, PACKED), "packed")
     stat = packed.agg(F.count("*").alias("n"), F.avg("words").alias("mean"), F.sum(F.length("terms")).alias("b")).first()
@@ -361,22 +378,22 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
                 pa.int64(), pa.binary(), pa.binary()))], ["id", "terms", "idf"])
 
     ask = scratch.put(weighted.mapInArrow(bits, "id long, terms binary, idf binary"), "queries")
-    dealt = packed.repartition(shards) if shards else packed.coalesce(int((stat.b or 0) // SHARD_BYTES) + 1)
-    index = scratch.put(dealt.mapInArrow(_index, INDEX), "index")
+    docs = again(packed, whole)
+    dealt = docs.repartition(shards) if shards else docs.coalesce(int((stat.b or 0) // SHARD_BYTES) + 1)
+    index = again(scratch.put(dealt.mapInArrow(_index, INDEX), "index"), whole)
     scratch.drop(packed, asked)
 
-    def scan(some: DataFrame, asking: DataFrame) -> DataFrame:
+    def scan(some: DataFrame, asking: DataFrame, name: str) -> DataFrame:
         chunks = scratch.put(asking.mapInArrow(_chunks, ", ".join(f"{c} binary" for c in CHUNK)), "chunks")
         size = chunks.agg(F.sum(F.length("names") + F.length("idf") + F.length("at"))).first()[0] or 0
-        return _scan(some, chunks, int(size // GROUP_BYTES) + 1, mean, k)
+        return again(scratch.put(_scan(some, again(chunks, whole), int(size // GROUP_BYTES) + 1, mean, k), name), spark)
 
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id"))
     tasks = (index.agg(F.max("task")).first()[0] or 0) + 1
     early = math.isqrt(tasks) if tasks >= EARLY_TASKS else tasks
-    found = scan(index.where(F.col("task") < early), ask.withColumn("least", F.lit(None).cast("double")))
+    found = scan(index.where(F.col("task") < early), ask.withColumn("least", F.lit(None).cast("double")), "early")
     if early < tasks:
-        found = scratch.put(found, "early")
         least = found.withColumn("rank", rank).where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("least"))
-        found = found.unionByName(scan(index.where(F.col("task") >= early), ask.join(least, "id", "left")))
+        found = found.unionByName(scan(index.where(F.col("task") >= early), ask.join(least, "id", "left"), "others"))
     return (found.withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("long").alias("rank"), F.when(F.col("id") != _NULL, F.col("id")).alias(id_col), "score"))

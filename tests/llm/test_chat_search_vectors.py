@@ -127,18 +127,26 @@ def test_top_k_by_stages_and_groups_is_the_same(spark, monkeypatch):
 
 def test_shards_and_chunks_are_cut_by_size(monkeypatch):
     monkeypatch.setattr(search, "SHARD_BYTES", 800)
+    monkeypatch.setattr(search, "PIECE", 300)
     monkeypatch.setattr(search, "CHUNK_TERMS", 30)
     monkeypatch.setattr(search, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda self: 3})())}))
     terms = [np.sort(np.random.default_rng(i).choice(500, i % 40, replace=False)).astype("<u8") for i in range(100)]
     packed = pa.RecordBatch.from_arrays([
         pa.array([None if i == 7 else i for i in range(100)], pa.int64()), pa.array(list(map(len, terms)), pa.int64()),
         pa.array([t.tobytes() for t in terms]), pa.array([np.ones(len(t), "<u4").tobytes() for t in terms])], ["id", "words", "terms", "tfs"])
-    rows = list(search._index([packed.slice(0, 33), packed.slice(33)]))
-    sizes = [8 * len(np.frombuffer(r.column("doc")[0].as_py(), np.int32)) for r in rows]
-    assert sum(sizes) == 8 * sum(map(len, terms)) and all(400 <= s <= 1200 + 8 * 40 for s in sizes) and len(rows) > 10
+    shards, pieces = [], []
+    for r in search._index([packed.slice(0, 33), packed.slice(33)]):
+        assert r.num_rows == 1 and r.column("task")[0].as_py() == 3
+        if r.column("mark")[0].as_py():
+            shards.append(search.Shard.of(pieces, 20.0))
+            pieces = []
+        else:
+            pieces.append(r.column("data")[0].as_py())
+            assert len(pieces[-1]) <= 300
+    sizes = [8 * len(s.doc) for s in shards]
+    assert not pieces and sum(sizes) == 8 * sum(map(len, terms)) and all(400 <= s <= 1200 + 8 * 40 for s in sizes) and len(sizes) > 10
     found = {}
-    for r in rows:
-        shard = search.Shard.of(*(r.column(c)[0].as_buffer() for c in search.SHARD), 20.0)
+    for shard in shards:
         for t, a, e in zip(shard.terms.tolist(), shard.start[:-1], shard.start[1:]):
             for i in shard.ids[shard.doc[a:e]].tolist():
                 found.setdefault(i, []).append(t)
