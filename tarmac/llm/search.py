@@ -132,11 +132,8 @@ class Shard:
     @classmethod
     def of(cls, pieces: list, mean_words: float) -> Shard:
         """The shard of its rows in the written index."""
-        whole, at, arrays = b"".join(pieces), 4 * 8, []
-        docs, terms, postings, width = np.frombuffer(whole, np.int64, 4).tolist()
-        for n, kind in ((docs, "<i8"), (docs, "<i8"), (terms, "<u8"), (terms + 1, "<i4"), (postings, "<i4"), (postings, f"<u{width}")):
-            arrays.append(np.frombuffer(whole, kind, n, at))
-            at += arrays[-1].nbytes
+        arrays = _arrays_of(pieces, lambda docs, terms, postings, width: (
+            (docs, "<i8"), (docs, "<i8"), (terms, "<u8"), (terms + 1, "<i4"), (postings, "<i4"), (postings, f"<u{width}")))
         shard = cls.__new__(cls)
         shard._open(*arrays, mean_words)
         return shard
@@ -237,9 +234,27 @@ def _pieces(column: pa.Array, dtype: str) -> list[np.ndarray]:
     return [np.frombuffer(whole[a:e], dtype) for a, e in zip(at[:-1], at[1:])]
 
 
-#: rows of an index: a shard's bytes in pieces, then its mark
+#: written bytes go in rows of pieces, so that no row is large
+PIECE = 256 << 10
+
+
+def _pieces_of(arrays: list, sizes: list[int]) -> list[bytes]:
+    """The bytes of ``sizes`` and some arrays, cut into pieces."""
+    whole = memoryview(b"".join([np.array(sizes, np.int64), *(memoryview(np.ascontiguousarray(a)).cast("B") for a in arrays if a.nbytes)]))
+    return [bytes(whole[a:a + PIECE]) for a in range(0, len(whole), PIECE)]
+
+
+def _arrays_of(pieces: list[bytes], kinds) -> list[np.ndarray]:
+    """The arrays of some pieces; ``kinds`` says their lengths and types by the first four numbers."""
+    whole, at, out = b"".join(pieces), 4 * 8, []
+    for n, kind in kinds(*np.frombuffer(whole, np.int64, 4).tolist()):
+        out.append(np.frombuffer(whole, kind, n, at))
+        at += out[-1].nbytes
+    return out
+
+
+#: rows of an index: a shard's pieces, then its mark
 INDEX = "task long, mark boolean, data binary"
-PIECE = 4 << 20
 
 
 def _index(batches):
@@ -251,11 +266,10 @@ def _index(batches):
         ids, words, terms, tfs = (list(c) for c in zip(*docs))
         docs.clear()
         arrays = _inverted(ids, words, terms, tfs)
-        sizes = np.array([len(arrays[0]), len(arrays[2]), len(arrays[4]), arrays[5].itemsize], np.int64)
-        whole = memoryview(b"".join([sizes, *arrays]))
+        pieces = _pieces_of(arrays, [len(arrays[0]), len(arrays[2]), len(arrays[4]), arrays[5].itemsize])
         del arrays
-        for mark, value in [(False, whole[a:a + PIECE]) for a in range(0, len(whole), PIECE)] + [(True, None)]:
-            yield pa.RecordBatch.from_arrays([pa.array([task]), pa.array([mark]), pa.array([value and bytes(value)], pa.binary())], ["task", "mark", "data"])
+        for value in [*pieces, None]:
+            yield pa.RecordBatch.from_arrays([pa.array([task]), pa.array([value is None]), pa.array([value], pa.binary())], ["task", "mark", "data"])
 
     size = 0
     for b in batches:
@@ -275,18 +289,28 @@ def _index(batches):
         yield from rows(held)
 
 
-CHUNK = {"queries": "<i8", "names": "<u8", "idf": "<f8", "at": "<i4", "cuts": "<i8", "least": "<f8"}
+#: rows of chunks of queries: their pieces, the last one marked
+CHUNKS = "last boolean, data binary"
+
+
+def _chunk(pieces: list[bytes]) -> list[np.ndarray]:
+    """(queries, cuts, least, terms, idf, at) of a chunk, as ``Shard.search_all`` takes them."""
+    return _arrays_of(pieces, lambda queries, terms, places, _: (
+        (queries, "<i8"), (queries + 1, "<i8"), (queries, "<f8"), (terms, "<u8"), (terms, "<f8"), (places, "<i4")))
 
 
 def _chunks(batches):
-    """Queries in chunks, a row each: distinct terms with their idf, and the places of each query's terms in them."""
+    """Queries in chunks: distinct terms with their idf, and the places of each query's terms in them."""
     held: list[tuple] = []
 
-    def row():
+    def rows():
         i, terms, idf, least = zip(*held)
         names, first, at = np.unique(np.concatenate(terms), return_index=True, return_inverse=True)
-        arrays = (i, names, np.concatenate(idf)[first], at, np.append(0, np.cumsum([len(t) for t in terms])), least)
-        return pa.RecordBatch.from_arrays([pa.array([np.asarray(a, t).tobytes()], pa.binary()) for a, t in zip(arrays, CHUNK.values())], list(CHUNK))
+        cuts = np.append(0, np.cumsum([len(t) for t in terms])).astype("<i8")
+        pieces = _pieces_of([np.array(i, "<i8"), cuts, np.array(least, "<f8"), names, np.concatenate(idf)[first], at.astype("<i4")],
+                            [len(i), len(names), len(at), 0])
+        for n, value in enumerate(pieces, 1):
+            yield pa.RecordBatch.from_arrays([pa.array([n == len(pieces)]), pa.array([value], pa.binary())], ["last", "data"])
 
     size = 0
     for b in batches:
@@ -295,16 +319,16 @@ def _chunks(batches):
             held.append(q)
             size += len(q[1])
             if len(held) == CHUNK_QUERIES or size >= CHUNK_TERMS:
-                yield row()
+                yield from rows()
                 held, size = [], 0
     if held:
-        yield row()
+        yield from rows()
 
 
 def _search(mean_words: float, k: int):
     def work(batches):
         """Rows are a shard's pieces, then the chunks of queries that it answers, then the next shard."""
-        pieces, shard = [], None
+        pieces, asked, shard = [], [], None
         for b in batches:
             for n in range(b.num_rows):
                 if b.column("data")[n].is_valid:
@@ -314,7 +338,11 @@ def _search(mean_words: float, k: int):
                     continue
                 if shard is None:
                     shard, pieces = Shard.of(pieces, mean_words), []
-                q, names, idf, at, cuts, least = (np.frombuffer(b.column(f"q_{c}")[n].as_buffer(), t) for c, t in CHUNK.items())
+                asked.append(b.column("asked")[n].as_py())
+                if not b.column("last")[n].as_py():
+                    continue
+                q, cuts, least, names, idf, at = _chunk(asked)
+                asked = []
                 out = []
                 for i, found, score in shard.search_all(names, idf, at, cuts, least, k):
                     score = np.round(score, 6)
@@ -327,16 +355,17 @@ def _search(mean_words: float, k: int):
 
 #: for tables whose files are read whole, one after the other, and go to Python in small batches
 READ_WHOLE = {"spark.sql.files.maxPartitionBytes": str(1 << 50), "spark.sql.files.openCostInBytes": str(1 << 50),
-              "spark.sql.files.maxRecordsPerFile": "0", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+              "spark.sql.files.maxRecordsPerFile": "0", "spark.sql.parquet.columnarReaderBatchSize": "16",
+              "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
 def _scan(index: DataFrame, chunks: DataFrame, groups: int, mean_words: float, k: int) -> DataFrame:
     """``query_id, id, score``: k rows at most for every shard and query. A nested loop over the two
     written tables: a shard's pieces meet the first of a task's chunks only, its mark meets them all."""
     number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # of a row in its partition
-    right = chunks.coalesce(groups).select((number == 0).alias("first"), *(F.col(c).alias(f"q_{c}") for c in CHUNK))
+    right = chunks.coalesce(groups).select((number == 0).alias("first"), "last", F.col("data").alias("asked"))
     both = index.select("mark", "data").hint("shuffle_replicate_nl").join(right, F.col("mark") | F.col("first"))
-    return both.select("data", *(F.when(F.col("mark"), F.col(f"q_{c}")).alias(f"q_{c}") for c in CHUNK)).mapInArrow(
+    return both.select("data", "last", F.when(F.col("mark"), F.col("asked")).alias("asked")).mapInArrow(
         _search(mean_words, k), "query_id long, id long, score double")
 
 
@@ -384,8 +413,8 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
     scratch.drop(packed, asked)
 
     def scan(some: DataFrame, asking: DataFrame, name: str) -> DataFrame:
-        chunks = scratch.put(asking.mapInArrow(_chunks, ", ".join(f"{c} binary" for c in CHUNK)), "chunks")
-        size = chunks.agg(F.sum(F.length("names") + F.length("idf") + F.length("at"))).first()[0] or 0
+        chunks = scratch.put(asking.mapInArrow(_chunks, CHUNKS), "chunks")
+        size = chunks.agg(F.sum(F.length("data"))).first()[0] or 0
         return again(scratch.put(_scan(some, again(chunks, whole), int(size // GROUP_BYTES) + 1, mean, k), name), spark)
 
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id"))
