@@ -1,7 +1,7 @@
 """Exact BM25 top-k by an inverted index with block-max pruning, per shard.
 
 A shard is the inverted index of some documents, built where they are read and written
-as one row. It orders its documents by their most frequent word and length (so that a
+in pieces. It orders its documents by their most frequent word and length (so that a
 block holds texts of one kind), cuts them into blocks of ``BLOCK`` and keeps, for every
 term, postings with their exact BM25 contribution. The shard's most frequent terms lie
 in a table (document x term) with the largest contribution in each block. Contributions
@@ -9,10 +9,10 @@ use global statistics (document count, mean length, document frequencies), so sc
 different shards compare and the merge of the shards' top k is the global top k.
 
 A query adds up the lists of its rarer terms; a document's bound is that sum and its
-block's maxima of the query's frequent terms. The documents of the largest bounds are
-scored exactly, and one whose bound does not reach the k-th best score so far is not (a
-bound equal to it is, so ties are exact). Bounds and scores are sums of the same
-numbers, hence no document above the threshold can be missed.
+block's maxima of the query's frequent terms. A block without a bound that reaches the
+threshold is not opened (a bound equal to it is, so ties are exact). A query that opens
+many blocks is scored on the whole table in short numbers, and what may reach the
+threshold, by a bound of their rounding, is scored again. No document above it is missed.
 
 Queries go to the shards by a nested loop over the two written tables, which writes
 nothing: no row is kept for a (query, shard). The first shards, about the root of their
